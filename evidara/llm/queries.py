@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidara.llm import packing, quality_rules
+from evidara.llm import near_duplicates, packing, quality_rules, url_filters
 
 #: The folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("EVIDARA_TOKENIZERS", "/opt/tokenizers")
@@ -25,20 +25,46 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on shingles of four words."""
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), k=4)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces packed into sequences of 4096 tokens."""
     parts = packing.pieces(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
     return packing.pack(parts).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+#: Fixed rules on host and path.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op10_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page's URL."""
+    return url_filters.url_verdicts(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_frequency": op2_line_frequency,
+    "op4_tensored_minhash": op4_tensored_minhash,
     "op5_pattern_packing": op5_pattern_packing,
+    "op10_association_rules": op10_association_rules,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_tensored_minhash": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 3], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM s a JOIN s b USING (g) GROUP BY 1, 2),
+e AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * k >= 80 * (x.n + y.n - k)),
+r AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON e.u = r.v),
+c AS (SELECT u, min(v) AS c FROM r GROUP BY u)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, doc_id) AS component_id, coalesce(c, doc_id) = doc_id AS kept FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.u = doc_id""",
     "op2_line_frequency": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM (SELECT r, regexp_extract_all(t, '{_WORDS}') AS ws FROM d)),
