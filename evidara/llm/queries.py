@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidara.llm import near_duplicates, packing, quality_rules, url_filters
+from evidara.llm import near_duplicates, packing, quality_rules, threshold_search, url_filters
 
 #: The folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("EVIDARA_TOKENIZERS", "/opt/tokenizers")
@@ -37,6 +37,11 @@ def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op7_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best other vectors for every 50th vector."""
+    return threshold_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 #: Fixed rules on host and path.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -50,12 +55,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_frequency": op2_line_frequency,
     "op4_tensored_minhash": op4_tensored_minhash,
     "op5_pattern_packing": op5_pattern_packing,
+    "op7_threshold_search": op7_threshold_search,
     "op10_association_rules": op10_association_rules,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_threshold_search": """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r AS qr, q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM k WHERE rank <= 5""",
     "op4_tensored_minhash": rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 3], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
