@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidara.llm import near_duplicates, packing, quality_rules, threshold_search, url_filters
+from evidara.llm import gated_lm, near_duplicates, packing, quality_rules, threshold_search, url_filters
 
 #: The folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("EVIDARA_TOKENIZERS", "/opt/tokenizers")
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a gated recurrent model and under smoothed unigram counts."""
+    return gated_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures of every document and the verdict of the cross-document line rules."""
     return quality_rules.line_rules(table(spark, sf_dir, "documents")).select(
@@ -52,6 +57,7 @@ def op10_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_gated_lm": op1_gated_lm,
     "op2_line_frequency": op2_line_frequency,
     "op4_tensored_minhash": op4_tensored_minhash,
     "op5_pattern_packing": op5_pattern_packing,
