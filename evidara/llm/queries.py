@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidara.llm import gated_lm, near_duplicates, packing, quality_rules, threshold_search, url_filters
+from evidara.llm import cotraining, gated_lm, language_id, near_duplicates, packing, quality_rules, threshold_search, url_filters
 
 #: The folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("EVIDARA_TOKENIZERS", "/opt/tokenizers")
@@ -42,11 +42,30 @@ def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(parts).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def metadata_columns() -> list:
+    """What is known of a document besides its text's content: source, language, and the sizes of text and lines."""
+    size = F.coalesce(F.col("n_chars"), F.lit(0))
+    lines = F.coalesce(F.length("text") - F.length(F.translate("text", "\n", "")), F.lit(0))
+    log = lambda x: F.floor(F.log2(x + 1.0) * 2)
+    return [F.col("source"), F.col("lang"), log(size), log(lines), log(size / (lines + 1))]
+
+
+def op6_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, from its text and its metadata."""
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), metadata_columns())
+
+
 def op7_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best other vectors for every 50th vector."""
     return threshold_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op9_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page by its text, its markup, its address and its host."""
+    columns = language_id.page_columns(F.col("url"), F.col("html"))
+    return language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"), "page_id", **columns)
+
+
 #: Fixed rules on host and path.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -61,7 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_frequency": op2_line_frequency,
     "op4_tensored_minhash": op4_tensored_minhash,
     "op5_pattern_packing": op5_pattern_packing,
+    "op6_cotraining": op6_cotraining,
     "op7_threshold_search": op7_threshold_search,
+    "op9_evidence_fusion": op9_evidence_fusion,
     "op10_association_rules": op10_association_rules,
 }
 

@@ -18,6 +18,9 @@ SLICE_BYTES = 2 << 20
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: For words that are runs of ASCII letters, digits and all bytes beyond ASCII.
+IS_MARK = np.ones(256, bool)
+IS_MARK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _RANDOM = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**64 - 1, 512, dtype=np.uint64)
@@ -75,10 +78,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
 class Words:
     """The words of a slice: start and end bytes, the text each lies in, and per text the range [first, last) of its words."""
 
-    def __init__(self, data: np.ndarray, at: np.ndarray):
-        self.data, self.at = data, at
+    def __init__(self, data: np.ndarray, at: np.ndarray, gaps: np.ndarray = IS_SPACE):
+        self.data, self.at, self.gaps = data, at, gaps
         n, texts = len(data), len(at) - 1
-        ink = ~IS_SPACE[data]
+        ink = ~gaps[data]
         edge = np.zeros(n + 1, bool)
         edge[at] = True
         before = np.zeros(n, bool)
@@ -97,7 +100,10 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """A hash of each word; with `lower`, of the word with A-Z lower-cased."""
-        return mix(spans(self.data, self.start, LOWER_WORD_TABLE if lower else WORD_TABLE)) if len(self.start) else np.zeros(0, U)
+        table = LOWER_WORD_TABLE if lower else WORD_TABLE
+        if self.gaps is not IS_SPACE:
+            table = np.where(self.gaps, U(0), table)
+        return mix(spans(self.data, self.start, table)) if len(self.start) else np.zeros(0, U)
 
     def windows(self, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the windows of k words that lie in one text, and each window's first word."""
