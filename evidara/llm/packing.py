@@ -20,37 +20,76 @@ from evidara.session import cut
 PIECES = "piece int, start long, length long, ids_crc32 long"
 #: Words whose ids a worker holds at most; then it starts anew.
 CACHED_WORDS = 600_000
-_cache: dict[str, tuple[object, dict[bytes, bytes]]] = {}
+#: Ends of words that are tokenised apart from the letters before them.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+_workers: dict[str, WordIds] = {}
 
 
-def tokenizer_cache(path: str) -> tuple[object, dict[bytes, bytes]]:
-    """A worker's tokenizer and the ids of words it has met."""
-    if path not in _cache:
+class WordIds:
+    """A worker's tokenizer with the little-endian unsigned 32-bit ids of the words that it has met.
+
+    The tokenizer drops white space, never joins across it, and splits letters from other signs; the last id of a run of
+    letters is marked as a word's end in the vocabulary. So many runs of letters are encoded in one call, and told apart
+    by their ends.
+    """
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        t.no_truncation()
-        _cache[path] = (t, {})
-    return _cache[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.runs: dict[bytes, bytes] = {}
+
+    def one_by_one(self, words: list[bytes]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast([x.decode() for x in words], add_special_tokens=False)]
+
+    def letters(self, runs: list[bytes]) -> list[bytes]:
+        """The ids of each run of letters."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)[0].ids, "<u4")
+        last = np.flatnonzero(self.ends[ids]) + 1
+        if len(last) != len(runs) or last[-1] != len(ids):  # a letter that the tokenizer's normaliser takes apart
+            return self.one_by_one(runs)
+        whole, at = ids.tobytes(), [0, *(last * 4).tolist()]
+        return [whole[a:b] for a, b in zip(at, at[1:])]  # noqa: B905
+
+    def learn(self, words: list[bytes]) -> None:
+        if len(self.runs) + len(words) > CACHED_WORDS:
+            self.runs.clear()
+        # a word of letters and marks after them is two runs, any other word is one
+        heads = [x.rstrip(MARKS) for x in words]
+        tails = [x[len(run) :] if run.decode().isalpha() else None for x, run in zip(words, heads, strict=True)]
+        heads = [x if marks is None else run.lower() for x, run, marks in zip(words, heads, tails, strict=True)]
+        known = self.runs
+        new = list({run for run, marks in zip(heads, tails, strict=True) if marks is not None}.difference(known))
+        other = list({run for run, marks in zip(heads, tails, strict=True) if marks is None}.union(x for x in tails if x).difference(known))
+        for todo, encode in ((new, self.letters), (other, self.one_by_one)):
+            for first in range(0, len(todo), 20_000):
+                some = todo[first : first + 20_000]
+                known.update(zip(some, encode(some), strict=True))
+        self.words.update(zip(words, [known[run] + known[marks] if marks else known[run] for run, marks in zip(heads, tails, strict=True)], strict=True))
+
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        split = [x.encode().split() for x in texts]
+        met = set().union(*split)
+        new = [x for x in met if x not in self.words]
+        if len(self.words) + len(new) > CACHED_WORDS:
+            self.words.clear()
+            new = list(met)
+        if new:
+            self.learn(new)
+        return [b"".join(map(self.words.__getitem__, x)) for x in split]
 
 
 def ids_of(texts: list[str], path: str) -> list[bytes]:
-    """Little-endian unsigned 32-bit ids of each text.
-
-    The tokenizer drops white space and never joins across it, so each run between white space is encoded once.
-    """
-    tokenizer, known = tokenizer_cache(path)
-    split = [x.encode("utf-8", "surrogatepass").split() for x in texts]
-    met = set().union(*split)
-    if len(known) + len(met) > CACHED_WORDS:
-        known.clear()
-    new = [x for x in met if x not in known]
-    for first in range(0, len(new), 20_000):
-        some = new[first : first + 20_000]
-        for word, e in zip(some, tokenizer.encode_batch_fast([x.decode() for x in some], add_special_tokens=False), strict=True):
-            known[word] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, x)) for x in split]
+    """Little-endian unsigned 32-bit ids of each text, by the worker's cache."""
+    if path not in _workers:
+        _workers[path] = WordIds(path)
+    return _workers[path].ids_of(texts)
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096, end_id: int = 1) -> DataFrame:
