@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidara.llm import cotraining, gated_lm, language_id, near_duplicates, packing, quality_rules, threshold_search, url_filters
+from evidara.llm import byte_bpe, cotraining, gated_lm, language_id, near_duplicates, packing, quality_rules, threshold_search, url_filters
 
 #: The folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("EVIDARA_TOKENIZERS", "/opt/tokenizers")
@@ -60,6 +60,15 @@ def op7_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threshold_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+#: Splits a text before merging.
+WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def op8_folded_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's byte-level ids and the bytes that they decode to, as hashes."""
+    return byte_bpe.encode_texts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken", WORD_PATTERN)
+
+
 def op9_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every page by its text, its markup, its address and its host."""
     columns = language_id.page_columns(F.col("url"), F.col("html"))
@@ -82,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pattern_packing": op5_pattern_packing,
     "op6_cotraining": op6_cotraining,
     "op7_threshold_search": op7_threshold_search,
+    "op8_folded_merges": op8_folded_merges,
     "op9_evidence_fusion": op9_evidence_fusion,
     "op10_association_rules": op10_association_rules,
 }
