@@ -40,14 +40,14 @@ def mined_rules(labelled: DataFrame, min_support: float, min_hits: int, min_conf
     `labelled` has tokens and blocked. A combination counts from `min_support` of the transactions on, and from
     `min_hits` of them. Rules whose confidence isn't above the share of blocked pages are pruned.
     """
-    pages = labelled.count()
+    whole = labelled.agg(F.count("*").alias("n"), F.avg(F.col("blocked").cast("double")).alias("share")).first()
+    pages, share = max(1, whole["n"]), whole["share"] or 0.0
     label = F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array())
     baskets = labelled.select(F.concat("tokens", label).alias("items")).where(F.size("items") > 0)
-    sets = cut(FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_hits / max(1, pages)))).fit(baskets).freqItemsets.withColumn("items", F.array_sort("items")))
-    total = labelled.agg(F.count("*").alias("total"), F.avg(F.col("blocked").cast("double")).alias("share"))
+    sets = cut(FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_hits / pages))).fit(baskets).freqItemsets.withColumn("items", F.array_sort("items")))
     with_label = sets.where(F.array_contains("items", BLOCK) & (F.size("items") > 1)).select(F.array_remove("items", BLOCK).alias("items"), F.col("freq").alias("hits"))
-    rules = with_label.join(sets, "items").crossJoin(F.broadcast(total)).select("items", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / F.col("total")).alias("support"), "share")
-    rules = rules.where((F.col("confidence") >= min_confidence) & (F.col("confidence") > F.col("share"))).drop("share")
+    rules = with_label.join(sets, "items").select("items", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / pages).alias("support"))
+    rules = rules.where((F.col("confidence") >= min_confidence) & (F.col("confidence") > share))
     one = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
     rarest = rules.select("items", F.explode("items").alias("item")).join(one, "item").groupBy("items").agg(F.min_by("item", F.struct("freq", "item")).alias("first"))
     return cut(rules.join(rarest, "items"))
