@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidara.llm import byte_bpe, cotraining, gated_lm, language_id, near_duplicates, packing, quality_rules, threshold_search, url_filters
+from evidara.llm import byte_bpe, cotraining, gated_lm, language_id, near_duplicates, packing, quality_rules, repeats, threshold_search, url_filters
 
 #: The folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("EVIDARA_TOKENIZERS", "/opt/tokenizers")
@@ -30,6 +30,11 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when all strings of 400 bytes found twice or more are removed."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on shingles of four words."""
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), k=4)
@@ -87,6 +92,7 @@ def op10_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_gated_lm": op1_gated_lm,
     "op2_line_frequency": op2_line_frequency,
+    "op3_suffix_intervals": op3_suffix_intervals,
     "op4_tensored_minhash": op4_tensored_minhash,
     "op5_pattern_packing": op5_pattern_packing,
     "op6_cotraining": op6_cotraining,
