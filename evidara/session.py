@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,17 +24,18 @@ def local_session(cpus: str = "8", name: str = "evidara") -> SparkSession:
     )
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """`df` written to the checkpoint folder and read back, so that later stages don't recompute it.
-
-    The folder is the session's spark.checkpoint.dir, which all executors share. Only a local session that names none
-    gets a temporary one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: the session's spark.checkpoint.dir, which all executors share; a temporary one only in a local session."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", "")
-        if not named and not context.master.startswith("local"):
+        if not named and not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="evidara-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """`df` written to the shared folder and read back, so that later stages don't recompute it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
