@@ -1,8 +1,83 @@
-"""The corpus pipeline: language ID, quality classifier, near-duplicates, repeated passages, packing."""
+"""The corpus pipeline over `documents`: language ID, quality classifier, near-duplicates, repeated passages, packing.
 
-STAGES: list = []
+STAGES lists (name, function). A function takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again as
+the next one's docs; all but the last return the columns of `documents`. Every stage works on all that its predecessor kept.
+Null and empty texts, ties, repeated rows, empty tables and extra columns are defined by each stage's operator; extra columns of
+`documents` are dropped by the first stage.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from evidara.llm import cotraining, language_id, near_duplicates, packing, queries, repeats
+from evidara.session import shared_folder
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found: declared is `lang`, the host is `source`; `lang` becomes the language found.
+
+    Rejected are texts that no language explains better than chance, texts without a trigram of letters, and null texts.
+    """
+    none = F.lit("")
+    found = language_id.identify(docs.withColumn("__text", F.col("text")), docs, "doc_id", F.col("text"), F.col("lang"), none, F.col("source"), F.col("source"), keep=["__text", "source", "n_chars"])
+    return found.where("accepted").select("doc_id", F.col("__text").alias("text"), "lang", "source", "n_chars")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that co-training on `labels` accepts."""
+    scored = cotraining.classify(docs, queries.table(spark, sf_dir, "labels"), queries.metadata_columns(), keep=COLUMNS[1:])
+    return scored.where("accepted").select(*COLUMNS)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates: five words, similarity 0.8.
+
+    Of rows that repeat an id one stays.
+    """
+    linked = near_duplicates.near_duplicates(docs)
+    gone = linked.where("doc_id <> component_id").select("doc_id").distinct()
+    left = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    again = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    return left.join(again, "doc_id", "left_anti").select(*COLUMNS).union(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS))
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 400 bytes or more that are found at two places; a document that has nothing left goes.
+
+    n_chars becomes the length of what is left.
+    """
+    cut = repeats.remove_repeats(docs, with_text=True, keep=["lang", "source"])
+    return cut.where(F.col("kept_text") != "").select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces packed into sequences of 4096 tokens."""
+    parts = packing.pieces(docs, f"{queries.TOKENIZERS}/word_bpe_49k.json")
+    return packing.pack(parts).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [("language_id", languages), ("quality_classifier", quality), ("near_duplicates", near_copies), ("repeated_passages", passages), ("packing", packed)]
+#: Learned models and tokenizers are beyond SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError("the stages follow")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of all stages, each written as Parquet to the checkpoint folder and read again."""
+    context = spark.sparkContext
+    docs = queries.table(spark, sf_dir, "documents")
+    folder = shared_folder(spark)
+    name = uuid.uuid4().hex
+    for k, (stage, function) in enumerate(STAGES):
+        made = function(spark, docs, sf_dir)
+        if k == len(STAGES) - 1:
+            return made
+        path = f"{folder}/pipeline-{context.applicationId}-{name}/{k}-{stage}"
+        made.write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
