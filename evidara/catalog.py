@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from evidara.plans import spatial_plans, text_plans
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**text_plans.QUERIES, **spatial_plans.QUERIES}
+ORACLE_SQL: dict[str, str] = {**text_plans.ORACLE_SQL, **spatial_plans.ORACLE_SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the events table."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The latest order of each map tile that holds a customer."""
+    return text_plans.latest_partition_per_quadkey(spark, sf_dir)
