@@ -59,7 +59,7 @@ def byte_size(text: Column) -> Column:
     number = F.regexp_extract(text, r"(?i)^\s*([0-9]+(?:\.[0-9]+)?)\s*(?:[KMGT]?I?B)?\s*$", 1)
     unit = F.upper(F.regexp_extract(text, r"(?i)([KMGT])I?B\s*$", 1))
     factor = F.when(unit == "K", 1024.0).when(unit == "M", 1024.0**2).when(unit == "G", 1024.0**3).when(unit == "T", 1024.0**4).otherwise(1.0)
-    return F.when(number != "", F.ceil(F.expr("1") * number.try_cast("double") * factor))
+    return F.when(number != "", F.ceil(number.try_cast("double") * factor))
 
 
 def canonical_url(url: Column) -> Column:

@@ -23,7 +23,7 @@ from evidara.llm import textkit as T
 #: Two primes whose product is beyond the largest pair key, so that a pair is known by its two remainders.
 SLOTS, DEALS = 200_003, 70_001
 #: Words that a task numbers before it starts anew.
-NUMBERED = 250_000
+NUMBERED = 300_000
 #: Words of more bytes are merged by a heap in Python, as folding takes time with the square of the length.
 LONG_WORD = 256
 
@@ -40,7 +40,7 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     dealt: dict[int, list[int]] = {}
     for k in sorted(pairs):
         dealt.setdefault(k % DEALS, []).append(k)
-    shifts, entries = np.zeros(DEALS, np.int64), np.full(2 * SLOTS, 1 << 62, np.int64)
+    shifts, entries = np.zeros(DEALS, np.int64), np.full(2 * SLOTS, 1 << 50, np.int64)
     taken = bytearray(2 * SLOTS)
     for deal, own in sorted(dealt.items(), key=lambda x: (-len(x[1]), x[0])):
         base = [k % SLOTS for k in own]
@@ -82,9 +82,12 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-def bound(x: Column, body) -> Column:
-    """`body` of x, x worked out once."""
-    return F.get(F.transform(F.array(x), body), F.lit(0))
+def bound(x: Column, like: Column, body) -> Column:
+    """`body` of x, x worked out once; `like` is any value of the body's type.
+
+    A fold over one element: indexing a transformed array instead would work out the body's type anew for every word.
+    """
+    return F.aggregate(F.array(x), like, lambda _, v: body(v))
 
 
 class Codec:
@@ -105,17 +108,18 @@ class Codec:
     def united(self, a: Column, b: Column) -> Column:
         """The id of a's piece followed by b's; 65536 or more if they have none."""
         key = F.shiftleft(a, 16).bitwiseOR(b)
-        entry = lambda k: F.get(self.entries, (k % SLOTS + F.get(self.shifts, (k % DEALS).cast("int"))).cast("int")).bitwiseXOR(F.shiftleft(k, 16))
-        return bound(key, entry)
+        slot = key % SLOTS + F.get(self.shifts, (key % DEALS).cast("int"))
+        return F.get(self.entries, slot.cast("int")).bitwiseXOR(F.shiftleft(key, 16))
 
     def encode(self, word: Column) -> Column:
         """The ids of a word, an array of its bytes from -128 to 127."""
         start = F.transform(word, lambda b: F.get(self.of_byte, b.cast("int") + 128))
 
         def merged(ids: Column, _) -> Column:
-            ranks = F.transform(F.slice(ids, 2, F.size(ids)), lambda b, i: self.united(F.get(ids, i), b))
-            united = bound(ranks, lambda r: bound(F.array_min(r), lambda least: F.when(least > 65535, ids).otherwise(bound(F.array_position(r, least).cast("int"), lambda at: self.joined(ids, least, at)))))
-            return F.when(F.size(ids) == 1, ids).otherwise(united)
+            # a pair's rank and place in one number; words have at most LONG_WORD bytes
+            ranked = F.transform(F.slice(ids, 2, F.size(ids)), lambda b, i: F.shiftleft(self.united(F.get(ids, i), b), 8).bitwiseOR(i))
+            least = F.array_min(ranked)
+            return F.when(F.size(ids) == 1, ids).otherwise(bound(least, ids, lambda m: F.when(m >= 1 << 24, ids).otherwise(self.joined(ids, F.shiftright(m, 8), (m % 256).cast("int") + 1))))
 
         return F.aggregate(F.slice(word, 2, F.size(word)), start, merged).cast("array<int>")
 

@@ -5,8 +5,10 @@ key of the first with one of the second: 2 * tables * rows minimum hashes do the
 with similarity s meet in a table with chance (1 - (1 - s**rows)**tables)**2; at 0.8 with rows = 2, tables = 10 that is
 0.99993, at 0.85 0.999995.
 
-Documents with one shingle set are one node. In a bucket every node is tested against one pivot; nodes that end in
-one component need no further test; nodes of a bucket that are still in different components are tested pair by pair.
+Documents with one shingle set are one node. In a bucket every node is tested against one pivot, the node that shares
+most buckets with others; nodes that end in one component need no further test. Nodes of a bucket that are still in different
+components meet again by an exact prefix filter: sets are put in one global order, rare shingles first, and only pairs that share
+a shingle early enough to reach the similarity at all are tested. So a large group of near copies isn't paired out.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from evidara.llm import textkit as T
 from evidara.operators.graph import connected_components
 from evidara.session import cut
 
+#: Cells of the count by which shingles are ordered.
+SKETCH = 1 << 18
+
 
 def shingles(data: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct hashes of each text's shingles of k lower-cased words: (hashes, each text's first, count).
@@ -100,6 +105,37 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(100 * both >= percent * (F.size("su") + F.size("sv") - both)).select("u", "v")
 
 
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(token, place, n, rep, component) for the first shingles of each set of (rep, component, set), the rarest first.
+
+    Rarity is the count of a shingle's cell among SKETCH cells, a broadcast of that fixed size; any order common to all sets is exact.
+    """
+    cell = F.pmod(F.col("x"), F.lit(SKETCH)).cast("int")
+    counts = sets.select(F.explode("set").alias("x")).groupBy(cell.alias("cell")).agg(F.least(F.count("*"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()
+    sketch = np.zeros(SKETCH, np.int32)
+    sketch[counts["cell"].to_numpy()] = counts["n"].to_numpy()
+    cells = sets.sparkSession.sparkContext.broadcast(sketch)
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(2)
+            at, x = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+            at = at - at[0]
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+                n = b - a
+                top = n - -(-percent * n // 100) + 1
+                own = x[a:b]
+                order = np.lexsort((own, cells.value[own % SKETCH]))[:top]
+                for column, values in zip(out, (own[order], np.arange(top, dtype=np.int32), np.full(top, n), np.full(top, i)), strict=True):
+                    column.append(values)
+            if out[0]:
+                token, place, n, row = (np.concatenate(c) for c in out)
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(place), pa.array(n), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))], ["token", "place", "n", "rep", "component"])
+
+    return sets.select("rep", "component", "set").mapInArrow(run, "token long, place int, n long, rep long, component long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, tables: int = 10, rows: int = 2, seed: int = 11) -> DataFrame:
     """(id, n_shingles, component_id) per row of `docs`: component_id is the smallest id linked with it, itself included.
 
@@ -114,37 +150,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table_keys = F.explode(F.flatten(F.transform("a", lambda x: F.transform(F.col("b"), lambda y: F.xxhash64(x, y)))))
     keys = classes.select("rep", F.col("n_shingles").alias("n"), table_keys.alias("key")).repartition("key")
     shared = keys.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("key")
-    # buckets with the same members say the same: one of them is enough
-    live = keys.join(shared, "key")
-    alike = live.groupBy("key").agg(F.count("*").alias("c"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("h"), F.min("rep").alias("pivot"))
-    buckets = alike.groupBy("c", "h", "pivot").agg(F.min("key").alias("key"))
-    live = cut(live.join(buckets.select("key", "pivot"), "key"))
+    live = cut(keys.join(shared, "key"))
+    # the node of most company is a bucket's pivot: the original rather than one of its variants
+    sizes = live.groupBy("key").agg(F.count("*").alias("c"))
+    company = live.join(sizes, "key").groupBy("rep", "n").agg(F.sum("c").alias("c"))
+    pivots = live.join(company, ["rep", "n"]).groupBy("key").agg(F.max(F.struct("c", -F.col("rep"), "n")).alias("p"))
+    pivots = pivots.select("key", (-F.col("p.col2")).alias("pivot"), F.col("p.n").alias("np"))
+    star = live.join(pivots, "key").where(f"rep <> pivot AND 100 * least(n, np) >= {percent} * greatest(n, np)")
+    star = cut(star.select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")).distinct())
     ids = live.select(F.col("rep").alias("node")).distinct()
     sets = cut(shingle_sets(texts.join(ids, "node", "left_semi").dropDuplicates(["node"]), k))
-    sizes = live.groupBy("rep").agg(F.first("n").alias("n"))
-
-    def near(pairs: DataFrame) -> DataFrame:
-        fits = "100 * least(nu, nv) >= {p} * greatest(nu, nv)".format(p=percent)
-        return pairs.where(fits).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-
-    star = near(live.where("rep <> pivot").select(F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("pivot").alias("v")).join(sizes.select(F.col("rep").alias("v"), F.col("n").alias("nv")), "v"))
     edges = cut(confirmed(star, sets, percent))
-    for last in (False, True):
-        known = connected_components(edges).withColumnRenamed("node", "rep")
-        now = live.drop("pivot").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        split = now.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.min(F.struct("n", "rep", "component")).alias("p")).where("least < most")
-        now = now.join(split, "key")
-        if last:
-            other = now.select("key", F.col("rep").alias("v"), F.col("n").alias("nv"), F.col("component").alias("w"))
-            pairs = now.select("key", F.col("rep").alias("u"), F.col("n").alias("nu"), "component").join(other, "key").where("component < w")
-        else:
-            pairs = now.where("component <> p.component").select(F.col("rep").alias("u"), F.col("n").alias("nu"), F.col("p.rep").alias("v"), F.col("p.n").alias("nv"))
-        more = cut(confirmed(near(pairs).join(star, ["u", "v"], "left_anti"), sets, percent))
-        if more.isEmpty():
-            if last:
-                break
-            continue
-        edges = edges.union(more)
+    known = connected_components(edges).withColumnRenamed("node", "rep")
+    now = live.select("key", "rep").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    split = now.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key")
+    open_nodes = now.join(split, "key").select("rep", "component").distinct()
+    first = cut(prefixes(sets.withColumnRenamed("node", "rep").join(open_nodes, "rep"), percent))
+    apart = first.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("token")
+    first = first.join(apart, "token")
+    other = first.select("token", *(F.col(c).alias(f"{c}2") for c in ("place", "n", "rep", "component")))
+    # what is left after the shared shingle must do for the similarity
+    reach = f"component < component2 AND 100 * least(n, n2) >= {percent} * greatest(n, n2) AND {100 + percent} * least(n - place, n2 - place2) >= {percent} * (n + n2)"
+    pairs = first.join(other, "token").where(reach).select(F.least("rep", "rep2").alias("u"), F.greatest("rep", "rep2").alias("v")).distinct()
+    edges = edges.union(cut(confirmed(pairs.join(star, ["u", "v"], "left_anti"), sets, percent)))
     known = connected_components(edges).select(F.col("node").alias("rep"), "component")
     found = classes.select("s1", "s2", "n_shingles", "rep").join(known, "rep", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     linked = made.select("node", "n_shingles", "s1", "s2").join(found, ["s1", "s2", "n_shingles"], "left")
