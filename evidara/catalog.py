@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidara.plans import spatial_plans, text_plans
+from evidara.plans import fusion_plans, spatial_plans, text_plans
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**text_plans.QUERIES, **spatial_plans.QUERIES}
-ORACLE_SQL: dict[str, str] = {**text_plans.ORACLE_SQL, **spatial_plans.ORACLE_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**text_plans.QUERIES, **spatial_plans.QUERIES, **fusion_plans.QUERIES}
+ORACLE_SQL: dict[str, str] = {**text_plans.ORACLE_SQL, **spatial_plans.ORACLE_SQL, **fusion_plans.ORACLE_SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -95,22 +95,30 @@ def tile_summary(spark, sf):
 
 
 def consensus_groups(spark, sf):
-    """Pairs of sure events of a user within 140 m from different types: supporters of each, two at least."""
-    e = _t(spark, sf, "events").where("event_id % 100 >= 72").select("event_id", "event_type", F.pmod("user_id", F.lit(8)).alias("app"), _x("event_id").alias("x"), _y("event_id").alias("y"))
+    """Pairs of sure events of a user within 140 m from different types: supporters of each, two at least. Confidence is made from the key."""
+    e = _t(spark, sf, "events").select("event_id", "event_type", F.pmod("user_id", F.lit(8)).alias("app"), _x("event_id").alias("x"), _y("event_id").alias("y"), (F.pmod("event_id", F.lit(100)) / 100.0).alias("confidence"))
+    e = e.where(F.col("confidence") >= 0.72).drop("confidence")
     o = e.select(F.col("event_id").alias("o_id"), F.col("event_type").alias("o_type"), "app", F.col("x").alias("x2"), F.col("y").alias("y2"))
     g = P.grid_join(e, o, 140.0, "inner", ["app"]).groupBy("app", "event_id").agg(F.countDistinct("o_type").alias("types"), F.count("*").alias("support"))
     return g.where("types >= 2")
 
 
+#: Metres to which the ends of path segments are snapped.
+SNAP = 25
+
+
 def path_components(spark, sf):
-    """Connected customers and suppliers by line items of every 60th part: components with their sizes."""
-    links = _t(spark, sf, "lineitem").where("l_partkey % 60 = 0").select((F.col("l_orderkey") * 2).alias("u"), (F.col("l_suppkey") * 2 + 1).alias("v"))
+    """Every part is a segment of p_size metres, east for odd keys and north for even ones, with snapped ends: connected paths with their nodes."""
+    p = _t(spark, sf, "part").select(_x("p_partkey").alias("x"), _y("p_partkey").alias("y"), F.when(F.pmod("p_partkey", F.lit(2)) == 1, F.col("p_size")).otherwise(F.lit(0)).alias("east"), "p_size")
+    node = lambda x, y: (F.floor(x / SNAP) * 1000 + F.floor(y / SNAP)).cast("bigint")
+    links = p.select(node(F.col("x"), F.col("y")).alias("u"), node(F.col("x") + F.col("east"), F.col("y") + F.col("p_size") - F.col("east")).alias("v"))
     return connected_components(links).groupBy("component").agg(F.count("*").alias("nodes"))
 
 
 def _cells(spark, sf):
-    cells = _t(spark, sf, "events").select(_x("event_id", 90).cast("int").alias("row"), _y("event_id", 70).cast("int").alias("col"), "event_id").where("event_id % 3 = 0").groupBy("row", "col").agg(F.min("event_id").alias("first"))
-    return cells.where("(row * 7 + col * 3) % 5 < 3").withColumn("id", (F.col("row") * 70 + F.col("col")).cast("bigint"))
+    """Cells of 50 metres that hold an event."""
+    e = _t(spark, sf, "events").select(F.floor(_x("event_id") / 50).cast("int").alias("row"), F.floor(_y("event_id") / 50).cast("int").alias("col")).distinct()
+    return e.withColumn("id", (F.col("row") * 100 + F.col("col")).cast("bigint"))
 
 
 def connected_cell_groups(spark, sf):
@@ -183,7 +191,7 @@ SELECT p.p_partkey AS planning_id, CASE WHEN p.p_partkey % 3 = 0 THEN 'withheld'
 FROM p LEFT JOIN (SELECT * FROM t WHERE n = 1) t ON t.planning_id = p.p_partkey WHERE p.p_partkey % 4 = 0"""
 
 
-_CELLS = f"SELECT r::INTEGER AS row, c::INTEGER AS col, r * 70 + c AS id FROM (SELECT DISTINCT {X.format(k='event_id', n=90)} AS r, {Y.format(k='event_id', n=70)} AS c FROM events WHERE event_id % 3 = 0) WHERE (r * 7 + c * 3) % 5 < 3"
+_CELLS = f"SELECT DISTINCT (x // 50)::INTEGER AS row, (y // 50)::INTEGER AS col, (x // 50) * 100 + y // 50 AS id FROM (SELECT {_xy('event_id')} FROM events)"
 _HASH = "2166136261::BIGINT"
 for _v in ("col", "row", "771"):
     _HASH = f"((xor({_HASH}, ({_v})::BIGINT)::HUGEINT * 16777619) % 4294967296)::BIGINT"
@@ -214,10 +222,11 @@ SELECT plan_id, tile_id, te0, tn0, te1, tn1, CASE WHEN te0 < 4000 AND te1 > 2000
 WITH e AS (SELECT floor({X.format(k='event_id', n=6000)} / 1000)::INTEGER AS col, (event_id % 10 > 0)::INTEGER AS valid FROM events)
 SELECT CASE WHEN col IN (2, 3) THEN 'core' WHEN col IN (1, 4) THEN 'near' ELSE 'outer' END AS tier, count(*) AS total, sum(valid)::BIGINT AS valid, min(col) AS first, max(col) AS last, floor(sum(valid) * 100000.0 / count(*) + 0.5) / 1000 AS coverage FROM e GROUP BY 1""",
     "consensus_groups": f"""
-WITH e AS (SELECT event_id, event_type, user_id % 8 AS app, {_xy('event_id')} FROM events WHERE event_id % 100 >= 72)
+WITH e AS (SELECT event_id, event_type, user_id % 8 AS app, {_xy('event_id')} FROM events WHERE (event_id % 100) / 100.0::DOUBLE >= 0.72)
 SELECT a.app, a.event_id, count(DISTINCT b.event_type) AS types, count(*) AS support FROM e a JOIN e b ON a.app = b.app AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 19600 GROUP BY 1, 2 HAVING count(DISTINCT b.event_type) >= 2""",
-    "path_components": """
-WITH RECURSIVE l AS (SELECT DISTINCT l_orderkey * 2 AS u, l_suppkey * 2 + 1 AS v FROM lineitem WHERE l_partkey % 60 = 0), e AS (SELECT u, v FROM l UNION SELECT v, u FROM l),
+    "path_components": f"""
+WITH RECURSIVE p AS (SELECT {_xy('p_partkey')}, CASE WHEN p_partkey % 2 = 1 THEN p_size ELSE 0 END AS east, p_size FROM part),
+l AS (SELECT DISTINCT (x // {SNAP}) * 1000 + y // {SNAP} AS u, ((x + east) // {SNAP}) * 1000 + (y + p_size - east) // {SNAP} AS v FROM p), e AS (SELECT u, v FROM l UNION SELECT v, u FROM l),
 r AS (SELECT u AS node, u AS root FROM e UNION SELECT e.v, r.root FROM r JOIN e ON e.u = r.node)
 SELECT component, count(*) AS nodes FROM (SELECT node, min(root) AS component FROM r GROUP BY node) GROUP BY 1""",
     "connected_cell_groups": f"""
