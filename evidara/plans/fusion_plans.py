@@ -96,7 +96,7 @@ p AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, last_value(x) OVER a A
 SELECT o_custkey, count(*) AS points, sum(floor(coalesce(sqrt(((x - px) * (x - px) + (y - py) * (y - py))::DOUBLE), 0.0) * 100 + 0.5)::BIGINT)::BIGINT AS length_cm,
 sum(coalesce(px, lx) * y - x * coalesce(py, ly))::BIGINT AS area2 FROM p GROUP BY 1""",
     "connector_claims": f"""
-WITH c AS (SELECT l_orderkey, l_suppkey, l_linenumber, x // 4 AS gx, y // 4 AS gy FROM (SELECT *, {_xy('l_partkey')} FROM lineitem)),
+WITH c AS (SELECT l_orderkey, l_suppkey, l_linenumber, l_partkey, x // 4 AS gx, y // 4 AS gy FROM (SELECT *, {_xy('l_partkey')} FROM lineitem)),
 a AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey) AS n FROM c),
 b AS (SELECT *, row_number() OVER (PARTITION BY gx, gy ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey) AS m FROM a WHERE n = 1)
 SELECT l_orderkey, l_linenumber, l_suppkey, gx, gy FROM b WHERE m = 1""",
