@@ -81,5 +81,9 @@ def url_verdicts(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str
     learned = mined_rules(rows.join(said, F.col(id_col) == F.col("__id")).select(tokens_of(url).alias("tokens"), "blocked"), min_support, min_hits, min_confidence)
     hits = matched(rows.where("rule IS NULL AND url IS NOT NULL").select("url").distinct().withColumn("tokens", tokens_of(url)), learned)
     judged = F.coalesce("said", F.when(F.col("n_rules") > 0, "block").otherwise("allow"))
-    free = F.when(F.col("rule").isNull(), F.col("url"))  # pages that a fixed rule decides need no lookup
-    return rows.withColumn("__url", free).join(hits.withColumnRenamed("url", "__url"), "__url", "left").select(id_col, "host", "path", "rule", judged.alias("verdict"), "confidence", F.coalesce("n_rules", F.lit(0)).cast("long").alias("n_rules"))
+    # pages that need no lookup are dealt by their id instead of meeting at a null
+    free = F.col("rule").isNull() & F.col("url").isNotNull()
+    dealt = F.when(free, F.col("url")).otherwise(F.xxhash64(id_col, "url").cast("string"))
+    keys = {"__url": dealt, "__free": free}
+    hits = hits.withColumnRenamed("url", "__url").withColumn("__free", F.lit(True))
+    return rows.withColumns(keys).join(hits, ["__url", "__free"], "left").select(id_col, "host", "path", "rule", judged.alias("verdict"), "confidence", F.coalesce("n_rules", F.lit(0)).cast("long").alias("n_rules"))
