@@ -49,6 +49,8 @@ def distance_to_mask(cells: DataFrame) -> DataFrame:
         step += 1
         front = cut(front.join(links, F.col("id") == F.col("u")).select(F.col("v").alias("id")).distinct().join(reached, "id", "left_anti").withColumn("distance", F.lit(step)))
         reached = reached.union(front)
+        if step % 16 == 0:
+            reached = cut(reached)
     return cells.select("id").join(reached, "id", "left").withColumn("distance", F.coalesce("distance", F.lit(65535)))
 
 

@@ -52,15 +52,19 @@ def coverage_ratios(spark, sf):
 
 
 def bilinear_samples(spark, sf):
-    """Customers' points sampled from the grid of mean part sizes (cells of 500 m) by four cells; null where one is missing."""
+    """Customers' points sampled from the grid of mean part sizes (cells of 500 m) by four cells, in thousandths; -1 where a cell is missing.
+
+    Cell values and weights are whole numbers, so that the sum doesn't depend on its order.
+    """
     cell = lambda v: F.floor(v / 500).cast("bigint")
-    grid = _t(spark, sf, "part").groupBy(cell(_x("p_partkey")).alias("cx"), cell(_y("p_partkey")).alias("cy")).agg((F.sum(F.col("p_size").cast("bigint")) / F.count("*")).alias("v"))
-    p = _t(spark, sf, "customer").select("c_custkey", (_x("c_custkey") / 500.0).alias("u"), (_y("c_custkey") / 500.0).alias("w"))
-    corners = F.explode(F.array(*(F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b")) for a in (0, 1) for b in (0, 1))))
-    p = p.withColumn("k", corners).select("c_custkey", "k", (F.floor("u") + F.col("k.a")).alias("cx"), (F.floor("w") + F.col("k.b")).alias("cy"), (F.col("u") - F.floor("u")).alias("fu"), (F.col("w") - F.floor("w")).alias("fw"))
-    weight = F.when(F.col("k.a") == 1, F.col("fu")).otherwise(1 - F.col("fu")) * F.when(F.col("k.b") == 1, F.col("fw")).otherwise(1 - F.col("fw"))
-    g = p.join(grid, ["cx", "cy"], "left").groupBy("c_custkey").agg(F.sum(F.col("v") * weight).alias("v"), F.count("v").alias("cells"))
-    return g.select("c_custkey", F.when(F.col("cells") == 4, S.half_up(F.col("v"), 3)).alias("value"))
+    mean = F.floor(F.sum(F.col("p_size").cast("bigint")) * 1000 / F.count("*")).cast("bigint")
+    grid = _t(spark, sf, "part").groupBy(cell(_x("p_partkey")).alias("cx"), cell(_y("p_partkey")).alias("cy")).agg(mean.alias("v"))
+    p = _t(spark, sf, "customer").select("c_custkey", _x("c_custkey").alias("x"), _y("c_custkey").alias("y"))
+    side = lambda v, far: F.when(F.col(f"k.{far}") == 1, F.pmod(v, F.lit(500))).otherwise(500 - F.pmod(v, F.lit(500)))
+    corners = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1))))
+    p = p.withColumn("k", corners).select("c_custkey", (cell(F.col("x")) + F.col("k.a")).alias("cx"), (cell(F.col("y")) + F.col("k.b")).alias("cy"), (side(F.col("x"), "a") * side(F.col("y"), "b")).cast("bigint").alias("weight"))
+    g = p.join(grid, ["cx", "cy"], "left").groupBy("c_custkey").agg(F.sum(F.col("v") * F.col("weight")).alias("v"), F.count("v").alias("cells"))
+    return g.select("c_custkey", F.when(F.col("cells") == 4, F.floor(F.col("v") / 250000).cast("bigint")).otherwise(F.lit(-1).cast("bigint")).alias("value"))
 
 
 def nearest_segments(spark, sf):
@@ -105,10 +109,10 @@ WITH n AS (SELECT l_returnflag, l_quantity::BIGINT AS m, l_discount > 0 AS wide,
 SELECT l_returnflag, sum(m)::BIGINT AS metres, floor(sum(CASE WHEN wide THEN m ELSE 0 END)::DOUBLE / sum(m)::DOUBLE * 10000 + 0.5) / 10000 AS with_width,
 floor(sum(CASE WHEN planned THEN m ELSE 0 END)::DOUBLE / sum(m)::DOUBLE * 10000 + 0.5) / 10000 AS with_plan FROM n GROUP BY 1""",
     "bilinear_samples": f"""
-WITH g AS (SELECT x // 500 AS cx, y // 500 AS cy, sum(p_size)::DOUBLE / count(*) AS v FROM (SELECT p_size, {_xy('p_partkey')} FROM part) GROUP BY 1, 2),
-p AS (SELECT c_custkey, x // 500 AS ix, y // 500 AS iy, x / 500.0::DOUBLE - x // 500 AS fu, y / 500.0::DOUBLE - y // 500 AS fw FROM (SELECT c_custkey, {_xy('c_custkey')} FROM customer)),
-k AS (SELECT c_custkey, v * (CASE WHEN a = 1 THEN fu ELSE 1 - fu END) * (CASE WHEN b = 1 THEN fw ELSE 1 - fw END) AS part, v FROM p, (VALUES (0), (1)) s(a), (VALUES (0), (1)) t(b) LEFT JOIN g ON g.cx = ix + a AND g.cy = iy + b)
-SELECT c_custkey, CASE WHEN count(v) = 4 THEN floor(sum(part) * 1000 + 0.5) / 1000 END AS value FROM k GROUP BY 1""",
+WITH g AS (SELECT x // 500 AS cx, y // 500 AS cy, floor((sum(p_size) * 1000)::DOUBLE / count(*))::BIGINT AS v FROM (SELECT p_size, {_xy('p_partkey')} FROM part) GROUP BY 1, 2),
+p AS (SELECT c_custkey, x // 500 AS ix, y // 500 AS iy, x % 500 AS fx, y % 500 AS fy FROM (SELECT c_custkey, {_xy('c_custkey')} FROM customer)),
+q AS (SELECT *, ix + a AS cx, iy + b AS cy, (CASE WHEN a = 1 THEN fx ELSE 500 - fx END) * (CASE WHEN b = 1 THEN fy ELSE 500 - fy END) AS weight FROM p, (VALUES (0), (1)) s(a), (VALUES (0), (1)) t(b))
+SELECT c_custkey, CASE WHEN count(v) = 4 THEN sum(v * weight)::BIGINT // 250000 ELSE -1 END AS value FROM q LEFT JOIN g USING (cx, cy) GROUP BY 1""",
     "nearest_segments": f"""
 WITH s AS (SELECT s_suppkey, {_xy('s_suppkey')} FROM supplier), p AS (SELECT p_partkey, p_size, {_xy('p_partkey')} FROM part),
 d AS (SELECT s_suppkey, p_partkey, (s.x - least(greatest(s.x, p.x), p.x + p_size)) ** 2 + (s.y - p.y) ** 2 AS d2 FROM s JOIN p ON abs(s.y - p.y) <= 60),
