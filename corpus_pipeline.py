@@ -48,12 +48,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 400 bytes or more that are found at two places; a document that has nothing left goes.
+    """Documents without the passages of more than 50 words, or of 400 bytes or more, that are found at two places; a document that
+    has no word left goes.
 
     n_chars becomes the length of what is left.
     """
-    cut = repeats.remove_repeats(docs, with_text=True, keep=["lang", "source"])
-    return cut.where(F.col("kept_text") != "").select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
+    cut = repeats.remove_repeats(docs, with_text=True, keep=["lang", "source"], words=51)
+    return cut.where(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

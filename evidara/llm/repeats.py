@@ -7,6 +7,8 @@ an anchor form a class. Sorted by what follows the anchor they are a sparse suff
 prefixes gives the intervals of the prefix tree, and in each interval the order of the reversed left sides gives every
 member's longest left extension, so that all members' maximal repeats come out, not only neighbours'.
 Texts are named by their MD5, so copies of a text are one text, and a text with copies repeats in full.
+
+Passages of so many words are found apart: windows of words whose anchor, chosen as above, is found at two places are counted by hash.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from evidara.llm import textkit as T
 from evidara.session import cut
 
 GRAM = 32
+#: Words of an anchor where passages are counted in words.
+WORD_GRAM = 20
 #: Contexts of a class that one task takes at once; larger classes are counted window by window.
 CLASS = 4096
 #: Keys up to which a filter of texts by key is broadcast (16 bytes each); beyond, it is a shuffled join.
@@ -53,6 +57,29 @@ class Prefix:
         return T.mix((self.sum[last] - self.sum[first]) * self.down[first] + (last - first).astype(T.U))
 
 
+def least_places(h: np.ndarray, span: int, windows: int) -> np.ndarray:
+    """The place of the last least hash among the `span` hashes from each window's start."""
+    n = len(h)
+    bits = T.U(int(n).bit_length())
+    back = (T.U(1) << bits) - T.U(1)
+    padded = np.full(-(-n // span) * span, np.iinfo(T.U).max, T.U)
+    padded[:n] = (h >> bits << bits) | (back - np.arange(n).astype(T.U))
+    square = padded.reshape(-1, span)
+    ahead = np.minimum.accumulate(square, 1).ravel()
+    behind = np.minimum.accumulate(square[:, ::-1], 1)[:, ::-1].ravel()
+    return (back - (np.minimum(behind[:windows], ahead[span - 1 : span - 1 + windows]) & back)).astype(np.int64)
+
+
+def neighbours(anchor: np.ndarray, text: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last window of each run of windows with one anchor that lie inside one text."""
+    new = np.ones(len(anchor), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+    lo = np.flatnonzero(new & inside)
+    edge = np.flatnonzero(new | ~inside)
+    after = np.searchsorted(edge, lo, "right")
+    return lo, (np.where(after < len(edge), edge[np.minimum(after, len(edge) - 1)], len(anchor)) - 1 if len(lo) else lo)
+
+
 def runs(data: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
     """(text, lo, hi, anchor place, anchor hash, context hash) of the runs of all texts; places count from the slice's start."""
     span = least - GRAM + 1
@@ -62,27 +89,13 @@ def runs(data: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, ...]
     prefix = Prefix(data)
     grams = len(data) - GRAM + 1
     place = np.arange(grams)
-    bits = T.U(int(grams).bit_length())
-    back = (T.U(1) << bits) - T.U(1)
-    key = (prefix.of(place, place + GRAM) >> bits << bits) | (back - place.astype(T.U))
-    blocks = -(-grams // span) * span
-    padded = np.full(blocks, np.iinfo(T.U).max, T.U)
-    padded[:grams] = key
-    square = padded.reshape(-1, span)
-    ahead = np.minimum.accumulate(square, 1).ravel()
-    behind = np.minimum.accumulate(square[:, ::-1], 1)[:, ::-1].ravel()
     windows = len(data) - least + 1
-    anchor = (back - (np.minimum(behind[:windows], ahead[span - 1 : span - 1 + windows]) & back)).astype(np.int64)
+    anchor = least_places(prefix.of(place, place + GRAM), span, windows)
     text = np.searchsorted(at, np.arange(windows), "right") - 1
     inside = np.arange(windows) + least <= at[text + 1]
-    new = np.ones(windows, bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
-    lo = np.flatnonzero(new & inside)
+    lo, hi = neighbours(anchor, text, inside)
     if not len(lo):
         return none
-    edge = np.flatnonzero(new | ~inside)
-    after = np.searchsorted(edge, lo, "right")
-    hi = np.where(after < len(edge), edge[np.minimum(after, len(edge) - 1)], windows) - 1
     return text[lo], lo, hi, anchor[lo], prefix.of(anchor[lo], anchor[lo] + GRAM), prefix.of(lo, hi + least)
 
 
@@ -282,6 +295,63 @@ def repeated_ranges(docs: DataFrame, text_col: str = "text", least: int = 400) -
     return texts, made.select("key", "copies", "size"), cut(whole.union(found))
 
 
+def word_run_rows(texts: DataFrame, words: int) -> DataFrame:
+    """(key, size, anchor, lo, n) per row of (key, text): lists of the runs of windows of `words` words; lo is the text's word, n windows."""
+    gram = min(WORD_GRAM, words)
+
+    def run(batches):
+        for rows, data, at in T.slices(batches):
+            w = T.Words(data, at)
+            h = w.hashes()
+            windows = len(h) - words + 1
+            anchor = lo = n = text = np.zeros(0, np.int64)
+            if windows > 0:
+                grams = w.windows(h, gram, across=True)[0]
+                place = least_places(grams, words - gram + 1, windows)
+                lo, hi = neighbours(place, w.text[:windows], w.text[:windows] == w.text[words - 1 :])
+                anchor, n, text = T.signed(grams[place[lo]]), hi - lo + 1, w.text[lo]
+                lo = lo - w.first[text]
+            per = np.bincount(text, minlength=rows.num_rows)
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(at)), *(T.lists(c, per) for c in (anchor, lo.astype(np.int32), n.astype(np.int32)))], ["key", "size", "anchor", "lo", "n"])
+
+    return texts.mapInArrow(run, "key binary, size long, anchor array<long>, lo array<int>, n array<int>")
+
+
+def repeated_words(texts: DataFrame, words: int, least: int) -> DataFrame:
+    """(key, first, last) of the bytes of `texts` (key, text per row) that lie in `words` words found at two places, whatever is between words.
+
+    Texts with copies repeat in full; those of `least` bytes or more, which repeat anyway, have no range.
+    """
+    made = cut(word_run_rows(texts, words).groupBy("key").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("size", "anchor", "lo", "n"))))
+    flat = made.select("key", "copies", ((F.col("copies") == 1) | (F.col("size") < least)).alias("open"), F.explode(F.arrays_zip("anchor", "lo", "n")).alias("r")).select("key", "copies", "open", "r.*")
+    shared = flat.groupBy("anchor").agg(F.sum("copies").alias("c")).where("c > 1").select("anchor")
+    wanted = cut(flat.join(shared, "anchor", "left_semi").groupBy("key", "copies", "open").agg(F.collect_list(F.struct("lo", "n")).alias("rows")))
+
+    def run(batches):
+        for part, data, at in T.slices(batches):
+            w = T.Words(data, at)
+            h, first = w.windows(w.hashes(), words)
+            rows = part.column(3).combine_chunks() if isinstance(part.column(3), pa.ChunkedArray) else part.column(3)
+            per = np.diff(rows.offsets.to_numpy())
+            lo, n = (rows.flatten().field(k).to_numpy().astype(np.int64) for k in range(2))
+            own = np.repeat(np.arange(part.num_rows), per)
+            start = np.repeat(w.first[own] + lo, n)
+            start += np.arange(len(start)) - np.repeat(np.cumsum(n) - n, n)
+            text = np.repeat(own, n)
+            begins, ends = w.start[start] - at[text], w.end[start + words - 1] - at[text]
+            copies = part.column(4).to_numpy()[text]
+            begins[(copies > 1) & (start == w.first[text])] = 0
+            whole = (copies > 1) & (start + words == w.last[text])
+            ends[whole] = np.diff(at)[text[whole]]
+            take = pa.array(text)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(2).take(take), pa.array(copies), pa.array(begins.astype(np.int32)), pa.array(ends.astype(np.int32)), pa.array(T.signed(h[np.searchsorted(first, start)]))], ["key", "open", "copies", "first", "last", "h"])
+
+    found = in_texts(texts, wanted.select("key")).join(wanted, "key").select("key", "text", "open", "rows", "copies")
+    windows = cut(found.mapInArrow(run, "key binary, open boolean, copies long, first int, last int, h long"))
+    again = windows.groupBy("h").agg(F.sum("copies").alias("c")).where("c > 1").select("h")
+    return windows.where("open").join(again, "h", "left_semi").select("key", "first", "last")
+
+
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs of bytes that the ranges cover; ranges that touch are one run."""
     out: list[tuple[int, int]] = []
@@ -293,15 +363,17 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400, with_text: bool = False, keep: list[str] | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400, with_text: bool = False, keep: list[str] | None = None, words: int | None = None) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, the columns `keep`, and with `with_text` the remaining text) per row of `docs`.
 
-    Every byte in a string of `least` bytes that also starts anywhere else, in its own text or another's, is removed; strings are judged on the
-    input. Null texts are empty. Texts shorter than `least` stay whole. Rows with equal texts are copies of each other, whatever
+    Every byte in a string of `least` bytes that also starts anywhere else, in its own text or another's, is removed; with `words`, so is
+    every run of so many words that is found at two places, whatever its bytes. Strings and words are judged on the input. Null texts are empty. Texts shorter than `least` stay whole. Rows with equal texts are copies of each other, whatever
     their ids, and lose all bytes if they have `least`. The remaining text drops what a cut leaves of a character. An empty table
     gives an empty result.
     """
     texts, sizes, ranges = repeated_ranges(docs, text_col, least)
+    if words:
+        ranges = cut(ranges.union(repeated_words(texts, words, least)))
 
     def judge(batches):
         for batch in batches:

@@ -105,11 +105,11 @@ class Words:
             table = np.where(self.gaps, U(0), table)
         return mix(spans(self.data, self.start, table)) if len(self.start) else np.zeros(0, U)
 
-    def windows(self, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the windows of k words that lie in one text, and each window's first word."""
+    def windows(self, h: np.ndarray, k: int, across: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the windows of k words that lie in one text, or with `across` of all, and each window's first word."""
         if len(h) < k:
             return np.zeros(0, U), np.zeros(0, np.int64)
-        at = np.flatnonzero(self.text[: len(h) - k + 1] == self.text[k - 1 :])
+        at = np.flatnonzero(across | (self.text[: len(h) - k + 1] == self.text[k - 1 :]))
         out = h[at]
         for i in range(1, k):
             out = out * _STEP + h[at + i]

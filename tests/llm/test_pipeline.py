@@ -1,5 +1,7 @@
 """The pipeline's stages: what each keeps and what it must not keep."""
 
+import random
+
 import corpus_pipeline
 from evidara.llm import queries
 
@@ -27,3 +29,36 @@ def test_odd_rows_pass_every_stage(spark):
     for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs, sf).collect()
+
+
+def test_passages_of_more_than_50_words_go(spark):
+    draw = random.Random(7)
+    some = lambda n: [draw.choice("abcdefgh") + str(draw.randrange(10**4)) for _ in range(n)]
+    rows, want = [], {}
+
+    def add(left, passage, right, goes):
+        i = len(rows)
+        rows.append((i, " ".join([*left, *passage, *right]), "en", "s", 0))
+        want[i] = " ".join(left) + "  " + " ".join(right) if goes else rows[i][1]
+
+    for n in range(45, 63):
+        passage = some(n)
+        for _ in range(2):
+            add(some(30), passage, some(20), n > 50)
+    short = some(51)
+    short = [x[0] for x in short]
+    add(some(30), short, some(30), True)
+    add(some(30), short, some(30), True)
+    # two repeats of 30 words each side by side aren't one of 60
+    a, b = some(30), some(30)
+    add(some(5), a + b, some(5), False)
+    add(some(5), a, some(5), False)
+    add(some(5), b, some(5), False)
+    # other gaps between the words; a document of the passage alone; copies of fewer than 400 bytes
+    lines = [x[:2] for x in some(60)]
+    add(some(5), lines, some(5), True)
+    copied = "\n".join(x[:1] for x in some(55))
+    rows += [(100, "\n".join(lines) + "\n", "en", "s", 0), (101, copied, "en", "s", 0), (102, copied, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.passages(spark, docs, "").collect()}
+    assert got == want
