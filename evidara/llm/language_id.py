@@ -2,7 +2,7 @@
 
     ln P(language | all) = ln prior(language | host) + ln P(declared | language) + ln P(suffix | language) + tempered ln P(text | language)
 
-The text likelihood is a naive Bayes over hashed byte trigrams, learned from a bounded sample of labelled texts. The
+The text likelihood is a naive Bayes over hashed byte trigrams, learned from all labelled texts by grouped sums. The
 tables P(declared | language) and P(suffix | language) and the host priors come from grouped sums of the text-only
 posteriors over all rows. A host's prior is smoothed towards its domain's, that towards the whole table's; a row's own share is
 taken out of the counts that judge it. Text that no language explains better than chance is `und` and is rejected.
@@ -23,6 +23,8 @@ from evidara.session import cut
 
 BUCKETS = 1 << 16
 UND = "und"
+#: Languages whose counts a task holds at once (half a megabyte each).
+HELD = 64
 #: Markup that holds no text of the page, then any tag.
 HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|<[^>]*>"
 
@@ -46,14 +48,12 @@ def trigrams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[where].astype(np.int64), np.searchsorted(at, where, "right") - 1
 
 
-def learned(labelled: DataFrame, text_col: str, lang_col: str, most: int) -> tuple[list[str], np.ndarray]:
-    """(languages, ln P(bucket | language)) from at most about `most` rows with a label, chosen by a hash of the text.
+def learned(labelled: DataFrame, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray]:
+    """(languages, ln P(bucket | language)) from all rows with a label; a language is known if any text of it has a trigram.
 
     The table has one row per language and BUCKETS columns; its size doesn't depend on the input's.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.lower(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text"))
-    n = rows.count()
-    some = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, most / max(n, 1)))) if n > most else rows
 
     def run(batches):
         total: dict[str, np.ndarray] = {}
@@ -62,14 +62,23 @@ def learned(labelled: DataFrame, text_col: str, lang_col: str, most: int) -> tup
             langs = part.column(0).to_pylist()
             kinds = sorted(set(langs))
             place = np.array([kinds.index(v) for v in langs])
-            got = np.bincount(place[text] * BUCKETS + x, minlength=len(kinds) * BUCKETS).reshape(len(kinds), BUCKETS)
-            for k, v in zip(kinds, got, strict=True):
-                total[k] = total.get(k, 0) + v
+            own = place[text]
+            parts = np.split(x[np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=len(kinds)))[:-1])
+            for k, v in zip(kinds, parts, strict=True):
+                if k not in total:
+                    if len(total) >= HELD:
+                        yield from counted(total)
+                        total.clear()
+                    total[k] = np.zeros(BUCKETS, np.int64)
+                total[k] += np.bincount(v, minlength=BUCKETS)
+        yield from counted(total)
+
+    def counted(total):
         for k, v in total.items():
             at = np.flatnonzero(v)
-            yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(v[at].astype(np.int64))], ["lang", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(v[at])], ["lang", "bucket", "n"])
 
-    counts = some.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(counts["lang"]))
     table = np.zeros((len(langs), BUCKETS))
     if langs:
@@ -118,7 +127,7 @@ def code(x: Column, langs: list[str]) -> Column:
     return F.when(short == "", "").when(short.isin(langs), short).otherwise("?") if langs else F.lit("")
 
 
-def identify(rows: DataFrame, labelled: DataFrame, id_col: str, text: Column, declared: Column, suffix: Column, host: Column, domain: Column, keep: list[str] | None = None, text_col: str = "text", lang_col: str = "lang", most: int = 20_000, temper: float = 60.0, prior_rows: float = 20.0, least: float = 0.5) -> DataFrame:
+def identify(rows: DataFrame, labelled: DataFrame, id_col: str, text: Column, declared: Column, suffix: Column, host: Column, domain: Column, keep: list[str] | None = None, text_col: str = "text", lang_col: str = "lang", temper: float = 60.0, prior_rows: float = 20.0, least: float = 0.5) -> DataFrame:
     """(id, lang, probability, text_lang, declared, n_grams, accepted, and the columns `keep` of `rows`) per row of `rows`.
 
     A text's evidence counts as that of at most `temper` trigrams, as neighbours aren't independent. `lang` is `und` where chance explains
@@ -126,7 +135,7 @@ def identify(rows: DataFrame, labelled: DataFrame, id_col: str, text: Column, de
     best language has less than `least`. Null text is empty, null declarations and suffixes are none, a null host is ''. Without
     labelled rows every row is `und`. Rows with the same id are judged one by one; an empty table gives an empty result.
     """
-    langs, table = learned(labelled, text_col, lang_col, most)
+    langs, table = learned(labelled, text_col, lang_col)
     size = len(langs) + 1
     keep = keep or []
     source = rows.select(

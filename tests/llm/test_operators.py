@@ -332,6 +332,17 @@ def test_language_edges(spark):
     assert language_id.identify(docs.where("false"), labelled, "doc_id", *columns).count() == 0
 
 
+def test_rare_languages_of_large_tables_are_known(spark):
+    text = F.when(F.col("id") % 2 == 0, "the cat and the dog of that house").otherwise("der hund und die katze von dem haus")
+    many = spark.range(400_000).select(text.alias("text"), F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"))
+    rare = spark.createDataFrame([("жылдыз тоо суу жана күн, бала мектепке барды", "KY")] * 300 + [("", "is"), (None, "xx")], "text string, lang string")
+    docs = spark.createDataFrame([(1, "тоо жана суу, күн мектепке", "ky")], "doc_id long, text string, lang string")
+    columns = (F.col("text"), F.col("lang"), F.lit(""), F.lit(""), F.lit(""))
+    found = language_id.identify(docs, many.union(rare), "doc_id", *columns).collect()
+    assert [(r.lang, r.declared) for r in found] == [("ky", "ky")]
+    assert language_id.learned(many.union(rare), "text", "lang")[0] == ["de", "en", "ky"]
+
+
 # -- op10 --------------------------------------------------------------------------------------------------------
 
 
