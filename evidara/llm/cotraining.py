@@ -1,12 +1,14 @@
 """A quality classifier by co-training of a text-content view and a page-metadata view.
 
-Both views are logistic regressions over hashed features. In each round a view labels the unlabelled rows that it is
-surest of, and the other view learns from them. Both views' scores are then calibrated and combined by a logistic fit on
-labelled rows that took no part in training. Only a bounded sample is fitted; all rows are scored in Spark tasks.
+Both views are logistic regressions over hashed features. In each round all unlabelled rows are scored in Spark tasks, a view
+labels those that it is sure of, and the other view learns from them by sums per feature, whose size doesn't depend on the input's.
+Both views' scores are then calibrated and combined by a logistic fit on labelled rows that took no part in training. Only the
+labelled rows that are fitted one by one are a bounded sample.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
+from evidara.session import cut
 
 TEXT_BITS, META_BITS = 18, 12
 #: Places kept free at the end of the text view's features for measures of style, in tenths.
@@ -85,28 +88,49 @@ class Rows:
         return Rows(self.feature[at], np.repeat(np.arange(len(rows)), size), len(rows))
 
 
-def logistic(rows: Rows, y: np.ndarray, weight: np.ndarray, size: int, passes: int = 10, rate: float = 0.5, decay: float = 1e-6, seed: int = 1) -> tuple[np.ndarray, float]:
-    """Weights and bias by AdaGrad over shuffled small batches; y is 0 or 1 (soft labels do), weight each row's.
+@dataclass
+class Given:
+    """Labels given by the other view: how many rows are good and bad, and how many of them have each feature."""
+
+    good: np.ndarray
+    bad: np.ndarray
+    n_good: int
+    n_bad: int
+
+
+def logistic(rows: Rows, y: np.ndarray, size: int, given: Given | None = None, weight: float = 0.3, passes: int = 10, rate: float = 0.5, decay: float = 1e-6, seed: int = 1) -> tuple[np.ndarray, float]:
+    """Weights and bias by AdaGrad over shuffled small batches; y is 0 or 1.
 
-    A feature's value is its smoothed log-odds between the classes, so that few telling features outweigh many common ones.
+    A feature's value is its smoothed log-odds between the classes, so that few telling features outweigh many common ones. Given labels
+    enter the log-odds; each counts `weight`, and less where those of a class would then count more than half its labelled rows.
+    Features that only rows with given labels have get half the weight that those of the labelled rows have on average.
     """
     w, g2 = np.zeros(size), np.full(size, 1e-8)
-    good, bad = (np.bincount(rows.feature, (x * weight)[rows.row], size) + 1 for x in (y, 1 - y))
-    odds = np.log((good / (weight @ y + 2)) / (bad / (weight @ (1 - y) + 2)))
-    prior = float(np.clip((y * weight).sum() / max(weight.sum(), 1e-9), 0.01, 0.99))
+    n = [float(y.sum()), float((1 - y).sum())]
+    sums = [np.bincount(rows.feature, x[rows.row], size) for x in (y, 1 - y)]
+    own = sums[0] + sums[1] > 0
+    if given is not None:
+        for k, (more, count) in enumerate(((given.good, given.n_good), (given.bad, given.n_bad))):
+            each = min(weight, 0.5 * n[k] / max(count, 1))
+            sums[k] = sums[k] + each * more
+            n[k] += each * count
+    odds = np.log((sums[0] + 1) / (n[0] + 2)) - np.log((sums[1] + 1) / (n[1] + 2))
+    prior = float(np.clip(y.mean(), 0.01, 0.99))
     bias, b2 = float(np.log(prior / (1 - prior))), 1e-8
     draw = np.random.Generator(np.random.PCG64(seed))
     for _ in range(passes):
         for some in np.array_split(draw.permutation(rows.count), max(1, rows.count // 256)):
             part = rows.take(some)
             value = odds[part.feature] * part.norm[part.row]
-            d = (sigmoid(np.bincount(part.row, w[part.feature] * value, part.count) + bias) - y[some]) * weight[some]
+            d = (sigmoid(np.bincount(part.row, w[part.feature] * value, part.count) + bias) - y[some])
             used, where = np.unique(part.feature, return_inverse=True)
             g = np.bincount(where, d[part.row] * value, len(used)) + decay * w[used] * len(some)
             g2[used] += g * g
             w[used] -= rate * g / np.sqrt(g2[used])
             b2 += d.sum() ** 2
             bias -= rate * d.sum() / np.sqrt(b2)
+    if given is not None:
+        w[~own & (given.good + given.bad > 0)] = 0.5 * (w * odds * odds).sum() / max((odds * odds)[own].sum(), 1e-9)
     return w * odds, bias
 
 
@@ -124,33 +148,59 @@ def combine(x: np.ndarray, y: np.ndarray, passes: int = 500) -> tuple[float, ...
     return tuple(float(v) for v in w)
 
 
-def fit(text: Rows, meta: Rows, y: np.ndarray, rounds: int, confident: float, each: int) -> Model:
-    """Co-training: y is 1 good, 0 bad, -1 unlabelled. Every fifth labelled row is kept for calibration."""
-    labelled = np.flatnonzero(y >= 0)
-    held, base = labelled[::5], np.setdiff1d(labelled, labelled[::5])
+def fit(text: Rows, meta: Rows, y: np.ndarray, exchange: Callable[[list[tuple[np.ndarray, float]]], list[Given]], rounds: int) -> Model:
+    """Co-training: y is 1 good, 0 bad. Every fifth row is kept for calibration. `exchange` takes both views' weights and biases and
+    returns what each view is given by the other on all unlabelled rows."""
+    every = np.arange(len(y))
+    held, base = every[::5], np.setdiff1d(every, every[::5])
     if not len(base):
         return Model(np.zeros(1 << TEXT_BITS), np.zeros(1 << META_BITS), (0.0, 0.0), (0.0, 0.0, 20.0))
-    views, sizes = (text, meta), (1 << TEXT_BITS, 1 << META_BITS)
-    given: list[dict[int, float]] = [{}, {}]  # pseudo-labels that each view has been given by the other
-    weights: list[tuple[np.ndarray, float]] = [(np.zeros(0), 0.0)] * 2
-    for turn in range(rounds + 1):
-        for k in range(2):
-            extra = np.array(sorted(given[k]), np.int64)
-            rows = np.concatenate([base, extra])
-            target = np.concatenate([y[base], [given[k][i] for i in extra.tolist()]]).astype(float)
-            weights[k] = logistic(views[k].take(rows), target, np.concatenate([np.ones(len(base)), np.full(len(extra), 0.3)]), sizes[k])
-        if turn == rounds:
-            break
-        for k in range(2):
-            free = np.setdiff1d(np.flatnonzero(y < 0), np.array(sorted(given[1 - k]), np.int64))
-            p = sigmoid(views[k].take(free).scores(*weights[k])) if len(free) else np.zeros(0)
-            for sure, label in ((p, 1.0), (1 - p, 0.0)):
-                top = np.argsort(-sure, kind="stable")[:each]
-                given[1 - k] |= {int(free[i]): label for i in top if sure[i] >= confident}
-    x = np.column_stack([v.take(held).scores(*w) for v, w in zip(views, weights, strict=True)])
+    target = y[base].astype(float)
+    views = [(text.take(base), 1 << TEXT_BITS), (meta.take(base), 1 << META_BITS)]
+    weights = [logistic(rows, target, size) for rows, size in views]
+    for _ in range(rounds):
+        given = exchange(weights)
+        weights = [logistic(rows, target, size, labels) for (rows, size), labels in zip(views, given, strict=True)]
+    x = np.column_stack([v.take(held).scores(*w) for v, w in zip((text, meta), weights, strict=True)])
     return Model(weights[0][0], weights[1][0], (weights[0][1], weights[1][1]), combine(x, y[held].astype(float)))
 
 
+def list_rows(column: pa.Array) -> Rows:
+    """A list column of features as rows."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return Rows(column.flatten().to_numpy().astype(np.int64), np.repeat(np.arange(len(column)), column.value_lengths().to_numpy()), len(column)) if len(column) else Rows(np.zeros(0, np.int64), np.zeros(0, np.int64), 0)
+
+
+def exchanged(rows: DataFrame, weights: list[tuple[np.ndarray, float]], confident: float) -> list[Given]:
+    """What each view is given by the other: the labels of all `rows` (features, meta_features) of which it is at least `confident`."""
+    model = rows.sparkSession.sparkContext.broadcast([(w.astype(np.float32), b) for w, b in weights])
+
+    def run(batches):
+        sizes = [len(w) for w, _ in model.value]
+        # good and bad; the last place counts rows
+        total = [np.zeros((2, size + 1), np.int64) for size in sizes]
+        for batch in batches:
+            views = [list_rows(batch.column(k)) for k in range(2)]
+            for k in range(2):
+                p = sigmoid(views[1 - k].scores(*model.value[1 - k]))
+                for label, sure in enumerate((p >= confident, 1 - p >= confident)):
+                    total[k][label, :-1] += np.bincount(views[k].feature[sure[views[k].row]], minlength=sizes[k])
+                    total[k][label, -1] += sure.sum()
+        for k, v in enumerate(total):
+            at = np.flatnonzero(v.any(0))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int32)), pa.array(v[0, at]), pa.array(v[1, at])], ["view", "feature", "good", "bad"])
+
+    sums = rows.mapInArrow(run, "view int, feature int, good long, bad long").groupBy("view", "feature").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).toArrow()
+    view, feature, good, bad = (sums[c].to_numpy() for c in ("view", "feature", "good", "bad"))
+    model.destroy()
+    out = []
+    for k, (w, _) in enumerate(weights):
+        full = np.zeros((2, len(w) + 1), np.int64)
+        full[:, feature[view == k]] = good[view == k], bad[view == k]
+        out.append(Given(full[0, :-1], full[1, :-1], int(full[0, -1]), int(full[1, -1])))
+    return out
+
+
 def scored_rows(model: Model, feature: np.ndarray, row: np.ndarray, m_feature: np.ndarray, m_row: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Calibrated P(good) by the text, by the metadata, and by both."""
     a = Rows(feature, row, count).scores(model.text, model.bias[0])
@@ -159,41 +209,45 @@ def scored_rows(model: Model, feature: np.ndarray, row: np.ndarray, m_feature: n
     return sigmoid(a), sigmoid(b), sigmoid(u * a + v * b + c)
 
 
-def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", good: Column | None = None, max_labelled: int = 12_000, max_unlabelled: int = 8_000, rounds: int = 3, confident: float = 0.95, each: int = 500, least: float = 0.5, keep: list[str] | None = None) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", good: Column | None = None, max_labelled: int = 12_000, rounds: int = 3, confident: float = 0.95, least: float = 0.5, keep: list[str] | None = None) -> DataFrame:
     """(id, p_text, p_meta, score, accepted, and the columns `keep`) per row of `docs`; score is P(good) by both views.
 
     Labelled are the rows whose id is in `labels`; `good` is a condition on `labels` (quality is 1 and toxic isn't 1), null in no
-    row that counts; an id is good if all its rows are. Fitted are at most about `max_labelled` labelled and
-    `max_unlabelled` other rows, chosen by a hash of the id. Null texts are empty and null metadata a value of its own. Without
+    row that counts; an id is good if all its rows are. Fitted one by one are at most about `max_labelled` labelled rows,
+    chosen by a hash of the id; all rows without a label take part in every round. Null texts are empty and null metadata a value of its own. Without
     labels every row is accepted. Rows with the same id are scored one by one; an empty table gives an empty result.
     """
     good = (F.col("quality") == 1) & ~F.coalesce(F.col("toxic") == 1, F.lit(False)) if good is None else good
     said = labels.select(F.col(label_id).alias("__id"), good.cast("int").alias("__y")).where("__id IS NOT NULL AND __y IS NOT NULL").groupBy("__id").agg(F.min("__y").alias("__y"))
-    n_labels, n_docs = said.count(), docs.count()
+    n_labels = said.count()
     keep = keep or []
     values = F.array(*(F.coalesce(m.cast("string"), F.lit("null")) for m in metadata))
     source = docs.select(F.col(id_col).alias("__id"), *(F.col(c).alias(f"__keep_{c}") for c in keep), F.col(text_col).alias("text"), values.alias("meta"))
     million = 1_000_000
     at = F.pmod(F.xxhash64(F.col("__id"), F.lit(5)), F.lit(million))
-    share = lambda most, n: int(million * min(1.0, most / max(1, n)))
-    pool = source.select("__id", "text", "meta", at.alias("__at")).where(F.col("__at") < max(share(max_labelled, n_labels), share(max_unlabelled, n_docs)))
-    pool = pool.join(said, "__id", "left").where((F.col("__y").isNotNull() & (F.col("__at") < share(max_labelled, n_labels))) | (F.col("__y").isNull() & (F.col("__at") < share(max_unlabelled, n_docs))))
+    share = int(million * min(1.0, max_labelled / max(1, n_labels)))
 
-    def gathered(batches):
+    def features(batches):
         for part, data, offsets in T.slices(batches):
             feature, text = text_features(data, offsets)
-            per = np.bincount(text, minlength=part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), T.lists(feature[np.argsort(text, kind="stable")].astype(np.int32), per), part.column(3)], ["id", "meta", "features", "y"])
+            m_feature, m_row = meta_features([list(x) for x in zip(*part.column(2).to_pylist(), strict=True)])
+            lists = [T.lists(f[np.argsort(r, kind="stable")].astype(np.int32), np.bincount(r, minlength=part.num_rows)) for f, r in ((feature, text), (m_feature, m_row))]
+            yield pa.RecordBatch.from_arrays([part.column(0), *lists], ["__id", "features", "meta_features"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = pool.select("__id", "text", "meta", F.coalesce("__y", F.lit(-1)).alias("y")).mapInArrow(gathered, f"id {id_type}, meta array<string>, features array<int>, y int").toArrow()
-    order = np.argsort(np.array([str(x) for x in rows["id"].to_pylist()], dtype=object), kind="stable")
+    made = lambda rows: rows.select("__id", "text", "meta").mapInArrow(features, f"__id {id_type}, features array<int>, meta_features array<int>")
+    rows = made(source.where(at < share).join(said.select("__id"), "__id", "left_semi")).join(said, "__id").toArrow()
+    order = np.argsort(np.array([str(x) for x in rows["__id"].to_pylist()], dtype=object), kind="stable")
     rows = rows.take(pa.array(order))
-    lists = rows["features"].combine_chunks()
-    size = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, np.int64)
-    text = Rows(lists.flatten().to_numpy().astype(np.int64) if len(lists) else np.zeros(0, np.int64), np.repeat(np.arange(len(size)), size), len(size))
-    meta = Rows(*meta_features([list(x) for x in zip(*rows["meta"].to_pylist(), strict=True)]), len(size)) if len(size) else Rows(np.zeros(0, np.int64), np.zeros(0, np.int64), 0)
-    model = docs.sparkSession.sparkContext.broadcast(fit(text, meta, rows["y"].to_numpy(), rounds, confident, each))
+    free = None
+
+    def exchange(weights: list[tuple[np.ndarray, float]]) -> list[Given]:
+        nonlocal free
+        if free is None:
+            free = cut(made(source).join(said.select("__id"), "__id", "left_anti").select("features", "meta_features"))
+        return exchanged(free, weights, confident)
+
+    model = docs.sparkSession.sparkContext.broadcast(fit(list_rows(rows["features"]), list_rows(rows["meta_features"]), rows["__y"].to_numpy(), exchange, rounds))
 
     def run(batches):
         for part, data, offsets in T.slices(batches):

@@ -265,6 +265,28 @@ def test_cotraining_edges(spark):
     assert cotraining.classify(docs.where("false"), labels, queries.metadata_columns()).count() == 0
 
 
+def test_cotraining_exchanges_on_all_unlabelled_rows(spark):
+    # each view tells the labelled rows apart; most of the others have words that no labelled row has
+    good = F.col("id") % 2 == 0
+    word = F.when(F.col("id") < 2_000, F.when(good, "fine solid").otherwise("junk spam")).otherwise(F.when(good, "fine rare").otherwise("junk odd"))
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.concat(word, F.lit(" a b")).alias("text"), F.when(good, "x").otherwise("y").alias("source"))
+    labels = spark.range(1_000).select(F.col("id").alias("doc_id"), F.when(good, 1).otherwise(0).alias("quality"), F.lit(0).alias("toxic"))
+    seen = []
+
+    def spy(rows, weights, confident, real=cotraining.exchanged):
+        seen.append((rows.count(), real(rows, weights, confident)))
+        return seen[-1][1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(cotraining, "exchanged", spy)
+        cotraining.classify(docs, labels, [F.col("source"), F.lit("en")], confident=0.6)
+    assert [n for n, _ in seen] == [11_000] * 3
+    assert [(text.n_good, text.n_bad) for _, (text, _) in seen] == [(5_500, 5_500)] * 3
+    more = spark.createDataFrame([(20_000, "rare", "z"), (20_001, "odd", "z")], docs.schema)
+    p = {r.doc_id: r.p_text for r in cotraining.classify(docs.union(more), labels, [F.col("source"), F.lit("en")], confident=0.6).where("doc_id >= 20000").collect()}
+    assert p[20_000] > p[20_001] + 0.1
+
+
 # -- op7 ---------------------------------------------------------------------------------------------------------
 
 
