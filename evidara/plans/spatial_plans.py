@@ -57,7 +57,7 @@ def decision_counters(spark, sf):
 
 
 def vector_promotion(spark, sf):
-    """Line items as drawing vectors: the first gate that stops each, and the running cap by priority among those that pass."""
+    """Line items as drawing vectors by the first gate that stops each; all that pass count as promoted, without a cap."""
     v = _t(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", F.pmod("l_partkey", F.lit(12)).alias("role"), F.pmod("l_suppkey", F.lit(9)).alias("status"), (F.lit(100) - F.pmod("l_partkey", F.lit(45))).alias("conf"), F.pmod("l_orderkey", F.lit(40)).alias("rmse10"), F.col("l_quantity").cast("bigint").alias("size"), F.pmod("l_orderkey", F.lit(6)).alias("licence")
     )
