@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import re
+import shutil
 import tempfile
+import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Tells Spark to delete an action's shuffle files when the action has ended.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cpus: str = "8", name: str = "evidara") -> SparkSession:
     """A local session with the settings that the tests and the bench use."""
@@ -31,11 +39,45 @@ def shared_folder(spark: SparkSession) -> str:
         named = spark.conf.get("spark.checkpoint.dir", "")
         if not named and not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="evidara-"))
+        if not named:
+            named = tempfile.mkdtemp(prefix="evidara-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Actions in this block leave no shuffle files behind."""
+    before = spark.conf.get(FREED, None)
+    if before is None:  # an older Spark
+        yield
+        return
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREED, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder and read back, so that later stages don't recompute it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """`df` written to the shared folder as Parquet and read back, so that later stages don't recompute it."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    with freed_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.cut_path = path
+    return made
+
+
+def drop(*frames: DataFrame) -> None:
+    """Deletes the tables behind frames made by `cut`, which nothing may read any more."""
+    for df in frames:
+        delete(df.sparkSession, df.cut_path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
