@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
@@ -25,6 +26,10 @@ BUCKETS = 1 << 16
 UND = "und"
 #: Languages whose counts a task holds at once (half a megabyte each).
 HELD = 64
+#: Places of a long text that are worked on at once.
+WINDOW = 1 << 20
+#: Hosts up to which their priors are broadcast; beyond, rows are joined with them by host.
+BROADCAST_HOSTS = 100_000
 #: Markup that holds no text of the page, then any tag.
 HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|<[^>]*>"
 
@@ -48,29 +53,44 @@ def trigrams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[where].astype(np.int64), np.searchsorted(at, where, "right") - 1
 
 
+def bounded_trigrams(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """`trigrams` of a slice; those of a longer text come in parts of WINDOW places."""
+    if len(at) > 2 or len(data) <= 2 * WINDOW:
+        yield trigrams(data, at)
+        return
+    for first in range(0, len(data) - 2, WINDOW):
+        part = data[first : first + WINDOW + 2]
+        yield trigrams(part, np.array([0, len(part)]))
+
+
+def label(x: Column) -> Column:
+    """The first two letters a-z of a label, so that there are at most 676 languages whatever the labels hold; else null."""
+    return F.nullif(F.regexp_extract(F.lower(F.trim(x)), "^([a-z]{2})", 1), F.lit(""))
+
+
 def learned(labelled: DataFrame, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray]:
     """(languages, ln P(bucket | language)) from all rows with a label; a language is known if any text of it has a trigram.
 
     The table has one row per language and BUCKETS columns; its size doesn't depend on the input's.
     """
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.lower(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text"))
+    rows = labelled.where(F.col(text_col).isNotNull()).select(label(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL")
 
     def run(batches):
         total: dict[str, np.ndarray] = {}
         for part, data, at in T.slices(batches):
-            x, text = trigrams(data, at)
             langs = part.column(0).to_pylist()
             kinds = sorted(set(langs))
             place = np.array([kinds.index(v) for v in langs])
-            own = place[text]
-            parts = np.split(x[np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=len(kinds)))[:-1])
-            for k, v in zip(kinds, parts, strict=True):
-                if k not in total:
-                    if len(total) >= HELD:
-                        yield from counted(total)
-                        total.clear()
-                    total[k] = np.zeros(BUCKETS, np.int64)
-                total[k] += np.bincount(v, minlength=BUCKETS)
+            for x, text in bounded_trigrams(data, at):
+                own = place[text]
+                parts = np.split(x[np.argsort(own, kind="stable")], np.cumsum(np.bincount(own, minlength=len(kinds)))[:-1])
+                for k, v in zip(kinds, parts, strict=True):
+                    if k not in total:
+                        if len(total) >= HELD:
+                            yield from counted(total)
+                            total.clear()
+                        total[k] = np.zeros(BUCKETS, np.int64)
+                    total[k] += np.bincount(v, minlength=BUCKETS)
         yield from counted(total)
 
     def counted(total):
@@ -88,26 +108,31 @@ def learned(labelled: DataFrame, text_col: str, lang_col: str) -> tuple[list[str
     return langs, np.log(table / table.sum(1, keepdims=True)) if langs else table
 
 
-def text_scores(rows: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
-    """`rows` (with a column text, which goes) and n_grams and ll: ln P(text | language) of each language, then of `und`: chance."""
-    model = rows.sparkSession.sparkContext.broadcast(table.astype(np.float32))
-    kind = [f for f in rows.schema if f.name != "text"]
+def text_scores(spark: SparkSession, table: np.ndarray) -> Callable[[Column], Column]:
+    """A function of a text column: (n_grams, ll), where ll is ln P(text | language) of each language, then of `und`: chance.
+
+    Only the texts go to Python and only the scores come back; a row's other columns stay where they are.
+    """
+    model = spark.sparkContext.broadcast(table.astype(np.float32))
     chance = -math.log(BUCKETS)  # all buckets alike
 
-    def run(batches):
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = model.value
-        for part, data, at in T.slices(batches):
-            x, text = trigrams(data, at)
-            texts = len(at) - 1
-            n = np.bincount(text, minlength=texts)
-            ll = np.empty((texts, len(table) + 1))
-            for k, row in enumerate(table):
-                ll[:, k] = np.bincount(text, row[x], texts)
-            ll[:, -1] = n * chance
-            columns = [part.column(part.schema.get_field_index(f.name)) for f in kind]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n), T.lists(ll.ravel(), np.full(texts, len(table) + 1))], [*(f.name for f in kind), "n_grams", "ll"])
-
-    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kind) + ", n_grams long, ll array<double>")
+        for column in columns:
+            counts, scores = [np.zeros(0, np.int64)], [np.zeros(0)]
+            for _, data, at in T.slices([pa.RecordBatch.from_arrays([column], ["text"])]):
+                texts = len(at) - 1
+                n, ll = np.zeros(texts, np.int64), np.zeros((texts, len(table) + 1))
+                for x, text in bounded_trigrams(data, at):
+                    n += np.bincount(text, minlength=texts)
+                    for k, row in enumerate(table):
+                        ll[:, k] += np.bincount(text, row[x], texts)
+                ll[:, -1] = n * chance
+                counts.append(n)
+                scores.append(ll.ravel())
+            yield pa.StructArray.from_arrays([pa.array(np.concatenate(counts)), T.lists(np.concatenate(scores), np.full(len(column), len(table) + 1))], ["n_grams", "ll"])
+
+    return F.arrow_udf(score, "n_grams long, ll array<double>")
 
 
 def softmax(x: Column) -> Column:
@@ -121,6 +146,17 @@ def array_sums(name: str, size: int) -> Column:
     return F.array(*(F.sum(F.col(name)[k]) for k in range(size)))
 
 
+def code_sums(groups: DataFrame, size: int) -> DataFrame:
+    """(declared, suffix, declared_p, suffix_p): the sums of p over all rows with the same declaration, and with the same suffix."""
+    pairs = groups.groupBy("declared", "suffix").agg(array_sums("p", size).alias("p")).collect()  # at most one for each pair of known languages
+    by: list[dict[str, np.ndarray]] = [{}, {}]
+    for r in pairs:
+        for sums, key in zip(by, (r["declared"], r["suffix"]), strict=True):
+            sums[key] = sums.get(key, 0.0) + np.array(r["p"])
+    rows = [(r["declared"], r["suffix"], by[0][r["declared"]].tolist(), by[1][r["suffix"]].tolist()) for r in pairs]
+    return groups.sparkSession.createDataFrame(rows, "declared string, suffix string, declared_p array<double>, suffix_p array<double>")
+
+
 def code(x: Column, langs: list[str]) -> Column:
     """The first two letters if they name a known language, else '' for none and '?' for others."""
     short = F.lower(F.substring(F.trim(F.coalesce(x, F.lit(""))), 1, 2))
@@ -132,29 +168,36 @@ def identify(rows: DataFrame, labelled: DataFrame, id_col: str, text: Column, de
 
     A text's evidence counts as that of at most `temper` trigrams, as neighbours aren't independent. `lang` is `und` where chance explains
     the text better than every language does, or where it has no trigram. Such rows aren't accepted, nor those whose
-    best language has less than `least`. Null text is empty, null declarations and suffixes are none, a null host is ''. Without
-    labelled rows every row is `und`. Rows with the same id are judged one by one; an empty table gives an empty result.
+    best language has less than `least`. Null text is empty, null declarations and suffixes are none, a null host is ''. Labels count by
+    their first two letters. Without labelled rows every row is `und`. Of equal probabilities the language that comes first by name
+    wins. Rows with the same id are judged one by one; other columns than those named play no part; texts may have any length;
+    an empty table gives an empty result.
+
+    The texts are read twice: for the grouped sums, to which no text is carried, and for the verdicts, which are joined with sums only.
     """
     langs, table = learned(labelled, text_col, lang_col)
     size = len(langs) + 1
     keep = keep or []
-    source = rows.select(
-        F.col(id_col).alias("__id"), *(F.col(c).alias(f"__keep_{c}") for c in keep), code(declared, langs).alias("declared"), code(suffix, langs).alias("suffix"),
-        F.coalesce(host, F.lit("")).alias("host"), F.coalesce(domain, F.lit("")).alias("domain"), F.coalesce(text, F.lit("")).alias("text"),
-    )
-    scored = text_scores(source, langs, table)
-    scored = scored.withColumn("ll", F.transform("ll", lambda v: v * F.least(F.lit(1.0), temper / F.greatest(F.col("n_grams"), F.lit(1)))))
-    scored = cut(scored.withColumn("p", F.when(F.col("n_grams") > 0, softmax(F.col("ll"))).otherwise(F.array(*[F.lit(0.0)] * size))))
+    facts = [code(declared, langs).alias("declared"), code(suffix, langs).alias("suffix"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(domain, F.lit("")).alias("domain")]
+    score = text_scores(rows.sparkSession, table)
+
+    def scored(*columns: Column) -> DataFrame:
+        made = rows.select(*columns, *facts, score(text).alias("__s")).select("*", "__s.n_grams", "__s.ll").drop("__s")
+        made = made.withColumn("ll", F.transform("ll", lambda v: v * F.least(F.lit(1.0), temper / F.greatest(F.col("n_grams"), F.lit(1)))))
+        return made.withColumn("p", F.when(F.col("n_grams") > 0, softmax(F.col("ll"))).otherwise(F.array(*[F.lit(0.0)] * size)))
+
     # grouped sums; the tables of codes have at most languages + 2 rows
-    total = scored.agg(array_sums("p", size).alias("p"), F.count("*").alias("n")).first()
-    all_p, all_n = F.array(*(F.lit(float(x or 0)) for x in total["p"])), F.lit(float(total["n"]))
-    by_code = lambda name: scored.groupBy(name).agg(array_sums("p", size).alias(f"{name}_p"))
-    hosts = scored.groupBy("host", "domain").agg(array_sums("p", size).alias("host_p"), F.count("*").alias("host_n"))
+    groups = cut(scored().groupBy("host", "domain", "declared", "suffix").agg(array_sums("p", size).alias("p"), F.count("*").alias("n")))
+    total = groups.agg(array_sums("p", size).alias("p"), F.sum("n").alias("n")).first()
+    all_p, all_n = F.array(*(F.lit(float(x or 0)) for x in total["p"])), F.lit(float(total["n"] or 0))
+    codes = code_sums(groups, size)
+    hosts = groups.groupBy("host", "domain").agg(array_sums("p", size).alias("host_p"), F.sum("n").alias("host_n"))
     domains = hosts.groupBy("domain").agg(array_sums("host_p", size).alias("domain_p"), F.sum("host_n").alias("domain_n"))
-    joined = (
-        scored.join(F.broadcast(by_code("declared")), "declared").join(F.broadcast(by_code("suffix")), "suffix")
-        .join(hosts.join(domains, "domain"), ["host", "domain"])
-    )
+    priors = cut(hosts.join(domains, "domain"))
+    if priors.count() <= BROADCAST_HOSTS:
+        priors = F.broadcast(priors)
+    judged = scored(F.col(id_col).alias("__id"), *(F.col(c).alias(f"__keep_{c}") for c in keep))
+    joined = judged.join(F.broadcast(codes), ["declared", "suffix"]).join(priors, ["host", "domain"])
     own, m = F.col("p"), prior_rows
     less = lambda total: F.zip_with(total, own, lambda a, b: F.greatest(a - b, F.lit(0.0)))
     base = F.transform(less(all_p), lambda v: (v + 0.5) / (all_n + 0.5 * size))
