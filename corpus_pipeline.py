@@ -25,8 +25,8 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rejected are texts that no language explains better than chance, texts without a trigram of letters, and null texts.
     """
     none = F.lit("")
-    found = language_id.identify(docs.withColumn("__text", F.col("text")), docs, "doc_id", F.col("text"), F.col("lang"), none, F.col("source"), F.col("source"), keep=["__text", "source", "n_chars"])
-    return found.where("accepted").select("doc_id", F.col("__text").alias("text"), "lang", "source", "n_chars")
+    found = language_id.identify(docs, docs, "doc_id", F.col("text"), F.col("lang"), none, F.col("source"), F.col("source"), keep=["text", "source", "n_chars"])
+    return found.where("accepted").select(*COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
