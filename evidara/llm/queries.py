@@ -31,8 +31,10 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What every document keeps when all strings of 400 bytes found twice or more are removed."""
-    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    """What every document keeps when all strings of 400 bytes found twice or more are removed, and its bytes in repeated passages of these
+    or of more than 50 words."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), words=51, cut_words=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passage_bytes")
 
 
 def op4_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

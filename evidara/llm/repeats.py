@@ -22,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
-from evidara.session import cut
+from evidara.session import cut, drop
 
 GRAM = 32
 #: Words of an anchor where passages are counted in words.
 WORD_GRAM = 20
+#: Windows of a text that are worked on at once.
+WINDOWS = 1 << 20
 #: Contexts of a class that one task takes at once; larger classes are counted window by window.
 CLASS = 4096
 #: Keys up to which a filter of texts by key is broadcast (16 bytes each); beyond, it is a shuffled join.
@@ -58,16 +60,24 @@ class Prefix:
 
 
 def least_places(h: np.ndarray, span: int, windows: int) -> np.ndarray:
-    """The place of the last least hash among the `span` hashes from each window's start."""
-    n = len(h)
-    bits = T.U(int(n).bit_length())
-    back = (T.U(1) << bits) - T.U(1)
-    padded = np.full(-(-n // span) * span, np.iinfo(T.U).max, T.U)
-    padded[:n] = (h >> bits << bits) | (back - np.arange(n).astype(T.U))
-    square = padded.reshape(-1, span)
-    ahead = np.minimum.accumulate(square, 1).ravel()
-    behind = np.minimum.accumulate(square[:, ::-1], 1)[:, ::-1].ravel()
-    return (back - (np.minimum(behind[:windows], ahead[span - 1 : span - 1 + windows]) & back)).astype(np.int64)
+    """The place of the last least hash among the `span` hashes from each window's start.
+
+    A window is the end of one block of `span` hashes and the beginning of the next; minima and their last places are carried along
+    each block from both sides.
+    """
+    n = -(-len(h) // span) * span
+    padded = np.full(n, np.iinfo(T.U).max, T.U)
+    padded[: len(h)] = h
+    square, place = padded.reshape(-1, span), np.arange(n).reshape(-1, span)
+    ahead = np.minimum.accumulate(square, 1)
+    ahead_at = np.maximum.accumulate(np.where(square == ahead, place, 0), 1).ravel()
+    behind = np.minimum.accumulate(square[:, ::-1], 1)[:, ::-1]
+    better = np.ones(square.shape, bool)
+    better[:, :-1] = square[:, :-1] < behind[:, 1:]
+    behind_at = np.minimum.accumulate(np.where(better, place, n)[:, ::-1], 1)[:, ::-1].ravel()
+    ahead, behind = ahead.ravel(), behind.ravel()
+    own, next_end = slice(0, windows), slice(span - 1, span - 1 + windows)
+    return np.where(ahead[next_end] <= behind[own], ahead_at[next_end], behind_at[own])
 
 
 def neighbours(anchor: np.ndarray, text: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,11 +110,26 @@ def runs(data: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, ...]
 
 
 def run_rows(texts: DataFrame, least: int) -> DataFrame:
-    """(key, size, anchor, context, left, lo, n) per row of (key, text): lists of the text's runs; lo is a byte, n windows."""
+    """(key, size, anchor, context, left, lo, n) per row of (key, text): lists of the text's runs; lo is a byte, n windows.
+
+    A long text's windows are taken in parts of WINDOWS; a run at the edge of a part is two runs.
+    """
+
+    def parts(data, at):
+        if len(data) <= 2 * WINDOWS:
+            yield 0, data, at
+        else:
+            for first in range(0, max(1, len(data) - least + 1), WINDOWS):
+                part = data[first : first + WINDOWS + least - 1]
+                yield first, part, np.array([0, len(part)])
 
     def run(batches):
-        for rows, data, at in T.slices(batches):
-            text, lo, hi, place, anchor, context = runs(data, at, least)
+        for rows, data, at in T.slices(batches, most=WINDOWS):
+            found = []
+            for first, part, offsets in parts(data, at):
+                text, lo, hi, place, anchor, context = runs(part, offsets, least)
+                found.append((text, lo + first, hi + first, place + first, anchor, context))
+            text, lo, hi, place, anchor, context = (np.concatenate(x) for x in zip(*found, strict=True))
             per = np.bincount(text, minlength=rows.num_rows)
             columns = [T.signed(anchor), T.signed(context), (place - lo).astype(np.int32), (lo - at[text]).astype(np.int32), (hi - lo + 1).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(at)), *(T.lists(c, per) for c in columns)], ["key", "size", "anchor", "context", "left", "lo", "n"])
@@ -251,7 +276,7 @@ def ranges_of_windows(contexts: DataFrame, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(2).take(pa.array([row] * n)), batch.column(4).take(pa.array([row] * n)), pa.array((batch.column(3)[row].as_py() + at).astype(np.int32)), pa.array(h)], ["key", "single", "first", "h"])
 
     windows = cut(contexts.select("anchor", "left", "key", "lo", "single", "bytes").mapInArrow(run, "key binary, single boolean, first int, h long"))
-    again = windows.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    again = cut(windows.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"))
     return windows.where("single").join(again, "h", "left_semi").select("key", "first", (F.col("first") + least).alias("last"))
 
 
@@ -262,16 +287,19 @@ def repeated_ranges(docs: DataFrame, text_col: str = "text", least: int = 400) -
     texts = docs.select(F.unhex(F.md5(text)).alias("key"), text.alias("text"))
     made = run_rows(texts, least).groupBy("key").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("size", "anchor", "context", "left", "lo", "n")))
     made = cut(made)
-    flat = made.select("key", "copies", F.explode(F.arrays_zip("anchor", "context", "left", "lo", "n")).alias("r")).select("key", (F.col("copies") > 1).alias("copied"), "r.*").repartition("anchor")
-    shared = flat.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    flat = made.select("key", "copies", F.explode(F.arrays_zip("anchor", "context", "left", "lo", "n")).alias("r")).select("key", (F.col("copies") > 1).alias("copied"), "r.*")
+    # every count is combined in the tasks before it is dealt, and what is joined is a table, so that Spark can split a hot anchor
+    shared = cut(flat.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"))
     flat = cut(flat.join(shared, "anchor"))
     contexts = flat.groupBy("anchor", "context", "left").agg(F.count("*").alias("c"), F.max("copied").alias("copied"), F.min(F.struct("key", "lo", "n")).alias("r"))
     contexts = cut(contexts.select("anchor", "context", "left", "c", ((F.col("c") == 1) & ~F.col("copied")).alias("single"), "r.*"))
     # texts with copies are removed in full, so just the other texts' runs need a range
-    whole = flat.where("NOT copied").join(contexts.where("c > 1 OR NOT single").select("anchor", "context", "left"), ["anchor", "context", "left"])
-    whole = whole.select("key", F.col("lo").alias("first"), (F.col("lo") + F.col("n") - 1 + least).alias("last"))
-    classes = contexts.groupBy("anchor").agg(F.count("*").alias("d"), F.max("single").alias("open")).where("d > 1 AND open").select("anchor", "d")
+    again = cut(contexts.where("c > 1 OR NOT single").select("anchor", "context", "left"))
+    whole = flat.where("NOT copied").join(again, ["anchor", "context", "left"])
+    whole = cut(whole.select("key", F.col("lo").alias("first"), (F.col("lo") + F.col("n") - 1 + least).alias("last")))
+    classes = cut(contexts.groupBy("anchor").agg(F.count("*").alias("d"), F.max("single").alias("open")).where("d > 1 AND open").select("anchor", "d"))
     open_contexts = cut(contexts.join(classes, "anchor").select("anchor", "left", "single", "key", "lo", "n", "d"))
+    drop(shared, flat, contexts, again, classes)
 
     def extract(batches):
         for batch in batches:
@@ -286,13 +314,10 @@ def repeated_ranges(docs: DataFrame, text_col: str = "text", least: int = 400) -
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["anchor", "left", "key", "lo", "single", "bytes", "d"])
 
     wanted = open_contexts.groupBy("key").agg(F.collect_list(F.struct("anchor", "left", "lo", "single", "n", "d")).alias("rows"))
-    cuts = in_texts(texts, open_contexts.select("key").distinct()).join(wanted, "key").select("key", "text", "rows").mapInArrow(extract, "anchor long, left int, key binary, lo int, single boolean, bytes binary, d long")
-    if open_contexts.where(F.col("d") > CLASS).isEmpty():
-        found = ranges_of_classes(cuts, least)
-    else:
-        cuts = cut(cuts)
-        found = ranges_of_classes(cuts.where(F.col("d") <= CLASS), least).union(ranges_of_windows(cuts.where(F.col("d") > CLASS), least))
-    return texts, made.select("key", "copies", "size"), cut(whole.union(found))
+    cuts = cut(in_texts(texts, open_contexts.select("key").distinct()).join(wanted, "key").select("key", "text", "rows").mapInArrow(extract, "anchor long, left int, key binary, lo int, single boolean, bytes binary, d long"))
+    found = cut(ranges_of_classes(cuts.where(F.col("d") <= CLASS), least).union(ranges_of_windows(cuts.where(F.col("d") > CLASS), least)))
+    drop(open_contexts, cuts)
+    return texts, made.select("key", "copies", "size"), whole.union(found)
 
 
 def word_run_rows(texts: DataFrame, words: int) -> DataFrame:
@@ -324,7 +349,7 @@ def repeated_words(texts: DataFrame, words: int, least: int) -> DataFrame:
     """
     made = cut(word_run_rows(texts, words).groupBy("key").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("size", "anchor", "lo", "n"))))
     flat = made.select("key", "copies", ((F.col("copies") == 1) | (F.col("size") < least)).alias("open"), F.explode(F.arrays_zip("anchor", "lo", "n")).alias("r")).select("key", "copies", "open", "r.*")
-    shared = flat.groupBy("anchor").agg(F.sum("copies").alias("c")).where("c > 1").select("anchor")
+    shared = cut(flat.groupBy("anchor").agg(F.sum("copies").alias("c")).where("c > 1").select("anchor"))
     wanted = cut(flat.join(shared, "anchor", "left_semi").groupBy("key", "copies", "open").agg(F.collect_list(F.struct("lo", "n")).alias("rows")))
 
     def run(batches):
@@ -348,7 +373,7 @@ def repeated_words(texts: DataFrame, words: int, least: int) -> DataFrame:
 
     found = in_texts(texts, wanted.select("key")).join(wanted, "key").select("key", "text", "open", "rows", "copies")
     windows = cut(found.mapInArrow(run, "key binary, open boolean, copies long, first int, last int, h long"))
-    again = windows.groupBy("h").agg(F.sum("copies").alias("c")).where("c > 1").select("h")
+    again = cut(windows.groupBy("h").agg(F.sum("copies").alias("c")).where("c > 1").select("h"))
     return windows.where("open").join(again, "h", "left_semi").select("key", "first", "last")
 
 
@@ -363,34 +388,39 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400, with_text: bool = False, keep: list[str] | None = None, words: int | None = None) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, the columns `keep`, and with `with_text` the remaining text) per row of `docs`.
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400, with_text: bool = False, keep: list[str] | None = None, words: int | None = None, cut_words: bool = True) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_bytes, the columns `keep`, and with `with_text` the remaining text) per row of `docs`.
 
-    Every byte in a string of `least` bytes that also starts anywhere else, in its own text or another's, is removed; with `words`, so is
-    every run of so many words that is found at two places, whatever its bytes. Strings and words are judged on the input. Null texts are empty. Texts shorter than `least` stay whole. Rows with equal texts are copies of each other, whatever
-    their ids, and lose all bytes if they have `least`. The remaining text drops what a cut leaves of a character. An empty table
-    gives an empty result.
+    Every byte in a string of `least` bytes that also starts anywhere else, in its own text or another's, is removed; with `words` and `cut_words`,
+    so is every run of so many words that is found at two places, whatever its bytes. n_passage_bytes counts the bytes in repeats of
+    either kind, removed or not. Strings and words are judged on the input. Null texts are empty. Texts shorter than `least`
+    have no repeated string. Rows with equal texts are copies of each other, whatever their ids, and lose all bytes if they have
+    `least`. The remaining text drops what a cut leaves of a character. Texts may have any length; columns other than those
+    named play no part. An empty table gives an empty result.
     """
     texts, sizes, ranges = repeated_ranges(docs, text_col, least)
+    ranges = ranges.withColumn("gone", F.lit(True))
     if words:
-        ranges = cut(ranges.union(repeated_words(texts, words, least)))
+        ranges = ranges.union(repeated_words(texts, words, least).withColumn("gone", F.lit(cut_words)))
+    ranges = cut(ranges)
 
     def judge(batches):
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for key, text, found in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 data = text.encode()
-                gone = merged([(r["first"], r["last"]) for r in found])
+                gone = merged([(r["first"], r["last"]) for r in found if r["gone"]])
                 left = b"".join(data[a:b] for a, b in zip([0, *(last for _, last in gone)], [*(first for first, _ in gone), len(data)], strict=True))
-                values = (key, sum(b - a for a, b in gone), len(gone), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if with_text else None)
+                passages = sum(b - a for a, b in merged([(r["first"], r["last"]) for r in found]))
+                values = (key, sum(b - a for a, b in gone), len(gone), hashlib.sha256(left).hexdigest(), passages, left.decode("utf-8", "ignore") if with_text else None)
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "gone", "spans", "sha", "left_text"])
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "gone", "spans", "sha", "passages", "left_text"])
 
-    gathered = ranges.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("found"))
-    partly = in_texts(texts, ranges.select("key").distinct()).join(gathered, "key").select("key", "text", "found").mapInArrow(judge, "key binary, gone long, spans long, sha string, left_text string")
-    copied = sizes.where((F.col("copies") > 1) & (F.col("size") >= least)).select("key", F.col("size").alias("gone"), F.lit(1).cast("long").alias("spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("sha"), F.lit("").alias("left_text"))
+    gathered = ranges.groupBy("key").agg(F.collect_list(F.struct("first", "last", "gone")).alias("found"))
+    partly = in_texts(texts, ranges.select("key").distinct()).join(gathered, "key").select("key", "text", "found").mapInArrow(judge, "key binary, gone long, spans long, sha string, passages long, left_text string")
+    copied = sizes.where((F.col("copies") > 1) & (F.col("size") >= least)).select("key", F.col("size").alias("gone"), F.lit(1).cast("long").alias("spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("sha"), F.col("size").alias("passages"), F.lit("").alias("left_text"))
     known = partly.union(copied)
     text = F.coalesce(F.col(text_col), F.lit(""))
     own = [F.col(id_col).alias("__id"), *(F.col(c).alias(f"__keep_{c}") for c in keep or []), F.unhex(F.md5(text)).alias("key")]
@@ -405,4 +435,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     else:
         columns = [F.coalesce("sha", "whole").alias("kept_sha256")]
     zero = F.lit(0).cast("long")
-    return joined.select(F.col("__id").alias(id_col), *(F.col(f"__keep_{c}").alias(c) for c in keep or []), "n_bytes", F.coalesce("gone", zero).alias("n_removed"), F.coalesce("spans", zero).alias("n_spans"), *columns)
+    return joined.select(F.col("__id").alias(id_col), *(F.col(f"__keep_{c}").alias(c) for c in keep or []), "n_bytes", F.coalesce("gone", zero).alias("n_removed"), F.coalesce("spans", zero).alias("n_spans"), F.coalesce("passages", zero).alias("n_passage_bytes"), *columns)

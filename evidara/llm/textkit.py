@@ -116,20 +116,53 @@ class Words:
         return mix(out), at
 
 
+#: Bytes that `spans` hashes at once, so that a long text needs little more memory than itself.
+SPAN_BYTES = 1 << 22
+
+
 def spans(data: np.ndarray, start: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Sums of table[byte] * step ** place over the runs that begin at `start` and reach to the next start."""
-    lead = int(start[0])
+    out = np.empty(len(start), U)
+    first = 0
+    while first < len(start):
+        last = max(first + 1, int(np.searchsorted(start, start[first] + SPAN_BYTES, "right")) - 1)
+        lead, until = int(start[first]), int(start[last]) if last < len(start) else len(data)
+        if until - lead > SPAN_BYTES and last - first == 1:
+            out[first] = long_span(data[lead:until], table)
+        elif until - lead > 2 * SPAN_BYTES:  # the rest of the data, whose last run is long
+            last -= 1
+            out[first:last] = short_spans(data[lead : int(start[last])], start[first:last] - lead, table)
+        else:
+            out[first:last] = short_spans(data[lead:until], start[first:last] - lead, table)
+        first = last
+    return out
+
+
+def short_spans(data: np.ndarray, start: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """`spans` for runs that cover `data`."""
     length = np.diff(start, append=len(data))
-    place = np.arange(len(data) - lead)
-    place -= np.repeat(start - lead, length)
+    place = np.arange(len(data))
+    place -= np.repeat(start, length)
     # only a run's bytes up to its last nonzero entry matter, and they're next to its start
-    values = table[data[lead:]]
+    values = table[data]
     values *= powers(int(length.max()))[place]
-    return np.add.reduceat(values, start - lead)
+    return np.add.reduceat(values, start)
+
+
+def long_span(data: np.ndarray, table: np.ndarray) -> np.uint64:
+    """`spans` for one run of any length, in parts."""
+    total, factor, step = 0, 1, pow(int(_STEP), SPAN_BYTES, 1 << 64)
+    for a in range(0, len(data), SPAN_BYTES):
+        part = data[a : a + SPAN_BYTES]
+        total += int(np.add.reduce(table[part] * powers(len(part))[: len(part)])) * factor
+        factor = factor * step % (1 << 64)
+    return U(total % (1 << 64))
 
 
 def sums(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Sums of `flags` over the ranges between neighbouring offsets."""
+    if len(at) == 2:
+        return np.array([np.count_nonzero(flags[at[0] : at[1]])])
     total = np.zeros(len(flags) + 1, np.int64)
     np.cumsum(flags, out=total[1:])
     return total[at[1:]] - total[at[:-1]]
