@@ -2,7 +2,8 @@
 
 Tokens are lower-cased words and one end per document. The `n_single` most frequent tokens have an output of their own and lie in
 classes of equal size; every other token belongs to a class given by its last two bytes, within which it has the share
-(count + 1) / (sum of count + 1, plus 1 for words never seen). So P(text) is a proper distribution over all words:
+(count + 1) / (sum of count + 1, plus 1 for words never seen). So P(text) is a proper distribution over the words met in training and,
+for each class of endings, one place for a word not met, to which every such word is counted:
 
     P(token | state) = P(class | state) * P(token | class, state)
 
@@ -15,11 +16,13 @@ round's texts, from the same weights, and the results are averaged by number of
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,9 +191,20 @@ def step(p: dict, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
     return new + z * (h - new), z, r, new, u[:, 2 * n :]
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The logarithm of the softmax of each row of `x` at its place `at`; `x` is used up."""
+    x -= x.max(1, keepdims=True)
+    own = x[np.arange(len(at)), at]
+    return own - np.log(np.exp(x, out=x).sum(1))
+
+
+def softmax_less(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The softmax of each row of `x`, less 1 at its place `at`; `x` is used up."""
+    x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(1, keepdims=True)
+    x[np.arange(len(at)), at] -= 1
+    return x
 
 
 def by_class(target: np.ndarray, s: Settings):
@@ -211,9 +225,9 @@ def class_of(target: np.ndarray, s: Settings) -> np.ndarray:
 
 def log_likelihood(p: dict, states: np.ndarray, target: np.ndarray, s: Settings) -> np.ndarray:
     """ln P of each target's class and, for tokens with an output, of the token in its class."""
-    out = log_softmax(states @ p["Wc"] + p["bc"])[np.arange(len(target)), class_of(target, s)]
+    out = log_share(states @ p["Wc"] + p["bc"], class_of(target, s))
     for c, at, place in by_class(target, s):
-        out[at] += log_softmax(states[at] @ p["Ww"][c] + p["bw"][c])[np.arange(len(at)), place]
+        out[at] += log_share(states[at] @ p["Ww"][c] + p["bw"][c], place)
     return out
 
 
@@ -230,16 +244,14 @@ def gradients(p: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray, fresh: np.nd
         states[t] = h
     flat, target, use = states.reshape(-1, n), y.ravel(), live.ravel().astype(np.float32)
     g = {}
-    dc = np.exp(log_softmax(flat @ p["Wc"] + p["bc"]))
-    dc[np.arange(len(target)), class_of(target, s)] -= 1
+    dc = softmax_less(flat @ p["Wc"] + p["bc"], class_of(target, s))
     dc *= use[:, None]
     g["Wc"], g["bc"] = flat.T @ dc, dc.sum(0)
     dh = dc @ p["Wc"].T
     g["Ww"], g["bw"] = np.zeros_like(p["Ww"]), np.zeros_like(p["bw"])
     for c, at, place in by_class(target, s):
         some = flat[at]
-        d = np.exp(log_softmax(some @ p["Ww"][c] + p["bw"][c]))
-        d[np.arange(len(at)), place] -= 1
+        d = softmax_less(some @ p["Ww"][c] + p["bw"][c], place)
         d *= use[at, None]
         g["Ww"][c], g["bw"][c] = some.T @ d, d.sum(0)
         dh[at] += d @ p["Ww"][c].T
@@ -386,28 +398,47 @@ def average(rows: pd.DataFrame) -> tuple[dict, int]:
     return {k: x.astype(np.float32) for k, x in out.items()}, total
 
 
+def streams(batches: Iterator[pa.RecordBatch], most: int = 1_500_000) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]]:
+    """Batches with a column tokens gathered to about `most` tokens: (batches, tokens, each text's first)."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column = batch.column(batch.schema.get_field_index("tokens"))
+        bytes_of = pc.binary_length(column).to_numpy()
+        first = 0
+        while first < batch.num_rows:
+            last = max(first + 1, first + int(np.searchsorted(np.cumsum(bytes_of[first:]), 2 * (most - size), "right")))
+            held.append(batch.slice(first, last - first))
+            size += int(bytes_of[first:last].sum()) // 2
+            first = last
+            if size >= most:
+                yield joined(held)
+                held, size = [], 0
+    if held:
+        yield joined(held)
+
+
+def joined(held: list[pa.RecordBatch]) -> tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]:
+    texts = [x for batch in held for x in batch.column(batch.schema.get_field_index("tokens")).to_pylist()]
+    size = np.array([len(x) // 2 for x in texts])
+    return held, np.frombuffer(b"".join(texts), "<u2").astype(np.int64), np.cumsum(size) - size
+
+
 def train(texts: DataFrame, key: str, v: Vocabulary) -> dict[str, np.ndarray]:
-    """Weights after all rounds; `key` is a column whose value deals texts to rounds, in proportion to settings.rounds."""
-    s = v.settings
+    """Weights after all rounds on (key, tokens) per text; the value of `key` deals texts to rounds, in proportion to settings.rounds."""
+    s, end = v.settings, v.end
     context = texts.sparkSession.sparkContext
     p, shares = fresh_weights(v), np.concatenate([[0], np.cumsum(s.rounds)])
-    words = context.broadcast(v)
     deal = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(int(shares[-1])))
     for k in range(len(s.rounds)):
         start = context.broadcast(p)
 
         def run(batches, start=start, k=k):
-            v = words.value
-            trainer, held, size = Trainer(start.value, s, s.rate / (1 + k)), [], 0
-            for _, data, at in T.slices(batches):
-                tokens, begin, *_ = token_stream(data, at, v)
-                held.append((tokens, begin + size))
-                size += len(tokens)
-                if size >= 1_500_000:
-                    trainer.train(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), v.end)
-                    held, size = [], 0
-            if size:
-                trainer.train(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), v.end)
+            trainer = Trainer(start.value, s, s.rate / (1 + k))
+            for _, tokens, begin in streams(batches):
+                trainer.train(tokens, begin, end)
             if trainer.tokens:
                 yield pa.RecordBatch.from_arrays([pa.array([trainer.tokens]), pa.array([pickle.dumps(trainer.p)])], ["tokens", "weights"])
 
@@ -415,7 +446,7 @@ def train(texts: DataFrame, key: str, v: Vocabulary) -> dict[str, np.ndarray]:
             p, total = average(rows)
             return pd.DataFrame({"tokens": [total], "weights": [pickle.dumps(p)]})
 
-        made = cut(texts.where((deal >= int(shares[k])) & (deal < int(shares[k + 1]))).select("text").mapInArrow(run, "tokens long, weights binary").withColumn("part", F.spark_partition_id()))
+        made = cut(texts.where((deal >= int(shares[k])) & (deal < int(shares[k + 1]))).select("tokens").mapInArrow(run, "tokens long, weights binary").withColumn("part", F.spark_partition_id()))
         while (n := made.count()) > s.fan_in:
             groups = -(-n // s.fan_in)
             made = cut(made.groupBy(F.pmod("part", F.lit(groups)).alias("g")).applyInPandas(lambda rows: merge(rows), "tokens long, weights binary").withColumn("part", F.spark_partition_id()))
@@ -429,7 +460,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     """Per row of `docs`: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 of the text's probability).
 
     Rows with crc32(id as text) mod `held_out_of` = `held_out_is` are held out of training; a null id counts as ''. A null text is
-    empty and has just its end. If nothing is left to train on, every word is unknown and both scores are those of an
+    empty and has just its end; a text may have any length. An empty table gives an empty result. If nothing is left to train on, every word is unknown and both scores are those of an
     empty vocabulary. Rows with the same id are scored one by one. Other columns of `docs` play no part.
     """
     s = settings
@@ -440,65 +471,61 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     v, least = build_vocabulary(counts, s)
     if v.tokens == 0:
         v.keys, v.counts, v.single, v.suffix = np.array([END]), np.array([0]), np.array([0]), np.array([-1])
-    p = train(texts, "key", v) if v.tokens else fresh_weights(v)
     context = docs.sparkSession.sparkContext
-    words, weights = context.broadcast(v), context.broadcast(p)
-    rest = np.log10(v.rest)
+    words = context.broadcast(v)
+    rest, of_end = np.log10(v.rest), float(np.log10(v.counts[np.searchsorted(v.keys, END)] + 1.0))
 
-    def run(batches):
-        v, p = words.value, weights.value
-        held: list = []
-
-        def out():
-            tokens, begin = np.concatenate([x[1] for x in held]), []
-            size = 0
-            for x in held:
-                begin.append(x[2] + size)
-                size += len(x[1])
-            ln = score_texts(p, tokens, np.concatenate(begin), v.end, s) / np.log(10)
-            done = 0
-            for rows, tok, begin, counts, w, h in held:
-                texts = len(begin)
-                text = np.repeat(np.arange(texts), np.diff(begin, append=len(tok)))
-                score = np.bincount(text, ln[done : done + len(tok)], texts)
-                done += len(tok)
-                inputs = tok[np.arange(len(h)) + w.text]
-                other, tail = inputs >= s.n_single, counts < 0
-                share = np.where(other, np.log10(np.maximum(counts, 0) + 1.0) - rest[np.where(other, inputs - s.n_single, 0)], 0.0)
-                base = np.bincount(w.text, np.where(tail, 0.0, np.log10(np.maximum(counts, 0) + 1.0)), texts) + np.log10(v.counts[np.searchsorted(v.keys, END)] + 1.0)
-                known = np.bincount(w.text[~tail], minlength=texts) + int(v.tokens > 0)
-                key = np.stack([w.text[tail], h[tail]], 1)
-                order = np.lexsort((key[:, 1], key[:, 0]))
-                key = key[order]
-                new = np.ones(len(key), bool)
-                new[1:] = (key[1:] != key[:-1]).any(1)
-                at = np.flatnonzero(new)
-                per = np.bincount(key[at, 0], minlength=texts)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(1), pa.array(w.count + 1), pa.array(known), pa.array(base), pa.array(score + np.bincount(w.text, share, texts)), T.lists(key[at, 1], per), T.lists(np.diff(at, append=len(key)), per)],
-                    ["id", "held_out", "n_tokens", "n_known", "base", "score", "tail", "times"],
-                )
-
-        size = 0
+    def look_up(batches):
+        v = words.value
         for some, data, at in T.slices(batches):
-            held.append((some, *token_stream(data, at, v)))
-            size += len(held[-1][1])
-            if size >= 1_500_000:
-                yield from out()
-                held, size = [], 0
-        if held:
-            yield from out()
+            tok, begin, counts, w, h = token_stream(data, at, v)
+            texts = len(begin)
+            inputs = tok[np.arange(len(h)) + w.text]
+            other, tail = inputs >= s.n_single, counts < 0
+            share = np.where(other, np.log10(np.maximum(counts, 0) + 1.0) - rest[np.where(other, inputs - s.n_single, 0)], 0.0)
+            base = np.bincount(w.text, np.where(tail, 0.0, np.log10(np.maximum(counts, 0) + 1.0)), texts) + of_end
+            known = np.bincount(w.text[~tail], minlength=texts) + int(v.tokens > 0)
+            key = np.stack([w.text[tail], h[tail]], 1)
+            order = np.lexsort((key[:, 1], key[:, 0]))
+            key = key[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]).any(1)
+            at = np.flatnonzero(new)
+            per = np.bincount(key[at, 0], minlength=texts)
+            edge = (2 * np.append(begin, len(tok))).tolist()
+            ids = tok.astype("<u2").tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [some.column(0), some.column(1), pa.array(w.count + 1), pa.array(known), pa.array(base), pa.array(np.bincount(w.text, share, texts)), pa.array([ids[a:b] for a, b in zip(edge, edge[1:])], pa.binary()), T.lists(key[at, 1], per), T.lists(np.diff(at, append=len(key)), per)],  # noqa: B905
+                ["id", "held_out", "n_tokens", "n_known", "base", "share", "tokens", "tail", "times"],
+            )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    made = rows.mapInArrow(run, f"id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, tail array<long>, times array<long>")
+    # the network reads token ids from here on, not texts
+    made = rows.mapInArrow(look_up, f"id {kind}, held_out boolean, n_tokens long, n_known long, base double, share double, tokens binary, tail array<long>, times array<long>")
     made = cut(made.withColumn("row_id", F.monotonically_increasing_id()))
+    p = train(made.where(~F.col("held_out")).select(F.coalesce("id", F.lit(0)).alias("key"), "tokens"), "key", v) if v.tokens else fresh_weights(v)
+    weights, end = context.broadcast(p), v.end
+
+    def run(batches):
+        for held, tokens, begin in streams(batches):
+            ln = score_texts(weights.value, tokens, begin, end, s) / np.log(10)
+            text = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(tokens)))
+            score = np.bincount(text, ln, len(begin))
+            done = 0
+            for batch in held:
+                own = score[done : done + batch.num_rows]
+                done += batch.num_rows
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(own + batch.column(batch.num_columns - 1).to_numpy())], [*batch.schema.names[:-2], "score"])
+
+    facts = ["row_id", "id", "held_out", "n_tokens", "n_known", "base"]
+    scored = made.select(*facts, "tokens", "share").mapInArrow(run, f"row_id long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")
     # words outside the head: their counts come by a join, once per text and word
     tail = made.select("row_id", F.explode(F.arrays_zip("tail", "times")).alias("x")).select("row_id", F.col("x.tail").alias("h"), F.col("x.times").alias("times"))
     rare = counts.where((bin_of(F.col("n")) < least) & (F.col("h") != END)).select("h", "n")
     found = tail.join(rare, "h").groupBy("row_id").agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more"), F.sum("times").alias("met"))
     size = float(np.log10(v.tokens + v.types + 1.0))
     more, met = F.coalesce("more", F.lit(0.0)), F.coalesce("met", F.lit(0))
-    return made.drop("tail", "times").join(found, "row_id", "left").select(
+    return scored.join(found, "row_id", "left").select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("n_known") + met).alias("n_known"), F.lit(v.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + more - F.col("n_tokens") * F.lit(size)).alias("base_score"), (F.col("score") + more).alias("score"),
     )
