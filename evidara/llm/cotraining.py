@@ -8,7 +8,7 @@ labelled rows that are fitted one by one are a bounded sample.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +20,8 @@ from evidara.llm import textkit as T
 from evidara.session import cut
 
 TEXT_BITS, META_BITS = 18, 12
+#: Labelled ids up to which they are broadcast (16 bytes each); beyond, rows are joined with them by id.
+BROADCAST_LABELS = 1_000_000
 #: Places kept free at the end of the text view's features for measures of style, in tenths.
 STYLE = 64
 PUNCTUATION = np.zeros(256, bool)
@@ -28,12 +30,14 @@ PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]]
 
 @dataclass
 class Model:
-    """Weights of both views, biases, and the fit (weight of the text view, of the metadata view, bias) that combines them."""
+    """Weights of both views, biases, each view's calibration (weight, bias), and the fit (weight of the text view, of the metadata view,
+    bias) that combines them."""
 
     text: np.ndarray
     meta: np.ndarray
     bias: tuple[float, float]
-    fit: tuple[float, float, float]
+    views: tuple[tuple[float, ...], tuple[float, ...]]
+    fit: tuple[float, ...]
 
 
 def text_features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +158,7 @@ def fit(text: Rows, meta: Rows, y: np.ndarray, exchange: Callable[[list[tuple[np
     every = np.arange(len(y))
     held, base = every[::5], np.setdiff1d(every, every[::5])
     if not len(base):
-        return Model(np.zeros(1 << TEXT_BITS), np.zeros(1 << META_BITS), (0.0, 0.0), (0.0, 0.0, 20.0))
+        return Model(np.zeros(1 << TEXT_BITS), np.zeros(1 << META_BITS), (0.0, 0.0), ((0.0, 20.0), (0.0, 20.0)), (0.0, 0.0, 20.0))
     target = y[base].astype(float)
     views = [(text.take(base), 1 << TEXT_BITS), (meta.take(base), 1 << META_BITS)]
     weights = [logistic(rows, target, size) for rows, size in views]
@@ -162,7 +166,8 @@ def fit(text: Rows, meta: Rows, y: np.ndarray, exchange: Callable[[list[tuple[np
         given = exchange(weights)
         weights = [logistic(rows, target, size, labels) for (rows, size), labels in zip(views, given, strict=True)]
     x = np.column_stack([v.take(held).scores(*w) for v, w in zip((text, meta), weights, strict=True)])
-    return Model(weights[0][0], weights[1][0], (weights[0][1], weights[1][1]), combine(x, y[held].astype(float)))
+    target = y[held].astype(float)
+    return Model(weights[0][0], weights[1][0], (weights[0][1], weights[1][1]), (combine(x[:, :1], target), combine(x[:, 1:], target)), combine(x, target))
 
 
 def list_rows(column: pa.Array) -> Rows:
@@ -205,8 +210,8 @@ def scored_rows(model: Model, feature: np.ndarray, row: np.ndarray, m_feature: n
     """Calibrated P(good) by the text, by the metadata, and by both."""
     a = Rows(feature, row, count).scores(model.text, model.bias[0])
     b = Rows(m_feature, m_row, count).scores(model.meta, model.bias[1])
-    u, v, c = model.fit
-    return sigmoid(a), sigmoid(b), sigmoid(u * a + v * b + c)
+    (p, q), (r, t), (u, v, c) = *model.views, model.fit
+    return sigmoid(p * a + q), sigmoid(r * b + t), sigmoid(u * a + v * b + c)
 
 
 def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", good: Column | None = None, max_labelled: int = 12_000, rounds: int = 3, confident: float = 0.95, least: float = 0.5, keep: list[str] | None = None) -> DataFrame:
@@ -215,17 +220,22 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
     Labelled are the rows whose id is in `labels`; `good` is a condition on `labels` (quality is 1 and toxic isn't 1), null in no
     row that counts; an id is good if all its rows are. Fitted one by one are at most about `max_labelled` labelled rows,
     chosen by a hash of the id; all rows without a label take part in every round. Null texts are empty and null metadata a value of its own. Without
-    labels every row is accepted. Rows with the same id are scored one by one; an empty table gives an empty result.
+    labels every row is accepted. Rows with the same id are scored one by one; texts may have any length; columns other than those named
+    play no part; an empty table gives an empty result.
     """
     good = (F.col("quality") == 1) & ~F.coalesce(F.col("toxic") == 1, F.lit(False)) if good is None else good
     said = labels.select(F.col(label_id).alias("__id"), good.cast("int").alias("__y")).where("__id IS NOT NULL AND __y IS NOT NULL").groupBy("__id").agg(F.min("__y").alias("__y"))
+    said = cut(said)
     n_labels = said.count()
+    ids = said.select("__id")
+    if n_labels <= BROADCAST_LABELS:
+        said, ids = F.broadcast(said), F.broadcast(ids)
     keep = keep or []
     values = F.array(*(F.coalesce(m.cast("string"), F.lit("null")) for m in metadata))
-    source = docs.select(F.col(id_col).alias("__id"), *(F.col(c).alias(f"__keep_{c}") for c in keep), F.col(text_col).alias("text"), values.alias("meta"))
-    million = 1_000_000
-    at = F.pmod(F.xxhash64(F.col("__id"), F.lit(5)), F.lit(million))
-    share = int(million * min(1.0, max_labelled / max(1, n_labels)))
+    source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), values.alias("meta"))
+    whole = 1 << 62
+    at = F.pmod(F.xxhash64(F.col("__id"), F.lit(5)), F.lit(whole))
+    share = min(whole, whole * max_labelled // max(1, n_labels))
 
     def features(batches):
         for part, data, offsets in T.slices(batches):
@@ -236,7 +246,7 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
 
     id_type = docs.schema[id_col].dataType.simpleString()
     made = lambda rows: rows.select("__id", "text", "meta").mapInArrow(features, f"__id {id_type}, features array<int>, meta_features array<int>")
-    rows = made(source.where(at < share).join(said.select("__id"), "__id", "left_semi")).join(said, "__id").toArrow()
+    rows = made(source.where(at < share).join(ids, "__id", "left_semi")).join(said, "__id").toArrow()
     order = np.argsort(np.array([str(x) for x in rows["__id"].to_pylist()], dtype=object), kind="stable")
     rows = rows.take(pa.array(order))
     free = None
@@ -244,17 +254,20 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
     def exchange(weights: list[tuple[np.ndarray, float]]) -> list[Given]:
         nonlocal free
         if free is None:
-            free = cut(made(source).join(said.select("__id"), "__id", "left_anti").select("features", "meta_features"))
+            free = cut(made(source).join(ids, "__id", "left_anti").select("features", "meta_features"))
         return exchanged(free, weights, confident)
 
     model = docs.sparkSession.sparkContext.broadcast(fit(list_rows(rows["features"]), list_rows(rows["meta_features"]), rows["__y"].to_numpy(), exchange, rounds))
 
-    def run(batches):
-        for part, data, offsets in T.slices(batches):
-            get = lambda name, part=part: part.column(part.schema.get_field_index(name))
-            m = meta_features([list(x) for x in zip(*get("meta").to_pylist(), strict=True)])
-            p, q, both = scored_rows(model.value, *text_features(data, offsets), *m, part.num_rows)
-            yield pa.RecordBatch.from_arrays([get("__id"), *(get(f"__keep_{c}") for c in keep), pa.array(p), pa.array(q), pa.array(both), pa.array(both >= least)], [id_col, *keep, "p_text", "p_meta", "score", "accepted"])
-
-    kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    return source.mapInArrow(run, f"`{id_col}` {id_type}, {kept}p_text double, p_meta double, score double, accepted boolean")
+    def judge(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for text, meta in columns:
+            made = [np.zeros((3, 0))]
+            for part, data, offsets in T.slices([pa.RecordBatch.from_arrays([text, meta], ["text", "meta"])]):
+                m = meta_features([list(x) for x in zip(*part.column(1).to_pylist(), strict=True)])
+                made.append(np.stack(scored_rows(model.value, *text_features(data, offsets), *m, part.num_rows)))
+            yield pa.StructArray.from_arrays([pa.array(x) for x in np.concatenate(made, 1)], ["p_text", "p_meta", "score"])
+
+    # only text and metadata go to Python and only the scores come back
+    judged = F.arrow_udf(judge, "p_text double, p_meta double, score double")(F.col(text_col), values)
+    found = docs.select(F.col(id_col).alias("__id"), *(F.col(c).alias(f"__keep_{c}") for c in keep), judged.alias("__s"))
+    return found.select(F.col("__id").alias(id_col), *(F.col(f"__keep_{c}").alias(c) for c in keep), "__s.p_text", "__s.p_meta", "__s.score", (F.col("__s.score") >= least).alias("accepted"))
