@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidara.llm import byte_bpe, cotraining, gated_lm, language_id, near_duplicates, packing, quality_rules, repeats, threshold_search, url_filters
 
-#: The folder of the public tokenizers' vocabulary files.
-TOKENIZERS = os.environ.get("EVIDARA_TOKENIZERS", "/opt/tokenizers")
+#: The public tokenizers' vocabulary files.
+WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +45,7 @@ def op4_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces packed into sequences of 4096 tokens."""
-    parts = packing.pieces(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    parts = packing.pieces(table(spark, sf_dir, "documents"), WORD_BPE)
     return packing.pack(parts).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
@@ -67,13 +67,9 @@ def op7_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threshold_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
-#: Splits a text before merging.
-WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
-
 def op8_folded_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's byte-level ids and the bytes that they decode to, as hashes."""
-    return byte_bpe.encode_texts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken", WORD_PATTERN)
+    return byte_bpe.encode_texts(table(spark, sf_dir, "documents"), BYTE_BPE, public_tokenizers.PATTERN)
 
 
 def op9_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:

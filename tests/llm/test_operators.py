@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,7 +225,7 @@ def check_packing(rows, limit):
 def test_packing_is_whole_and_tight(spark):
     from tokenizers import Tokenizer
 
-    path = f"{queries.TOKENIZERS}/word_bpe_49k.json"
+    path = queries.WORD_BPE
     texts = [*ODD, "It's İstanbul's naïve 12,345 don't! <|endoftext|> क़ é", "word " * 9000]
     docs = frame(spark, texts).union(spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id") + 1000, "text", "lang", "source", "n_chars", F.lit("k"), F.lit("n")))
     rows = packing.pack(packing.pieces(docs, path)).collect()
@@ -322,11 +323,15 @@ def test_threshold_search_stops_early():
 def test_ids_match_the_library(spark):
     import tiktoken
 
-    path = f"{queries.TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
-    own = tiktoken.Encoding("own", pat_str=queries.WORD_PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
+    path = queries.BYTE_BPE
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
     texts = [*ODD, "I'll  go \n\n 12345 ٣٤ ½ 日本語 🎉 \x1c\x85 x   ", "a" * 3000 + " " + "ab" * 700]
-    for r in byte_bpe.encode_texts(frame(spark, texts), path, queries.WORD_PATTERN, with_ids=True).collect():
-        text = texts[r.doc_id] or ""
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents").select((F.col("doc_id") + 1000).alias("doc_id"), "text", "lang", "source", "n_chars", F.lit("k"), F.lit("n")).union(frame(spark, texts))
+    whole = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = byte_bpe.encode_texts(docs, path, public_tokenizers.PATTERN, with_ids=True, shared=500).collect()
+    assert len(got) == len(whole) and byte_bpe.encode_texts(docs.where("false"), path, public_tokenizers.PATTERN).count() == 0
+    for r in got:
+        text = whole[r.doc_id]
         ids = own.encode_ordinary(text)
         assert (r.token_ids, bytes(r.decoded), r.n_tokens) == (ids, text.encode(), len(ids))
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
