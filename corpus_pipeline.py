@@ -59,7 +59,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces packed into sequences of 4096 tokens."""
-    parts = packing.pieces(docs, f"{queries.TOKENIZERS}/word_bpe_49k.json")
+    parts = packing.pieces(docs, queries.WORD_BPE)
     return packing.pack(parts).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
