@@ -50,8 +50,8 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
             if piece[:i] in ranks and piece[i:] in ranks:
                 rows.setdefault(ranks[piece[:i]], {})[ranks[piece[i:]]] = rank
     size = max(ranks.values()) + 1
-    room = 2 * size + sum(map(len, rows.values())) + 4096
-    free, shifts, entries = np.ones(room + size, bool), np.zeros(size, np.int64), np.full(room + size, NONE, np.int64)
+    room = 5 * size + 2 * sum(map(len, rows.values())) + 8192
+    free, shifts, entries = np.ones(room, bool), np.zeros(size, np.int64), np.full(room, NONE, np.int64)
     low = 0
     single = [a for a, own in rows.items() if len(own) == 1]
     for a, own in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
@@ -60,6 +60,8 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         b = np.array(sorted(own))
         at = max(low, int(b[0]))
         while True:  # the first place where all entries of the row are free
+            if at + 4096 + size > len(free):
+                free, entries = np.append(free, np.ones(room, bool)), np.append(entries, np.full(room, NONE))
             found = np.flatnonzero(free[at : at + 4096]) + at
             for x in (b - b[0])[1:].tolist():
                 found = found[free[found + x]]

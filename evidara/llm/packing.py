@@ -28,7 +28,8 @@ _workers: dict[str, WordIds] = {}
 class WordIds:
     """A worker's tokenizer with the little-endian unsigned 32-bit ids of the words that it has met.
 
-    The tokenizer drops white space, never joins across it, and splits letters from other signs; the last id of a run of
+    The tokenizer drops white space, never joins across it, and splits letters from other signs; words with the name of a special
+    token go to it whole. The last id of a run of
     letters is marked as a word's end in the vocabulary. So many runs of letters are encoded in one call, and told apart
     by their ends.
     """
@@ -37,8 +38,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
+        self.specials = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
@@ -62,7 +63,8 @@ class WordIds:
             self.runs.clear()
         # a word of letters and marks after them is two runs, any other word is one
         heads = [x.rstrip(MARKS) for x in words]
-        tails = [x[len(run) :] if run.decode().isalpha() else None for x, run in zip(words, heads, strict=True)]
+        special = [any(t in x for t in self.specials) if b"<|" in x else False for x in words]
+        tails = [x[len(run) :] if run.decode().isalpha() and not whole else None for x, run, whole in zip(words, heads, special, strict=True)]
         heads = [x if marks is None else run.lower() for x, run, marks in zip(words, heads, tails, strict=True)]
         known = self.runs
         new = list({run for run, marks in zip(heads, tails, strict=True) if marks is not None}.difference(known))
@@ -93,7 +95,12 @@ def ids_of(texts: list[str], path: str) -> list[bytes]:
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096, end_id: int = 1) -> DataFrame:
-    """A row for each piece of at most `limit` ids of each document's ids and `end_id`."""
+    """A row for each piece of at most `limit` ids of each document's ids and `end_id`.
+
+    Ids are the tokenizer's by its defaults, without added ones: the names of special tokens in a text are these tokens. A null text
+    is empty and has just `end_id`. Rows with the same id are cut one by one; texts may have any length; other columns of `docs`
+    play no part; an empty table gives an empty result.
+    """
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):

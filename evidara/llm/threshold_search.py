@@ -7,6 +7,8 @@ met. It stops a query when the sum of the next list entries can't reach the k-th
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -22,7 +24,7 @@ def threshold_top_k(query: np.ndarray, own: int, rows: np.ndarray, ids: np.ndarr
     """
     n, used = len(rows), np.flatnonzero(query)
     met = np.zeros(n, bool)
-    best_ids, best = np.zeros(0, np.int64), np.zeros(0)
+    best_ids, best = np.zeros(0, np.int64), np.zeros(0, rows.dtype)
     weight = query[used]
     up = weight > 0
     depth, step, seen = 0, max(8, 4 * k), 0
@@ -45,13 +47,18 @@ def threshold_top_k(query: np.ndarray, own: int, rows: np.ndarray, ids: np.ndarr
         depth, step = until, step * 2
         if depth < n and len(best) == k:
             ends = np.where(up, n - 1 - depth, depth)
-            bound = float(weight @ rows[order[used, ends], used]) if len(used) else 0.0
+            bound = weight @ rows[order[used, ends], used] if len(used) else 0
             if best[-1] > bound or (not len(used) and seen == n):
                 break
     return best_ids, best, seen
 
 
-def block_top_k(queries: pd.DataFrame, found: pd.DataFrame, k: int) -> pd.DataFrame:
+def whole(x: float, scale: int) -> int:
+    """floor(scale * x); from 2**53 on x is a whole number."""
+    return int(x) * scale if abs(x) >= 2.0**53 else math.floor(x * scale)
+
+
+def block_top_k(queries: pd.DataFrame, found: pd.DataFrame, k: int, scale: int) -> pd.DataFrame:
     """The k best of one block of candidates for each query of one block."""
     names = ["query_row", "query_id", "vec_id", "score"]
     if not len(queries) or not len(found):
@@ -65,27 +72,31 @@ def block_top_k(queries: pd.DataFrame, found: pd.DataFrame, k: int) -> pd.DataFr
         return out
 
     q, rows = dense(queries["v"]), dense(found["v"])
-    if np.abs(q).max() * np.abs(rows).max() * width >= 2.0**53:  # then Python's integers
-        q, rows = q.astype(np.int64).astype(object), rows.astype(np.int64).astype(object)
+    bound = [float(np.abs(x).max()) * scale + 1 for x in (q, rows)]
+    if max(bound) < 2.0**53 and bound[0] * bound[1] * width < 2.0**53:
+        q, rows = np.floor(q * scale), np.floor(rows * scale)
+    else:  # Python's integers
+        q, rows = (np.vectorize(lambda v: whole(v, scale), [object])(x) for x in (q, rows))
     ids, row_ids = found["vec_id"].to_numpy(), found["row_id"].to_numpy()
     order = np.argsort(rows.T, axis=1, kind="stable")
     out = []
     for row, query_id, x in zip(queries["row_id"], queries["vec_id"], q, strict=True):
         got, scores, _ = threshold_top_k(x, row, rows, ids, row_ids, order, k)
-        out.append(pd.DataFrame({"query_row": row, "query_id": query_id, "vec_id": got, "score": scores.astype(np.int64)}))
+        out.append(pd.DataFrame({"query_row": row, "query_id": query_id, "vec_id": got, "score": np.clip(scores, -(2**63), 2**63 - 1).astype(np.int64)}))
     return pd.concat(out)[names]
 
 
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256, query_block: int = 4096, row_block: int = 8192) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, the k best other rows.
 
-    Components become floor(scale * x). Null vectors, and those with null or non-finite components, take no part; of vectors of
+    Components become floor(scale * x), whole numbers of any size; a score beyond 64 bits becomes the nearest long, and such scores
+    count as equal where blocks are merged. Equal scores go by the smaller id. Null vectors, and those with null or non-finite components, take no part; of vectors of
     unequal length the missing components are 0. Rows that repeat an id are rows of their own, and a query leaves out just its own
-    row. Fewer than k other rows give fewer results; an empty table gives none.
+    row. Other columns of `vectors` play no part. Fewer than k other rows give fewer results; an empty table gives none.
     """
     v = F.col(vector_col)
     whole = v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = cut(vectors.where(whole & F.col(id_col).isNotNull()).select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")))
+    rows = cut(vectors.where(whole & F.col(id_col).isNotNull()).select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: x.cast("double")).alias("v")))
     n = rows.count()
     queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
     row_blocks, query_blocks = max(1, -(-n // row_block)), max(1, -(-queries.count() // query_block))
@@ -93,6 +104,6 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id
     copied = lambda df, name, count: df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
     left = copied(dealt(queries, "q", query_blocks), "b", row_blocks).groupBy("q", "b")
     right = copied(dealt(rows, "b", row_blocks), "q", query_blocks).groupBy("q", "b")
-    best = left.cogroup(right).applyInPandas(lambda a, b: block_top_k(a, b, k), "query_row long, query_id long, vec_id long, score long")
+    best = left.cogroup(right).applyInPandas(lambda a, b: block_top_k(a, b, k, scale), "query_row long, query_id long, vec_id long, score long")
     place = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -226,12 +226,11 @@ def test_packing_is_whole_and_tight(spark):
     from tokenizers import Tokenizer
 
     path = queries.WORD_BPE
-    texts = [*ODD, "It's İstanbul's naïve 12,345 don't! <|endoftext|> क़ é", "word " * 9000]
+    texts = [*ODD, "It's İstanbul's naïve 12,345 don't! <|endoftext|> क़ é", "a <|endoftext|> b", "x<|startoftext|>y.<|ENDOFTEXT|> <|endoftext|>'s <| |>", "word " * 9000]
     docs = frame(spark, texts).union(spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id") + 1000, "text", "lang", "source", "n_chars", F.lit("k"), F.lit("n")))
     rows = packing.pack(packing.pieces(docs, path)).collect()
     assert check_packing(rows, 4096) <= -(-sum(r.length for r in rows) // 4096) + 2
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     for i, t in enumerate(texts):
         ids = np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
         own = sorted((r.piece, r.start, r.length, r.ids_crc32) for r in rows if r.doc_id == i)
@@ -306,6 +305,17 @@ def test_threshold_search_matches_all_scores(spark):
     assert {k: sorted(x) for k, x in got.items()} == {k: sorted(x) for k, x in want.items()}
 
 
+def test_threshold_search_of_large_components_and_of_nothing(spark):
+    rows = [(50, [1e30, 1.0]), (1, [1e30, 2.0]), (2, [-1e30, 0.5]), (3, [2.0**40, 0.0]), (4, [1e-9, -1e-9]), (5, [1e308, 0.0]), (6, [0.25, 3.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = {i: [int(x) * 256 if abs(x) > 2**53 else math.floor(x * 256) for x in v] for i, v in rows}
+    own = exact.pop(50)
+    want = sorted(((-sum(a * b for a, b in zip(own, v, strict=True)), i) for i, v in exact.items()))[:5]
+    got = {(r.vec_id, r.score) for r in threshold_search.top_k(docs).collect()}
+    assert got == {(i, min(max(-s, -(2**63)), 2**63 - 1)) for s, i in want}
+    assert threshold_search.top_k(docs.where("false")).count() == 0
+
+
 def test_threshold_search_stops_early():
     rows = np.diag(np.arange(1.0, 501.0))
     order = np.argsort(rows.T, axis=1, kind="stable")
@@ -387,3 +397,27 @@ def test_url_rules_and_mined_rules(spark):
     assert {got[i].verdict for i in range(len(urls), len(urls) + 30)} == {"block"} and {got[i].verdict for i in range(len(urls) + 30, len(urls) + 90)} == {"allow"}
     assert url_filters.url_verdicts(pages, labels.where("false"), queries.URL_RULES).where("verdict = 'block'").count() == 2
     assert url_filters.url_verdicts(pages.where("false"), labels, queries.URL_RULES).count() == 0
+
+
+def test_mined_sets_match_counted_ones(spark):
+    import itertools
+
+    draw = random.Random(4)
+    rows = []
+    for _ in range(400):
+        tokens = sorted(draw.sample("abcdefg", draw.randint(0, 4)))
+        rows.append((tokens, draw.random() < (0.8 if {"a", "b"} <= set(tokens) else 0.2)))
+    counted, bad = collections.Counter(), collections.Counter()
+    for tokens, blocked in rows:
+        for n in range(1, 5):
+            for some in itertools.combinations(tokens, n):
+                counted[some] += 1
+                bad[some] += blocked
+    share = sum(b for _, b in rows) / len(rows)
+    want = {}
+    for some, hits in bad.items():
+        above = hits - counted[some] * share
+        if hits >= 8 and hits / counted[some] >= min(1.3 * share, (1 + share) / 2) and above > 0 and above**2 >= 4 * share * (1 - share) * counted[some]:
+            want[some] = (round(hits / counted[some], 9), min(some, key=lambda x: (counted[(x,)], x)))
+    got = {tuple(r["items"]): (round(r.confidence, 9), r["first"]) for r in url_filters.mined_rules(spark.createDataFrame(rows, "tokens array<string>, blocked boolean"), 0.0, 8, 1.3, 2.0).collect()}
+    assert got == want and ("a", "b") in got
