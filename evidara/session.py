@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Tells Spark to delete an action's shuffle files when the action has ended.
 FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Bytes of the batches that go to Python workers.
+BATCHES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
 
 def local_session(cpus: str = "8", name: str = "evidara") -> SparkSession:
     """A local session with the settings that the tests and the bench use."""
@@ -60,6 +63,12 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(FREED, before)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Python workers of this session get Arrow batches of at most BATCH_BYTES, or of one row, as texts may be long."""
+    if int(re.sub(r"\D", "", spark.conf.get(BATCHES, "0"))) != BATCH_BYTES:
+        spark.conf.set(BATCHES, f"{BATCH_BYTES}b")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder as Parquet and read back, so that later stages don't recompute it."""
     spark = df.sparkSession
