@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
-from evidara.session import cut, drop
+from evidara.session import bounded_batches, cut, drop
 
 #: Texts of the sample whose frequent words are folded once, and so many words at most.
 SAMPLED, SHARED_WORDS = 32_000, 300_000
@@ -274,6 +274,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     the decimal ids joined by commas and of the decoded bytes, as lower-case hex. Rows with the same id are encoded one by one;
     texts may have any length; other columns of `docs` play no part; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     codec = Codec(path)
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
-from evidara.session import cut
+from evidara.session import bounded_batches, cut
 
 TEXT_BITS, META_BITS = 18, 12
 #: Labelled ids up to which they are broadcast (16 bytes each); beyond, rows are joined with them by id.
@@ -223,6 +223,7 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
     labels every row is accepted. Rows with the same id are scored one by one; texts may have any length; columns other than those named
     play no part; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     good = (F.col("quality") == 1) & ~F.coalesce(F.col("toxic") == 1, F.lit(False)) if good is None else good
     said = labels.select(F.col(label_id).alias("__id"), good.cast("int").alias("__y")).where("__id IS NOT NULL AND __y IS NOT NULL").groupBy("__id").agg(F.min("__y").alias("__y"))
     said = cut(said)

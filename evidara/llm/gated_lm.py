@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
-from evidara.session import cut
+from evidara.session import bounded_batches, cut
 
 #: The end token's key.
 END = int(T.signed(T.mix(np.array([0x454E44], T.U)))[0])
@@ -463,6 +463,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     empty and has just its end; a text may have any length. An empty table gives an empty result. If nothing is left to train on, every word is unknown and both scores are those of an
     empty vocabulary. Rows with the same id are scored one by one. Other columns of `docs` play no part.
     """
+    bounded_batches(docs.sparkSession)
     s = settings
     part = F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(held_out_of)) == held_out_is
     rows = docs.select(F.col(id_col).alias("id"), part.alias("held_out"), F.col(text_col).alias("text"))

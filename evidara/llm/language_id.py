@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
-from evidara.session import cut
+from evidara.session import bounded_batches, cut
 
 BUCKETS = 1 << 16
 UND = "und"
@@ -175,6 +175,7 @@ def identify(rows: DataFrame, labelled: DataFrame, id_col: str, text: Column, de
 
     The texts are read twice: for the grouped sums, to which no text is carried, and for the verdicts, which are joined with sums only.
     """
+    bounded_batches(rows.sparkSession)
     langs, table = learned(labelled, text_col, lang_col)
     size = len(langs) + 1
     keep = keep or []

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
 from evidara.operators.graph import connected_components
-from evidara.session import cut
+from evidara.session import bounded_batches, cut
 
 #: Cells of the count by which shingles are ordered.
 SKETCH = 1 << 18
@@ -143,6 +143,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     not null. Texts without words, null ones included, have no shingles and no links. Rows that repeat an id are one
     node. Other columns of `docs` play no part. An empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     made = cut(sketches(texts, k, tables, rows, seed))
     full = made.where("n_shingles > 0")

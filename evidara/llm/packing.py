@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
-from evidara.session import cut
+from evidara.session import bounded_batches, cut
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 #: Words whose ids a worker holds at most; then it starts anew.
@@ -101,6 +101,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     is empty and has just `end_id`. Rows with the same id are cut one by one; texts may have any length; other columns of `docs`
     play no part; an empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):

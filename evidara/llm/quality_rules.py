@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
-from evidara.session import cut
+from evidara.session import bounded_batches, cut
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -94,6 +94,7 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     depleted and rejected. Null text counts as empty, a null host as the host ''; rows with the same id are judged one by one; other columns
     of `docs` play no part. An empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     rows = cut(measured(docs, id_col, text_col, host_col).withColumn("row_id", F.monotonically_increasing_id()))
     # exact copies within a host count once; what is counted is combined before each shuffle
     lines = rows.select("row_id", "host", "text_hash", F.explode(F.arrays_zip("line_no", "line_hash", "line_words")).alias("l")).select("row_id", "host", "text_hash", "l.*")

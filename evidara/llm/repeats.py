@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
-from evidara.session import cut, drop
+from evidara.session import bounded_batches, cut, drop
 
 GRAM = 32
 #: Words of an anchor where passages are counted in words.
@@ -398,6 +398,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     `least`. The remaining text drops what a cut leaves of a character. Texts may have any length; columns other than those
     named play no part. An empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     texts, sizes, ranges = repeated_ranges(docs, text_col, least)
     ranges = ranges.withColumn("gone", F.lit(True))
     if words:

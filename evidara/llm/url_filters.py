@@ -51,7 +51,7 @@ def mined_rules(labelled: DataFrame, min_support: float, min_hits: int, min_lift
     rules = with_label.join(sets, "items").select("items", "hits", "freq", (F.col("hits") / F.col("freq")).alias("confidence"), (F.col("hits") / pages).alias("support"))
     above = F.col("hits") - F.col("freq") * share
     sure = above * above >= min_deviations**2 * share * (1 - share) * F.col("freq")
-    rules = rules.where((F.col("confidence") >= min(min_lift * share, (1 + share) / 2)) & (above > 0) & sure).drop("hits", "freq")
+    rules = rules.where(f"hits >= {max(min_hits, min_support * pages)}").where((F.col("confidence") >= min(min_lift * share, (1 + share) / 2)) & (above > 0) & sure).drop("hits", "freq")
     one = sets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
     rarest = rules.select("items", F.explode("items").alias("item")).join(one, "item").groupBy("items").agg(F.min_by("item", F.struct("freq", "item")).alias("first"))
     return cut(rules.join(rarest, "items"))
