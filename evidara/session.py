@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Tells Spark to delete an action's shuffle files when the action has ended.
 FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-#: Bytes of the batches that go to Python workers.
-BATCHES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+#: Settings of the batches that go to Python workers.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def local_session(cpus: str = "8", name: str = "evidara") -> SparkSession:
@@ -64,9 +64,9 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Python workers of this session get Arrow batches of at most BATCH_BYTES, or of one row, as texts may be long."""
-    if int(re.sub(r"\D", "", spark.conf.get(BATCHES, "0"))) != BATCH_BYTES:
-        spark.conf.set(BATCHES, f"{BATCH_BYTES}b")
+    """Python workers of this session get Arrow batches of few rows and bytes from here on, as texts may be long."""
+    for name, value in BATCHES.items():
+        spark.conf.set(name, value)
 
 
 def cut(df: DataFrame) -> DataFrame:
