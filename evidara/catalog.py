@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidara.plans import fusion_plans, spatial_plans, text_plans
+from evidara.plans import fusion_plans, portal_plans, spatial_plans, text_plans
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**text_plans.QUERIES, **spatial_plans.QUERIES, **fusion_plans.QUERIES}
-ORACLE_SQL: dict[str, str] = {**text_plans.ORACLE_SQL, **spatial_plans.ORACLE_SQL, **fusion_plans.ORACLE_SQL}
+PLANS = (text_plans, spatial_plans, fusion_plans, portal_plans)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for plans in PLANS for k, v in plans.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: v for plans in PLANS for k, v in plans.ORACLE_SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidara.session import cut, drop
+
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order; the order must break all ties."""
@@ -19,9 +21,11 @@ def round_robin(rows: DataFrame, group: str, order: list[Column], most: int) ->
 def within_budget(rows: DataFrame, group: str, order: list[str], size: str, budget: int, most: int) -> DataFrame:
     """(group, taken, failed, used): rows are taken in order while bytes and count last.
 
-    A row larger than what is left fails and uses up one of the `most` places, but no bytes. An ordered fold over each group's rows
-    in one array, so a group must fit in a task; groups are applications with a bounded number of documents.
+    A row larger than what is left fails and uses up one of the `most` places, but no bytes. As every row uses a place until
+    the group is closed, its first `most` rows decide; a ranked filter keeps just them, and an ordered fold runs over their array. A null
+    size counts as 0.
     """
+    rows = round_robin(rows, group, [F.col(c) for c in order], most)
     start = F.struct(F.lit(0).cast("bigint").alias("taken"), F.lit(0).cast("bigint").alias("failed"), F.lit(0).cast("bigint").alias("used"))
 
     def step(s: Column, x: Column) -> Column:
@@ -30,5 +34,28 @@ def within_budget(rows: DataFrame, group: str, order: list[str], size: str, budg
         one = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
         return F.struct((s["taken"] + one(fits)).alias("taken"), (s["failed"] + one(open_ & ~fits)).alias("failed"), (s["used"] + F.when(fits, x["size"]).otherwise(F.lit(0).cast("bigint"))).alias("used"))
 
-    listed = F.array_sort(F.collect_list(F.struct(*order, F.col(size).cast("bigint").alias("size"))))
+    listed = F.array_sort(F.collect_list(F.struct("turn", F.coalesce(F.col(size).cast("bigint"), F.lit(0).cast("bigint")).alias("size"))))
     return rows.groupBy(group).agg(F.aggregate(listed, start, step).alias("s")).select(group, "s.*")
+
+
+def greedy_by_alias(rows: DataFrame, key: str, aliases: str, order: list[Column]) -> DataFrame:
+    """The keys that a greedy pass keeps: rows are taken in order unless one of their aliases was taken before.
+
+    In each round the rows that come first for every alias of theirs are kept, and rows that share an alias with a kept one go; so the
+    rounds are as many as the longest chain of rows that hinge on each other. Keys are unique; `order` are columns that rise, and break
+    all ties. Rows without aliases are kept.
+    """
+    ranked = rows.select(key, F.struct(*order).alias("__place"), F.array_distinct(F.filter(aliases, lambda x: x.isNotNull())).alias("__aliases"))
+    kept = ranked.where(F.size("__aliases") == 0).select(key)
+    left = cut(ranked.select(key, "__place", F.explode("__aliases").alias("__alias")))
+    while not left.isEmpty():
+        first = left.groupBy("__alias").agg(F.min_by(key, "__place").alias("__first"))
+        said = cut(left.join(first, "__alias").groupBy(key).agg(F.bool_and(F.col(key) == F.col("__first")).alias("__won")))
+        won = said.where("__won").select(key)
+        kept = kept.union(won)
+        taken = left.join(won, key, "left_semi").select("__alias").distinct()
+        gone = left.join(taken, "__alias", "left_semi").select(key).distinct()
+        rest = cut(left.join(gone, key, "left_anti"))
+        drop(left)
+        left = rest
+    return kept
