@@ -27,7 +27,7 @@ UND = "und"
 #: Languages whose counts a task holds at once (half a megabyte each).
 HELD = 64
 #: Places of a long text that are worked on at once.
-WINDOW = 1 << 20
+WINDOW = 1 << 19
 #: Hosts up to which their priors are broadcast; beyond, rows are joined with them by host.
 BROADCAST_HOSTS = 100_000
 #: Markup that holds no text of the page, then any tag.
@@ -77,7 +77,7 @@ def learned(labelled: DataFrame, text_col: str, lang_col: str) -> tuple[list[str
 
     def run(batches):
         total: dict[str, np.ndarray] = {}
-        for part, data, at in T.slices(batches):
+        for part, data, at in T.slices(batches, most=WINDOW):
             langs = part.column(0).to_pylist()
             kinds = sorted(set(langs))
             place = np.array([kinds.index(v) for v in langs])
@@ -120,7 +120,7 @@ def text_scores(spark: SparkSession, table: np.ndarray) -> Callable[[Column], Co
         table = model.value
         for column in columns:
             counts, scores = [np.zeros(0, np.int64)], [np.zeros(0)]
-            for _, data, at in T.slices([pa.RecordBatch.from_arrays([column], ["text"])]):
+            for _, data, at in T.slices([pa.RecordBatch.from_arrays([column], ["text"])], most=WINDOW):
                 texts = len(at) - 1
                 n, ll = np.zeros(texts, np.int64), np.zeros((texts, len(table) + 1))
                 for x, text in bounded_trigrams(data, at):
