@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evidara.plans import drawing_plans, fusion_plans, portal_plans, spatial_plans, text_plans
+from evidara.plans import drawing_plans, fusion_plans, portal_plans, spatial_plans, terrain_plans, text_plans
 
-PLANS = (text_plans, spatial_plans, fusion_plans, portal_plans, drawing_plans)
+PLANS = (text_plans, spatial_plans, fusion_plans, portal_plans, drawing_plans, terrain_plans)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for plans in PLANS for k, v in plans.QUERIES.items()}
 ORACLE_SQL: dict[str, str] = {k: v for plans in PLANS for k, v in plans.ORACLE_SQL.items()}
 

@@ -56,9 +56,9 @@ def fnv1a(text: Column) -> Column:
 
 def byte_size(text: Column) -> Column:
     """Bytes of a text such as 23.1MB or 74.7 KiB: units of 1024, rounded up; null if it isn't one."""
-    number = F.regexp_extract(text, r"(?i)^\s*([0-9]+(?:\.[0-9]+)?)\s*(?:[KMGT]?I?B)?\s*$", 1)
-    unit = F.upper(F.regexp_extract(text, r"(?i)([KMGT])I?B\s*$", 1))
-    factor = F.when(unit == "K", 1024.0).when(unit == "M", 1024.0**2).when(unit == "G", 1024.0**3).when(unit == "T", 1024.0**4).otherwise(1.0)
+    number = F.regexp_extract(text, r"(?i)^\s*([0-9]+(?:\.[0-9]+)?)\s*(?:[KMG]?I?B)?\s*$", 1)
+    unit = F.upper(F.regexp_extract(text, r"(?i)([KMG])I?B\s*$", 1))
+    factor = F.when(unit == "K", 1024.0).when(unit == "M", 1024.0**2).when(unit == "G", 1024.0**3).otherwise(1.0)
     return F.when(number != "", F.ceil(number.try_cast("double") * factor))
 
 
@@ -79,17 +79,19 @@ OPEN_LICENSES = (
 RESTRICTED_MARKERS = ("noncommercial", "non-commercial", "-nc", "no derivatives", "no-derivatives", "-nd", "all rights reserved", "proprietary", "personal use", "research only")
 
 
+def licence_token(word: Column) -> Column:
+    """A word of a licence text as its plain name: addresses of Creative Commons become cc-<terms>-<version> or cc0-<version>."""
+    bare = F.regexp_replace(F.regexp_replace(word, "[?#].*$", ""), "/+$", "")
+    pieces = F.split(F.regexp_extract(bare, r"creativecommons\.org/(.*)$", 1), "/")
+    terms = F.slice(pieces, F.lit(2), F.size(pieces))
+    return F.when(pieces[0] == "licenses", F.concat(F.lit("cc-"), F.array_join(terms, "-"))).when((pieces[0] == "publicdomain") & (F.get(pieces, F.lit(1)) == "zero"), F.concat(F.lit("cc0-"), F.array_join(F.slice(pieces, F.lit(3), F.size(pieces)), "-"))).otherwise(bare)
+
+
 def is_open_license(text: Column) -> Column:
-    """Whether a licence text or its Creative Commons address names an open licence and no restriction."""
-    low = F.regexp_replace(F.lower(F.trim(F.coalesce(text, F.lit("")))), "_", "-")
-    ruled_out = F.lit(False)
-    for marker in RESTRICTED_MARKERS:
-        ruled_out = ruled_out | F.contains(low, F.lit(marker))
-    part = F.regexp_replace(F.regexp_extract(low, r"creativecommons\.org/(?:licenses|publicdomain/zero)/([^?#]+)", 1), "/$", "")
-    named = F.when(part == "", low).when(F.contains(low, F.lit("publicdomain/zero")), F.concat(F.lit("cc0-"), part)).otherwise(F.concat(F.lit("cc-"), F.replace(part, F.lit("/"), F.lit("-"))))
-    named = F.regexp_replace(F.regexp_replace(named, "[?#].*$", ""), "/$", "")
-    words = F.split(named, r"[\s,;()]+")
-    return (low != "") & ~ruled_out & (named.isin(*OPEN_LICENSES) | F.arrays_overlap(words, F.array(*map(F.lit, OPEN_LICENSES))))
+    """Whether any word of a licence text names an open licence, and nothing in it restricts use."""
+    plain = F.translate(F.lower(F.coalesce(text, F.lit(""))), "_", "-")
+    denied = F.exists(F.array(*map(F.lit, RESTRICTED_MARKERS)), lambda marker: F.contains(plain, marker))
+    return ~denied & F.exists(F.split(plain, r"[\s,;()]+"), lambda word: licence_token(word).isin(*OPEN_LICENSES))
 
 
 #: Patterns of a planning document's role in the order in which they apply, and each role's score.

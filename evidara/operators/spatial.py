@@ -19,8 +19,9 @@ def grid_join(left: DataFrame, right: DataFrame, size: float, how: str = "inner"
     """
     test = (F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2) <= size * size) if near is None else near
     if how == "left_anti":
-        hits = grid_join(left, right, size, "inner", on, near).select(*left.columns).distinct()
-        return left.join(hits, [c for c in left.columns], "left_anti")
+        hits = grid_join(left, right, size, "inner", on, near).select(*(F.col(c).alias(f"__{c}") for c in left.columns)).distinct()
+        same = [left[c].eqNullSafe(hits[f"__{c}"]) for c in left.columns]  # nulls are values here
+        return left.join(hits, same, "left_anti")
     a = left.withColumn("__c", F.explode(cells_around(F.col("x"), F.col("y"), size))).select("*", F.col("__c.cx").alias("__cx"), F.col("__c.cy").alias("__cy")).drop("__c")
     b = right.withColumn("__cx", F.floor(F.col("x2") / size)).withColumn("__cy", F.floor(F.col("y2") / size))
     return a.join(b, ["__cx", "__cy", *(on or [])]).where(test).drop("__cx", "__cy")

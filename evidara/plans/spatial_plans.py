@@ -56,16 +56,29 @@ def decision_counters(spark, sf):
     return authority_decisions_v18(spark, sf).groupBy("action").agg(F.count("*").alias("n"), F.sum("n_targets").alias("targets"))
 
 
+#: Vectors that are promoted at most.
+PROMOTED = 500
+#: What tells vectors apart.
+VECTOR = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+
+
 def vector_promotion(spark, sf):
-    """Line items as drawing vectors by the first gate that stops each; all that pass count as promoted, without a cap."""
+    """Line items as drawing vectors by the first gate that stops each: role, status, confidence, registration, size, provenance, licence, state; of those that pass, the first 500 by priority are promoted and the rest withheld by the cap."""
+    k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
     v = _t(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.pmod("l_partkey", F.lit(12)).alias("role"), F.pmod("l_suppkey", F.lit(9)).alias("status"), (F.lit(100) - F.pmod("l_partkey", F.lit(45))).alias("conf"), F.pmod("l_orderkey", F.lit(40)).alias("rmse10"), F.col("l_quantity").cast("bigint").alias("size"), F.pmod("l_orderkey", F.lit(6)).alias("licence")
+        *VECTOR, F.pmod("l_partkey", F.lit(12)).alias("role"), F.pmod("l_suppkey", F.lit(9)).alias("status"), (F.lit(100) - F.pmod("l_partkey", F.lit(45))).alias("conf"), F.pmod("l_orderkey", F.lit(40)).alias("rmse10"), F.col("l_quantity").cast("bigint").alias("size"), F.pmod("l_orderkey", F.lit(6)).alias("licence"), F.pmod(k, F.lit(11)).alias("source"), F.pmod(k, F.lit(5)).alias("state"),
     )
+    v = v.withColumn("private", (F.col("licence") == 1) & (F.pmod("l_orderkey", F.lit(4)) < 2))
     gate = (
-        F.when(F.col("role") > 9, "role").when(F.col("status") < 2, "status").when(F.col("conf") < 78, "confidence").when(F.col("rmse10") > 25, "georeference").when(F.col("size") < 5, "size").when(F.col("licence") == 0, "licence")
+        F.when(F.col("role") > 9, "role").when(F.col("status") < 2, "status").when(F.col("conf") < 78, "confidence").when(F.col("rmse10") > 25, "georeference").when(F.col("size") < 5, "size")
+        .when(F.col("source") == 0, "provenance").when((F.col("licence") == 0) | ((F.col("licence") == 1) & ~F.col("private")), "licence").when(F.col("state") == 4, "unresolved-status")
     )
-    v = v.withColumn("gate", F.coalesce(gate, F.lit("promoted"))).withColumn("priority", F.col("role") * 10 + F.col("conf") * 10 - F.col("rmse10") * 4)
-    return v.groupBy("gate").agg(F.count("*").alias("n"), F.max("priority").alias("best"), F.sum("size").alias("size"))
+    v = v.withColumns({"gate": gate, "priority": F.col("role") * 10 + F.col("conf") * 10 - F.col("rmse10") * 4})
+    # the first vectors that pass are few enough for one task; whoever isn't among them is beyond the cap
+    first = v.where("gate IS NULL").orderBy(F.desc("priority"), *VECTOR).limit(PROMOTED).select(*VECTOR, F.lit(True).alias("in_cap")).distinct()
+    v = v.join(F.broadcast(first), VECTOR, "left")
+    named = F.coalesce("gate", F.when(F.col("in_cap"), F.when(F.col("private"), "promoted-private-use").otherwise("promoted")).otherwise("cap"))
+    return v.groupBy(named.alias("gate")).agg(F.count("*").alias("n"), F.max("priority").alias("best"), F.sum("size").alias("size"))
 
 
 def affine_fit(spark, sf):
@@ -150,19 +163,28 @@ def material_shares(spark, sf):
 
 
 def pixel_classes(spark, sf):
-    """Vectors read as colours: luminance, greenness and a class."""
-    c = F.col("embedding")
-    v = _t(spark, sf, "embeddings").select("vec_id", *(F.floor((F.least(F.greatest(c[k].cast("double"), F.lit(-1.0)), F.lit(1.0)) + 1) * 127.5).cast("bigint").alias(n) for k, n in enumerate("rgb")))
-    v = v.withColumns({"lum": (F.col("r") * 2126 + F.col("g") * 7152 + F.col("b") * 722).cast("bigint"), "green": F.col("g") * 2 - F.col("r") - F.col("b")})
-    return v.select("vec_id", "lum", "green", F.when(F.col("green") > 40, "vegetation").when(F.col("lum") < 1000000, "asphalt").when(F.col("lum") > 1500000, "concrete").otherwise("paving").alias("surface"))
+    """Vectors read as colours with a texture: whether each is hardscape on its own evidence with its class and confidence, and the material of a component that looks so."""
+    c, gsd = F.col("embedding"), 0.35
+    v = _t(spark, sf, "embeddings").select("vec_id", *((F.floor((F.least(F.greatest(c[k].cast("double"), F.lit(-0.3)), F.lit(0.3)) + 0.3) * 425)).cast("double").alias(n) for k, n in enumerate("rgb")), F.pmod("vec_id", F.lit(60)).cast("double").alias("texture"))
+    r, g, b, texture = (F.col(n) for n in ("r", "g", "b", "texture"))
+    top = F.greatest("r", "g", "b")
+    v = v.withColumns({"sat": F.when(top > 0, (top - F.least("r", "g", "b")) / F.greatest(top, F.lit(1.0))).otherwise(0.0), "lum": (0.2126 * r + 0.7152 * g + 0.0722 * b) / 255})
+    sat, lum = F.col("sat"), F.col("lum")
+    out = (lum < 0.07) | (lum > 0.9) | ((g - (r + b) / 2) / 255 > 0.055) | ((b - (r + g) / 2) / 255 > 0.09)
+    warm = (r > g * 1.04) & (g > b * 1.03) & (sat <= 0.5) & (lum >= 0.16) & (lum <= 0.72)
+    sure = 0.54 + 0.18 * S.clamp(1 - sat / 0.34, 0.0, 1.0) + 0.13 * S.clamp(1 - F.greatest(F.lit(0.0), texture - 30) / 32, 0.0, 1.0) + 0.1 * max(0.3, min(1.0, 1 - (gsd - 0.15) / 1.1)) + F.when(warm, 0.06).otherwise(0.0) + F.when((lum >= 0.14) & (lum <= 0.78), 0.04).otherwise(0.0)
+    kind = F.when(warm, "warm-paving-candidate").when(lum < 0.42, "dark-hardscape-candidate").otherwise("light-hardscape-candidate")
+    material = F.when((sat < 0.2) & (lum < 0.42) & (texture < 15), "asphalt").when((sat < 0.2) & (lum >= 0.42) & (texture < 13), "concrete").when((sat < 0.28) & (texture >= 13), F.when(texture <= 28, "paving_stones").otherwise("gravel")).when((r > g * 1.05) & (g > b * 1.03) & (sat <= 0.52), "paving_stones").otherwise("")
+    look = F.when(material == "asphalt", S.clamp(0.86 - texture / 180, 0.72, 0.91)).when(material == "concrete", S.clamp(0.84 - texture / 180, 0.7, 0.9)).when((sat < 0.28) & (texture >= 13), F.when(texture <= 28, 0.78).otherwise(0.72)).when(material != "", 0.76).otherwise(0.45)
+    return v.select("vec_id", F.when(out, "").otherwise(kind).alias("hardscape"), F.when(out, 0.0).otherwise(S.half_up(S.clamp(sure, 0.0, 0.96) + 1e-9, 3)).alias("confidence"), material.alias("material"), S.half_up(look + 1e-9, 3).alias("material_confidence"))
 
 
 def label_nearest_shape(spark, sf):
-    """For each supplier's label the nearest part within 56 units, favouring large ones."""
+    """For each supplier's label the part within 56 units with the least distance, less 0.08 for each point of its size as its priority."""
     lab = _t(spark, sf, "supplier").select("s_suppkey", _x("s_suppkey", 800).alias("x"), _y("s_suppkey", 800).alias("y"))
     shape = _t(spark, sf, "part").select("p_partkey", "p_size", _x("p_partkey", 800).alias("x2"), _y("p_partkey", 800).alias("y2"))
-    d2 = F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2)
-    score = (d2.cast("bigint") * 100 - F.col("p_size") * 8)
+    distance = F.sqrt(F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2))
+    score = S.half_up(distance - 0.08 * F.col("p_size"), 6)
     return P.grid_join(lab, shape, 56.0).groupBy("s_suppkey").agg(F.min_by("p_partkey", F.struct(score.alias("s"), "p_partkey")).alias("p_partkey"), F.count("*").alias("near"))
 
 
@@ -203,10 +225,11 @@ SELECT event_id, name FROM e WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.name = e.
     "authority_decisions_v30a": _authority("v30a"),
     "authority_decisions_v18": _authority("v18"),
     "decision_counters": f"SELECT action, count(*) AS n, sum(n_targets)::BIGINT AS targets FROM ({_authority('v18')}) GROUP BY action",
-    "vector_promotion": """
-WITH v AS (SELECT l_partkey % 12 AS role, l_suppkey % 9 AS status, 100 - l_partkey % 45 AS conf, l_orderkey % 40 AS rmse10, l_quantity::BIGINT AS size, l_orderkey % 6 AS licence FROM lineitem)
-SELECT CASE WHEN role > 9 THEN 'role' WHEN status < 2 THEN 'status' WHEN conf < 78 THEN 'confidence' WHEN rmse10 > 25 THEN 'georeference' WHEN size < 5 THEN 'size' WHEN licence = 0 THEN 'licence' ELSE 'promoted' END AS gate,
-count(*) AS n, max(role * 10 + conf * 10 - rmse10 * 4) AS best, sum(size)::BIGINT AS size FROM v GROUP BY 1""",
+    "vector_promotion": f"""
+WITH v AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_partkey % 12 AS role, l_suppkey % 9 AS status, 100 - l_partkey % 45 AS conf, l_orderkey % 40 AS rmse10, l_quantity::BIGINT AS size, l_orderkey % 6 AS licence, (l_orderkey * 7 + l_linenumber) % 11 AS source, (l_orderkey * 7 + l_linenumber) % 5 AS state, l_orderkey % 6 = 1 AND l_orderkey % 4 < 2 AS private FROM lineitem),
+g AS (SELECT *, role * 10 + conf * 10 - rmse10 * 4 AS priority, CASE WHEN role > 9 THEN 'role' WHEN status < 2 THEN 'status' WHEN conf < 78 THEN 'confidence' WHEN rmse10 > 25 THEN 'georeference' WHEN size < 5 THEN 'size' WHEN source = 0 THEN 'provenance' WHEN licence = 0 OR (licence = 1 AND NOT private) THEN 'licence' WHEN state = 4 THEN 'unresolved-status' END AS gate FROM v),
+r AS (SELECT *, row_number() OVER (PARTITION BY gate IS NULL ORDER BY priority DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) AS n FROM g)
+SELECT CASE WHEN gate IS NOT NULL THEN gate WHEN n > {PROMOTED} THEN 'cap' WHEN private THEN 'promoted-private-use' ELSE 'promoted' END AS gate, count(*) AS n, max(priority) AS best, sum(size)::BIGINT AS size FROM r GROUP BY 1""",
     "affine_fit": """
 WITH c AS (SELECT l_suppkey, l_quantity::BIGINT AS x, l_linenumber::BIGINT AS y, (l_quantity * 3 + l_linenumber * 7 + l_orderkey % 5)::BIGINT AS e FROM lineitem),
 g AS (SELECT l_suppkey, count(*)::DOUBLE AS n, sum(x)::DOUBLE AS sx, sum(y)::DOUBLE AS sy, sum(e)::DOUBLE AS se, sum(x * x)::DOUBLE AS xx, sum(x * y)::DOUBLE AS xy, sum(y * y)::DOUBLE AS yy, sum(x * e)::DOUBLE AS xe, sum(y * e)::DOUBLE AS ye FROM c GROUP BY 1),
@@ -245,13 +268,17 @@ SELECT row, col, code, (SELECT count(*) FROM c o WHERE abs(o.row - c.row) + abs(
 WITH l AS (SELECT i // 180 AS row, i % 180 AS col FROM range(32400) t(i)), h AS (SELECT ({_HASH}) / 4294967296.0 AS u FROM l)
 SELECT CASE WHEN u < 0.6 THEN 'asphalt' WHEN u < 0.9 THEN 'gravel' ELSE 'stone' END AS block, count(*) AS n FROM h GROUP BY 1""",
     "pixel_classes": """
-WITH v AS (SELECT vec_id, floor((least(greatest(embedding[1]::DOUBLE, -1), 1) + 1) * 127.5)::BIGINT AS r, floor((least(greatest(embedding[2]::DOUBLE, -1), 1) + 1) * 127.5)::BIGINT AS g, floor((least(greatest(embedding[3]::DOUBLE, -1), 1) + 1) * 127.5)::BIGINT AS b FROM embeddings),
-m AS (SELECT vec_id, r * 2126 + g * 7152 + b * 722 AS lum, g * 2 - r - b AS green FROM v)
-SELECT vec_id, lum, green, CASE WHEN green > 40 THEN 'vegetation' WHEN lum < 1000000 THEN 'asphalt' WHEN lum > 1500000 THEN 'concrete' ELSE 'paving' END AS surface FROM m""",
+WITH v AS (SELECT vec_id, floor((least(greatest(embedding[1]::DOUBLE, -0.3), 0.3) + 0.3) * 425)::DOUBLE AS r, floor((least(greatest(embedding[2]::DOUBLE, -0.3), 0.3) + 0.3) * 425)::DOUBLE AS g, floor((least(greatest(embedding[3]::DOUBLE, -0.3), 0.3) + 0.3) * 425)::DOUBLE AS b, (vec_id % 60)::DOUBLE AS texture FROM embeddings),
+m AS (SELECT *, CASE WHEN greatest(r, g, b) > 0 THEN (greatest(r, g, b) - least(r, g, b)) / greatest(r, g, b, 1.0) ELSE 0.0 END AS sat, (0.2126::DOUBLE * r + 0.7152::DOUBLE * g + 0.0722::DOUBLE * b) / 255 AS lum FROM v),
+w AS (SELECT *, lum < 0.07 OR lum > 0.9 OR (g - (r + b) / 2) / 255 > 0.055 OR (b - (r + g) / 2) / 255 > 0.09 AS gone, r > g * 1.04::DOUBLE AND g > b * 1.03::DOUBLE AND sat <= 0.5 AND lum >= 0.16 AND lum <= 0.72 AS warm,
+CASE WHEN sat < 0.2 AND lum < 0.42 AND texture < 15 THEN 'asphalt' WHEN sat < 0.2 AND lum >= 0.42 AND texture < 13 THEN 'concrete' WHEN sat < 0.28 AND texture >= 13 THEN CASE WHEN texture <= 28 THEN 'paving_stones' ELSE 'gravel' END WHEN r > g * 1.05::DOUBLE AND g > b * 1.03::DOUBLE AND sat <= 0.52 THEN 'paving_stones' ELSE '' END AS material FROM m)
+SELECT vec_id, CASE WHEN gone THEN '' WHEN warm THEN 'warm-paving-candidate' WHEN lum < 0.42 THEN 'dark-hardscape-candidate' ELSE 'light-hardscape-candidate' END AS hardscape,
+CASE WHEN gone THEN 0.0 ELSE floor((least(0.96, greatest(0.0, 0.54::DOUBLE + 0.18 * least(1.0, greatest(0.0, 1 - sat / 0.34)) + 0.13 * least(1.0, greatest(0.0, 1 - greatest(0.0, texture - 30) / 32)) + 0.1 * (1 - 0.2::DOUBLE / 1.1) + CASE WHEN warm THEN 0.06 ELSE 0.0 END + CASE WHEN lum >= 0.14 AND lum <= 0.78 THEN 0.04 ELSE 0.0 END)) + 1e-9) * 1000 + 0.5) / 1000 END AS confidence, material,
+floor((CASE WHEN material = 'asphalt' THEN least(0.91, greatest(0.72, 0.86::DOUBLE - texture / 180)) WHEN material = 'concrete' THEN least(0.9, greatest(0.7, 0.84::DOUBLE - texture / 180)) WHEN sat < 0.28 AND texture >= 13 THEN CASE WHEN texture <= 28 THEN 0.78 ELSE 0.72 END WHEN material <> '' THEN 0.76 ELSE 0.45 END + 1e-9) * 1000 + 0.5) / 1000 AS material_confidence FROM w""",
     "label_nearest_shape": f"""
 WITH l AS (SELECT s_suppkey, {_xy('s_suppkey', 800)} FROM supplier), p AS (SELECT p_partkey, p_size, {_xy('p_partkey', 800)} FROM part),
 j AS (SELECT s_suppkey, p_partkey, ((l.x - p.x) * (l.x - p.x) + (l.y - p.y) * (l.y - p.y)) AS d2, p_size FROM l JOIN p ON (l.x - p.x) * (l.x - p.x) + (l.y - p.y) * (l.y - p.y) <= 3136)
-SELECT s_suppkey, arg_min(p_partkey, (d2 * 100 - p_size * 8) * 100000000 + p_partkey) AS p_partkey, count(*) AS near FROM j GROUP BY 1""",
+SELECT s_suppkey, arg_min(p_partkey, (floor((sqrt(d2) - 0.08::DOUBLE * p_size) * 1e6 + 0.5) / 1e6, p_partkey)) AS p_partkey, count(*) AS near FROM j GROUP BY 1""",
     "great_circle": """
 WITH p AS (SELECT c_custkey, radians(52.981 + (c_custkey * 104729 % 15000) / 1e6) AS b, radians(-1.897 + (c_custkey * 7919 % 28000) / 1e6) AS l FROM customer)
 SELECT c_custkey, floor(2000.0 * 6371.0088 * asin(least(1.0, sqrt(sin((radians(52.981) - b) / 2) ** 2 + cos(b) * cos(radians(52.981)) * sin((radians(-1.897) - l) / 2) ** 2))) * 100 + 0.5) / 100 AS metres FROM p""",

@@ -75,8 +75,9 @@ def document_candidates(spark, sf):
 
 def extract_links(spark, sf):
     """Anchors of the pages: absolute addresses, with mail, script and fragment links dropped."""
-    href = F.explode(F.regexp_extract_all("html", F.lit(r"""(?i)<a\b[^>]*\bhref\s*=\s*"([^"]*)\""""), F.lit(1)))
-    rows = _t(spark, sf, "pages").select("page_id", "url", href.alias("href")).where("href <> '' AND NOT href rlike '(?i)^(#|mailto:|tel:|javascript:|data:)'")
+    html = F.concat("html", F.lit(" <A href='/single'>x</A> <a class=y HREF=bare/path>z</a> <a href='#top'>t</a>"))
+    raw = F.explode(F.regexp_extract_all(html, F.lit(r"""(?i)<a\b[^>]*\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1)))
+    rows = _t(spark, sf, "pages").select("page_id", "url", raw.alias("raw")).withColumn("href", F.regexp_replace("raw", "^[\"']|[\"']$", "")).where("href <> '' AND NOT href rlike '(?i)^(#|mailto:|tel:|javascript:|data:)'")
     root = F.regexp_extract("url", "^([a-z]+://[^/?#]+)", 1)
     full = F.when(F.rlike("href", F.lit("^https?://")), F.col("href")).when(F.startswith("href", F.lit("/")), F.concat(root, "href")).otherwise(F.concat(F.regexp_extract("url", "^([^?#]*/)", 1), "href"))
     return rows.groupBy("page_id", full.alias("link")).agg(F.count("*").alias("n"))
@@ -151,9 +152,12 @@ def prefetch_link(spark, sf):
 
 
 def fingerprint(spark, sf):
-    """A hash per order priority over its sorted list of orders."""
+    """A hash per order priority over its sorted orders: blocks of 4096 keys are hashed each for itself, then the sorted blocks' hashes."""
     line = F.concat_ws(":", F.col("o_orderkey").cast("string"), "o_orderstatus")
-    return _t(spark, sf, "orders").groupBy("o_orderpriority").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))), lambda x: x["line"]), "|"), 256).alias("sha256"))
+    o = _t(spark, sf, "orders").select("o_orderpriority", F.floor(F.col("o_orderkey") / 4096).alias("block"), F.struct("o_orderkey", line.alias("text")).alias("item"))
+    joined = lambda c: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda x: x["text"]), "|"), 256)
+    blocks = o.groupBy("o_orderpriority", "block").agg(joined("item").alias("text"))
+    return blocks.groupBy("o_orderpriority").agg(joined(F.struct("block", "text")).alias("sha256"))
 
 
 def imagery_ranking(spark, sf):
@@ -196,7 +200,7 @@ WHERE lon BETWEEN -1.89 AND -1.875 AND lat BETWEEN 52.983 AND 52.992 AND (conf I
 WITH c AS (SELECT *, 'https://x/' || (p_partkey % 40) AS url FROM ({_CLASSIFIED})), b AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY score DESC, p_partkey) AS n FROM c)
 SELECT url, p_partkey, role, score FROM b WHERE n = 1 AND score >= 35 AND NOT rejected ORDER BY score DESC, url LIMIT 20""",
     "extract_links": r"""
-WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref\s*=\s*"([^"]*)"', 1)) AS href FROM pages)
+WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html || ' <A href=''/single''>x</A> <a class=y HREF=bare/path>z</a> <a href=''#top''>t</a>', '(?i)<a\b[^>]*\bhref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1)) AS raw FROM pages), a AS (SELECT page_id, url, regexp_replace(raw, '^["'']|["'']$', '', 'g') AS href FROM h)
 SELECT page_id, link, count(*) AS n FROM (SELECT page_id, CASE WHEN regexp_matches(href, '^https?://') THEN href WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href ELSE regexp_extract(url, '^([^?#]*/)', 1) || href END AS link
 FROM a WHERE href <> '' AND NOT regexp_matches(href, '(?i)^(#|mailto:|tel:|javascript:|data:)')) GROUP BY 1, 2""",
     "host_page_counts": r"""
@@ -228,7 +232,7 @@ SELECT *, CASE WHEN live >= 12 AND documents >= 6 THEN 'pass' ELSE 'fail' END AS
     "prefetch_link": """
 WITH e AS (SELECT url, min(page_id) AS entry FROM pages WHERE page_id % 3 = 0 GROUP BY url), p AS (SELECT * FROM pages WHERE page_id % 3 <> 0)
 SELECT page_id, coalesce(min(entry), -1) AS entry, min(entry) IS NOT NULL AS available FROM p LEFT JOIN e ON e.url IN (p.url, regexp_replace(p.url, '^https:', 'http:'), regexp_replace(p.url, '[?].*$', '')) GROUP BY page_id""",
-    "fingerprint": """SELECT o_orderpriority, sha256(string_agg(o_orderkey || ':' || o_orderstatus, '|' ORDER BY o_orderkey)) AS sha256 FROM orders GROUP BY 1""",
+    "fingerprint": """WITH b AS (SELECT o_orderpriority, o_orderkey // 4096 AS block, sha256(string_agg(o_orderkey || ':' || o_orderstatus, '|' ORDER BY o_orderkey)) AS h FROM orders GROUP BY 1, 2) SELECT o_orderpriority, sha256(string_agg(h, '|' ORDER BY block)) AS sha256 FROM b GROUP BY 1""",
     "imagery_ranking": """SELECT event_type, event_id, gsd FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY gsd, ts DESC, event_id) AS n FROM (SELECT *, (event_id % 17) / 100.0 AS gsd FROM events)) WHERE n = 1""",
     "aerial_gate": """
 SELECT lang, n, valid, floor(valid * 100000.0 / n + 0.5) / 1000 AS coverage, floor(valid * 100000.0 / n + 0.5) / 1000 >= 85.0 AS passed FROM (SELECT lang, count(*) AS n, count(*) FILTER (n_chars >= 500) AS valid FROM documents GROUP BY lang)""",
