@@ -5,7 +5,8 @@ key of the first with one of the second: 2 * tables * rows minimum hashes do the
 with similarity s meet in a table with chance (1 - (1 - s**rows)**tables)**2; at 0.8 with rows = 2, tables = 10 that is
 0.99993, at 0.85 0.999995.
 
-Documents with one shingle set are one node. In a bucket every node is tested against one pivot, the node that shares
+A table key is shared only if both keys of which it is made are, so documents are first dealt by the 2 * tables single keys, and
+pairs are formed of shared ones only. Documents with one shingle set are one node. In a bucket every node is tested against one pivot, the node that shares
 most buckets with others; nodes that end in one component need no further test. Nodes of a bucket that are still in different
 components meet again by an exact prefix filter: sets are put in one global order, rare shingles first, and only pairs that share
 a shingle early enough to reach the similarity at all are tested. So a large group of near copies isn't paired out.
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
 from evidara.operators.graph import connected_components
-from evidara.session import bounded_batches, cut
+from evidara.session import bounded_batches, cut, drop
 
 #: Cells of the count by which shingles are ordered.
 SKETCH = 1 << 18
@@ -68,6 +69,11 @@ def minimum_keys(x: np.ndarray, first: np.ndarray, per: np.ndarray, tables: int,
     return out
 
 
+def signs(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Two hashes of each set (all non-empty): sums of two mixers over its shingles."""
+    return np.stack([np.add.reduceat(T.mix(x), first), np.add.reduceat(T.mix(x ^ T._STEP), first)])
+
+
 def sketches(docs: DataFrame, k: int, tables: int, rows: int, seed: int) -> DataFrame:
     """(node, n_shingles, s1, s2, a, b) per row of (node, text): set size, two hashes of the set, both key collections."""
 
@@ -75,27 +81,33 @@ def sketches(docs: DataFrame, k: int, tables: int, rows: int, seed: int) -> Data
         for some, data, at in T.slices(batches):
             x, first, per = shingles(data, at, k)
             full = np.flatnonzero(per)
-            signs, keys = np.zeros((2, len(per)), T.U), [np.zeros((0, tables), T.U)] * 2
+            signed, keys = np.zeros((2, len(per)), T.U), [np.zeros((0, tables), T.U)] * 2
             if len(full):
                 begin = first[full]
-                signs[0, full] = np.add.reduceat(T.mix(x), begin)
-                signs[1, full] = np.add.reduceat(T.mix(x ^ T._STEP), begin)
+                signed[:, full] = signs(x, begin)
                 keys = [minimum_keys(x, begin, per[full], tables, rows, seed + c) for c in range(2)]
             made = [T.lists(T.signed(np.ascontiguousarray(keys[c]).ravel()), np.where(per > 0, tables, 0)) for c in range(2)]
-            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(per.astype(np.int64)), pa.array(T.signed(signs[0])), pa.array(T.signed(signs[1])), *made], ["node", "n_shingles", "s1", "s2", "a", "b"])
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(per.astype(np.int64)), pa.array(T.signed(signed[0].copy())), pa.array(T.signed(signed[1].copy())), *made], ["node", "n_shingles", "s1", "s2", "a", "b"])
 
     return docs.mapInArrow(run, "node long, n_shingles long, s1 long, s2 long, a array<long>, b array<long>")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(node, set) per row of (node, text)."""
+    """(node, set) for the rows of (node, s1, s2, text) whose text has the set that s1 and s2 name."""
 
     def run(batches):
         for some, data, at in T.slices(batches):
-            x, _, per = shingles(data, at, k)
-            yield pa.RecordBatch.from_arrays([some.column(0), T.lists(T.signed(x), per)], ["node", "set"])
+            x, first, per = shingles(data, at, k)
+            full = np.flatnonzero(per)
+            if not len(full):
+                continue
+            own = T.signed(signs(x, first[full]))
+            right = np.zeros(len(per), bool)
+            right[full] = (own[0] == some.column(1).to_numpy()[full]) & (own[1] == some.column(2).to_numpy()[full])
+            keep = pa.array(right)
+            yield pa.RecordBatch.from_arrays([some.column(0).filter(keep), T.lists(T.signed(x), per).filter(keep)], ["node", "set"])
 
-    return docs.mapInArrow(run, "node long, set array<long>")
+    return docs.select("node", "s1", "s2", "text").mapInArrow(run, "node long, set array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -140,42 +152,64 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, n_shingles, component_id) per row of `docs`: component_id is the smallest id linked with it, itself included.
 
     Links: 100 * intersection >= percent * union of the distinct shingles of k lower-cased words. Ids are integers and
-    not null. Texts without words, null ones included, have no shingles and no links. Rows that repeat an id are one
-    node. Other columns of `docs` play no part. An empty table gives an empty result.
+    not null. Texts without words, null ones included, have no shingles and no links. Rows that repeat an id are linked with each
+    other, whatever their texts; n_shingles is each row's own. Texts may have any length; other columns of `docs` play no part. An
+    empty table gives an empty result. Two sets are the same if their sizes and two 64-bit hashes are.
     """
     bounded_batches(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    made = cut(sketches(texts, k, tables, rows, seed))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    made = cut(sketches(texts.select(F.col("id").alias("node"), "text"), k, tables, rows, seed).withColumnRenamed("node", "id"))
     full = made.where("n_shingles > 0")
-    classes = full.groupBy("s1", "s2", "n_shingles").agg(F.min("node").alias("rep"), F.first("a").alias("a"), F.first("b").alias("b"))
-    table_keys = F.explode(F.flatten(F.transform("a", lambda x: F.transform(F.col("b"), lambda y: F.xxhash64(x, y)))))
-    keys = classes.select("rep", F.col("n_shingles").alias("n"), table_keys.alias("key")).repartition("key")
-    shared = keys.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("key")
-    live = cut(keys.join(shared, "key"))
+    sign = ["s1", "s2", "n_shingles"]
+    classes = full.groupBy(*sign).agg(F.min("id").alias("id"), F.first("a").alias("a"), F.first("b").alias("b"))
+    classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()))
+    # a table key is shared only if both keys of which it is made are
+    single = classes.select("rep", F.explode(F.concat("a", "b")).alias("key"))
+    shared = cut(single.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"))
+    mine = single.join(shared, "key").groupBy("rep").agg(F.collect_set("key").alias("mine"))
+    left = classes.join(mine, "rep").select("rep", F.col("n_shingles").alias("n"), F.array_intersect("a", "mine").alias("a"), F.array_intersect("b", "mine").alias("b"))
+    pairs = F.explode(F.flatten(F.transform("a", lambda x: F.transform(F.col("b"), lambda y: F.xxhash64(x, y)))))
+    keys = cut(left.select("rep", "n", pairs.alias("key")))
+    sizes = cut(keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
+    live = cut(keys.join(sizes, "key"))
+    drop(shared, keys, sizes)
     # the node of most company is a bucket's pivot: the original rather than one of its variants
-    sizes = live.groupBy("key").agg(F.count("*").alias("c"))
-    company = live.join(sizes, "key").groupBy("rep", "n").agg(F.sum("c").alias("c"))
-    pivots = live.join(company, ["rep", "n"]).groupBy("key").agg(F.max(F.struct("c", -F.col("rep"), "n")).alias("p"))
-    pivots = pivots.select("key", (-F.col("p.col2")).alias("pivot"), F.col("p.n").alias("np"))
+    company = cut(live.groupBy("rep", "n").agg(F.sum("c").alias("company")))
+    pivots = live.join(company, ["rep", "n"]).groupBy("key").agg(F.max(F.struct("company", -F.col("rep"), "n")).alias("p"))
+    pivots = cut(pivots.select("key", (-F.col("p.col2")).alias("pivot"), F.col("p.n").alias("np")))
     star = live.join(pivots, "key").where(f"rep <> pivot AND 100 * least(n, np) >= {percent} * greatest(n, np)")
     star = cut(star.select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")).distinct())
-    ids = live.select(F.col("rep").alias("node")).distinct()
-    sets = cut(shingle_sets(texts.join(ids, "node", "left_semi").dropDuplicates(["node"]), k))
+    named = company.select("rep").join(classes.select("rep", "id", "s1", "s2"), "rep")
+    found = texts.join(named, "id").dropDuplicates(["id", "rep", "s1", "s2", "text"])
+    sets = cut(shingle_sets(found.withColumnRenamed("rep", "node"), k))
+    drop(company, pivots)
     edges = cut(confirmed(star, sets, percent))
     known = connected_components(edges).withColumnRenamed("node", "rep")
-    now = live.select("key", "rep").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    split = now.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key")
+    now = cut(live.select("key", "rep").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    split = cut(now.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key"))
     open_nodes = now.join(split, "key").select("rep", "component").distinct()
     first = cut(prefixes(sets.withColumnRenamed("node", "rep").join(open_nodes, "rep"), percent))
-    apart = first.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("token")
-    first = first.join(apart, "token")
+    drop(live, now, split)
+    apart = cut(first.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("token"))
+    first = cut(first.join(apart, "token"))
     other = first.select("token", *(F.col(c).alias(f"{c}2") for c in ("place", "n", "rep", "component")))
     # what is left after the shared shingle must do for the similarity
     reach = f"component < component2 AND 100 * least(n, n2) >= {percent} * greatest(n, n2) AND {100 + percent} * least(n - place, n2 - place2) >= {percent} * (n + n2)"
     pairs = first.join(other, "token").where(reach).select(F.least("rep", "rep2").alias("u"), F.greatest("rep", "rep2").alias("v")).distinct()
     edges = edges.union(cut(confirmed(pairs.join(star, ["u", "v"], "left_anti"), sets, percent)))
+    # rows of one id are linked
+    again = cut(made.groupBy("id").agg(F.count("*").alias("c")).where("c > 1").select("id"))
+    repeated = not again.isEmpty()
+    if repeated:
+        own = full.join(again, "id").join(classes.select(*sign, "rep"), sign).select("id", "rep").distinct()
+        edges = edges.union(own.join(own.groupBy("id").agg(F.min("rep").alias("u")), "id").where("u <> rep").select("u", F.col("rep").alias("v")))
     known = connected_components(edges).select(F.col("node").alias("rep"), "component")
-    found = classes.select("s1", "s2", "n_shingles", "rep").join(known, "rep", "left").select("s1", "s2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    linked = made.select("node", "n_shingles", "s1", "s2").join(found, ["s1", "s2", "n_shingles"], "left")
+    known = classes.select(*sign, "rep", "id").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    named = cut(known.groupBy("component").agg(F.min("id").alias("component_id")))
+    found = known.join(named, "component").select(*sign, "component_id")
+    out = made.select("id", *sign).join(found, sign, "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    if repeated:
+        least = out.join(again, "id").groupBy("id").agg(F.min("component_id").alias("__least"))
+        out = out.join(least, "id", "left").select("id", "n_shingles", F.coalesce("__least", "component_id").alias("component_id"))
     kind = docs.schema[id_col].dataType
-    return linked.select(F.col("node").cast(kind).alias(id_col), "n_shingles", F.coalesce("component_id", "node").cast(kind).alias("component_id"))
+    return out.select(F.col("id").cast(kind).alias(id_col), "n_shingles", F.col("component_id").cast(kind).alias("component_id"))

@@ -63,6 +63,35 @@ def test_model_beats_counts_on_held_out_text(spark):
     assert rows[0] > rows[1]
 
 
+def test_scores_match_a_plain_loop(spark, monkeypatch):
+    kept = {}
+    train, vocabulary = gated_lm.train, gated_lm.build_vocabulary
+    monkeypatch.setattr(gated_lm, "train", lambda *a: kept.setdefault("p", train(*a)))
+    monkeypatch.setattr(gated_lm, "build_vocabulary", lambda *a: kept.setdefault("v", vocabulary(*a)))
+    s = gated_lm.Settings(n_single=64, n_classes=8, n_suffix=5, hidden=6)
+    docs = queries.table(spark, SF, "documents").where("n_chars < 3000")
+    got = {r.doc_id: r.score for r in gated_lm.lm_scores(docs, settings=s).collect()}
+    v, p = kept["v"][0], {k: x.astype(np.float64) for k, x in kept["p"].items()}
+    rows = docs.select("doc_id", "text").collect()
+    counts = collections.Counter(x.lower() for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 != 2 for x in words(r.text))
+    for r in rows[:12]:
+        h, last, total = np.zeros((1, 6)), v.end, 0.0
+        data, at = textkit.text_buffers(__import__("pyarrow").array([r.text]))
+        tokens, *_ = gated_lm.token_stream(data, at, v)
+        for word, y in zip([*(x.lower() for x in words(r.text)), None], tokens.tolist(), strict=True):
+            h = gated_lm.step(p, h, np.array([last]))[0]
+            of_class = h[0] @ p["Wc"] + p["bc"]
+            of_class -= np.log(np.exp(of_class).sum())
+            if y < s.n_single:
+                c, place = divmod(y, s.per_class)
+                inside = h[0] @ p["Ww"][c] + p["bw"][c]
+                total += of_class[c] + inside[place] - np.log(np.exp(inside).sum())
+            else:
+                total += of_class[s.n_classes + y - s.n_single] + math.log((counts[word] + 1) / v.rest[y - s.n_single])
+            last = y
+        assert got[r.doc_id] == pytest.approx(total / math.log(10), rel=1e-3)
+
+
 def small_model():
     s = gated_lm.Settings(n_single=8, n_classes=2, n_suffix=3, hidden=4, window=5)
     v = gated_lm.Vocabulary(np.array([gated_lm.END]), np.array([3]), np.array([0]), np.array([-1]), np.ones(3), 9, 3, s)
@@ -165,6 +194,40 @@ def test_repeats_match_brute_force(spark, monkeypatch, largest):
     assert repeats.remove_repeats(frame(spark, texts).where("false")).count() == 0
 
 
+def test_repeats_in_documents_match_brute_force(spark):
+    rows = queries.table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op3_suffix_intervals(spark, "/root/testdata/sf0.001").collect()}
+    assert [got[r.doc_id] for r in rows] == removed([(r.text or "").encode() for r in rows], 400)
+
+
+def test_repeats_of_a_very_long_text(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "WINDOWS", 1 << 12)
+    monkeypatch.setattr(textkit, "SPAN_BYTES", 1 << 12)
+    draw = random.Random(6)
+    some = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    parts = [some(900), some(700)]
+    texts = [some(9_000) + parts[0] + some(12_000) + parts[1] + some(5_000), some(300) + parts[0], parts[1][50:] + some(8_500) + parts[0], "x" * 20_000]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == removed([t.encode() for t in texts], 400)
+
+
+def test_operators_take_long_texts(spark):
+    """A text of some megabytes beside short ones goes through every operator on texts whole."""
+    draw = np.random.default_rng(3)
+    names = np.array([f"w{i}" for i in range(5000)])
+    text = " ".join(names[draw.integers(0, 5000, 800_000)].tolist())
+    docs = frame(spark, [text, text[:4_000_000], "short one"])
+    labels = queries.table(spark, SF, "labels")
+    assert {r.n_tokens for r in gated_lm.lm_scores(docs).collect()} >= {800_001, 3}
+    assert quality_rules.line_rules(docs).where("n_words = 800000").count() == 1
+    assert repeats.remove_repeats(docs).where("n_bytes > 4000000").count() == 1
+    assert near_duplicates.near_duplicates(docs).where("n_shingles > 700000").count() == 1
+    assert cotraining.classify(docs, labels, queries.metadata_columns()).count() == 3
+    columns = (F.col("text"), F.lit(""), F.lit(""), F.lit(""), F.lit(""))
+    assert language_id.identify(docs, queries.table(spark, SF, "documents"), "doc_id", *columns).where("n_grams > 100000").count() == 2
+    assert packing.pieces(docs, queries.WORD_BPE).where("piece > 100").count() > 100
+
+
 def test_intervals_are_the_prefix_tree():
     suffixes = sorted(["banana"[i:] for i in range(6)])
     lcp = [repeats.common(a.encode(), b.encode()) for a, b in zip(suffixes, suffixes[1:], strict=False)]
@@ -206,6 +269,16 @@ def test_near_duplicates_match_all_pairs(spark):
     assert near_duplicates.near_duplicates(frame(spark, texts).where("false")).count() == 0
 
 
+def test_rows_of_one_id_are_linked(spark):
+    draw = random.Random(8)
+    text = lambda: [f"w{draw.randint(0, 10**6)}" for _ in range(100)]
+    a, b, c = text(), text(), text()
+    near = lambda t: " ".join([*t[:-2], "new", "end"])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (2, near(a)), (3, near(b)), (5, None), (7, " ".join(c)), (9, near(c)), (9, near(c)), (8, "")]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: c for (i, _), c in got.items()} == {5: 2, 2: 2, 3: 2, 7: 7, 9: 7, 8: 8} and got[5, 0] == 2
+
+
 # -- op5 ---------------------------------------------------------------------------------------------------------
 
 

@@ -62,3 +62,19 @@ def test_passages_of_more_than_50_words_go(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: r.text for r in corpus_pipeline.passages(spark, docs, "").collect()}
     assert got == want
+
+
+def test_run_writes_every_stage_and_packs_all_that_is_kept(spark):
+    sf = "/root/testdata/sf0.001"
+    packed = corpus_pipeline.run(spark, sf)
+    assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    n = queries.table(spark, sf, "documents").count()
+    kept = packed.where("piece = 0").select("doc_id").distinct().count()
+    assert 0.5 * n < kept < n
+
+
+def test_one_row_of_an_id_stays(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, extra string"
+    rows = [(1, "b b b", "en", "s", 5, "x"), (1, "a a a", "en", "s", 5, "y"), (1, None, "en", "s", 0, "z"), (2, "c", None, None, None, None)]
+    got = sorted((r.doc_id, r.text or "") for r in corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, schema), "").collect())
+    assert got == [(1, ""), (2, "c")]
