@@ -52,18 +52,18 @@ def bbox_filter_standardize(spark, sf):
 
 
 def classify_documents(spark, sf):
-    """Role, state and score of each part's name read as a drawing's title; rejected ones marked."""
-    words = F.concat_ws(" ", F.element_at(F.array(*map(F.lit, ("approved", "proposed", "existing", "superseded", "as built"))), (F.pmod("p_partkey", F.lit(5)) + 1).cast("int")), F.element_at(F.array(*map(F.lit, ("site plan", "block plan", "location plan", "landscaping", "track layout", "roof plan", "elevation", "cross section", "contours", "lighting", "road layout", "decision notice", "letter"))), (F.pmod("p_partkey", F.lit(13)) + 1).cast("int")), "p_name")
+    """Role, state and score of each part's name read as a drawing's title; two in three can be downloaded; rejected ones marked."""
+    words = F.concat_ws(" ", F.element_at(F.array(*map(F.lit, ("approved", "proposed", "existing", "superseded", "as built"))), (F.pmod("p_partkey", F.lit(5)) + 1).cast("int")), F.element_at(F.array(*map(F.lit, ("site plan", "block plan", "location plan", "landscaping", "track layout", "roof plan", "elevation", "cross section", "contours", "lighting", "road layout", "decision notice", "covering letter"))), (F.pmod("p_partkey", F.lit(13)) + 1).cast("int")), "p_name")
     t = _t(spark, sf, "part").withColumn("title", words)
-    out = t.select("p_partkey", S.document_role(F.col("title")).alias("role"), S.document_state(F.col("title")).alias("state"), S.document_score(F.col("title")).cast("bigint").alias("score"))
-    return out.withColumn("rejected", F.col("state") == "superseded")
+    out = t.select("p_partkey", S.document_role(F.col("title")).alias("role"), S.document_state(F.col("title")).alias("state"), (S.document_score(F.col("title")) + F.when(F.pmod("p_partkey", F.lit(3)) > 0, 5).otherwise(0)).cast("bigint").alias("score"), F.rlike(F.lower("title"), F.lit(S.REJECT_WORDS)).alias("unwanted"))
+    return out.withColumn("rejected", F.col("unwanted") | (F.col("state") == "superseded")).drop("unwanted")
 
 
 def _sql_case(text: str, cases, default: str, value=1) -> str:
     return "CASE " + " ".join(f"WHEN regexp_matches({text}, '{c[0]}') THEN {c[value]!r}" for c in cases) + f" ELSE {default} END"
 
 
-_TITLE = "lower(['approved','proposed','existing','superseded','as built'][p_partkey % 5 + 1] || ' ' || ['site plan','block plan','location plan','landscaping','track layout','roof plan','elevation','cross section','contours','lighting','road layout','decision notice','letter'][p_partkey % 13 + 1] || ' ' || p_name)"
+_TITLE = "lower(['approved','proposed','existing','superseded','as built'][p_partkey % 5 + 1] || ' ' || ['site plan','block plan','location plan','landscaping','track layout','roof plan','elevation','cross section','contours','lighting','road layout','decision notice','covering letter'][p_partkey % 13 + 1] || ' ' || p_name)"
 
 
 def document_candidates(spark, sf):
@@ -182,7 +182,7 @@ def event_windows(spark, sf):
 QUERIES = {f.__name__: f for f in (latest_partition_per_quadkey, bbox_filter_standardize, classify_documents, document_candidates, extract_links, host_page_counts, application_merge, round_robin_plan, budget_prefix, rejection_histogram, license_gate, byte_sizes, short_hashes, coverage_gate, prefetch_link, fingerprint, imagery_ranking, aerial_gate, event_windows)}
 
 _SCORE = " + ".join([f"({_sql_case('t', [(p, s) for p, _, s in S.DOCUMENT_ROLES], '0')})", *(f"(CASE WHEN regexp_matches(t, '{p}') THEN {v} ELSE 0 END)" for p, v in S.SCORE_WORDS)])
-_CLASSIFIED = f"SELECT p_partkey, role, state, score::BIGINT AS score, state = 'superseded' AS rejected FROM (SELECT p_partkey, {_sql_case('t', S.DOCUMENT_ROLES, repr('unknown'))} AS role, {_sql_case('t', S.DOCUMENT_STATES, repr('unknown'))} AS state, {_SCORE} AS score FROM (SELECT p_partkey, {_TITLE} AS t FROM part))"
+_CLASSIFIED = f"SELECT p_partkey, role, state, (score + CASE WHEN p_partkey % 3 > 0 THEN 5 ELSE 0 END)::BIGINT AS score, unwanted OR state = 'superseded' AS rejected FROM (SELECT p_partkey, regexp_matches(t, '{S.REJECT_WORDS}') AS unwanted, {_sql_case('t', S.DOCUMENT_ROLES, repr('unknown'))} AS role, {_sql_case('t', S.DOCUMENT_STATES, repr('unknown'))} AS state, {_SCORE} AS score FROM (SELECT p_partkey, {_TITLE} AS t FROM part))"
 _OPEN = ", ".join(map(repr, S.OPEN_LICENSES))
 _RULED = " OR ".join(f"contains(low, '{m}')" for m in S.RESTRICTED_MARKERS)
 
