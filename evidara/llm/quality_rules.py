@@ -86,11 +86,11 @@ def measured(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Data
     return source.mapInArrow(run, f"doc_id {kind}, host string, {MEASURES}, {LINES}")
 
 
-def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_documents: int = 20, max_share: float = 0.02, max_removed: float = 0.5, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_documents: int = 20, max_share: float = 0.02, max_documents: int = 10_000, max_removed: float = 0.5, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """Per row of `docs`: the base measures, base_failed, the numbers of the lines to remove (from 0), kept.
 
     A line goes when more than `min_documents` distinct documents of its host hold it and these are more than
-    `max_share` of the host's distinct documents. A document with more than `max_removed` of its words in such lines is
+    `max_share` of the host's distinct documents or more than `max_documents`. Texts may have any length. A document with more than `max_removed` of its words in such lines is
     depleted and rejected. Null text counts as empty, a null host as the host ''; rows with the same id are judged one by one; other columns
     of `docs` play no part. An empty table gives an empty result.
     """
@@ -100,7 +100,7 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = rows.select("row_id", "host", "text_hash", F.explode(F.arrays_zip("line_no", "line_hash", "line_words")).alias("l")).select("row_id", "host", "text_hash", "l.*")
     holders = lines.groupBy("host", "line_hash").agg(F.countDistinct("text_hash").alias("holders")).where(F.col("holders") > min_documents)
     sizes = rows.groupBy("host").agg(F.countDistinct("text_hash").alias("host_documents"))
-    frequent = cut(holders.join(sizes, "host").where(F.col("holders") > max_share * F.col("host_documents")).select("host", "line_hash"))
+    frequent = cut(holders.join(sizes, "host").where((F.col("holders") > max_share * F.col("host_documents")) | (F.col("holders") > max_documents)).select("host", "line_hash"))
     # a hot line meets its one row of `frequent` in as many pieces as there are salts
     salts = 16
     removed = (

@@ -131,7 +131,7 @@ l AS (SELECT r, host, h, line, array_to_string(ws, ' ') AS norm, len(ws) AS n, i
       SELECT r, host, t, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT r, host, t, string_split(t, chr(10)) AS ls FROM d))))
   WHERE len(ws) > 0),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM l GROUP BY r),
-f AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT h) AS k FROM l GROUP BY host, norm) JOIN (SELECT host, count(DISTINCT md5(t)) AS k_host FROM d GROUP BY host) USING (host) WHERE k > 20 AND k > 0.02 * k_host),
+f AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT h) AS k FROM l GROUP BY host, norm) JOIN (SELECT host, count(DISTINCT md5(t)) AS k_host FROM d GROUP BY host) USING (host) WHERE k > 20 AND (k > 0.02 * k_host OR k > 10000)),
 gone AS (SELECT r, sum(n) AS n, count(*) AS lines FROM l JOIN f USING (host, norm) GROUP BY r),
 m AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
   coalesce(covered.n, 0) AS n_repeat_words, coalesce(gone.n, 0) AS removed_words, coalesce(gone.lines, 0) AS n_removed_lines

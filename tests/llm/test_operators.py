@@ -154,6 +154,9 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
     assert all(got[i].removed_lines == [1] and got[i].kept for i in range(30))
     assert got[30].removed_words == 80 and got[30].n_dup_lines == 19 and not got[30].kept
     assert got[31].n_words == 0 and got[31].base_failed and not got[31].kept
+    # a line of few documents in the hundred goes too where they are many
+    assert not any(r.removed_lines for r in quality_rules.line_rules(docs, min_documents=5, max_share=0.9).collect())
+    assert sum(bool(r.removed_lines) for r in quality_rules.line_rules(docs, min_documents=5, max_share=0.9, max_documents=25).collect()) == 31
     left = {r.doc_id: r.text for r in quality_rules.cleaned(docs, quality_rules.line_rules(docs, min_documents=5)).collect()}
     assert left[3] == body[3] and 30 not in left
     assert quality_rules.line_rules(docs.where("false")).count() == 0
