@@ -3,6 +3,7 @@
 import gzip
 import json
 import math
+import random
 
 import duckdb
 import pandas as pd
@@ -10,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from evidara import catalog
+from evidara.functions import geometry as G
 from evidara.functions import scalars as S
-from evidara.operators import ranking, raster
+from evidara.operators import ranking, raster, spatial
 from evidara.operators.graph import connected_components
 from evidara.sources import readers, sinks
 from evidara.streaming.windows import windowed_counts
@@ -67,6 +69,55 @@ def test_budget_failure_uses_a_place_but_no_bytes(spark):
     assert ranking.within_budget(rows, "g", ["i"], "size", 100, 3).first().asDict() == {"g": "a", "taken": 2, "failed": 1, "used": 90}
 
 
+def test_budget_of_a_large_group_and_null_sizes(spark):
+    rows = spark.range(3000).select(F.lit("a").alias("g"), F.col("id").alias("i"), F.when(F.col("id") == 1, None).otherwise(10).alias("size"))
+    assert ranking.within_budget(rows, "g", ["i"], "size", 95, 30).first().asDict() == {"g": "a", "taken": 10, "failed": 20, "used": 90}
+
+
+def test_greedy_aliases_match_a_plain_pass(spark):
+    draw = random.Random(3)
+    rows = [(i, [None if draw.random() < 0.05 else draw.randrange(120) for _ in range(draw.randint(0, 3))], draw.randrange(20)) for i in range(200)]
+    taken, kept = set(), []
+    for i, aliases, _ in sorted(rows, key=lambda r: (-r[2], r[0])):
+        own = {a for a in aliases if a is not None}
+        if not own & taken:
+            kept.append(i)
+            taken |= own
+    found = ranking.greedy_by_alias(spark.createDataFrame(rows, "id int, aliases array<int>, score int"), "id", "aliases", [-F.col("score"), F.col("id")])
+    assert sorted(r.id for r in found.collect()) == sorted(kept)
+
+
+def test_rows_with_nulls_are_matched_by_a_grid(spark):
+    left = spark.createDataFrame([(1.0, 1.0, None), (50.0, 50.0, None)], "x double, y double, name string")
+    right = spark.createDataFrame([(1.5, 1.0)], "x2 double, y2 double")
+    assert [r.x for r in spatial.grid_join(left, right, 2.0, "left_anti").collect()] == [50.0]
+
+
+def test_geometry_of_known_shapes(spark):
+    one = spark.range(1)
+    square, hole = G.ring(F.lit(0), F.lit(0), ((0, 0), (10, 0), (10, 10), (0, 10))), G.ring(F.lit(5), F.lit(5), ((-1, -1), (1, -1), (1, 1), (-1, 1)))
+    at = lambda x, y: G.inside_rings(F.array(square, hole), F.lit(x), F.lit(y))
+    row = one.select(at(2.0, 2.0), at(5.0, 5.0), at(11.0, 2.0), G.signed_area(square), G.length(square), *G.british_grid(F.lit(1.716073973), F.lit(52.658007833))).first()
+    assert tuple(row[:5]) == (True, False, False, 100.0, 30.0)
+    # a point of the survey's published example, within the datum shift's few metres
+    assert abs(row[5] - 651409.8) < 5 and abs(row[6] - 313177.3) < 5
+
+
+def test_licences_and_sizes_of_texts(spark):
+    texts = {"https://creativecommons.org/licenses/by/4.0/?ref=x": True, "See http://creativecommons.org/publicdomain/zero/1.0/": True, "https://creativecommons.org/licenses/by-nc/4.0/": False, "CC_BY 4.0; no derivatives": False, "odbl": True, "": False, "mine": False}
+    rows = spark.createDataFrame([(t, b) for t, b in texts.items()], "t string, b boolean").select("t", "b", S.is_open_license(F.col("t")).alias("open")).collect()
+    assert all(r.open == r.b for r in rows)
+    sizes = spark.createDataFrame([("1.5KB", 1536), ("2 MiB", 2097152), ("1TB", None), ("x", None), ("7", 7)], "t string, n long").select("n", S.byte_size(F.col("t")).alias("got")).collect()
+    assert all(r.got == r.n for r in sizes)
+
+
+def test_reports_and_feature_lines(spark, tmp_path):
+    rows = spark.createDataFrame([(1, '{"type":"Point","coordinates":[1,2]}')], "n int, g string")
+    sinks.write_report(rows.select("n"), str(tmp_path / "report"))
+    assert [r.n for r in spark.read.json(str(tmp_path / "report")).collect()] == [1]
+    assert json.loads(sinks.feature_lines(rows, "g", ["n"]).first().value) == {"type": "Feature", "geometry": {"type": "Point", "coordinates": [1, 2]}, "properties": {"n": 1}}
+
+
 def test_palette_shares_and_edges(spark):
     lattice = spark.range(180 * 180).select(F.floor(F.col("id") / 180).cast("int").alias("row"), F.pmod("id", F.lit(180)).cast("int").alias("col"))
     n = {r.block: r["count"] for r in raster.sampled_materials(lattice, [("a", 0.6), ("b", 0.3), ("c", 0.1)], 771).groupBy("block").count().collect()}
