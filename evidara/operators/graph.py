@@ -1,7 +1,8 @@
 """Connected components of an edge list by alternating large-star and small-star steps.
 
-Each step is a grouped minimum and a join, so no node's neighbours are gathered in one task; the number of rounds grows
-with the logarithm of the longest path. State is cut to the checkpoint folder after every round.
+Each step is a grouped minimum and a join with it; neighbours are never gathered, but the pairs of a hub meet in one task of the
+join unless adaptive execution splits it. The number of rounds grows with the logarithm of the longest path. State is cut to the shared folder after every round, and
+the state before it is deleted.
 """
 
 from __future__ import annotations
@@ -9,13 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evidara.session import cut
+from evidara.session import cut, drop
 
 
 def _with_min(pairs: DataFrame) -> DataFrame:
-    """(u, v, m): each pair with the least of u and all v of u."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    return pairs.join(least, "u").withColumn("m", F.least("u", "m"))
+    """(u, v, m): each pair with the least of u and all v of u; pairs must lead from every node to all its neighbours.
+
+    A hub that is the least of its component has no smaller neighbour, so its pairs keep u as their minimum.
+    """
+    least = pairs.groupBy("u").agg(F.min("v").alias("m")).where("m < u")
+    return pairs.join(least, "u", "left").withColumn("m", F.coalesce("m", "u"))
 
 
 def connected_components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
@@ -33,7 +37,8 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
         large = _with_min(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = _with_min(large)
         small = small.select("u", F.col("m").alias("v")).union(small.select(F.col("v").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
-        now = cut(small)
+        before, now = now, cut(small)
+        drop(before)
         told = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if told == mark:
             break
