@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evidara.functions import geometry as G
 from evidara.functions import rules as R
 from evidara.functions import scalars as S
 from evidara.functions.scalars import half_up
-from evidara.operators.ranking import first_per_key
+from evidara.operators.ranking import first_per_key, round_robin
 from evidara.plans.drawing_plans import CLASSES
 
 
@@ -124,7 +125,48 @@ def nearby_places(spark, sf):
     return inside.select("item", "o_orderkey", half_up(metres, 1).alias("metres"), S.is_open_license(plain).alias("open"))
 
 
-QUERIES = {f.__name__: f for f in (text_anchors, attachments, surface_materials, reference_features, registered_drawings, nearby_places)}
+#: Pixels within which of two registrations only the cheaper stays, and how many are looked at.
+APART, TRIED = 35, 8
+
+
+def suppressed_candidates(spark, sf):
+    """Registrations of each drawing: of its eight cheapest, in order, those that are farther than 35 pixels from every one kept before."""
+    k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    c = _t(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("copies")).select(F.pmod("l_orderkey", F.lit(300)).alias("drawing"), k.alias("id"), F.pmod(k * 31, F.lit(10007)).alias("cost"), F.pmod(k * 17, F.lit(200)).cast("double").alias("x"), F.pmod(k * 29, F.lit(150)).cast("double").alias("y"))
+    first = round_robin(c, "drawing", [F.col("cost"), F.col("id")], TRIED)
+    listed = F.array_sort(F.collect_list(F.struct("turn", "id", "x", "y")))
+
+    def step(kept, v):
+        near = F.exists(kept, lambda o: F.pow(o["x"] - v["x"], 2) + F.pow(o["y"] - v["y"], 2) < APART * APART)
+        return F.when(near, kept).otherwise(F.concat(kept, F.array(v)))
+
+    g = first.groupBy("drawing").agg(F.aggregate(listed, F.array().cast("array<struct<turn:int,id:bigint,x:double,y:double>>"), step).alias("kept"))
+    return g.select("drawing", F.explode("kept").alias("v")).select("drawing", "v.id", F.col("v.turn").alias("rank"))
+
+
+def svg_shapes(spark, sf):
+    """Lines, polylines, polygons and rectangles of drawings, hidden ones aside, with their group's shift and scale: points, whether closed, box and length."""
+    k = F.col("s_suppkey")
+    n = lambda m, mod: F.pmod(k * m, F.lit(mod)).cast("string")
+    svg = F.concat(
+        F.lit('<svg width="842" height="595"><g transform="translate('), n(3, 50), F.lit(","), n(5, 40), F.lit(') scale(2)"><polyline points="0,0 '), n(7, 90), F.lit(",0 "), n(7, 90), F.lit(","), n(11, 80), F.lit('" stroke="#000"/><polygon points="0 0 10 0 10 10"/><rect x="'), n(13, 30), F.lit('" y="4" width="12" height="'), n(17, 20),
+        F.lit('"/><line x1="0" y1="0" x2="'), n(19, 70), F.lit('" y2="3"/><rect x="1" y="1" width="5" height="5" display="none"/></g></svg>'),
+    )
+    s = _t(spark, sf, "supplier").select("s_suppkey", svg.alias("svg"))
+    number = lambda text, name: F.regexp_extract(text, rf'\b{name}="(-?[0-9.]+)"', 1).try_cast("double")
+    shift = lambda i: F.regexp_extract("svg", r"translate\((-?[0-9.]+),(-?[0-9.]+)\)", i).cast("double")
+    tags = s.select("s_suppkey", shift(1).alias("tx"), shift(2).alias("ty"), F.regexp_extract("svg", r"scale\(([0-9.]+)\)", 1).cast("double").alias("scale"), F.posexplode(F.regexp_extract_all("svg", F.lit(r"<((?:polyline|polygon|rect|line)\b[^>]*)>"), F.lit(1))).alias("place", "tag")).where("NOT tag LIKE '%display=\"none\"%'")
+    kind = F.regexp_extract("tag", "^([a-z]+)", 1)
+    numbers = F.transform(F.regexp_extract_all(F.regexp_extract("tag", r'points="([^"]*)"', 1), F.lit(r"-?[0-9.]+"), F.lit(0)), lambda v: v.cast("double"))
+    t = F.col("tag")
+    flat = F.when(kind == "rect", F.array(number(t, "x"), number(t, "y"), number(t, "x") + number(t, "width"), number(t, "y"), number(t, "x") + number(t, "width"), number(t, "y") + number(t, "height"), number(t, "x"), number(t, "y") + number(t, "height"))).when(kind == "line", F.array(number(t, "x1"), number(t, "y1"), number(t, "x2"), number(t, "y2"))).otherwise(numbers)
+    tags = tags.select("s_suppkey", "place", kind.alias("kind"), "tx", "ty", "scale", flat.alias("flat"))
+    points = F.transform(F.sequence(F.lit(0), (F.size("flat") / 2).cast("int") - 1), lambda i: G.point(F.col("tx") + F.col("scale") * F.get("flat", (2 * i).cast("int")), F.col("ty") + F.col("scale") * F.get("flat", (2 * i + 1).cast("int"))))
+    tags = tags.withColumn("points", points)
+    return tags.select("s_suppkey", "place", "kind", F.size("points").alias("n"), F.col("kind").isin("rect", "polygon").alias("closed"), F.array_min(F.transform("points", lambda p: p["x"])).alias("x0"), F.array_max(F.transform("points", lambda p: p["y"])).alias("y1"), half_up(G.length(F.col("points")), 3).alias("length"))
+
+
+QUERIES = {f.__name__: f for f in (text_anchors, attachments, surface_materials, reference_features, registered_drawings, nearby_places, suppressed_candidates, svg_shapes)}
 
 _D = R.sql_dealt
 _R = lambda x, n: f"floor(({x}) * 1e{n} + 0.5) / 1e{n}"
@@ -161,4 +203,15 @@ SELECT p_partkey, role, state, fits, {_R('rmse', 2)} AS rmse_m, {_R(f"{_D('p_par
 WITH o AS (SELECT o_orderkey * 7 % 2000 AS item, o_orderkey, {_D('o_orderkey', PLACES, 3)} AS wkt, {_D('o_orderkey', LICENCES, 5)} AS licence FROM orders), f AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY o_orderkey) AS n FROM o),
 c AS (SELECT *, try_cast(regexp_extract(wkt, '{_POINT}', 1) AS DOUBLE) AS lon, try_cast(regexp_extract(wkt, '{_POINT}', 2) AS DOUBLE) AS lat FROM f WHERE n = 1)
 SELECT item, o_orderkey, {_R("2000.0 * 6371.0088 * asin(least(1.0, sqrt(sin(radians(lat - 52.987) / 2) ** 2 + cos(radians(52.987)) * cos(radians(lat)) * sin(radians(lon + 1.89) / 2) ** 2)))", 1)} AS metres, NOT contains(licence, 'reserved') AS open FROM c WHERE lon BETWEEN -1.91 AND -1.86 AND lat BETWEEN 52.97 AND 53.01""",
+    "suppressed_candidates": f"""
+WITH RECURSIVE c AS (SELECT DISTINCT l_orderkey % 300 AS drawing, l_orderkey * 7 + l_linenumber AS id FROM lineitem), p AS (SELECT *, id * 31 % 10007 AS cost, (id * 17 % 200)::DOUBLE AS x, (id * 29 % 150)::DOUBLE AS y FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY drawing ORDER BY cost, id) AS n FROM p), t AS (SELECT * FROM r WHERE n <= {TRIED}),
+g AS (SELECT DISTINCT drawing, 0::BIGINT AS n, []::STRUCT(x DOUBLE, y DOUBLE)[] AS kept, NULL::BIGINT AS id, false AS stays FROM t
+UNION ALL SELECT t.drawing, t.n, CASE WHEN len(list_filter(kept, lambda o: pow(o.x - t.x, 2) + pow(o.y - t.y, 2) < {APART * APART})) > 0 THEN kept ELSE list_append(kept, {{'x': t.x, 'y': t.y}}) END, t.id, len(list_filter(kept, lambda o: pow(o.x - t.x, 2) + pow(o.y - t.y, 2) < {APART * APART})) = 0 FROM g JOIN t ON t.drawing = g.drawing AND t.n = g.n + 1)
+SELECT drawing, id, n::INTEGER AS rank FROM g WHERE stays""",
+    "svg_shapes": """
+WITH s AS (SELECT s_suppkey, (s_suppkey * 3 % 50)::DOUBLE AS tx, (s_suppkey * 5 % 40)::DOUBLE AS ty, (s_suppkey * 7 % 90)::DOUBLE AS a, (s_suppkey * 11 % 80)::DOUBLE AS b, (s_suppkey * 13 % 30)::DOUBLE AS c, (s_suppkey * 17 % 20)::DOUBLE AS d, (s_suppkey * 19 % 70)::DOUBLE AS e FROM supplier)
+SELECT s_suppkey, 0 AS place, 'polyline' AS kind, 3 AS n, false AS closed, tx AS x0, ty + 2 * greatest(0, b) AS y1, floor((2 * a + 2 * b) * 1000 + 0.5) / 1000 AS length FROM s
+UNION ALL SELECT s_suppkey, 1, 'polygon', 3, true, tx, ty + 20, 40.0 FROM s UNION ALL SELECT s_suppkey, 2, 'rect', 4, true, tx + 2 * c, ty + 2 * (4 + d), floor((48 + 2 * d) * 1000 + 0.5) / 1000 FROM s
+UNION ALL SELECT s_suppkey, 3, 'line', 2, false, tx, ty + 6, floor(2 * sqrt(e * e + 9) * 1000 + 0.5) / 1000 FROM s""",
 }
