@@ -496,7 +496,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
             edge = (2 * np.append(begin, len(tok))).tolist()
             ids = tok.astype("<u2").tobytes()
             yield pa.RecordBatch.from_arrays(
-                [some.column(0), some.column(1), pa.array(w.count + 1), pa.array(known), pa.array(base), pa.array(np.bincount(w.text, share, texts)), pa.array([ids[a:b] for a, b in zip(edge, edge[1:])], pa.binary()), T.lists(key[at, 1], per), T.lists(np.diff(at, append=len(key)), per)],  # noqa: B905
+                [some.column(0), some.column(1), pa.array(w.count + 1, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(np.bincount(w.text, share, texts).astype(np.float64), pa.float64()), pa.array([ids[a:b] for a, b in zip(edge, edge[1:])], pa.binary()), T.lists(key[at, 1], per), T.lists(np.diff(at, append=len(key)), per)],  # noqa: B905
                 ["id", "held_out", "n_tokens", "n_known", "base", "share", "tokens", "tail", "times"],
             )
 
@@ -516,7 +516,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
             for batch in held:
                 own = score[done : done + batch.num_rows]
                 done += batch.num_rows
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(own + batch.column(batch.num_columns - 1).to_numpy())], [*batch.schema.names[:-2], "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(own + batch.column(batch.num_columns - 1).to_numpy(), pa.float64())], [*batch.schema.names[:-2], "score"])
 
     facts = ["row_id", "id", "held_out", "n_tokens", "n_known", "base"]
     scored = made.select(*facts, "tokens", "share").mapInArrow(run, f"row_id long, id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidara.llm import byte_bpe, cotraining, gated_lm, language_id, near_duplicates, packing, quality_rules, repeats, threshold_search, url_filters
+from evidara.llm import byte_bpe, centroids, cotraining, fill_middle, gated_lm, language_id, near_duplicates, packing, quality_rules, repeats, threshold_search, toxicity, url_filters
 
 #: The public tokenizers' vocabulary files.
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -87,6 +87,21 @@ def op10_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.url_verdicts(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after ten rounds of Lloyd's algorithm in integers."""
+    return centroids.lloyd(table(spark, sf_dir, "embeddings"))
+
+
+def op12_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document by a lexicon learned from the labels."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into three parts and put into another order, as hashes of the output and of the text rebuilt from it."""
+    return fill_middle.fill_middle(table(spark, sf_dir, "documents"), digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_gated_lm": op1_gated_lm,
     "op2_line_frequency": op2_line_frequency,
@@ -98,11 +113,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_folded_merges": op8_folded_merges,
     "op9_evidence_fusion": op9_evidence_fusion,
     "op10_association_rules": op10_association_rules,
+    "op11_centroids": op11_centroids,
+    "op12_toxic_lexicon": op12_toxic_lexicon,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
+
+
+def lloyd_sql(k: int = 8, rounds: int = 10) -> str:
+    """Lloyd's algorithm with a few common tables a round."""
+    assign = """a{i} AS (SELECT r, min_by(c, (d, c)) AS c, min(d) AS d FROM (SELECT r, c.c AS c, list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM v, c{i} c) GROUP BY r)"""
+    move = """s{i} AS (SELECT c, g, sum(v.e[g])::HUGEINT AS s, count(*) AS n FROM a{i} JOIN v USING (r), range(1, 65) t(g) GROUP BY c, g),
+m{i} AS (SELECT c, list(((s - (((s % n) + n) % n)) // n)::BIGINT ORDER BY g) AS e FROM s{i} GROUP BY c),
+c{j} AS (SELECT c, coalesce(m{i}.e, c{i}.e) AS e FROM c{i} LEFT JOIN m{i} USING (c))"""
+    steps = ",\n".join(f"{assign.format(i=i)},\n{move.format(i=i, j=i + 1)}" for i in range(rounds))
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding AS x, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), x) - 1 AS c, e FROM v QUALIFY c < {k}),
+{steps},
+{assign.format(i=rounds)},
+t AS (SELECT vec_id, c, d, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia FROM a{rounds} JOIN v USING (r))
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, cluster_inertia, inertia, sha256(array_to_string(e, ',')) AS centroid_sha256 FROM t JOIN c{rounds} USING (c)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_centroids": lloyd_sql(),
+    "op13_fill_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+h AS (SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS x, ('0x' || h[9:16])::BIGINT % (n + 1) AS y, ('0x' || h[17:24])::BIGINT % 100 AS p, ('0x' || h[25:32])::BIGINT % 100 AS q FROM d),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR p >= 90 THEN 'plain' WHEN q < 20 THEN 'spm' ELSE 'psm' END AS form, least(x, y) AS a, greatest(x, y) AS b FROM h),
+s AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM f)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM s""",
     "op7_threshold_search": """
 WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
