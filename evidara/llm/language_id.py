@@ -11,7 +11,6 @@ taken out of the counts that judge it. Text that no language explains better tha
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -63,17 +62,30 @@ def bounded_trigrams(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndar
         yield trigrams(part, np.array([0, len(part)]))
 
 
+#: Three-letter codes of languages that have a two-letter code (both forms of ISO 639-2).
+SAME = dict(
+    ara="ar", bul="bg", ces="cs", chi="zh", cze="cs", dan="da", deu="de", dut="nl", ell="el", eng="en", est="et", fas="fa", fin="fi", fra="fr", fre="fr", ger="de", gre="el", heb="he", hin="hi", hrv="hr", hun="hu",
+    ind="id", ita="it", jpn="ja", kor="ko", lav="lv", lit="lt", may="ms", msa="ms", nld="nl", nor="no", per="fa", pol="pl", por="pt", ron="ro", rum="ro", rus="ru", slk="sk", slo="sk", slv="sl", spa="es", srp="sr",
+    swe="sv", tha="th", tur="tr", ukr="uk", vie="vi", zho="zh",
+)
+
+
 def label(x: Column) -> Column:
-    """The first two letters a-z of a label, so that there are at most 676 languages whatever the labels hold; else null."""
-    return F.nullif(F.regexp_extract(F.lower(F.trim(x)), "^([a-z]{2})", 1), F.lit(""))
+    """The language that a label begins with: two or three letters a-z which no letter follows; else null."""
+    tag = F.nullif(F.regexp_extract(F.lower(F.trim(x)), "^([a-z]{2,3})(?![a-z])", 1), F.lit(""))
+    return F.coalesce(F.element_at(F.create_map(*(F.lit(v) for pair in SAME.items() for v in pair)), tag), tag)
 
 
-def learned(labelled: DataFrame, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray]:
+def learned(labelled: DataFrame, text_col: str, lang_col: str, most: int) -> tuple[list[str], np.ndarray]:
     """(languages, ln P(bucket | language)) from all rows with a label; a language is known if any text of it has a trigram.
 
-    The table has one row per language and BUCKETS columns; its size doesn't depend on the input's.
+    The table has one row per language and BUCKETS columns. If there are more than `most` languages, those with the most rows count,
+    then by name; what others declare counts as unknown.
     """
     rows = labelled.where(F.col(text_col).isNotNull()).select(label(F.col(lang_col)).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL")
+    counted_langs = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most + 1).collect()
+    if len(counted_langs) > most:
+        rows = rows.where(F.col("lang").isin([r["lang"] for r in counted_langs[:most]]))
 
     def run(batches):
         total: dict[str, np.ndarray] = {}
@@ -146,37 +158,31 @@ def array_sums(name: str, size: int) -> Column:
     return F.array(*(F.sum(F.col(name)[k]) for k in range(size)))
 
 
-def code_sums(groups: DataFrame, size: int) -> DataFrame:
-    """(declared, suffix, declared_p, suffix_p): the sums of p over all rows with the same declaration, and with the same suffix."""
-    pairs = groups.groupBy("declared", "suffix").agg(array_sums("p", size).alias("p")).collect()  # at most one for each pair of known languages
-    by: list[dict[str, np.ndarray]] = [{}, {}]
-    for r in pairs:
-        for sums, key in zip(by, (r["declared"], r["suffix"]), strict=True):
-            sums[key] = sums.get(key, 0.0) + np.array(r["p"])
-    rows = [(r["declared"], r["suffix"], by[0][r["declared"]].tolist(), by[1][r["suffix"]].tolist()) for r in pairs]
-    return groups.sparkSession.createDataFrame(rows, "declared string, suffix string, declared_p array<double>, suffix_p array<double>")
+def code_sums(groups: DataFrame, name: str, size: int) -> DataFrame:
+    """(name, name_p): the sums of p over all rows with the same code, a row for each known language and two more at most."""
+    return groups.groupBy(name).agg(array_sums("p", size).alias(f"{name}_p"))
 
 
 def code(x: Column, langs: list[str]) -> Column:
-    """The first two letters if they name a known language, else '' for none and '?' for others."""
-    short = F.lower(F.substring(F.trim(F.coalesce(x, F.lit(""))), 1, 2))
-    return F.when(short == "", "").when(short.isin(langs), short).otherwise("?") if langs else F.lit("")
+    """The language that a declaration begins with if it's known, else '' for none and '?' for others."""
+    named = label(x)
+    return F.when(F.trim(F.coalesce(x, F.lit(""))) == "", "").when(named.isin(langs), named).otherwise("?") if langs else F.lit("")
 
 
-def identify(rows: DataFrame, labelled: DataFrame, id_col: str, text: Column, declared: Column, suffix: Column, host: Column, domain: Column, keep: list[str] | None = None, text_col: str = "text", lang_col: str = "lang", temper: float = 60.0, prior_rows: float = 20.0, least: float = 0.5) -> DataFrame:
+def identify(rows: DataFrame, labelled: DataFrame, id_col: str, text: Column, declared: Column, suffix: Column, host: Column, domain: Column, keep: list[str] | None = None, text_col: str = "text", lang_col: str = "lang", temper: float = 60.0, prior_rows: float = 20.0, least: float = 0.5, most_languages: int = 150) -> DataFrame:
     """(id, lang, probability, text_lang, declared, n_grams, accepted, and the columns `keep` of `rows`) per row of `rows`.
 
     A text's evidence counts as that of at most `temper` trigrams, as neighbours aren't independent. `lang` is `und` where chance explains
     the text better than every language does, or where it has no trigram. Such rows aren't accepted, nor those whose
-    best language has less than `least`. Null text is empty, null declarations and suffixes are none, a null host is ''. Labels count by
-    their first two letters. Without labelled rows every row is `und`. Of equal probabilities the language that comes first by name
+    best language has less than `least`. Null text is empty, null declarations and suffixes are none, a null host is ''. Labels and declarations
+    count by their first subtag of two or three letters; at most `most_languages` languages are known. Without labelled rows every row is `und`. Of equal probabilities the language that comes first by name
     wins. Rows with the same id are judged one by one; other columns than those named play no part; texts may have any length;
     an empty table gives an empty result.
 
     The texts are read twice: for the grouped sums, to which no text is carried, and for the verdicts, which are joined with sums only.
     """
     bounded_batches(rows.sparkSession)
-    langs, table = learned(labelled, text_col, lang_col)
+    langs, table = learned(labelled, text_col, lang_col, most_languages)
     size = len(langs) + 1
     keep = keep or []
     facts = [code(declared, langs).alias("declared"), code(suffix, langs).alias("suffix"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(domain, F.lit("")).alias("domain")]
@@ -191,14 +197,14 @@ def identify(rows: DataFrame, labelled: DataFrame, id_col: str, text: Column, de
     groups = cut(scored().groupBy("host", "domain", "declared", "suffix").agg(array_sums("p", size).alias("p"), F.count("*").alias("n")))
     total = groups.agg(array_sums("p", size).alias("p"), F.sum("n").alias("n")).first()
     all_p, all_n = F.array(*(F.lit(float(x or 0)) for x in total["p"])), F.lit(float(total["n"] or 0))
-    codes = code_sums(groups, size)
+    declarations, suffixes = (F.broadcast(code_sums(groups, name, size)) for name in ("declared", "suffix"))
     hosts = groups.groupBy("host", "domain").agg(array_sums("p", size).alias("host_p"), F.sum("n").alias("host_n"))
     domains = hosts.groupBy("domain").agg(array_sums("host_p", size).alias("domain_p"), F.sum("host_n").alias("domain_n"))
     priors = cut(hosts.join(domains, "domain"))
     if priors.count() <= BROADCAST_HOSTS:
         priors = F.broadcast(priors)
     judged = scored(F.col(id_col).alias("__id"), *(F.col(c).alias(f"__keep_{c}") for c in keep))
-    joined = judged.join(F.broadcast(codes), ["declared", "suffix"]).join(priors, ["host", "domain"])
+    joined = judged.join(declarations, "declared").join(suffixes, "suffix").join(priors, ["host", "domain"])
     own, m = F.col("p"), prior_rows
     less = lambda total: F.zip_with(total, own, lambda a, b: F.greatest(a - b, F.lit(0.0)))
     base = F.transform(less(all_p), lambda v: (v + 0.5) / (all_n + 0.5 * size))
@@ -217,17 +223,13 @@ def identify(rows: DataFrame, labelled: DataFrame, id_col: str, text: Column, de
 def page_columns(url: Column, html: Column) -> dict[str, Column]:
     """What `identify` needs of web pages: visible text, declared language, address suffix, host and domain."""
     host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"://([^/?#:]*)", 1))
-    code_in_path = F.regexp_extract(F.coalesce(url, F.lit("")), r"://[^/?#]*/([a-zA-Z]{2})(?:[-_/?#]|$)", 1)
+    code_in_path = F.regexp_extract(F.coalesce(url, F.lit("")), r"://[^/?#]*/([a-zA-Z]{2,3})(?:[-_/?#]|$)", 1)
     country = F.regexp_extract(host, r"\.([a-z]{2})$", 1)
     return {
         "text": F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, " "),
-        "declared": F.regexp_extract(F.coalesce(html, F.lit("")), r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2})", 1),
+        "declared": F.regexp_extract(F.coalesce(html, F.lit("")), r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})(?![a-z])", 1),
         "suffix": F.when(code_in_path != "", code_in_path).otherwise(country),
         "host": host,
         "domain": F.regexp_extract(host, r"([^.]*\.[^.]*)$", 1),
     }
 
-
-def visible(html: str) -> str:
-    """The same text in Python, for tests."""
-    return re.sub(HIDDEN, " ", html)

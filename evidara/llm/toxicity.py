@@ -6,8 +6,8 @@ the lexicon begin (and may end) with a space. Of the entries that begin a word t
 phrase doesn't.
 
 Entries and weights are learned from labelled rows by grouped counts: words and beginnings of words whose documents are toxic far more
-often than others, where copies of a text count as one. Exception phrases are words and pairs of words around an entry which documents that aren't toxic hold at least as
-often. A document's evidence is the sum of its weights over a power of its length; power and calibration are fitted on labelled
+often than others, where copies of a text count as one. Exception phrases are words and pairs of words around an entry which documents that aren't toxic hold about as often
+or more. A document's evidence is the sum of its weights over a power of its length; power and calibration are fitted on labelled
 rows that the lexicon wasn't learned from, by counts in bins.
 """
 
@@ -47,6 +47,8 @@ HELD = 200_000
 WINDOW = 1 << 20
 #: Bins of evidence, and the powers of the length that are tried.
 BINS, POWERS = 64, (0.0, 0.5, 1.0)
+#: Log ratio up to which words around an entry tell of no toxicity.
+HARMLESS = 0.5
 #: A document is never taken as shorter than so many words.
 LEAST_WORDS = 20
 
@@ -330,7 +332,7 @@ def learned(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
             return {p for x in folded_parts(text) for start, end, _ in matches(x, made[0]) for p in around(x, start, end)}
 
         weight = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-        kept = counts_of(part, phrases).where(F.col("clean") >= least_docs).where(weight <= 0)
+        kept = counts_of(part, phrases).where(F.col("clean") >= least_docs).where(weight <= HARMLESS)
         spared = {r.term for r in kept.orderBy(F.desc("clean"), "term").limit(most).collect()}
     lexicon = Lexicon(weights, given | spared)
     power, slope, offset, _ = calibrated(binned(rest, lexicon), EDGES)

@@ -453,7 +453,7 @@ def test_rare_languages_of_large_tables_are_known(spark):
     columns = (F.col("text"), F.col("lang"), F.lit(""), F.lit(""), F.lit(""))
     found = language_id.identify(docs, many.union(rare), "doc_id", *columns).collect()
     assert [(r.lang, r.declared) for r in found] == [("ky", "ky")]
-    assert language_id.learned(many.union(rare), "text", "lang")[0] == ["de", "en", "ky"]
+    assert language_id.learned(many.union(rare), "text", "lang", 150)[0] == ["de", "en", "ky"]
 
 
 # -- op10 --------------------------------------------------------------------------------------------------------
