@@ -1,4 +1,4 @@
-"""Cell grids: painting, edges, distances, connected cells, and seeded sampling."""
+"""Cell grids: painting, edges, distances, connected cells, and hashes of cells."""
 
 from __future__ import annotations
 
@@ -54,21 +54,10 @@ def distance_to_mask(cells: DataFrame) -> DataFrame:
     return cells.select("id").join(reached, "id", "left").withColumn("distance", F.coalesce("distance", F.lit(65535)))
 
 
-def unit_hash(x: Column, y: Column, seed: int) -> Column:
-    """A number in [0, 1) from integer cell coordinates: FNV-1a over the three values' lower 16 bits."""
+def cell_hash(x: Column, y: Column, seed: Column) -> Column:
+    """An unsigned 32-bit number from integer cell coordinates: FNV-1a over the three values' lower 16 bits."""
     h = F.lit(2166136261).cast("bigint")
-    for v in (x, y, F.lit(seed)):
+    for v in (x, y, seed):
         h = (h.bitwiseXOR(v.cast("bigint").bitwiseAND(F.lit(65535))) * 16777619).bitwiseAND(F.lit(4294967295))
-    return h / F.lit(4294967296.0)
-
-
-def sampled_materials(cells: DataFrame, palette: list[tuple[str, float]], seed: int) -> DataFrame:
-    """Cells (row, col) with `block`: the first whose cumulative weight exceeds the cell's hash, else the last."""
-    u, block, total = unit_hash(F.col("col"), F.col("row"), seed), F.lit(palette[-1][0]), 0.0
-    cases = []
-    for name, weight in palette:
-        total += weight
-        cases.append((round(total, 9), name))
-    for limit, name in reversed(cases[:-1]):
-        block = F.when(u < limit, F.lit(name)).otherwise(block)
-    return cells.withColumn("block", block)
+    return h
+

@@ -56,7 +56,8 @@ def tapered_pieces(lines: DataFrame, keys: list[str], step: float = 2.0) -> Data
     fewer than two points or without length give nothing.
     """
     size = lambda a, b: F.sqrt(F.pow(b["x"] - a["x"], 2) + F.pow(b["y"] - a["y"], 2))
-    steps = F.zip_with(F.slice("line", F.lit(1), F.size("line") - 1), F.slice("line", F.lit(2), F.size("line")), lambda a, b: F.struct(a.alias("a"), b.alias("b"), size(a, b).alias("size")))
+    rest = F.greatest(F.size("line") - 1, F.lit(0))
+    steps = F.zip_with(F.slice("line", F.lit(1), rest), F.slice("line", F.lit(2), rest), lambda a, b: F.struct(a.alias("a"), b.alias("b"), size(a, b).alias("size")))
     made = lines.where(F.size("line") >= 2).select(*keys, "start", "end", steps.alias("s")).withColumn("total", F.aggregate("s", F.lit(0.0), lambda t, v: t + v["size"])).where("total > 0")
     # each segment with the length before it
     begun = F.aggregate("s", F.struct(F.lit(0.0).alias("at"), F.array().cast("array<double>").alias("all")), lambda t, v: F.struct((t["at"] + v["size"]).alias("at"), F.concat(t["all"], F.array(t["at"])).alias("all")))["all"]

@@ -65,28 +65,6 @@ def attachments(spark, sf):
     return first_per_key(found, ["page", "name"], [F.desc("score"), F.col("c_custkey")]).select("page", "name", "text", "score", "rejected")
 
 
-SURFACES = ("Asphalt", "block paving", "fresh tarmac", "resin", "granite setts", "gravel", "old concrete", "boardwalk deck", "red brick wall", "worn grass", "themed rock face", "beach", "unknown stuff", "red tarmac", "planting bed")
-#: The presets that words of a surface name, in order; asphalt, resin and paving go by colour.
-WORDS = (
-    ("cobble|sett", "cobblestone"), ("gravel", "gravel_path"), ("hoggin|compacted", "hoggin_path"), ("mulch|planting", "mulch_planting_bed"), ("woodland|forest floor", "woodland_floor"), ("worn grass", "worn_grass"), ("grass|lawn", "healthy_lawn"), ("boardwalk", "boardwalk"),
-    ("timber", "weathered_timber"), ("sandstone.*wall|wall.*sandstone", "sandstone_wall"), ("brick.*wall|wall.*brick", "old_brick_wall"), ("industrial|service paving", "industrial_service_paving"), ("themed rock|artificial rock|^rockwork$", "artificial_themed_rock"), ("dark rock", "dark_rockwork"), ("rock", "natural_rock"),
-    ("sand|beach", "sand_beach"), ("old concrete|weathered concrete", "old_concrete"), ("concrete", "concrete_path"), ("dirt|earth", "dirt_trail"),
-)
-
-
-def surface_materials(spark, sf):
-    """The preset of every part's surface by its words, and by its colour where the words leave a shade open."""
-    k = F.col("p_partkey")
-    p = _t(spark, sf, "part").select("p_partkey", F.lower(R.dealt(k, SURFACES)).alias("text"), *(F.when(F.pmod(k, F.lit(4)) > 0, F.pmod(k * m, F.lit(256)).cast("double")).alias(c) for c, m in (("r", 37), ("g", 53), ("b", 71))))
-    r, g, b, text = F.col("r"), F.col("g"), F.col("b"), F.col("text")
-    lum = 0.2126 * r + 0.7152 * g + 0.0722 * b
-    asphalt = F.when(F.contains(text, F.lit("red")), "red_tarmac").when(F.rlike(text, F.lit("fresh|black|new")), "fresh_black_asphalt").when(F.rlike(text, F.lit("light|pale")), "light_asphalt").when(r.isNull(), "weathered_asphalt").when((r > g * 1.22) & (r > b * 1.18) & (r > 95), "red_tarmac").when(lum < 62, "fresh_black_asphalt").when(lum > 145, "light_asphalt").otherwise("weathered_asphalt")
-    warm = F.coalesce((r > g * 1.04) & (g > b * 1.03), F.lit(False))
-    paving = F.when(F.contains(text, F.lit("red")), "red_block_paving").when(F.rlike(text, F.lit("buff|beige")), "buff_paving").when(r.isNull(), "grey_block_paving").when((r > g * 1.18) & (r > b * 1.25) & (r > 90), "red_block_paving").when(warm, "buff_paving").otherwise("grey_block_paving")
-    preset = F.when(F.rlike(text, F.lit("asphalt|tarmac")), asphalt).when(F.contains(text, F.lit("resin")), F.when(warm, "resin_bound_beige").otherwise("resin_bound_grey")).when(F.rlike(text, F.lit("paving|paver")), paving).otherwise(F.coalesce(R.first_match(text, WORDS), F.lit("none")))
-    return p.groupBy("text", preset.alias("preset")).agg(F.count("*").alias("n"))
-
-
 TAGS = (("attraction", "roller_coaster"), ("building", "yes"), ("highway", "footway"), ("natural", "water"), ("boundary", "protected_area"), ("man_made", "embankment"), ("amenity", "bench"), ("waterway", "stream"), ("railway", "miniature"))
 
 
@@ -166,7 +144,7 @@ def svg_shapes(spark, sf):
     return tags.select("s_suppkey", "place", "kind", F.size("points").alias("n"), F.col("kind").isin("rect", "polygon").alias("closed"), F.array_min(F.transform("points", lambda p: p["x"])).alias("x0"), F.array_max(F.transform("points", lambda p: p["y"])).alias("y1"), half_up(G.length(F.col("points")), 3).alias("length"))
 
 
-QUERIES = {f.__name__: f for f in (text_anchors, attachments, surface_materials, reference_features, registered_drawings, nearby_places, suppressed_candidates, svg_shapes)}
+QUERIES = {f.__name__: f for f in (text_anchors, attachments, reference_features, registered_drawings, nearby_places, suppressed_candidates, svg_shapes)}
 
 _D = R.sql_dealt
 _R = lambda x, n: f"floor(({x}) * 1e{n} + 0.5) / 1e{n}"
@@ -185,12 +163,6 @@ SELECT * FROM l UNION ALL SELECT * FROM w WHERE s_suppkey NOT IN (SELECT s_suppk
 WITH c AS (SELECT c_custkey % 500 AS page, c_custkey, {_D('c_custkey', TOKENS)} AS name, {_D('c_custkey', ATTACHED, 5)} || ' ' || (c_custkey % 4) AS text FROM customer), f AS (SELECT *, lower(text) AS low FROM c WHERE regexp_matches(name, '^[A-Za-z0-9._-]{{1,160}}$')),
 s AS (SELECT page, name, text, {_SCORE} AS score, regexp_matches(low, '{REJECTED}') AS rejected, c_custkey FROM f)
 SELECT page, name, text, score, rejected FROM (SELECT *, row_number() OVER (PARTITION BY page, name ORDER BY score DESC, c_custkey) AS n FROM s) WHERE n = 1""",
-    "surface_materials": f"""
-WITH p AS (SELECT lower({_D('p_partkey', SURFACES)}) AS text, {', '.join(f'CASE WHEN p_partkey % 4 > 0 THEN (p_partkey * {m} % 256)::DOUBLE END AS {c}' for c, m in (("r", 37), ("g", 53), ("b", 71)))} FROM part),
-w AS (SELECT *, coalesce(r > g * 1.04::DOUBLE AND g > b * 1.03::DOUBLE, false) AS warm, 0.2126::DOUBLE * r + 0.7152::DOUBLE * g + 0.0722::DOUBLE * b AS lum FROM p)
-SELECT text, CASE WHEN regexp_matches(text, 'asphalt|tarmac') THEN CASE WHEN contains(text, 'red') THEN 'red_tarmac' WHEN regexp_matches(text, 'fresh|black|new') THEN 'fresh_black_asphalt' WHEN regexp_matches(text, 'light|pale') THEN 'light_asphalt' WHEN r IS NULL THEN 'weathered_asphalt' WHEN r > g * 1.22::DOUBLE AND r > b * 1.18::DOUBLE AND r > 95 THEN 'red_tarmac' WHEN lum < 62 THEN 'fresh_black_asphalt' WHEN lum > 145 THEN 'light_asphalt' ELSE 'weathered_asphalt' END
-WHEN contains(text, 'resin') THEN CASE WHEN warm THEN 'resin_bound_beige' ELSE 'resin_bound_grey' END WHEN regexp_matches(text, 'paving|paver') THEN CASE WHEN contains(text, 'red') THEN 'red_block_paving' WHEN regexp_matches(text, 'buff|beige') THEN 'buff_paving' WHEN r IS NULL THEN 'grey_block_paving' WHEN r > g * 1.18::DOUBLE AND r > b * 1.25::DOUBLE AND r > 90 THEN 'red_block_paving' WHEN warm THEN 'buff_paving' ELSE 'grey_block_paving' END
-ELSE coalesce({R.sql_first_match('text', WORDS)}, 'none') END AS preset, count(*) AS n FROM w GROUP BY ALL""",
     "reference_features": f"""
 WITH o AS (SELECT o_orderkey, {_D('o_orderkey', [t[0] for t in TAGS])} AS key, {_D('o_orderkey', [t[1] for t in TAGS])} AS value, list_transform(range(0, 4), lambda i: {{'lon': -1.95::DOUBLE + (o_orderkey * 13 % 100 + i * 4) / 1000.0, 'lat': 52.96::DOUBLE + (o_orderkey * 29 % 60 + i * 3) / 1000.0}}) AS points FROM orders),
 k AS (SELECT *, CASE WHEN key IN ('attraction', 'railway') AND value = 'roller_coaster' THEN 'ride' WHEN key = 'building' THEN 'building' WHEN key = 'highway' THEN 'path' WHEN key = 'waterway' OR value = 'water' THEN 'water' WHEN key = 'boundary' THEN 'boundary' WHEN value IN ('embankment', 'cliff') THEN 'terrain' END AS kind FROM o)

@@ -153,15 +153,6 @@ def surface_paint(spark, sf):
     return G.with_edges(cells)
 
 
-PALETTE = [("asphalt", 0.6), ("gravel", 0.3), ("stone", 0.1)]
-
-
-def material_shares(spark, sf):
-    """How often each block of a weighted palette comes on a lattice of 180 by 180 cells."""
-    lattice = spark.range(180 * 180).select(F.floor(F.col("id") / 180).cast("int").alias("row"), F.pmod("id", F.lit(180)).cast("int").alias("col"))
-    return G.sampled_materials(lattice, PALETTE, 771).groupBy("block").agg(F.count("*").alias("n"))
-
-
 def pixel_classes(spark, sf):
     """Vectors read as colours with a texture: whether each is hardscape on its own evidence with its class and confidence, and the material of a component that looks so."""
     c, gsd = F.col("embedding"), 0.35
@@ -195,7 +186,7 @@ def great_circle(spark, sf):
     return _t(spark, sf, "customer").select("c_custkey", S.half_up(S.haversine_m(lat("c_custkey"), lon("c_custkey"), F.lit(52.981), F.lit(-1.897)), 2).alias("metres"))
 
 
-QUERIES = {f.__name__: f for f in (gap_fill_points, authority_decisions_v30a, authority_decisions_v18, decision_counters, vector_promotion, affine_fit, tile_plan_tiers, tile_summary, consensus_groups, path_components, connected_cell_groups, mask_distance, surface_paint, material_shares, pixel_classes, label_nearest_shape, great_circle)}
+QUERIES = {f.__name__: f for f in (gap_fill_points, authority_decisions_v30a, authority_decisions_v18, decision_counters, vector_promotion, affine_fit, tile_plan_tiers, tile_summary, consensus_groups, path_components, connected_cell_groups, mask_distance, surface_paint, pixel_classes, label_nearest_shape, great_circle)}
 
 X, Y = "({k}::BIGINT * 7919 % {n})", "({k}::BIGINT * 104729 % {n})"
 _xy = lambda key, n=5000: f"{X.format(k=key, n=n)} AS x, {Y.format(k=key, n=n)} AS y"
@@ -214,10 +205,6 @@ FROM p LEFT JOIN (SELECT * FROM t WHERE n = 1) t ON t.planning_id = p.p_partkey
 
 
 _CELLS = f"SELECT DISTINCT (x // 50)::INTEGER AS row, (y // 50)::INTEGER AS col, (x // 50) * 100 + y // 50 AS id FROM (SELECT {_xy('event_id')} FROM events)"
-_HASH = "2166136261::BIGINT"
-for _v in ("col", "row", "771"):
-    _HASH = f"((xor({_HASH}, ({_v})::BIGINT)::HUGEINT * 16777619) % 4294967296)::BIGINT"
-
 ORACLE_SQL = {
     "gap_fill_points": f"""
 WITH e AS (SELECT event_id, event_id % 5 AS name, {_xy('event_id')} FROM events), s AS (SELECT s_suppkey % 5 AS name, {_xy('s_suppkey')} FROM supplier)
@@ -264,9 +251,6 @@ SELECT c.id, coalesce(min(d), 65535)::INTEGER AS distance FROM c LEFT JOIN r USI
 WITH p AS (SELECT {X.format(k='p_partkey', n=60)}::INTEGER AS row, {Y.format(k='p_partkey', n=60)}::INTEGER AS col, p_brand, p_size % 5 AS priority, p_partkey FROM part),
 c AS (SELECT row, col, arg_max(p_brand, priority * 100000000 + p_partkey) AS code FROM p GROUP BY 1, 2)
 SELECT row, col, code, (SELECT count(*) FROM c o WHERE abs(o.row - c.row) + abs(o.col - c.col) = 1) < 4 AS edge FROM c""",
-    "material_shares": f"""
-WITH l AS (SELECT i // 180 AS row, i % 180 AS col FROM range(32400) t(i)), h AS (SELECT ({_HASH}) / 4294967296.0 AS u FROM l)
-SELECT CASE WHEN u < 0.6 THEN 'asphalt' WHEN u < 0.9 THEN 'gravel' ELSE 'stone' END AS block, count(*) AS n FROM h GROUP BY 1""",
     "pixel_classes": """
 WITH v AS (SELECT vec_id, floor((least(greatest(embedding[1]::DOUBLE, -0.3), 0.3) + 0.3) * 425)::DOUBLE AS r, floor((least(greatest(embedding[2]::DOUBLE, -0.3), 0.3) + 0.3) * 425)::DOUBLE AS g, floor((least(greatest(embedding[3]::DOUBLE, -0.3), 0.3) + 0.3) * 425)::DOUBLE AS b, (vec_id % 60)::DOUBLE AS texture FROM embeddings),
 m AS (SELECT *, CASE WHEN greatest(r, g, b) > 0 THEN (greatest(r, g, b) - least(r, g, b)) / greatest(r, g, b, 1.0) ELSE 0.0 END AS sat, (0.2126::DOUBLE * r + 0.7152::DOUBLE * g + 0.0722::DOUBLE * b) / 255 AS lum FROM v),
