@@ -58,16 +58,11 @@ def text_features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     return feature, text
 
 
-def meta_features(meta: list[list[str | None]]) -> tuple[np.ndarray, np.ndarray]:
-    """(feature, row): a hash of each named value and of each pair of the first two."""
-    import zlib
-
-    feature, row = [], []
-    for i, values in enumerate(zip(*meta, strict=True)):
-        named = [f"{k}={v}" for k, v in enumerate(values)] + [f"both={values[:2]}"]
-        feature += [zlib.crc32(x.encode()) % (1 << META_BITS) for x in named]
-        row += [i] * len(named)
-    return np.array(feature, np.int64), np.array(row, np.int64)
+def meta_hashes(metadata: list[Column]) -> Column:
+    """An array of hashes, worked out in Spark: of each named value and of the pair of the first two; null is a value of its own."""
+    values = [F.coalesce(m.cast("string"), F.lit("null")) for m in metadata]
+    named = [F.concat(F.lit(f"{k}="), v) for k, v in enumerate(values)] + [F.concat(F.lit("both="), F.concat_ws("\t", *values[:2]))]
+    return F.array(*(F.pmod(F.crc32(x), F.lit(1 << META_BITS)).cast("int") for x in named))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -218,8 +213,8 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
     """(id, p_text, p_meta, score, accepted, and the columns `keep`) per row of `docs`; score is P(good) by both views.
 
     Labelled are the rows whose id is in `labels`; `good` is a condition on `labels` (quality is 1 and toxic isn't 1), null in no
-    row that counts; an id is good if all its rows are. Fitted one by one are at most about `max_labelled` labelled rows,
-    chosen by a hash of the id; all rows without a label take part in every round. Null texts are empty and null metadata a value of its own. Without
+    row that counts; an id is good if all its rows are. Fitted one by one are at most about `max_labelled` labelled ids,
+    chosen by a hash of the id, each with one of its rows; all rows without a label take part in every round. Null texts are empty and null metadata a value of its own. Without
     labels every row is accepted. Rows with the same id are scored one by one; texts may have any length; columns other than those named
     play no part; an empty table gives an empty result.
     """
@@ -232,7 +227,7 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
     if n_labels <= BROADCAST_LABELS:
         said, ids = F.broadcast(said), F.broadcast(ids)
     keep = keep or []
-    values = F.array(*(F.coalesce(m.cast("string"), F.lit("null")) for m in metadata))
+    values = meta_hashes(metadata)
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"), values.alias("meta"))
     whole = 1 << 62
     at = F.pmod(F.xxhash64(F.col("__id"), F.lit(5)), F.lit(whole))
@@ -241,13 +236,14 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
     def features(batches):
         for part, data, offsets in T.slices(batches):
             feature, text = text_features(data, offsets)
-            m_feature, m_row = meta_features([list(x) for x in zip(*part.column(2).to_pylist(), strict=True)])
-            lists = [T.lists(f[np.argsort(r, kind="stable")].astype(np.int32), np.bincount(r, minlength=part.num_rows)) for f, r in ((feature, text), (m_feature, m_row))]
-            yield pa.RecordBatch.from_arrays([part.column(0), *lists], ["__id", "features", "meta_features"])
+            features = T.lists(feature[np.argsort(text, kind="stable")].astype(np.int32), np.bincount(text, minlength=part.num_rows))
+            yield pa.RecordBatch.from_arrays([part.column(0), features, part.column(2)], ["__id", "features", "meta_features"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     made = lambda rows: rows.select("__id", "text", "meta").mapInArrow(features, f"__id {id_type}, features array<int>, meta_features array<int>")
-    rows = made(source.where(at < share).join(ids, "__id", "left_semi")).join(said, "__id").toArrow()
+    # an id's rows count as one, whatever their number: that of the least features
+    fitted = made(source.where(at < share).join(ids, "__id", "left_semi")).groupBy("__id").agg(F.min(F.struct("features", "meta_features")).alias("r"))
+    rows = fitted.join(said, "__id").select("__id", "r.features", "r.meta_features", "__y").toArrow()
     order = np.argsort(np.array([str(x) for x in rows["__id"].to_pylist()], dtype=object), kind="stable")
     rows = rows.take(pa.array(order))
     free = None
@@ -264,8 +260,8 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
         for text, meta in columns:
             made = [np.zeros((3, 0))]
             for part, data, offsets in T.slices([pa.RecordBatch.from_arrays([text, meta], ["text", "meta"])]):
-                m = meta_features([list(x) for x in zip(*part.column(1).to_pylist(), strict=True)])
-                made.append(np.stack(scored_rows(model.value, *text_features(data, offsets), *m, part.num_rows)))
+                m = list_rows(part.column(1))
+                made.append(np.stack(scored_rows(model.value, *text_features(data, offsets), m.feature, m.row, part.num_rows)))
             yield pa.StructArray.from_arrays([pa.array(x) for x in np.concatenate(made, 1)], ["p_text", "p_meta", "score"])
 
     # only text and metadata go to Python and only the scores come back

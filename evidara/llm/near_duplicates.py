@@ -190,12 +190,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_nodes = now.join(split, "key").select("rep", "component").distinct()
     first = cut(prefixes(sets.withColumnRenamed("node", "rep").join(open_nodes, "rep"), percent))
     drop(live, now, split)
-    apart = cut(first.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("token"))
-    first = cut(first.join(apart, "token"))
-    other = first.select("token", *(F.col(c).alias(f"{c}2") for c in ("place", "n", "rep", "component")))
-    # what is left after the shared shingle must do for the similarity
-    reach = f"component < component2 AND 100 * least(n, n2) >= {percent} * greatest(n, n2) AND {100 + percent} * least(n - place, n2 - place2) >= {percent} * (n + n2)"
-    pairs = first.join(other, "token").where(reach).select(F.least("rep", "rep2").alias("u"), F.greatest("rep", "rep2").alias("v")).distinct()
+    # of a token's nodes the most frequent component pairs with the others only, not within itself
+    per = cut(first.groupBy("token", "component").agg(F.count("*").alias("c")))
+    apart = cut(per.groupBy("token").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("c", "component")).alias("main")).where("parts > 1").select("token", "main"))
+    first = cut(first.join(apart, "token").withColumn("main", F.col("component") == F.col("main")))
+    other = first.select("token", *(F.col(c).alias(f"{c}2") for c in ("place", "n", "rep", "component", "main")))
+    # the smaller set of a pair has the shared shingle early: what is left after it must do for the similarity with a set as large as itself
+    early = first.where(f"{100 + percent} * (n - place) >= {2 * percent} * n")
+    reach = f"component <> component2 AND 100 * least(n, n2) >= {percent} * greatest(n, n2) AND {100 + percent} * least(n - place, n2 - place2) >= {percent} * (n + n2)"
+    pairs = early.where("NOT main").join(other, "token").union(early.where("main").join(other.where("NOT main2"), "token"))
+    pairs = pairs.where(reach).select(F.least("rep", "rep2").alias("u"), F.greatest("rep", "rep2").alias("v")).distinct()
     edges = edges.union(cut(confirmed(pairs.join(star, ["u", "v"], "left_anti"), sets, percent)))
     # rows of one id are linked
     again = cut(made.groupBy("id").agg(F.count("*").alias("c")).where("c > 1").select("id"))

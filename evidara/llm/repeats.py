@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
@@ -31,6 +31,8 @@ WORD_GRAM = 20
 WINDOWS = 1 << 20
 #: Contexts of a class that one task takes at once; larger classes are counted window by window.
 CLASS = 4096
+#: Bytes of a text whose ranges are sorted together.
+BLOCK = 1 << 16
 #: Keys up to which a filter of texts by key is broadcast (16 bytes each); beyond, it is a shuffled join.
 BROADCAST_KEYS = 1_000_000
 _tables: dict[str, np.ndarray] = {}
@@ -377,6 +379,18 @@ def repeated_words(texts: DataFrame, words: int, least: int) -> DataFrame:
     return windows.where("open").join(again, "h", "left_semi").select("key", "first", "last")
 
 
+def joined_up(ranges: DataFrame) -> DataFrame:
+    """Ranges (key, first, last, gone) with those that touch made one, in blocks of BLOCK bytes of a text.
+
+    Ranges are sorted by Spark and never gathered, so a text may have any number of them; what is left has a few ranges a block.
+    """
+    own = Window.partitionBy("key", "gone", "block").orderBy("first", "last")
+    reach = F.max("last").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    made = ranges.withColumn("block", F.floor(F.col("first") / BLOCK)).withColumn("new", F.coalesce((F.col("first") > reach).cast("int"), F.lit(1)))
+    made = made.withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return made.groupBy("key", "gone", "block", "run").agg(F.min("first").alias("first"), F.max("last").alias("last")).select("key", "first", "last", "gone")
+
+
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs of bytes that the ranges cover; ranges that touch are one run."""
     out: list[tuple[int, int]] = []
@@ -403,7 +417,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = ranges.withColumn("gone", F.lit(True))
     if words:
         ranges = ranges.union(repeated_words(texts, words, least).withColumn("gone", F.lit(cut_words)))
-    ranges = cut(ranges)
+    ranges = cut(joined_up(ranges))
 
     def judge(batches):
         for batch in batches:
