@@ -65,8 +65,8 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     in full and lose all if they have more than 50 words or 400 bytes, whatever their ids; extra columns go; an empty table gives an empty
     result.
     """
-    cut = repeats.remove_repeats(docs, with_text=True, keep=["lang", "source"], words=51)
-    return cut.where(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
+    found = repeats.remove_repeats(docs, with_text=True, keep=["lang", "source"], words=51)
+    return found.where(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
