@@ -5,7 +5,7 @@ Shapes stand along a strip that grows with the tables, so that pairs grow in pro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidara.functions import geometry as G
@@ -44,18 +44,36 @@ LEAST, SAME = 0.18, 0.82
 
 
 def _overlaps(spark, sf):
-    pairs = P.box_pairs(_sites(spark, sf), _mapped(spark, sf), 64.0, "s_suppkey", "p_partkey")
+    """Pairs of polygons whose boxes overlap, with the lattice points in both: a row of the lattice is counted by the crossings of both shapes' edges."""
+    area = F.aggregate(F.col("rings"), F.lit(None).cast("double"), lambda s, r: F.when(s.isNull(), F.abs(G.signed_area(r))).otherwise(s - F.abs(G.signed_area(r))))
+    edges = lambda ring: F.zip_with(ring, G.turned(ring), lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")))
+    box = ["x0", "y0", "x1", "y1"]
+    # what belongs to a shape is worked out once, before it is paired
+    sites = _sites(spark, sf).select("s_suppkey", *box, F.greatest(F.lit(0.0), area).alias("site_area"), F.flatten(F.transform("rings", edges)).alias("ea"))
+    mapped = _mapped(spark, sf).select("p_partkey", *(f"b{c}" for c in box), F.abs(G.signed_area(F.col("ring"))).alias("map_area"), edges(F.col("ring")).alias("eb"))
+    pairs = P.box_pairs(sites, mapped, 64.0, "s_suppkey", "p_partkey").drop("area", "other")
     wide, high = F.least("x1", "bx1") - F.greatest("x0", "bx0"), F.least("y1", "by1") - F.greatest("y0", "by0")
     spacing = F.greatest(F.lit(0.5), F.least(F.lit(3.0), F.sqrt(wide * high / 4000)))
-    count = lambda v: F.greatest(F.lit(0), F.ceil(v / F.col("spacing") - 0.5).cast("int") - 1)
-    area = F.aggregate(F.col("rings"), F.lit(None).cast("double"), lambda s, r: F.when(s.isNull(), F.abs(G.signed_area(r))).otherwise(s - F.abs(G.signed_area(r))))
-    pairs = pairs.withColumns({"wide": wide, "high": high, "spacing": spacing, "ox": F.greatest("x0", "bx0"), "oy": F.greatest("y0", "by0"), "area": F.greatest(F.lit(0.0), area), "other": F.abs(G.signed_area(F.col("ring")))})
-    points = pairs.select("s_suppkey", "p_partkey", "p_name", "p_brand", "s_name", "rings", "ring", "area", "other", "spacing", "ox", "oy", "high", F.explode(F.sequence(F.lit(0), count(F.col("wide")))).alias("i")).withColumn("x", F.col("ox") + F.col("spacing") * (F.col("i") + 0.5))
-    # a pair's lattice is counted column by column
-    rows = F.transform(F.sequence(F.lit(0), count(F.col("high"))), lambda j: F.col("oy") + F.col("spacing") * (j + 0.5))
-    both = F.size(F.filter(rows, lambda y: G.inside_rings(F.col("rings"), F.col("x"), y) & G.inside(F.col("ring"), F.col("x"), y)))
-    keys = ["s_suppkey", "p_partkey", "p_name", "p_brand", "s_name", "area", "other", "spacing"]
-    hits = points.groupBy(*keys).agg(F.sum(both).alias("samples")).withColumn("shared", F.col("samples") * F.col("spacing") * F.col("spacing"))
+    pairs = pairs.select("s_suppkey", "p_partkey", F.col("site_area").alias("area"), F.col("map_area").alias("other"), "ea", "eb", wide.alias("wide"), high.alias("high"), spacing.alias("spacing"), F.greatest("x0", "bx0").alias("ox"), F.greatest("y0", "by0").alias("oy"))
+    count = lambda v: F.greatest(F.lit(1), F.ceil(F.col(v) / F.col("spacing") - 0.5).cast("int"))
+    pairs = pairs.withColumns({"nx": count("wide"), "ny": count("high")})
+
+    def starts(side: str, y: Column) -> Column:
+        """The first lattice point of a row that isn't left of each crossing, in order; points between neighbours are inside."""
+        crossing = F.filter(F.col(side), lambda e: (e["ay"] > y) != (e["by"] > y))
+        first = lambda e: F.ceil(((e["bx"] - e["ax"]) * (y - e["ay"]) / (e["by"] - e["ay"]) + e["ax"] - F.col("ox")) / F.col("spacing") - 0.5)
+        return F.array_sort(F.transform(crossing, lambda e: F.greatest(F.lit(0), F.least(F.col("nx"), first(e).cast("int")))))
+
+    def both(ends: Column) -> Column:
+        """How many points of a row lie between crossings 2k and 2k + 1 of both shapes."""
+        at = lambda side, i: F.get(ends[side], i)
+        pairs_of = lambda side: F.sequence(F.lit(0), F.greatest(F.floor(F.size(ends[side]) / 2).cast("int") - 1, F.lit(0)))
+        shared = lambda i, j: F.greatest(F.lit(0), F.coalesce(F.least(at("a", 2 * i + 1), at("b", 2 * j + 1)) - F.greatest(at("a", 2 * i), at("b", 2 * j)), F.lit(0)))
+        return F.when((F.size(ends["a"]) > 1) & (F.size(ends["b"]) > 1), F.aggregate(F.flatten(F.transform(pairs_of("a"), lambda i: F.transform(pairs_of("b"), lambda j: shared(i, j)))), F.lit(0), lambda s, v: s + v)).otherwise(0)
+
+    rows = F.transform(F.sequence(F.lit(0), F.col("ny") - 1), lambda j: F.col("oy") + F.col("spacing") * (j + 0.5))
+    found = F.transform(F.transform(rows, lambda y: F.struct(starts("ea", y).alias("a"), starts("eb", y).alias("b"))), both)
+    hits = pairs.select("s_suppkey", "p_partkey", "area", "other", "spacing", F.aggregate(found, F.lit(0).cast("bigint"), lambda s, v: s + v).alias("samples")).withColumn("shared", F.col("samples") * F.col("spacing") * F.col("spacing"))
     a, b = F.least(F.lit(1.0), F.col("shared") / F.col("area")), F.least(F.lit(1.0), F.col("shared") / F.col("other"))
     hits = hits.withColumns({"share": a, "other_share": b, "iou": F.least(F.lit(1.0), F.col("shared") / (F.col("area") + F.col("other") - F.col("shared")))})
     return hits.withColumns({"matched": F.greatest("share", "other_share", "iou") >= LEAST, "equivalent": (a >= SAME) & (b >= SAME), "score": F.greatest("iou", F.least("share", "other_share"))})
@@ -68,9 +86,9 @@ def polygon_overlaps(spark, sf):
 
 def inherited_evidence(spark, sf):
     """What each planning polygon does: it replaces all mapped polygons that match, and takes a missing name, missing tags and a missing height from the best of them; without one it fills a gap."""
-    m = _overlaps(spark, sf).where("matched").select("s_suppkey", "p_partkey", "p_name", "p_brand", half_up(F.col("score"), 6).alias("score"))
+    m = _overlaps(spark, sf).where("matched").select("s_suppkey", "p_partkey", half_up(F.col("score"), 6).alias("score"))
     targets = m.groupBy("s_suppkey").agg(F.count("*").alias("n_targets"), F.sum("p_partkey").alias("targets_sum"))
-    best = first_per_key(m, ["s_suppkey"], [F.desc("score"), F.col("p_partkey")]).join(targets, "s_suppkey")
+    best = first_per_key(m, ["s_suppkey"], [F.desc("score"), F.col("p_partkey")]).join(targets, "s_suppkey").join(_t(spark, sf, "part").select("p_partkey", "p_name", "p_brand"), "p_partkey")
     k = F.col("s_suppkey")
     own = _t(spark, sf, "supplier").select("s_suppkey", F.when(F.pmod(k, F.lit(3)) == 0, F.col("s_name")).alias("own_name"), F.when(F.pmod(k, F.lit(4)) == 0, F.create_map(F.lit("surface"), F.lit("paved"))).otherwise(F.create_map(F.lit("ref"), k.cast("string"))).alias("own_tags"), F.when(F.pmod(k, F.lit(5)) == 0, 9.5).alias("own_height"))
     j = own.join(best, "s_suppkey", "left")

@@ -1,6 +1,6 @@
 """Queries of the fusion side: duplicates, claims, measures of lines, samples of a grid, and the same in DuckDB SQL.
 
-Points are those of `spatial_plans`: x = key * 7919 mod 5000, y = key * 104729 mod 5000 (metres).
+Points are those of `spatial_plans`, in metres.
 """
 
 from __future__ import annotations

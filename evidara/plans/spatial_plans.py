@@ -1,6 +1,7 @@
 """Queries of the map, georeferencing and raster side on geometry made from keys, and the same in DuckDB SQL.
 
-Points are x = key * 7919 mod 5000, y = key * 104729 mod 5000 (metres); a part is a rectangle of p_size metres at its point.
+Points are x = key * 7919 mod 5000, y = key * 104729 mod 5000 (metres); a part is a rectangle of p_size metres at its point. Squares of 5000 m stand
+side by side, each for as many neighbouring keys of a table as are in its share, so that the ground grows with the rows and pairs in proportion.
 """
 
 from __future__ import annotations
@@ -18,8 +19,12 @@ def _t(spark: SparkSession, sf: str, name: str):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: Keys of each table that share a square.
+SHARE = {"event_id": 10_000, "s_suppkey": 100, "p_partkey": 2_000, "l_partkey": 2_000, "c_custkey": 1_500, "o_orderkey": 15_000}
+
+
 def _x(key: str, size: int = 5000):
-    return F.pmod(F.col(key).cast("bigint") * 7919, F.lit(size))
+    return F.pmod(F.col(key).cast("bigint") * 7919, F.lit(size)) + F.floor(F.col(key) / SHARE[key]) * size
 
 
 def _y(key: str, size: int = 5000):
@@ -94,14 +99,16 @@ def affine_fit(spark, sf):
 
 
 def tile_plan_tiers(spark, sf):
-    """The tiles of an area with the resolution tier of each."""
-    bounds = spark.createDataFrame([(1, 100, 200, 2250, 1850), (2, 0, 0, 6000, 1000)], "plan_id int, e0 int, n0 int, e1 int, n1 int")
+    """The tiles of every supplier's area with the resolution tier of each against one core."""
+    k = F.col("s_suppkey")
+    e, n = F.pmod(k * 7919, F.lit(6000)), F.pmod(k * 104729, F.lit(2500))
+    bounds = _t(spark, sf, "supplier").select(k.alias("plan_id"), e.alias("e0"), n.alias("n0"), (e + 500 + F.pmod(k * 37, F.lit(3000))).alias("e1"), (n + 300 + F.pmod(k * 53, F.lit(2500))).alias("n1"))
     return P.tile_tiers(P.tile_plan(bounds, 1000), (2000, 0, 4000, 1000), 750)
 
 
 def tile_summary(spark, sf):
     """Cells and valid cells per tier of tiles filled with events."""
-    e = _t(spark, sf, "events").select((F.floor(_x("event_id", 6000) / 1000)).cast("int").alias("col"), (F.pmod("event_id", F.lit(10)) > 0).cast("int").alias("valid"))
+    e = _t(spark, sf, "events").select(F.floor(F.pmod(F.col("event_id") * 7919, F.lit(6000)) / 1000).cast("int").alias("col"), (F.pmod("event_id", F.lit(10)) > 0).cast("int").alias("valid"))
     tier = F.when(F.col("col").isin(2, 3), "core").when(F.col("col").isin(1, 4), "near").otherwise("outer")
     g = e.groupBy(tier.alias("tier")).agg(F.count("*").alias("total"), F.sum("valid").alias("valid"), F.min("col").alias("first"), F.max("col").alias("last"))
     return g.withColumn("coverage", F.floor(F.col("valid") * 100000.0 / F.col("total") + 0.5) / 1000)
@@ -148,7 +155,7 @@ def mask_distance(spark, sf):
 
 def surface_paint(spark, sf):
     """Cells painted by parts in order of priority, and whether each is an edge."""
-    p = _t(spark, sf, "part").select(_x("p_partkey", 60).cast("int").alias("row"), _y("p_partkey", 60).cast("int").alias("col"), "p_brand", "p_size", "p_partkey")
+    p = _t(spark, sf, "part").select(F.pmod(F.col("p_partkey") * 7919, F.lit(60)).cast("int").alias("row"), _y("p_partkey", 60).cast("int").alias("col"), "p_brand", "p_size", "p_partkey")
     cells = G.painted(p.select("row", "col", F.col("p_brand").alias("code"), F.pmod("p_size", F.lit(5)).alias("priority"), F.col("p_partkey").alias("pos")))
     return G.with_edges(cells)
 
@@ -189,7 +196,7 @@ def great_circle(spark, sf):
 QUERIES = {f.__name__: f for f in (gap_fill_points, authority_decisions_v30a, authority_decisions_v18, decision_counters, vector_promotion, affine_fit, tile_plan_tiers, tile_summary, consensus_groups, path_components, connected_cell_groups, mask_distance, surface_paint, pixel_classes, label_nearest_shape, great_circle)}
 
 X, Y = "({k}::BIGINT * 7919 % {n})", "({k}::BIGINT * 104729 % {n})"
-_xy = lambda key, n=5000: f"{X.format(k=key, n=n)} AS x, {Y.format(k=key, n=n)} AS y"
+_xy = lambda key, n=5000: f"{X.format(k=key, n=n)} + {key} // {SHARE[key]} * {n} AS x, {Y.format(k=key, n=n)} AS y"
 
 
 def _authority(mode: str) -> str:
@@ -223,9 +230,9 @@ g AS (SELECT l_suppkey, count(*)::DOUBLE AS n, sum(x)::DOUBLE AS sx, sum(y)::DOU
 d AS (SELECT *, xx*(yy*n-sy*sy)-xy*(xy*n-sy*sx)+sx*(xy*sy-yy*sx) AS det FROM g)
 SELECT l_suppkey, floor((xe*(yy*n-sy*sy)-xy*(ye*n-sy*se)+sx*(ye*sy-yy*se)) / det * 10000 + 0.5) / 10000 AS a, floor((xx*(ye*n-sy*se)-xe*(xy*n-sy*sx)+sx*(xy*se-ye*sx)) / det * 10000 + 0.5) / 10000 AS b FROM d WHERE det <> 0""",
     "tile_plan_tiers": """
-WITH b(plan_id, e0, n0, e1, n1) AS (VALUES (1, 100, 200, 2250, 1850), (2, 0, 0, 6000, 1000)),
+WITH b AS (SELECT s_suppkey AS plan_id, e AS e0, n AS n0, e + 500 + s_suppkey * 37 % 3000 AS e1, n + 300 + s_suppkey * 53 % 2500 AS n1 FROM (SELECT s_suppkey, s_suppkey * 7919 % 6000 AS e, s_suppkey * 104729 % 2500 AS n FROM supplier)),
 t AS (SELECT *, unnest(range(0, ceil((e1 - e0) / 1000.0)::INTEGER)) AS c FROM (SELECT *, unnest(range(0, ceil((n1 - n0) / 1000.0)::INTEGER)) AS r FROM b)),
-k AS (SELECT plan_id, 'r' || lpad(r::VARCHAR, 2, '0') || '-c' || lpad(c::VARCHAR, 2, '0') AS tile_id, (e0 + c * 1000)::INTEGER AS te0, (n0 + r * 1000)::INTEGER AS tn0, least(e0 + (c + 1) * 1000, e1)::INTEGER AS te1, least(n0 + (r + 1) * 1000, n1)::INTEGER AS tn1 FROM t),
+k AS (SELECT plan_id, 'r' || lpad(r::VARCHAR, 2, '0') || '-c' || lpad(c::VARCHAR, 2, '0') AS tile_id, (e0 + c * 1000)::BIGINT AS te0, (n0 + r * 1000)::BIGINT AS tn0, least(e0 + (c + 1) * 1000, e1)::BIGINT AS te1, least(n0 + (r + 1) * 1000, n1)::BIGINT AS tn1 FROM t),
 g AS (SELECT *, sqrt((greatest(2000 - te1, te0 - 4000, 0) ** 2 + greatest(0 - tn1, tn0 - 1000, 0) ** 2)::DOUBLE) AS gap FROM k)
 SELECT plan_id, tile_id, te0, tn0, te1, tn1, CASE WHEN te0 < 4000 AND te1 > 2000 AND tn0 < 1000 AND tn1 > 0 THEN 'core' WHEN gap <= 750 THEN 'near' ELSE 'outer' END AS tier, floor(gap * 100 + 0.5) / 100 AS gap_m FROM g""",
     "tile_summary": f"""

@@ -66,7 +66,7 @@ def component_shapes(spark, sf):
     """4-connected groups of occupied cells of half a metre: size, fill, elongation, perimeter and compactness, and whether each looks like a plaza or a route."""
     cell = 0.5
     k = F.col("event_id")
-    c = _t(spark, sf, "events").select(F.pmod(F.floor(k / 60) * 2 + F.pmod(k * 7, F.lit(4)), F.lit(4000)).cast("int").alias("row"), F.pmod(k * 13, F.lit(61)).cast("int").alias("col")).distinct()
+    c = _t(spark, sf, "events").select((F.floor(k / 60) * 2 + F.pmod(k * 7, F.lit(4))).cast("int").alias("row"), F.pmod(k * 13, F.lit(61)).cast("int").alias("col")).distinct()
     c = c.withColumn("id", (F.col("row") * 100 + F.col("col")).cast("bigint"))
     links = raster.neighbours(c)
     groups = raster.connected_cells(c).join(c, "id")
@@ -127,12 +127,13 @@ def source_plans(spark, sf):
 def paged_features(spark, sf):
     """Features in pages of 500 by their position: the rows of each page, the last short page, and the features under the cap of 100 pages."""
     part = _t(spark, sf, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n"))
-    # positions by counts per block of keys, so that no task numbers all rows
-    block = F.floor(F.col("l_partkey") / 1000)
-    sums = part.groupBy(block.alias("block")).agg(F.sum("n").alias("rows"))
-
-
-    before = sums.withColumn("before", F.coalesce(F.sum("rows").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("rows")
+    # positions by counts per block of keys and per range of blocks, so that no task numbers all rows, nor all blocks
+    block, wide = F.floor(F.col("l_partkey") / 1000), F.floor(F.col("block") / 1000)
+    sums = part.groupBy(block.alias("block")).agg(F.sum("n").alias("rows")).withColumn("wide", wide)
+    until = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = sums.groupBy("wide").agg(F.sum("rows").alias("rows"))
+    ranges = ranges.select("wide", F.coalesce(F.sum("rows").over(until(Window.orderBy("wide"))), F.lit(0)).alias("wide_before"))
+    before = sums.withColumn("own_before", F.coalesce(F.sum("rows").over(until(Window.partitionBy("wide").orderBy("block"))), F.lit(0))).join(ranges, "wide").select("block", (F.col("own_before") + F.col("wide_before")).alias("before"))
     inside = Window.partitionBy("block").orderBy("l_partkey").rowsBetween(Window.unboundedPreceding, -1)
     first = part.withColumn("block", block).withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(before, "block").withColumn("first", F.col("within") + F.col("before"))
     pages = first.withColumn("page", F.explode(F.sequence(F.floor(F.col("first") / 500), F.floor((F.col("first") + F.col("n") - 1) / 500)))).where("page < 100")
@@ -163,7 +164,7 @@ SELECT p.o_orderkey, coalesce({_R("CASE WHEN how = 'blended' AND ws > 0 THEN s /
 WITH t AS (SELECT s_suppkey, ({_D('s_suppkey', (0.5, 1.0, 2.0, 3.0))})::DOUBLE AS res, (s_suppkey * 3 % 9)::DOUBLE AS short, (s_suppkey * 37 % 30) / 100.0::DOUBLE + 0.7::DOUBLE AS valid, (s_suppkey % 4) * 0.9::DOUBLE AS shift, ({_D('s_suppkey', (1.0, 1.0, 2.0), 2)})::DOUBLE AS surface_res, s_suppkey % 5 = 0 AS profiled, {_D('s_suppkey', ("4x4", "4x4", "8x2"), 3)} AS grid FROM supplier)
 SELECT s_suppkey, CASE WHEN short > greatest(2.0, res * 2.5) THEN 'bounds' WHEN res > 2 THEN 'resolution' WHEN valid < 0.85::DOUBLE THEN 'coverage' ELSE 'accepted' END AS gate, CASE WHEN shift >= 2.5 THEN 'bounds' WHEN NOT profiled AND abs(res - surface_res) >= 0.001 THEN 'resolution' WHEN grid <> '4x4' THEN 'grid' ELSE 'compatible' END AS pair, {_R('valid * 100', 3)} AS coverage FROM t""",
     "component_shapes": f"""
-WITH RECURSIVE c AS (SELECT DISTINCT ((event_id // 60 * 2 + event_id * 7 % 4) % 4000)::INTEGER AS r, (event_id * 13 % 61)::INTEGER AS k FROM events), i AS (SELECT r, k, r * 100 + k AS id FROM c),
+WITH RECURSIVE c AS (SELECT DISTINCT (event_id // 60 * 2 + event_id * 7 % 4)::INTEGER AS r, (event_id * 13 % 61)::INTEGER AS k FROM events), i AS (SELECT r, k, r * 100 + k AS id FROM c),
 l AS (SELECT a.id AS u, b.id AS v FROM i a JOIN i b ON b.r = a.r AND b.k = a.k + 1 UNION ALL SELECT a.id, b.id FROM i a JOIN i b ON b.r = a.r + 1 AND b.k = a.k), b AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
 lab(id, m, n) AS (SELECT id, id, 0 FROM i UNION ALL SELECT x.id, least(any_value(x.m), min(y.m)), any_value(x.n) + 1 FROM (SELECT * FROM lab) x LEFT JOIN b ON b.u = x.id LEFT JOIN (SELECT * FROM lab) y ON y.id = b.v WHERE x.n < 400 GROUP BY x.id),
 g AS (SELECT id, min(m) AS component FROM lab GROUP BY id), e AS (SELECT component, count(*) AS links FROM l JOIN g ON g.id = l.u GROUP BY 1),

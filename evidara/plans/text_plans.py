@@ -151,13 +151,17 @@ def prefetch_link(spark, sf):
     return _t(spark, sf, "pages").where("page_id % 3 <> 0").select("page_id").join(hits, "page_id", "left").withColumn("available", F.col("entry").isNotNull()).fillna(-1, ["entry"])
 
 
+#: Fan-out and levels of the tree of hashes: enough for 2**60 keys.
+FAN, LEVELS = 4096, 5
+
+
 def fingerprint(spark, sf):
-    """A hash per order priority over its sorted orders: blocks of 4096 keys are hashed each for itself, then the sorted blocks' hashes."""
-    line = F.concat_ws(":", F.col("o_orderkey").cast("string"), "o_orderstatus")
-    o = _t(spark, sf, "orders").select("o_orderpriority", F.floor(F.col("o_orderkey") / 4096).alias("block"), F.struct("o_orderkey", line.alias("text")).alias("item"))
-    joined = lambda c: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda x: x["text"]), "|"), 256)
-    blocks = o.groupBy("o_orderpriority", "block").agg(joined("item").alias("text"))
-    return blocks.groupBy("o_orderpriority").agg(joined(F.struct("block", "text")).alias("sha256"))
+    """A hash per order priority over its sorted orders, as a tree: FAN neighbouring keys are hashed, then FAN neighbouring hashes, until one is left."""
+    rows = _t(spark, sf, "orders").select("o_orderpriority", F.col("o_orderkey").alias("at"), F.concat_ws(":", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("text"))
+    for _ in range(LEVELS):
+        items = F.array_sort(F.collect_list(F.struct("at", "text")))
+        rows = rows.groupBy("o_orderpriority", F.floor(F.col("at") / FAN).alias("up")).agg(F.sha2(F.array_join(F.transform(items, lambda x: x["text"]), "|"), 256).alias("text")).withColumnRenamed("up", "at")
+    return rows.select("o_orderpriority", F.col("text").alias("sha256"))
 
 
 def imagery_ranking(spark, sf):
@@ -186,6 +190,15 @@ _CLASSIFIED = f"SELECT p_partkey, role, state, (score + CASE WHEN p_partkey % 3
 _OPEN = ", ".join(map(repr, S.OPEN_LICENSES))
 _RULED = " OR ".join(f"contains(low, '{m}')" for m in S.RESTRICTED_MARKERS)
 
+
+
+def _fingerprint_sql() -> str:
+    sql = "SELECT o_orderpriority, o_orderkey AS place, o_orderkey || ':' || o_orderstatus AS text FROM orders"
+    for _ in range(LEVELS):
+        sql = f"SELECT o_orderpriority, place // {FAN} AS place, sha256(string_agg(text, '|' ORDER BY place)) AS text FROM ({sql}) GROUP BY 1, 2"
+    return f"SELECT o_orderpriority, text AS sha256 FROM ({sql})"
+
+
 ORACLE_SQL = {
     "latest_partition_per_quadkey": f"""
 WITH o AS (SELECT *, {_sql_quadkey('o_orderkey', ZOOM + 6)} AS quadkey FROM orders), c AS (SELECT DISTINCT {_sql_quadkey('c_custkey', ZOOM + 6)} AS quadkey FROM customer WHERE c_acctbal > 9000),
@@ -232,7 +245,7 @@ SELECT *, CASE WHEN live >= 12 AND documents >= 6 THEN 'pass' ELSE 'fail' END AS
     "prefetch_link": """
 WITH e AS (SELECT url, min(page_id) AS entry FROM pages WHERE page_id % 3 = 0 GROUP BY url), p AS (SELECT * FROM pages WHERE page_id % 3 <> 0)
 SELECT page_id, coalesce(min(entry), -1) AS entry, min(entry) IS NOT NULL AS available FROM p LEFT JOIN e ON e.url IN (p.url, regexp_replace(p.url, '^https:', 'http:'), regexp_replace(p.url, '[?].*$', '')) GROUP BY page_id""",
-    "fingerprint": """WITH b AS (SELECT o_orderpriority, o_orderkey // 4096 AS block, sha256(string_agg(o_orderkey || ':' || o_orderstatus, '|' ORDER BY o_orderkey)) AS h FROM orders GROUP BY 1, 2) SELECT o_orderpriority, sha256(string_agg(h, '|' ORDER BY block)) AS sha256 FROM b GROUP BY 1""",
+    "fingerprint": _fingerprint_sql(),
     "imagery_ranking": """SELECT event_type, event_id, gsd FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY gsd, ts DESC, event_id) AS n FROM (SELECT *, (event_id % 17) / 100.0 AS gsd FROM events)) WHERE n = 1""",
     "aerial_gate": """
 SELECT lang, n, valid, floor(valid * 100000.0 / n + 0.5) / 1000 AS coverage, floor(valid * 100000.0 / n + 0.5) / 1000 >= 85.0 AS passed FROM (SELECT lang, count(*) AS n, count(*) FILTER (n_chars >= 500) AS valid FROM documents GROUP BY lang)""",
