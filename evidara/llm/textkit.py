@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Texts are worked on in slices of about so many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
