@@ -48,6 +48,12 @@ def quadkey(x: Column, y: Column, zoom: int) -> Column:
     return F.concat(*(digit(k) for k in range(zoom - 1, -1, -1)))
 
 
+def box_quadkeys(west: Column, south: Column, east: Column, north: Column, zoom: int) -> Column:
+    """The names of all tiles that a box touches, row by row from the north-west."""
+    (x0, y0), (x1, y1) = tile_of(west, north, zoom), tile_of(east, south, zoom)
+    return F.flatten(F.transform(F.sequence(F.least(y0, y1), F.greatest(y0, y1)), lambda y: F.transform(F.sequence(F.least(x0, x1), F.greatest(x0, x1)), lambda x: quadkey(x, y, zoom))))
+
+
 def fnv1a(text: Column) -> Column:
     """The 32-bit FNV-1a hash of the text's characters as an unsigned number."""
     codes = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("bigint"))

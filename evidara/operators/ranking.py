@@ -18,6 +18,46 @@ def round_robin(rows: DataFrame, group: str, order: list[Column], most: int) ->
     return rows.withColumn("turn", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("turn") <= most)
 
 
+def totals_before(rows: DataFrame, outer: str, inner: str, order: list[Column], sums: list[str]) -> DataFrame:
+    """Rows with `<sum>_before` for each of `sums`: the total over all rows before, in order of (outer, inner, order).
+
+    Rows are summed within each (outer, inner), these within each outer, and only the outer totals meet in one task; so `outer` must take few
+    values and an (outer, inner) few rows. `order` breaks all ties; null values count as 0.
+    """
+    value = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    until = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    run = lambda c, w: F.coalesce(F.sum(c).over(until(w)), F.lit(0))
+    own = Window.partitionBy(outer, inner).orderBy(*order)
+    made = rows.withColumns({f"__{c}": value(c) for c in sums}).withColumns({f"__own_{c}": run(f"__{c}", own) for c in sums})
+    parts = made.groupBy(outer, inner).agg(*(F.sum(f"__{c}").alias(f"__{c}") for c in sums))
+    whole = parts.groupBy(outer).agg(*(F.sum(f"__{c}").alias(f"__{c}") for c in sums))
+    whole = whole.select(outer, *(run(f"__{c}", Window.orderBy(outer)).alias(f"__far_{c}") for c in sums))
+    parts = parts.select(outer, inner, *(run(f"__{c}", Window.partitionBy(outer).orderBy(inner)).alias(f"__near_{c}") for c in sums)).join(whole, outer)
+    made = made.join(parts, [outer, inner]).withColumns({f"{c}_before": F.col(f"__own_{c}") + F.col(f"__near_{c}") + F.col(f"__far_{c}") for c in sums})
+    return made.drop(*(f"__{kind}{c}" for c in sums for kind in ("", "own_", "near_", "far_")))
+
+
+def failure_cap(documents: int) -> int:
+    """How many failures end a run over so many documents. The numbers are fixed values."""
+    return max(24, min(100, -(-documents // 8)))
+
+
+def downloads(candidates: DataFrame, group: str, position: str, order: list[Column], documents: int, size: int, most: int = 48, failures: int = 5, block: int = 1000) -> DataFrame:
+    """Candidates (group, position of the group, url, bytes, ok) that are attempted, with `turn`: round by round over the groups, each by its own order.
+
+    A group gives `most` candidates at most and none after `failures` failed ones; a url that was had is passed over, as a url's outcome
+    is the same each time. All ends when `documents` are had, or `size` bytes, or `failure_cap` failures. Groups are numbered by `position`.
+    """
+    rows = round_robin(candidates, group, order, most).withColumns({"failed": (~F.col("ok")).cast("int"), "had": F.col("ok").cast("int")})
+    before = Window.partitionBy(group).orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__f", F.coalesce(F.sum("failed").over(before), F.lit(0))).where(F.col("__f") < failures).drop("__f")
+    first = Window.partitionBy("url").orderBy("turn", position)
+    rows = rows.withColumn("__n", F.row_number().over(first)).where("NOT ok OR __n = 1").drop("__n")
+    rows = rows.withColumns({"__block": F.floor(F.col(position) / block), "used": F.when(F.col("ok"), F.col("bytes")).otherwise(0)})
+    rows = totals_before(rows, "turn", "__block", [F.col(position)], ["had", "used", "failed"])
+    return rows.where((F.col("had_before") < documents) & (F.col("used_before") < size) & (F.col("failed_before") < failure_cap(documents))).drop("__block", "used", "had", "failed")
+
+
 def within_budget(rows: DataFrame, group: str, order: list[str], size: str, budget: int, most: int) -> DataFrame:
     """(group, taken, failed, used): rows are taken in order while bytes and count last.
 
