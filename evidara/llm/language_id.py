@@ -26,7 +26,7 @@ UND = "und"
 #: Languages whose counts a task holds at once (half a megabyte each).
 HELD = 64
 #: Places of a long text that are worked on at once.
-WINDOW = 1 << 18
+WINDOW = 1 << 19
 #: Hosts up to which their priors are broadcast; beyond, rows are joined with them by host.
 BROADCAST_HOSTS = 100_000
 #: Markup that holds no text of the page, then any tag.

@@ -87,6 +87,13 @@ class WordIds:
         return [b"".join(map(self.words.__getitem__, x)) for x in split]
 
 
+def forget(path: str) -> None:
+    """Frees a worker's words, as it may serve other operators after this one."""
+    if path in _workers:
+        _workers[path].words.clear()
+        _workers[path].runs.clear()
+
+
 def ids_of(texts: list[str], path: str) -> list[bytes]:
     """Little-endian unsigned 32-bit ids of each text, by the worker's cache."""
     if path not in _workers:
@@ -117,6 +124,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     for column, value in zip(out, (doc, k, first // 4, len(part) // 4, zlib.crc32(part)), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], rows.schema.field(0).type), pa.array(out[1], pa.int32()), *(pa.array(x, pa.int64()) for x in out[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        forget(path)
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, {PIECES}")
 

@@ -28,7 +28,7 @@ GRAM = 32
 #: Words of an anchor where passages are counted in words.
 WORD_GRAM = 20
 #: Windows of a text that are worked on at once.
-WINDOWS = 1 << 19
+WINDOWS = 1 << 20
 #: Contexts of a class that one task takes at once; larger classes are counted window by window.
 CLASS = 4096
 #: Bytes of a text whose ranges are sorted together.
