@@ -77,6 +77,36 @@ def canonical_url(url: Column) -> Column:
     return F.concat(head, F.when(path == "", "/").otherwise(path), F.when(query == "", "").otherwise(F.concat(F.lit("?"), ordered)))
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its . and .. segments worked out; .. at the root stays at the root."""
+    none = F.array().cast("array<string>")
+
+    def step(out: Column, s: Column) -> Column:
+        up = F.when(F.size(out) > 1, F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(1)))).otherwise(out)
+        return F.when(s == "..", up).when(s == ".", out).otherwise(F.concat(out, F.array(s)))
+
+    made = F.aggregate(F.split(path, "/", -1), none, step)
+    # a path that ends in dots names a folder
+    return F.concat(F.array_join(made, "/"), F.when(F.rlike(path, F.lit(r"/\.\.?$")), "/").otherwise(""))
+
+
+def resolved_url(base: Column, href: Column) -> Column:
+    """An address as its page's address makes it: absolute, without a scheme, from the root, a query or fragment alone, or beside the page; null if it can't be."""
+    root = F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
+    path = F.coalesce(F.nullif(F.regexp_extract(base, "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+([^?#]*)", 1), F.lit("")), F.lit("/"))
+    query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
+    own, rest = F.regexp_extract(href, "^([^?#]*)", 1), F.regexp_extract(href, "^[^?#]*([?#].*)?$", 1)
+    beside = F.concat(F.regexp_extract(path, "^(.*/)", 1), own)
+    full = F.when(F.rlike(href, F.lit("^[a-zA-Z][a-zA-Z0-9+.-]*:")), href).when(F.startswith(href, F.lit("//")), F.concat(F.regexp_extract(base, "^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), href)).when(root == "", F.lit(None))
+    full = full.when(F.startswith(href, F.lit("#")), F.concat(root, path, query, href)).when(F.startswith(href, F.lit("?")), F.concat(root, path, href)).when(F.startswith(href, F.lit("/")), F.concat(root, without_dots(own), rest))
+    return full.otherwise(F.concat(root, without_dots(beside), rest))
+
+
+def is_fetchable(url: Column) -> Column:
+    """Whether an address is https, or http on this machine itself."""
+    return F.rlike(url, F.lit(r"(?i)^https://[^/?#]")) | F.rlike(url, F.lit(r"(?i)^http://(localhost|127\.0\.0\.1|\[::1\])([:/?#]|$)"))
+
+
 #: Licences that count as open, and markers that rule one out.
 OPEN_LICENSES = (
     "cc0", "cc0-1.0", "cc-by", "cc-by-3.0", "cc-by-4.0", "cc-by-sa", "cc-by-sa-3.0", "cc-by-sa-4.0", "odbl", "odbl-1.0",

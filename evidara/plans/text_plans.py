@@ -73,14 +73,16 @@ def document_candidates(spark, sf):
     return best.orderBy(F.desc("score"), "url").limit(20).select("url", "p_partkey", "role", "score")
 
 
+#: Anchors put after every page's own, one of each way to name an address.
+ANCHORS = " <A href='/single'>x</A> <a class=y HREF=bare/path>z</a> <a href='#top'>t</a> <a href=\"../up/./a/../b?x=../y\">u</a> <a href=//cdn.example.org/c>c</a> <a href='?page=2'>q</a> <a href='/../../r/..'>r</a> <a href='http://localhost:8080/l'>l</a> <a href='http://plain.example.org/'>p</a> <a href='DATA:x'>d</a>"
+
+
 def extract_links(spark, sf):
-    """Anchors of the pages: absolute addresses, with mail, script and fragment links dropped."""
-    html = F.concat("html", F.lit(" <A href='/single'>x</A> <a class=y HREF=bare/path>z</a> <a href='#top'>t</a>"))
+    """Anchors of the pages as full addresses, with mail, script and fragment links dropped, and all that isn't https, but for http on the machine itself."""
+    html = F.concat("html", F.lit(ANCHORS))
     raw = F.explode(F.regexp_extract_all(html, F.lit(r"""(?i)<a\b[^>]*\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1)))
     rows = _t(spark, sf, "pages").select("page_id", "url", raw.alias("raw")).withColumn("href", F.regexp_replace("raw", "^[\"']|[\"']$", "")).where("href <> '' AND NOT href rlike '(?i)^(#|mailto:|tel:|javascript:|data:)'")
-    root = F.regexp_extract("url", "^([a-z]+://[^/?#]+)", 1)
-    full = F.when(F.rlike("href", F.lit("^https?://")), F.col("href")).when(F.startswith("href", F.lit("/")), F.concat(root, "href")).otherwise(F.concat(F.regexp_extract("url", "^([^?#]*/)", 1), "href"))
-    return rows.groupBy("page_id", full.alias("link")).agg(F.count("*").alias("n"))
+    return rows.withColumn("link", S.resolved_url(F.col("url"), F.col("href"))).where(S.is_fetchable(F.col("link"))).groupBy("page_id", "link").agg(F.count("*").alias("n"))
 
 
 def host_page_counts(spark, sf):
@@ -212,10 +214,14 @@ WHERE lon BETWEEN -1.89 AND -1.875 AND lat BETWEEN 52.983 AND 52.992 AND (conf I
     "document_candidates": f"""
 WITH c AS (SELECT *, 'https://x/' || (p_partkey % 40) AS url FROM ({_CLASSIFIED})), b AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY score DESC, p_partkey) AS n FROM c)
 SELECT url, p_partkey, role, score FROM b WHERE n = 1 AND score >= 35 AND NOT rejected ORDER BY score DESC, url LIMIT 20""",
-    "extract_links": r"""
-WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html || ' <A href=''/single''>x</A> <a class=y HREF=bare/path>z</a> <a href=''#top''>t</a>', '(?i)<a\b[^>]*\bhref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1)) AS raw FROM pages), a AS (SELECT page_id, url, regexp_replace(raw, '^["'']|["'']$', '', 'g') AS href FROM h)
-SELECT page_id, link, count(*) AS n FROM (SELECT page_id, CASE WHEN regexp_matches(href, '^https?://') THEN href WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href ELSE regexp_extract(url, '^([^?#]*/)', 1) || href END AS link
-FROM a WHERE href <> '' AND NOT regexp_matches(href, '(?i)^(#|mailto:|tel:|javascript:|data:)')) GROUP BY 1, 2""",
+    "extract_links": rf"""
+WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html || '{ANCHORS.replace("'", "''")}', '(?i)<a\b[^>]*\bhref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1)) AS raw FROM pages),
+a AS (SELECT page_id, url, regexp_replace(raw, '^["'']|["'']$', '', 'g') AS href FROM h),
+p AS (SELECT *, regexp_extract(url, '^([a-z]+:)', 1) AS scheme, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS root, coalesce(nullif(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), ''), '/') AS path, string_split(href, '?')[1] AS own, href[len(string_split(href, '?')[1]) + 1 :] AS rest FROM a WHERE href <> '' AND NOT regexp_matches(href, '(?i)^(#|mailto:|tel:|javascript:|data:)')),
+q AS (SELECT *, CASE WHEN starts_with(own, '/') THEN own ELSE regexp_extract(path, '^(.*/)', 1) || own END AS long FROM p),
+d AS (SELECT *, list_reduce(list_prepend([]::VARCHAR[], list_transform(string_split(long, '/'), lambda v: [v])), lambda o, v: CASE v[1] WHEN '..' THEN CASE WHEN len(o) > 1 THEN o[:-2] ELSE o END WHEN '.' THEN o ELSE o || v END) AS parts FROM q),
+l AS (SELECT page_id, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href WHEN starts_with(href, '//') THEN scheme || href WHEN starts_with(href, '?') THEN root || path || href ELSE root || array_to_string(parts, '/') || CASE WHEN regexp_matches(long, '/\.\.?$') THEN '/' ELSE '' END || rest END AS link FROM d)
+SELECT page_id, link, count(*) AS n FROM l WHERE regexp_matches(link, '(?i)^https://[^/?#]') OR regexp_matches(link, '(?i)^http://(localhost|127\.0\.0\.1)([:/?#]|$)') GROUP BY 1, 2""",
     "host_page_counts": r"""
 SELECT host, count(*) AS pages, count(DISTINCT canonical) AS addresses FROM (SELECT lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host,
 lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)) || coalesce(nullif(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), ''), '/') || '?' || array_to_string(list_sort(string_split(regexp_extract(url, '\?([^#]*)', 1), '&')), '&') AS canonical FROM pages) GROUP BY 1""",
