@@ -45,3 +45,24 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
         mark = told
     least = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     return nodes.withColumnRenamed("u", "node").join(least, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def line_components(lines: DataFrame, step: float = 0.5) -> DataFrame:
+    """(component, features, isolated, nodes, edges, dangling) of lines (id, line): lines that share a vertex, snapped to `step`, belong together.
+
+    A component has the name of its first line. Nodes are the snapped vertices of segments, edges all segments, as often as they come; a
+    node is dangling if just one end of a segment is there. A line of one vertex joins components, but makes no node; one without any, or a null
+    line, is a component of its own.
+    """
+    key = lambda p: F.concat_ws(",", *((F.floor(p[axis] / step + 0.5)).cast("bigint").cast("string") for axis in "xy"))
+    rows = lines.select(F.col("id").alias("feature"), F.coalesce(F.transform("line", key), F.array().cast("array<string>")).alias("keys"))
+    named = rows.select("feature", F.concat(F.lit("f:"), F.lpad(F.col("feature").cast("string"), 20, "0")).alias("u"), "keys")
+    vertex = named.select("u", F.explode("keys").alias("key"))
+    found = cut(connected_components(vertex.select("u", F.concat(F.lit("v:"), F.col("key")).alias("v")).distinct()))
+    own = named.join(found.withColumnRenamed("node", "u"), "u", "left").select("feature", F.coalesce("component", "u").alias("component"))
+    features = own.groupBy("component").agg(F.count("*").alias("features"), F.min("feature").alias("first"))
+    ends = named.where("size(keys) > 1").select(F.explode(F.concat(F.slice("keys", F.lit(1), F.greatest(F.size("keys") - 1, F.lit(0))), F.slice("keys", F.lit(2), F.greatest(F.size("keys") - 1, F.lit(0))))).alias("key"))
+    degrees = ends.groupBy("key").agg(F.count("*").alias("degree")).join(found.select(F.expr("substring(node, 3)").alias("key"), "component").where("node LIKE 'v:%'"), "key")
+    nodes = degrees.groupBy("component").agg(F.count("*").alias("nodes"), (F.sum("degree") / 2).cast("bigint").alias("edges"), F.count_if(F.col("degree") == 1).alias("dangling"))
+    zero = F.lit(0).cast("bigint")
+    return features.join(nodes, "component", "left").select(F.col("first").alias("component"), "features", (F.col("features") == 1).alias("isolated"), *(F.coalesce(c, zero).alias(c) for c in ("nodes", "edges", "dangling")))

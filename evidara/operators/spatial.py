@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidara.functions import geometry as G
+
 
 def cells_around(x: Column, y: Column, size: float) -> Column:
     """The 3 x 3 cells around a point."""
@@ -84,3 +86,27 @@ def tile_tiers(tiles: DataFrame, core: tuple[int, int, int, int], near_m: int) -
     gap = F.sqrt((de * de + dn * dn).cast("double"))
     overlap = (F.col("te0") < ce1) & (F.col("te1") > ce0) & (F.col("tn0") < cn1) & (F.col("tn1") > cn0)
     return tiles.withColumns({"tier": F.when(overlap, "core").when(gap <= near_m, "near").otherwise("outer"), "gap_m": F.floor(gap * 100 + 0.5) / 100})
+
+
+def shape_labels(shapes: DataFrame, labels: DataFrame, radius: float = 56.0, worth: float = 0.08) -> DataFrame:
+    """(shape_id, label_id, distance) for each shape's best label within `radius`: least distance less `worth` for each point of the label's priority, then by position.
+
+    shapes: shape_id, points, closed; labels: label_id, pos, x, y, priority. A label inside a closed shape has no distance; else it's that to the
+    nearest segment, a closed shape's last one included. Shapes meet labels in cells as wide as the radius, once each.
+    """
+    axis = lambda name: F.transform("points", lambda p: p[name])
+    box = [f(axis(name)) + by for name, f, by in (("x", F.array_min, -radius), ("y", F.array_min, -radius), ("x", F.array_max, radius), ("y", F.array_max, radius))]
+    a = shapes.where(F.size("points") > 0).withColumn("__c", F.explode(cells_of_box(*box, radius)))
+    b = labels.withColumn("__c", F.struct(F.floor(F.col("x") / radius).alias("cx"), F.floor(F.col("y") / radius).alias("cy")))
+    x, y, points = F.col("x"), F.col("y"), F.col("points")
+
+    def apart(p: Column, q: Column) -> Column:
+        share = G.nearest_share(x, y, p["x"], p["y"], q["x"], q["y"])
+        return F.sqrt(F.pow(p["x"] + share * (q["x"] - p["x"]) - x, 2) + F.pow(p["y"] + share * (q["y"] - p["y"]) - y, 2))
+
+    sides = F.zip_with(points, G.turned(points), lambda p, q: apart(q, p))
+    open_sides = F.slice(sides, F.lit(2), F.greatest(F.size(sides) - 1, F.lit(0)))
+    near = F.when(F.col("closed") & G.inside(points, x, y), 0.0).otherwise(F.array_min(F.when(F.col("closed") & (F.size(points) > 2), sides).otherwise(open_sides)))
+    pairs = a.join(b, "__c").withColumn("distance", near).where(F.col("distance") <= radius)
+    best = F.min_by(F.struct("label_id", "distance"), F.struct((F.col("distance") - F.coalesce("priority", F.lit(0)) * worth).alias("score"), "pos"))
+    return pairs.groupBy("shape_id").agg(best.alias("b")).select("shape_id", "b.label_id", "b.distance")

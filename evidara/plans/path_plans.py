@@ -14,6 +14,8 @@ from evidara.functions import rules as R
 from evidara.functions.scalars import half_up
 from evidara.operators import drawings as D
 from evidara.operators import junctions as J
+from evidara.operators import spatial as P
+from evidara.operators.graph import line_components
 
 #: The template's text between its numbers, and each number as (factor, modulus) of the key.
 PIECES = (
@@ -65,7 +67,52 @@ def connector_rows(spark, sf):
     return J.connector_features(rows).select("id", "kind", "subtype", tags.alias("tags"), "status")
 
 
-QUERIES = {f.__name__: f for f in (drawing_paths, junction_lines, connector_rows)}
+def line_connectivity(spark, sf):
+    """Orders as bent lines along a strip: each connected group with its lines, nodes, edges and dangling ends."""
+    k = F.col("o_orderkey")
+    x, y = F.floor(k / 3) * 4, F.pmod(k * 7, F.lit(5)) * 4
+    line = F.array(G.point(x, y), G.point(x + F.pmod(k, F.lit(3)) * 4 + 0.1, y), G.point(x + F.pmod(k, F.lit(3)) * 4, y + F.pmod(k, F.lit(2)) * 4 + 0.2))
+    return line_components(spark.read.parquet(f"{sf}/orders.parquet").select(k.alias("id"), F.when(F.pmod(k, F.lit(50)) > 0, line).alias("line")))
+
+
+SHAPE = ((0, 0), (30, 0), (30, 20), (10, 25), (0, 20))
+
+
+def shape_labels(spark, sf):
+    """The label, a customer's place, of every part's shape, closed or open."""
+    k = F.col("p_partkey")
+    shapes = spark.read.parquet(f"{sf}/part.parquet").select(k.alias("shape_id"), G.ring(k * 40, F.pmod(k * 13, F.lit(90)), SHAPE).alias("points"), (F.pmod(k, F.lit(3)) > 0).alias("closed"))
+    k = F.col("c_custkey")
+    labels = spark.read.parquet(f"{sf}/customer.parquet").select(k.alias("label_id"), k.alias("pos"), (k * 53.25).cast("double").alias("x"), F.pmod(k * 17, F.lit(100)).cast("double").alias("y"), (F.pmod(k, F.lit(6)) * 20).cast("int").alias("priority"))
+    return P.shape_labels(shapes, labels).select("shape_id", "label_id", half_up(F.col("distance") + 1e-9, 4).alias("distance"))
+
+
+#: Roles of vectors, with the kind and subtype of what they become, the geometry they need, and their priority.
+VECTOR_ROLES = (
+    ("access-path-centerline-candidate", "path", "planning-access-path", "line", 100), ("access-surface-candidate", "surface", "planning-access-surface", "area", 95), ("ride-centerline-candidate", "ride_track", "planning-ride-centerline", "line", 92),
+    ("ride-footprint-candidate", "attraction", "planning-ride-footprint", "area", 86), ("building-footprint-candidate", "building", "planning-building-footprint", "area", 90), ("landscape-polygon-candidate", "vegetation", "planning-landscape-area", "area", 72),
+    ("landscape-boundary-candidate", "barrier", "planning-landscape-boundary", "line", 48), ("drainage-or-contour-line-candidate", "water", "planning-drainage-line", "line", 62), ("lighting-area-candidate", "detail", "planning-lighting-area", "area", 35), ("lighting-layout-line-candidate", "detail", "planning-lighting-layout", "line", 35),
+    ("site-path-centerline-candidate", "path", "planning-site-path", "line", 108), ("site-path-surface-candidate", "path", "planning-site-path-surface", "area", 109), ("site-building-footprint-candidate", "building", "planning-site-building", "area", 106), ("site-wall-candidate", "barrier", "wall", "line", 104),
+    ("site-wall-footprint-candidate", "structure", "planning-wall-footprint", "area", 101), ("site-fence-candidate", "barrier", "fence", "line", 100), ("site-fence-footprint-candidate", "structure", "planning-fence-footprint", "area", 96), ("site-bridge-centerline-candidate", "path", "planning-bridge", "line", 110),
+    ("site-bridge-surface-candidate", "path", "planning-bridge-deck", "area", 111), ("site-tunnel-centerline-candidate", "path", "planning-tunnel", "line", 110), ("site-tunnel-surface-candidate", "path", "planning-tunnel-surface", "area", 111), ("site-water-body-candidate", "water", "planning-water-body", "area", 102),
+    ("site-watercourse-candidate", "water", "planning-watercourse", "line", 98), ("site-vegetation-area-candidate", "vegetation", "planning-vegetation-area", "area", 94), ("site-vegetation-boundary-candidate", "vegetation", "planning-vegetation-boundary", "line", 82),
+    ("site-rock-area-candidate", "terrain_detail", "planning-rockwork", "area", 92), ("site-rock-line-candidate", "terrain_detail", "planning-rockwork-line", "line", 80), ("site-terrain-change-area-candidate", "terrain_detail", "planning-earthworks", "area", 90),
+    ("site-terrain-change-line-candidate", "terrain_detail", "planning-level-or-earthwork-line", "line", 88),
+)
+
+
+def vector_roles(spark, sf):
+    """Line items as vectors by role and geometry: what they become, those that a role doesn't allow, and the best priority with confidence and error."""
+    k = F.col("l_orderkey") * 3 + F.col("l_linenumber")
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(R.dealt(k, [*(r[0] for r in VECTOR_ROLES), "site-unknown-candidate"]).alias("role"), R.dealt(F.col("l_partkey"), ("line", "area")).alias("geometry"), (60 + F.pmod("l_partkey", F.lit(40))).alias("percent"), F.pmod("l_suppkey", F.lit(30)).alias("tenths"))
+    known = spark.createDataFrame(VECTOR_ROLES, "role string, kind string, subtype string, needs string, base int")
+    made = rows.join(F.broadcast(known), "role", "left").withColumn("allowed", F.coalesce(F.col("needs") == F.col("geometry"), F.lit(False)))
+    # role + 100 * confidence - 4 * error, in tenths so that it is whole
+    priority = F.col("base") * 10 + F.col("percent") * 10 - F.col("tenths") * 4
+    return made.groupBy("role", "geometry", F.coalesce("kind", F.lit("")).alias("kind"), F.coalesce("subtype", F.lit("")).alias("subtype"), "allowed").agg(F.count("*").alias("n"), F.max(F.when(F.col("allowed"), priority)).alias("best")).fillna(-1, ["best"])
+
+
+QUERIES = {f.__name__: f for f in (drawing_paths, junction_lines, connector_rows, line_connectivity, shape_labels, vector_roles)}
 
 _quote = lambda v: "'" + v.replace("'", "''") + "'"
 _SVG = " || ".join(_quote(p) if isinstance(p, str) else f"(s_suppkey * {p[0]} % {p[1]})" for p in PIECES)
@@ -126,4 +173,24 @@ SELECT k AS o_orderkey, len(line)::INTEGER AS points, inserted::INTEGER AS inser
 WITH c AS (SELECT *, l_orderkey * 7 + l_linenumber AS k FROM lineitem),
 d AS (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, CASE WHEN k % 3 = 0 THEN 'service' ELSE 'footway' END AS way, {R.sql_dealt('k', ROLES)} AS role, {R.sql_dealt('k', SURFACES)} AS surface FROM c)
 SELECT 'derived:' || id AS id, CASE WHEN k % 3 = 0 THEN 'road' ELSE 'path' END AS kind, way AS subtype, concat_ws(';', CASE WHEN role = 'service' THEN 'access=private' END, 'highway=' || way, 'path:repair=endpoint_snap', CASE WHEN role = 'queue' THEN 'queue=yes' END, 'repair:confidence=' || ((k % 16) / 16.0::DOUBLE), 'repair:distance_m=' || ((k % 40) / 8.0::DOUBLE), 'repair:from=' || l_partkey, 'repair:to=' || l_suppkey, CASE WHEN surface <> '' THEN 'surface=' || surface END) AS tags, 'compiled-repair' AS status FROM d""",
+    "line_connectivity": """
+WITH RECURSIVE o AS (SELECT o_orderkey AS k, o_orderkey // 3 * 4 AS x, o_orderkey * 7 % 5 * 4 AS y, o_orderkey % 3 * 4 AS a, o_orderkey % 2 * 4 AS b FROM orders),
+p AS (SELECT k, 0 AS i, x::DOUBLE AS px, y::DOUBLE AS py FROM o WHERE k % 50 > 0 UNION ALL SELECT k, 1, x + a + 0.1::DOUBLE, y FROM o WHERE k % 50 > 0 UNION ALL SELECT k, 2, x + a, y + b + 0.2::DOUBLE FROM o WHERE k % 50 > 0),
+v AS MATERIALIZED (SELECT k, i, floor(px / 0.5 + 0.5)::BIGINT || ',' || floor(py / 0.5 + 0.5)::BIGINT AS key FROM p),
+e AS MATERIALIZED (SELECT DISTINCT a.k AS u, b.k AS w FROM v a JOIN v b USING (key)), r AS (SELECT k AS node, k AS root FROM o UNION SELECT e.w, r.root FROM r JOIN e ON e.u = r.node),
+g AS MATERIALIZED (SELECT node AS k, min(root) AS component FROM r GROUP BY node), f AS (SELECT component, count(*) AS features FROM g GROUP BY 1),
+s AS (SELECT key FROM v WHERE i < 2 UNION ALL SELECT key FROM v WHERE i > 0), d AS (SELECT key, count(*) AS degree FROM s GROUP BY 1), h AS (SELECT DISTINCT key, component FROM v JOIN g USING (k)),
+n AS (SELECT component, count(*) AS nodes, (sum(degree) / 2)::BIGINT AS edges, count(*) FILTER (degree = 1) AS dangling FROM d JOIN h USING (key) GROUP BY 1)
+SELECT component, features, features = 1 AS isolated, coalesce(nodes, 0) AS nodes, coalesce(edges, 0) AS edges, coalesce(dangling, 0) AS dangling FROM f LEFT JOIN n USING (component)""",
+    "shape_labels": f"""
+WITH s AS (SELECT p_partkey, p_partkey % 3 > 0 AS closed, {G.sql_ring('p_partkey * 40', '(p_partkey * 13 % 90)', SHAPE)} AS ring FROM part), l AS (SELECT c_custkey, (c_custkey * 53.25::DOUBLE) AS x, (c_custkey * 17 % 100)::DOUBLE AS y, c_custkey % 6 * 20 AS priority FROM customer),
+j AS (SELECT * FROM s JOIN l ON x BETWEEN ring[1].x - 60 AND ring[1].x + 90),
+g AS (SELECT *, unnest(range(1, len(ring) + closed::INTEGER)) AS i FROM j), h AS (SELECT *, ring[i] AS a, ring[i % len(ring) + 1] AS b FROM g),
+t AS (SELECT *, greatest(0.0, least(1.0, ((x - a.x) * (b.x - a.x) + (y - a.y) * (b.y - a.y)) / ((b.x - a.x) ** 2 + (b.y - a.y) ** 2))) AS z FROM h),
+d AS (SELECT p_partkey, c_custkey, any_value(priority) AS priority, CASE WHEN bool_or(closed AND {G.sql_inside('ring', 'x', 'y')}) THEN 0.0 ELSE min(sqrt((a.x + z * (b.x - a.x) - x) ** 2 + (a.y + z * (b.y - a.y) - y) ** 2)) END AS distance FROM t GROUP BY 1, 2)
+SELECT p_partkey AS shape_id, c_custkey AS label_id, floor((distance + 1e-9) * 10000 + 0.5) / 10000 AS distance FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY distance - 0.08::DOUBLE * priority, c_custkey) AS n FROM d WHERE distance <= 56) WHERE n = 1""",
+    "vector_roles": f"""
+WITH v AS (SELECT {R.sql_dealt('l_orderkey * 3 + l_linenumber', [*(r[0] for r in VECTOR_ROLES), 'site-unknown-candidate'])} AS role, {R.sql_dealt('l_partkey', ('line', 'area'))} AS geometry, 60 + l_partkey % 40 AS percent, l_suppkey % 30 AS tenths FROM lineitem),
+k(role, kind, subtype, needs, base) AS (VALUES {', '.join('(' + ', '.join(map(R.quoted, r)) + ')' for r in VECTOR_ROLES)})
+SELECT role, geometry, coalesce(kind, '') AS kind, coalesce(subtype, '') AS subtype, coalesce(needs = geometry, false) AS allowed, count(*) AS n, coalesce(max(CASE WHEN needs = geometry THEN base * 10 + percent * 10 - tenths * 4 END), -1)::BIGINT AS best FROM v LEFT JOIN k USING (role) GROUP BY ALL""",
 }

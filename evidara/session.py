@@ -69,6 +69,21 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, value)
 
 
+#: Tables that `cut` has made and nothing has deleted yet.
+_made: dict[str, SparkSession] = {}
+
+
+def release() -> None:
+    """Deletes all tables that `cut` has made in this process. Call it when no frame made from them is needed any more; it is also called at its end."""
+    for path, spark in list(_made.items()):
+        with contextlib.suppress(Exception):  # the session may have ended
+            delete(spark, path)
+        _made.pop(path, None)
+
+
+atexit.register(release)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder as Parquet and read back, so that later stages don't recompute it."""
     spark = df.sparkSession
@@ -77,6 +92,7 @@ def cut(df: DataFrame) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     made = spark.read.schema(df.schema).parquet(path)
     made.cut_path = path
+    _made[path] = spark
     return made
 
 
@@ -88,5 +104,6 @@ def drop(*frames: DataFrame) -> None:
 
 def delete(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the shared file system."""
+    _made.pop(path, None)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

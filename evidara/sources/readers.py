@@ -69,6 +69,18 @@ def manifest_faults(entries: DataFrame, hosts: list[str], now, max_age_hours: fl
     return entries.select("url", single.alias("fault")).where("fault IS NOT NULL").union(twice).distinct()
 
 
+def file_faults(entries: DataFrame, files: DataFrame) -> DataFrame:
+    """(url, file, fault) of manifest entries whose file isn't what they say: missing, of other bytes, or of another hash, the first of these.
+
+    entries: url, file (a path within the folder), bytes, sha256; files as `read_files` gives them. Files are found by the last part of their path.
+    """
+    name = lambda c: F.regexp_extract(c, "([^/]+)$", 1)
+    held = files.select(name(F.col("path")).alias("__name"), F.col("bytes").alias("__bytes"), F.col("sha256").alias("__sha")).dropDuplicates(["__name"])
+    made = entries.withColumn("__name", name(F.col("file"))).join(held, "__name", "left")
+    fault = F.when(F.col("__sha").isNull(), "missing").when(~F.col("bytes").eqNullSafe(F.col("__bytes")), "bytes").when(~F.lower("sha256").eqNullSafe(F.col("__sha")), "sha256")
+    return made.select("url", "file", fault.alias("fault")).where("fault IS NOT NULL")
+
+
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, bytes, sha256, mime) of binary files; the type comes from the first bytes, then from the extension."""
     head = F.hex(F.substring("content", 1, 4))
