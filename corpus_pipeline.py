@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidara.llm import cotraining, language_id, near_duplicates, packing, queries, repeats
-from evidara.session import cut, delete, shared_folder
+from evidara.session import cut, delete, shared_folder, small_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -26,6 +26,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     null language or source is none. Rows that repeat an id are judged one by one; of equal probabilities the language that comes first
     by name wins; extra columns go; an empty table gives an empty result.
     """
+    small_batches(spark)
     none = F.lit("")
     found = language_id.identify(docs, docs, "doc_id", F.col("text"), F.col("lang"), none, F.col("source"), F.col("source"), keep=["text", "source", "n_chars"])
     return found.where("accepted").select(*COLUMNS)
@@ -37,6 +38,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts have no words, and null metadata are a value of their own. Rows that repeat an id are scored one by one; a score of
     just the limit is accepted; extra columns go; without labels all stay; an empty table gives an empty result.
     """
+    small_batches(spark)
     scored = cotraining.classify(docs, queries.table(spark, sf_dir, "labels"), queries.metadata_columns(), keep=COLUMNS[1:])
     return scored.where("accepted").select(*COLUMNS)
 
@@ -47,6 +49,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of rows that repeat an id the one stays whose text, then language, source and size come first in order. Null and empty texts
     have no near-duplicates; ties go by id; extra columns go; an empty table gives an empty result.
     """
+    small_batches(spark)
     linked = cut(near_duplicates.near_duplicates(docs))
     gone = linked.where("doc_id <> component_id").select("doc_id").distinct()
     again = cut(linked.groupBy("doc_id").count().where("count > 1").select("doc_id"))
@@ -65,6 +68,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     in full and lose all if they have more than 50 words or 400 bytes, whatever their ids; extra columns go; an empty table gives an empty
     result.
     """
+    small_batches(spark)
     found = repeats.remove_repeats(docs, with_text=True, keep=["lang", "source"], words=51)
     return found.where(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")).select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
@@ -75,6 +79,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text is one piece, its end. Rows that repeat an id are packed one by one; pieces of equal length are packed in the order
     of their places; an empty table gives an empty result.
     """
+    small_batches(spark)
     parts = packing.pieces(docs, queries.WORD_BPE)
     return packing.pack(parts).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 

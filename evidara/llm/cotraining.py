@@ -190,7 +190,7 @@ def exchanged(rows: DataFrame, weights: list[tuple[np.ndarray, float]], confiden
             at = np.flatnonzero(v.any(0))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int32)), pa.array(v[0, at]), pa.array(v[1, at])], ["view", "feature", "good", "bad"])
 
-    sums = rows.mapInArrow(run, "view int, feature int, good long, bad long").groupBy("view", "feature").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).toArrow()
+    sums = rows.mapInArrow(T.tidied(run), "view int, feature int, good long, bad long").groupBy("view", "feature").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).toArrow()
     view, feature, good, bad = (sums[c].to_numpy() for c in ("view", "feature", "good", "bad"))
     model.destroy()
     out = []
@@ -240,7 +240,7 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
             yield pa.RecordBatch.from_arrays([part.column(0), features, part.column(2)], ["__id", "features", "meta_features"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    made = lambda rows: rows.select("__id", "text", "meta").mapInArrow(features, f"__id {id_type}, features array<int>, meta_features array<int>")
+    made = lambda rows: rows.select("__id", "text", "meta").mapInArrow(T.tidied(features), f"__id {id_type}, features array<int>, meta_features array<int>")
     # an id's rows count as one, whatever their number: that of the least features
     fitted = made(source.where(at < share).join(ids, "__id", "left_semi")).groupBy("__id").agg(F.min(F.struct("features", "meta_features")).alias("r"))
     rows = fitted.join(said, "__id").select("__id", "r.features", "r.meta_features", "__y").toArrow()

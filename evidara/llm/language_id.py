@@ -110,7 +110,7 @@ def learned(labelled: DataFrame, text_col: str, lang_col: str, most: int) -> tup
             at = np.flatnonzero(v)
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(v[at])], ["lang", "bucket", "n"])
 
-    counts = rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = rows.mapInArrow(T.tidied(run), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(counts["lang"]))
     table = np.zeros((len(langs), BUCKETS))
     if langs:

@@ -89,7 +89,7 @@ def sketches(docs: DataFrame, k: int, tables: int, rows: int, seed: int) -> Data
             made = [T.lists(T.signed(np.ascontiguousarray(keys[c]).ravel()), np.where(per > 0, tables, 0)) for c in range(2)]
             yield pa.RecordBatch.from_arrays([some.column(0), pa.array(per.astype(np.int64)), pa.array(T.signed(signed[0].copy())), pa.array(T.signed(signed[1].copy())), *made], ["node", "n_shingles", "s1", "s2", "a", "b"])
 
-    return docs.mapInArrow(run, "node long, n_shingles long, s1 long, s2 long, a array<long>, b array<long>")
+    return docs.mapInArrow(T.tidied(run), "node long, n_shingles long, s1 long, s2 long, a array<long>, b array<long>")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -107,7 +107,7 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
             keep = pa.array(right)
             yield pa.RecordBatch.from_arrays([some.column(0).filter(keep), T.lists(T.signed(x), per).filter(keep)], ["node", "set"])
 
-    return docs.select("node", "s1", "s2", "text").mapInArrow(run, "node long, set array<long>")
+    return docs.select("node", "s1", "s2", "text").mapInArrow(T.tidied(run), "node long, set array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -145,7 +145,7 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
                 token, place, n, row = (np.concatenate(c) for c in out)
                 yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(place), pa.array(n), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))], ["token", "place", "n", "rep", "component"])
 
-    return sets.select("rep", "component", "set").mapInArrow(run, "token long, place int, n long, rep long, component long")
+    return sets.select("rep", "component", "set").mapInArrow(T.tidied(run), "token long, place int, n long, rep long, component long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, tables: int = 10, rows: int = 2, seed: int = 11) -> DataFrame:

@@ -126,7 +126,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([pa.array(out[0], rows.schema.field(0).type), pa.array(out[1], pa.int32()), *(pa.array(x, pa.int64()) for x in out[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
         forget(path)
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, {PIECES}")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(T.tidied(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, {PIECES}")
 
 
 def patterns(counts: np.ndarray, limit: int, each: int = 12, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -136,7 +136,7 @@ def run_rows(texts: DataFrame, least: int) -> DataFrame:
             columns = [T.signed(anchor), T.signed(context), (place - lo).astype(np.int32), (lo - at[text]).astype(np.int32), (hi - lo + 1).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(at)), *(T.lists(c, per) for c in columns)], ["key", "size", "anchor", "context", "left", "lo", "n"])
 
-    return texts.mapInArrow(run, "key binary, size long, anchor array<long>, context array<long>, left array<int>, lo array<int>, n array<int>")
+    return texts.mapInArrow(T.tidied(run), "key binary, size long, anchor array<long>, context array<long>, left array<int>, lo array<int>, n array<int>")
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -261,7 +261,7 @@ def ranges_of_classes(contexts: DataFrame, least: int) -> DataFrame:
         keys, first, last = zip(*out, strict=True) if out else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(first, pa.int32()), pa.array(last, pa.int32())], ["key", "first", "last"])
 
-    return contexts.repartition("anchor").sortWithinPartitions("anchor").select("anchor", "left", "key", "lo", "single", "bytes").mapInArrow(run, "key binary, first int, last int")
+    return contexts.repartition("anchor").sortWithinPartitions("anchor").select("anchor", "left", "key", "lo", "single", "bytes").mapInArrow(T.tidied(run), "key binary, first int, last int")
 
 
 def ranges_of_windows(contexts: DataFrame, least: int) -> DataFrame:
@@ -277,7 +277,7 @@ def ranges_of_windows(contexts: DataFrame, least: int) -> DataFrame:
                 n = len(at)
                 yield pa.RecordBatch.from_arrays([batch.column(2).take(pa.array([row] * n)), batch.column(4).take(pa.array([row] * n)), pa.array((batch.column(3)[row].as_py() + at).astype(np.int32)), pa.array(h)], ["key", "single", "first", "h"])
 
-    windows = cut(contexts.select("anchor", "left", "key", "lo", "single", "bytes").mapInArrow(run, "key binary, single boolean, first int, h long"))
+    windows = cut(contexts.select("anchor", "left", "key", "lo", "single", "bytes").mapInArrow(T.tidied(run), "key binary, single boolean, first int, h long"))
     again = cut(windows.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"))
     return windows.where("single").join(again, "h", "left_semi").select("key", "first", (F.col("first") + least).alias("last"))
 
@@ -316,7 +316,7 @@ def repeated_ranges(docs: DataFrame, text_col: str = "text", least: int = 400) -
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["anchor", "left", "key", "lo", "single", "bytes", "d"])
 
     wanted = open_contexts.groupBy("key").agg(F.collect_list(F.struct("anchor", "left", "lo", "single", "n", "d")).alias("rows"))
-    cuts = cut(in_texts(texts, open_contexts.select("key").distinct()).join(wanted, "key").select("key", "text", "rows").mapInArrow(extract, "anchor long, left int, key binary, lo int, single boolean, bytes binary, d long"))
+    cuts = cut(in_texts(texts, open_contexts.select("key").distinct()).join(wanted, "key").select("key", "text", "rows").mapInArrow(T.tidied(extract), "anchor long, left int, key binary, lo int, single boolean, bytes binary, d long"))
     found = cut(ranges_of_classes(cuts.where(F.col("d") <= CLASS), least).union(ranges_of_windows(cuts.where(F.col("d") > CLASS), least)))
     drop(open_contexts, cuts)
     return texts, made.select("key", "copies", "size"), whole.union(found)
@@ -341,7 +341,7 @@ def word_run_rows(texts: DataFrame, words: int) -> DataFrame:
             per = np.bincount(text, minlength=rows.num_rows)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(at)), *(T.lists(c, per) for c in (anchor, lo.astype(np.int32), n.astype(np.int32)))], ["key", "size", "anchor", "lo", "n"])
 
-    return texts.mapInArrow(run, "key binary, size long, anchor array<long>, lo array<int>, n array<int>")
+    return texts.mapInArrow(T.tidied(run), "key binary, size long, anchor array<long>, lo array<int>, n array<int>")
 
 
 def repeated_words(texts: DataFrame, words: int, least: int) -> DataFrame:
@@ -374,7 +374,7 @@ def repeated_words(texts: DataFrame, words: int, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(2).take(take), pa.array(copies), pa.array(begins.astype(np.int32)), pa.array(ends.astype(np.int32)), pa.array(T.signed(h[np.searchsorted(first, start)]))], ["key", "open", "copies", "first", "last", "h"])
 
     found = in_texts(texts, wanted.select("key")).join(wanted, "key").select("key", "text", "open", "rows", "copies")
-    windows = cut(found.mapInArrow(run, "key binary, open boolean, copies long, first int, last int, h long"))
+    windows = cut(found.mapInArrow(T.tidied(run), "key binary, open boolean, copies long, first int, last int, h long"))
     again = cut(windows.groupBy("h").agg(F.sum("copies").alias("c")).where("c > 1").select("h"))
     return windows.where("open").join(again, "h", "left_semi").select("key", "first", "last")
 
@@ -434,7 +434,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "gone", "spans", "sha", "passages", "left_text"])
 
     gathered = ranges.groupBy("key").agg(F.collect_list(F.struct("first", "last", "gone")).alias("found"))
-    partly = in_texts(texts, ranges.select("key").distinct()).join(gathered, "key").select("key", "text", "found").mapInArrow(judge, "key binary, gone long, spans long, sha string, passages long, left_text string")
+    partly = in_texts(texts, ranges.select("key").distinct()).join(gathered, "key").select("key", "text", "found").mapInArrow(T.tidied(judge), "key binary, gone long, spans long, sha string, passages long, left_text string")
     copied = sizes.where((F.col("copies") > 1) & (F.col("size") >= least)).select("key", F.col("size").alias("gone"), F.lit(1).cast("long").alias("spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("sha"), F.col("size").alias("passages"), F.lit("").alias("left_text"))
     known = partly.union(copied)
     text = F.coalesce(F.col(text_col), F.lit(""))
