@@ -17,6 +17,8 @@ FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Settings of the batches that go to Python workers.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+SMALL = {"spark.sql.execution.arrow.maxRecordsPerBatch": "250", "spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
+SMALLER = "spark.evidara.smallBatches"
 
 
 def local_session(cpus: str = "8", name: str = "evidara") -> SparkSession:
@@ -64,8 +66,16 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Python workers of this session get Arrow batches of few rows and bytes from here on, as texts may be long."""
-    for name, value in BATCHES.items():
+    """Python workers of this session get Arrow batches of few rows and bytes from here on, as texts may be long, unless `small_batches` has set smaller ones."""
+    if spark.conf.get(SMALLER, "") != "true":
+        for name, value in BATCHES.items():
+            spark.conf.set(name, value)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """The same with still smaller batches, for runs of many operators in one session, where executors hold little free memory."""
+    spark.conf.set(SMALLER, "true")
+    for name, value in SMALL.items():
         spark.conf.set(name, value)
 
 
