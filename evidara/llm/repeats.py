@@ -353,6 +353,7 @@ def repeated_words(texts: DataFrame, words: int, least: int) -> DataFrame:
     flat = made.select("key", "copies", ((F.col("copies") == 1) | (F.col("size") < least)).alias("open"), F.explode(F.arrays_zip("anchor", "lo", "n")).alias("r")).select("key", "copies", "open", "r.*")
     shared = cut(flat.groupBy("anchor").agg(F.sum("copies").alias("c")).where("c > 1").select("anchor"))
     wanted = cut(flat.join(shared, "anchor", "left_semi").groupBy("key", "copies", "open").agg(F.collect_list(F.struct("lo", "n")).alias("rows")))
+    drop(made, shared)
 
     def run(batches):
         for part, data, at in T.slices(batches):
@@ -376,7 +377,10 @@ def repeated_words(texts: DataFrame, words: int, least: int) -> DataFrame:
     found = in_texts(texts, wanted.select("key")).join(wanted, "key").select("key", "text", "open", "rows", "copies")
     windows = cut(found.mapInArrow(T.tidied(run), "key binary, open boolean, copies long, first int, last int, h long"))
     again = cut(windows.groupBy("h").agg(F.sum("copies").alias("c")).where("c > 1").select("h"))
-    return windows.where("open").join(again, "h", "left_semi").select("key", "first", "last")
+    drop(wanted)
+    found = cut(windows.where("open").join(again, "h", "left_semi").select("key", "first", "last"))
+    drop(windows, again)
+    return found
 
 
 def joined_up(ranges: DataFrame) -> DataFrame:
