@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ def point(x, y) -> Column:
     return F.struct(c(x).alias("x"), c(y).alias("y"))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once a row, however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def ring(x: Column, y: Column, offsets) -> Column:
     """A ring of points at fixed offsets from (x, y)."""
     return F.array(*(point(x + dx, y + dy) for dx, dy in offsets))
@@ -83,13 +90,12 @@ def curve(points: list[Column], steps: Column) -> Column:
     weights = (1, 3, 3, 1) if len(points) == 4 else (1, 2, 1)
     degree = len(points) - 1
 
-    def at(i: Column) -> Column:
-        t = i / steps
+    def at(t: Column) -> Column:
         u = 1 - t
         part = lambda axis: sum((w * F.pow(u, F.lit(degree - k)) * F.pow(t, F.lit(k)) * points[k][axis] for k, w in enumerate(weights)), F.lit(0.0))
         return point(part("x"), part("y"))
 
-    return F.concat(F.array(points[0]), F.transform(F.sequence(F.lit(1), steps), at))
+    return F.concat(F.array(points[0]), F.transform(F.transform(F.sequence(F.lit(1), steps), lambda i: i / steps), at))
 
 
 #: Ellipsoids, datum shift (metres, arc seconds, parts per million) and projection of the British National Grid.

@@ -86,7 +86,8 @@ def elements(drawings: DataFrame, keys: list[str], svg: str = "svg") -> DataFram
         stack = F.when(t["step"] > 0, F.concat(s["stack"], F.array(m))).when(t["step"] < 0, down).otherwise(s["stack"])
         return F.struct(stack.alias("stack"), F.when(t["step"] == 0, F.concat(s["out"], F.array(F.struct(t["tag"].alias("tag"), m.alias("matrix"))))).otherwise(s["out"]).alias("out"))
 
-    found = drawings.select(*keys, F.posexplode(F.aggregate(read, start, step)["out"]).alias("place", "e"))
+    # an outer explode, as Spark would work out the array once more to test that a plain one has rows
+    found = drawings.select(*keys, F.posexplode_outer(F.aggregate(read, start, step)["out"]).alias("place", "e")).where("place IS NOT NULL")
     return found.select(*keys, "place", "e.tag", "e.matrix")
 
 
@@ -94,8 +95,8 @@ def path_steps(data: Column) -> Column:
     """Path data as an array of (op, relative, n): one for each set of numbers; what can't be read is (!), after which nothing counts."""
 
     def read(command: Column) -> Column:
-        letter = F.substring(command, 1, 1)
-        op, n = F.upper(letter), numbers(command)
+        letter, n = command["letter"], command["n"]
+        op = F.upper(letter)
         made = lambda name, values: F.struct(name.alias("op"), (letter != op).alias("relative"), values.alias("n"))
         bad = F.array(made(F.lit("!"), array_of("double")))
         takes = F.coalesce(F.element_at(F.create_map(*(F.lit(v) for pair in TAKES.items() for v in pair)), op), F.lit(0))
@@ -106,8 +107,9 @@ def path_steps(data: Column) -> Column:
         return F.when(op == "Z", closed).when(takes == 0, bad).otherwise(F.concat(sets, rest))
 
     text = F.coalesce(data, F.lit(""))
+    commands = F.transform(F.regexp_extract_all(text, F.lit(COMMAND), F.lit(0)), lambda c: F.struct(F.substring(c, 1, 1).alias("letter"), numbers(c).alias("n")))
     # numbers before any command can't be read
-    return F.when(F.rlike(text, F.lit(r"^[^a-zA-Z]*\d")), array_of("struct<op:string,relative:boolean,n:array<double>>")).otherwise(F.flatten(F.transform(F.regexp_extract_all(text, F.lit(COMMAND), F.lit(0)), read)))
+    return F.when(F.rlike(text, F.lit(r"^[^a-zA-Z]*\d")), array_of("struct<op:string,relative:boolean,n:array<double>>")).otherwise(F.flatten(F.transform(commands, read)))
 
 
 STEP = "struct<part:int,op:string,p0:struct<x:double,y:double>,c1:struct<x:double,y:double>,c2:struct<x:double,y:double>,p:struct<x:double,y:double>>"
@@ -150,18 +152,17 @@ def path_parts(moves: Column, tolerance: float) -> Column:
     def added(i: Column, m: Column, first: Column) -> Column:
         begins = F.when(first & (m["op"] != "M"), F.array(m["p0"])).otherwise(array_of("struct<x:double,y:double>"))
         cubic, square = [m["p0"], m["c1"], m["c2"], m["p"]], [m["p0"], m["c1"], m["p"]]
-        bend = lambda points: F.slice(G.curve(points, G.curve_steps(points, tolerance)), F.lit(2), F.lit(1 << 20))
+        bend = lambda points: G.once(G.curve_steps(points, tolerance), lambda n: F.slice(G.curve(points, n), F.lit(2), F.lit(1 << 20)))
         shut = (m["op"] == "Z") & (F.sqrt(F.pow(m["p0"]["x"] - m["p"]["x"], 2) + F.pow(m["p0"]["y"] - m["p"]["y"], 2)) <= 1e-9)
         more = F.when(m["op"].isin("C", "S"), bend(cubic)).when(m["op"].isin("Q", "T"), bend(square)).when(shut, array_of("struct<x:double,y:double>")).otherwise(F.array(m["p"]))
         return F.concat(begins, more)
 
-    def one(k: Column) -> Column:
-        own = F.filter(moves, lambda m: m["part"] == k)
+    def one(own: Column) -> Column:
         points = F.flatten(F.transform(own, lambda m, i: added(i, m, i == 0)))
         return F.struct(points.alias("points"), F.exists(own, lambda m: m["op"] == "Z").alias("closed"), F.exists(own, lambda m: m["op"].isin("C", "S", "Q", "T", "A")).alias("curved"))
 
     count = F.coalesce(F.element_at(F.transform(moves, lambda m: m["part"]), -1), F.lit(-1))
-    parts = F.when(F.size(moves) > 0, F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(0))), one)).otherwise(array_of("struct<points:array<struct<x:double,y:double>>,closed:boolean,curved:boolean>"))
+    parts = F.when(F.size(moves) > 0, F.transform(F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(0))), lambda k: F.filter(moves, lambda m: m["part"] == k)), one)).otherwise(array_of("struct<points:array<struct<x:double,y:double>>,closed:boolean,curved:boolean>"))
     return F.filter(parts, lambda p: F.size(p["points"]) >= 2)
 
 
@@ -188,11 +189,15 @@ def shapes(drawings: DataFrame, keys: list[str], svg: str = "svg", tolerance: fl
     tag = F.col("tag")
     opacity = F.coalesce(styled(tag, "opacity").try_cast("double"), F.lit(1.0))
     shown = (F.coalesce(styled(tag, "display"), F.lit("")) != "none") & (F.coalesce(styled(tag, "visibility"), F.lit("")) != "hidden") & (opacity != 0)
-    # what several expressions use is a column of its own, so that it is worked out once
+    # what several expressions use is a column of its own, so that it is worked out once; nothing is filtered on it, as Spark would work it out again for the filter
     found = elements(drawings, keys, svg).where(shown).withColumn("path", F.rlike(tag, F.lit("(?i)^<path"))).withColumn("moves", F.when(F.col("path"), path_moves(attribute(tag, "d"))))
     found = found.withColumn("parts", F.when(F.col("path"), path_parts(F.col("moves"), tolerance)).otherwise(plain_parts(tag)))
-    found = found.select(*keys, "place", "tag", "matrix", F.posexplode("parts").alias("part", "s"))
-    placed = found.withColumn("points", F.transform("s.points", lambda p: applied(F.col("matrix"), p)))
-    placed = placed.withColumn("points", F.filter("points", lambda p, i: (i == 0) | (p != F.get(F.col("points"), i - 1))))
+
+    def placed(s: Column, i: Column) -> Column:
+        changed = lambda points: F.filter(points, lambda p, j: (j == 0) | (p != F.get(points, j - 1)))
+        return F.struct(i.alias("part"), G.once(F.transform(s["points"], lambda p: applied(F.col("matrix"), p)), changed).alias("points"), s["closed"].alias("closed"), s["curved"].alias("curved"))
+
+    parts = F.filter(F.transform("parts", placed), lambda p: F.size(p["points"]) >= 2)
+    found = found.select(*keys, "place", "tag", opacity.alias("opacity"), F.explode_outer(parts).alias("s")).where("s IS NOT NULL")
     kind = F.lower(F.regexp_extract(tag, r"^<([a-zA-Z]+)", 1))
-    return placed.where(F.size("points") >= 2).select(*keys, "place", "part", kind.alias("kind"), "points", F.col("s.closed").alias("closed"), F.col("s.curved").alias("curved"), styled(tag, "stroke").alias("stroke"), styled(tag, "fill").alias("fill"), opacity.alias("opacity"))
+    return found.select(*keys, "place", "s.part", kind.alias("kind"), "s.points", "s.closed", "s.curved", styled(tag, "stroke").alias("stroke"), styled(tag, "fill").alias("fill"), "opacity")

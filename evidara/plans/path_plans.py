@@ -16,6 +16,7 @@ from evidara.operators import drawings as D
 from evidara.operators import junctions as J
 from evidara.operators import spatial as P
 from evidara.operators.graph import line_components
+from evidara.session import spread
 
 #: The template's text between its numbers, and each number as (factor, modulus) of the key.
 PIECES = (
@@ -33,7 +34,7 @@ def _drawings(spark: SparkSession, sf: str) -> DataFrame:
 
 def drawing_paths(spark, sf):
     """The shapes of every drawing: points, whether closed and curved, style, corners and length."""
-    s = D.shapes(_drawings(spark, sf), ["s_suppkey"])
+    s = D.shapes(spread(_drawings(spark, sf), "s_suppkey"), ["s_suppkey"])
     corner = lambda f, axis: half_up(f(F.transform("points", lambda p: p[axis])) + 1e-7, 4)
     return s.select("s_suppkey", "place", "part", "kind", F.size("points").alias("n"), "closed", "curved", F.coalesce("stroke", F.lit("")).alias("stroke"), F.coalesce("fill", F.lit("")).alias("fill"), "opacity", corner(F.array_min, "x").alias("x0"), corner(F.array_max, "y").alias("y1"), half_up(G.length(F.col("points")) + 1e-7, 4).alias("length"))
 

@@ -72,6 +72,12 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(name, value)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """`df` dealt out by `keys` to a few tasks for each core: a table of little size but of much work for each row would else be read by one task."""
+    spark = df.sparkSession
+    return df.repartition(max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
+
+
 def small_batches(spark: SparkSession) -> None:
     """The same with still smaller batches, for runs of many operators in one session, where executors hold little free memory."""
     spark.conf.set(SMALLER, "true")
