@@ -15,6 +15,7 @@ from evidara.operators import pixels as X
 from evidara.operators import placement as V
 from evidara.operators import raster
 from evidara.operators import scanline as L
+from evidara.session import spread
 
 #: Stars with a notch, by offsets in thirds of a radius; plazas with a hole.
 STAR = ((0, -3), (1, -1), (3, 0), (1, 1), (0, 3), (-1, 1), (-3, 0), (-2, -2))
@@ -75,16 +76,20 @@ def tapered_lines(spark, sf):
     return cells.groupBy("o_orderkey").agg(F.count("*").alias("cells"), F.min("row").alias("r0"), F.max("row").alias("r1"), F.min("col").alias("c0"), F.max("col").alias("c1"), F.sum(F.col("row") * 1000003 + F.col("col") * 7).alias("mark"))
 
 
+#: Areas of so many candidates or fewer are passed in one row each; larger ones in rounds.
+SMALL_AREA = 4096
+
+
 def vegetation_placement(spark, sf):
     """Parts as areas of plants: of the cells scanned, the candidates taken at the area's spacing in order of score, hash and place, up to the area's number."""
     k = F.col("p_partkey")
-    areas = _t(spark, sf, "part").select("p_partkey", (F.pmod("p_size", F.lit(3)) + 3).alias("spacing"), (F.pmod("p_size", F.lit(20)) + 6).alias("wide"), (F.pmod(k, F.lit(10)) + 6).alias("high"), F.when(F.pmod(k, F.lit(7)) == 0, F.pmod(k, F.lit(4)) + 3).alias("explicit"), F.pmod("p_size", F.lit(12)).alias("density"))
+    areas = spread(_t(spark, sf, "part"), "p_partkey").select("p_partkey", (F.pmod("p_size", F.lit(3)) + 3).alias("spacing"), (F.pmod("p_size", F.lit(20)) + 6).alias("wide"), (F.pmod(k, F.lit(10)) + 6).alias("high"), F.when(F.pmod(k, F.lit(7)) == 0, F.pmod(k, F.lit(4)) + 3).alias("explicit"), F.pmod("p_size", F.lit(12)).alias("density"))
     step = F.greatest(F.lit(1), F.floor(F.col("spacing") / 2)).cast("int")
     cells = areas.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("high").cast("int"), step))).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("wide").cast("int"), step)))
     cells = cells.withColumn("hash", raster.cell_hash(F.col("x"), F.col("y"), k)).where(F.pmod("hash", F.lit(100)) < 80)
     cells = cells.select(F.concat_ws("-", "p_partkey", "x", "y").alias("id"), "p_partkey", "x", "y", "spacing", "explicit", "density", F.pmod(F.floor(F.col("hash") / 128), F.lit(16)).alias("score"), "hash", F.count("*").over(Window.partitionBy("p_partkey")).alias("eligible"))
     target = V.cover_target(F.col("eligible"), F.col("density"), F.col("explicit"))
-    return V.spaced(cells, "p_partkey", ["score", "hash", "y", "x"], target).select("p_partkey", "x", "y", "place")
+    return V.spaced(cells, "p_partkey", ["score", "hash", "y", "x"], target, small=SMALL_AREA).select("p_partkey", "x", "y", "place")
 
 
 #: Colours of known paths, with how sure their source is.

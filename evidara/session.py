@@ -78,6 +78,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)
 
 
+def large(df: DataFrame) -> DataFrame:
+    """`df`, which grows with the input, as a side of a join: it is never broadcast, as Spark takes the size of a compressed file for that of its rows."""
+    return df.hint("merge")
+
+
 def small_batches(spark: SparkSession) -> None:
     """The same with still smaller batches, for runs of many operators in one session, where executors hold little free memory."""
     spark.conf.set(SMALLER, "true")

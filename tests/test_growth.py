@@ -1,7 +1,12 @@
 """Work, joins and partitions of queries that have to grow with their tables."""
 
-from evidara.operators import drawings
-from evidara.session import spread
+import os
+import random
+
+from pyspark.sql import functions as F
+
+from evidara.operators import drawings, placement
+from evidara.session import shared_folder, spread
 
 
 def optimized(frame) -> str:
@@ -26,3 +31,18 @@ def test_folds_of_drawings_stand_once_in_the_plan(spark, tmp_path):
 
 def test_a_small_table_is_spread(spark):
     assert spread(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_small_groups_are_passed_in_a_row(spark):
+    draw = random.Random(7)
+    rows = [(f"{g}-{i}", g, draw.randrange(30), draw.randrange(30), 2 + g % 4, draw.randrange(5), i, 3 * g if g % 2 else None) for g in range(12) for i in range(draw.randint(1, 60))]
+    frame = spark.createDataFrame(rows, "id string, g int, x int, y int, spacing int, score int, pos int, n int")
+    for target in (None, F.col("n"), F.col("pos") - 3):
+        in_rounds = {tuple(r) for r in placement.spaced(frame, "g", ["score", "pos"], target).collect()}
+        for small in (25, 1000):
+            got = [tuple(r) for r in placement.spaced(frame, "g", ["score", "pos"], target, small=small).collect()]
+            assert sorted(map(str, got)) == sorted(map(str, in_rounds))
+    before = os.listdir(shared_folder(spark).removeprefix("file:"))
+    placement.spaced(frame, "g", ["score", "pos"], small=1000).count()
+    # no tables of pairs
+    assert os.listdir(shared_folder(spark).removeprefix("file:")) == before
