@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidara.functions import geometry as G
+from evidara.session import large
 
 
 def cells_around(x: Column, y: Column, size: float) -> Column:
@@ -23,10 +24,10 @@ def grid_join(left: DataFrame, right: DataFrame, size: float, how: str = "inner"
     if how == "left_anti":
         hits = grid_join(left, right, size, "inner", on, near).select(*(F.col(c).alias(f"__{c}") for c in left.columns)).distinct()
         same = [left[c].eqNullSafe(hits[f"__{c}"]) for c in left.columns]  # nulls are values here
-        return left.join(hits, same, "left_anti")
+        return left.join(large(hits), same, "left_anti")
     a = left.withColumn("__c", F.explode(cells_around(F.col("x"), F.col("y"), size))).select("*", F.col("__c.cx").alias("__cx"), F.col("__c.cy").alias("__cy")).drop("__c")
     b = right.withColumn("__cx", F.floor(F.col("x2") / size)).withColumn("__cy", F.floor(F.col("y2") / size))
-    return a.join(b, ["__cx", "__cy", *(on or [])]).where(test).drop("__cx", "__cy")
+    return a.join(large(b), ["__cx", "__cy", *(on or [])]).where(test).drop("__cx", "__cy")
 
 
 def cells_of_box(x0: Column, y0: Column, x1: Column, y1: Column, size: float) -> Column:
@@ -42,7 +43,7 @@ def box_pairs(left: DataFrame, right: DataFrame, size: float, id_left: str, id_r
     wide, high = F.least("x1", "bx1") - F.greatest("x0", "bx0"), F.least("y1", "by1") - F.greatest("y0", "by0")
     # a pair counts in the cell that holds the lower corner of its overlap
     own = (F.col("__c.cx") == F.floor(F.greatest("x0", "bx0") / size)) & (F.col("__c.cy") == F.floor(F.greatest("y0", "by0") / size))
-    pairs = a.join(b, "__c").where(own & (wide > 0) & (high > 0))
+    pairs = a.join(large(b), "__c").where(own & (wide > 0) & (high > 0))
     return pairs.withColumns({"shared": wide * high, "area": (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")), "other": (F.col("bx1") - F.col("bx0")) * (F.col("by1") - F.col("by0"))}).drop("__c")
 
 
@@ -95,8 +96,11 @@ def shape_labels(shapes: DataFrame, labels: DataFrame, radius: float = 56.0, wor
     nearest segment, a closed shape's last one included. Shapes meet labels in cells as wide as the radius, once each.
     """
     axis = lambda name: F.transform("points", lambda p: p[name])
+    # labels meet shapes' boxes first, without their points, and shapes again by their ids
     box = [f(axis(name)) + by for name, f, by in (("x", F.array_min, -radius), ("y", F.array_min, -radius), ("x", F.array_max, radius), ("y", F.array_max, radius))]
-    a = shapes.where(F.size("points") > 0).withColumn("__c", F.explode(cells_of_box(*box, radius)))
+    shapes = shapes.where(F.size("points") > 0)
+    a = shapes.select(F.col("shape_id").alias("__shape"), *(v.alias(n) for v, n in zip(box, ("__x0", "__y0", "__x1", "__y1"), strict=True))).distinct()
+    a = a.withColumn("__c", F.explode(cells_of_box(*(F.col(c) for c in ("__x0", "__y0", "__x1", "__y1")), radius)))
     b = labels.withColumn("__c", F.struct(F.floor(F.col("x") / radius).alias("cx"), F.floor(F.col("y") / radius).alias("cy")))
     x, y, points = F.col("x"), F.col("y"), F.col("points")
 
@@ -107,6 +111,7 @@ def shape_labels(shapes: DataFrame, labels: DataFrame, radius: float = 56.0, wor
     sides = F.zip_with(points, G.turned(points), lambda p, q: apart(q, p))
     open_sides = F.slice(sides, F.lit(2), F.greatest(F.size(sides) - 1, F.lit(0)))
     near = F.when(F.col("closed") & G.inside(points, x, y), 0.0).otherwise(F.array_min(F.when(F.col("closed") & (F.size(points) > 2), sides).otherwise(open_sides)))
-    pairs = a.join(b, "__c").withColumn("distance", near).where(F.col("distance") <= radius)
+    met = a.join(large(b), "__c").where("x BETWEEN __x0 AND __x1 AND y BETWEEN __y0 AND __y1").select("__shape", "label_id", "pos", "x", "y", "priority")
+    pairs = met.join(large(shapes), F.col("__shape").eqNullSafe(F.col("shape_id"))).withColumn("distance", near).where(F.col("distance") <= radius)
     best = F.min_by(F.struct("label_id", "distance"), F.struct((F.col("distance") - F.coalesce("priority", F.lit(0)) * worth).alias("score"), "pos"))
     return pairs.groupBy("shape_id").agg(best.alias("b")).select("shape_id", "b.label_id", "b.distance")
