@@ -185,12 +185,12 @@ def control_matches(spark, sf):
 
 
 def cached_files(spark, sf):
-    """The largest cached file whose name begins with a document's key."""
+    """The largest cached file whose name begins with a document's key; documents of one key share it."""
     names = _t(spark, sf, "part").select(F.concat(F.lpad(F.pmod("p_partkey", F.lit(500)).cast("string"), 6, "0"), F.lit("-"), F.regexp_replace("p_name", "[^a-z]+", "_"), F.lit(".pdf")).alias("file"), (F.pmod(F.col("p_partkey") * 37, F.lit(9973))).alias("bytes"))
-    keys = _t(spark, sf, "supplier").select("s_suppkey", F.lpad(F.pmod("s_suppkey", F.lit(700)).cast("string"), 6, "0").alias("key"))
+    keys = _t(spark, sf, "supplier").select("s_suppkey", F.lpad(F.pmod("s_suppkey", F.lit(700)).cast("string"), 6, "0").alias("key")).distinct()
     # keys have one length, so the prefix is a key to join on
-    hits = keys.join(names.withColumn("key", F.substring("file", 1, 6)), "key")
-    return hits.groupBy("s_suppkey").agg(F.max_by("file", F.struct("bytes", "file")).alias("file"), F.max("bytes").alias("bytes"))
+    best = names.groupBy(F.substring("file", 1, 6).alias("key")).agg(F.max_by("file", F.struct("bytes", "file")).alias("file"), F.max("bytes").alias("bytes"))
+    return keys.join(best, "key").select("s_suppkey", "file", "bytes")
 
 
 def new_assets(spark, sf):
