@@ -14,6 +14,7 @@ from evidara.functions.scalars import half_up
 from evidara.operators import spatial as P
 from evidara.operators.graph import connected_components
 from evidara.operators.ranking import first_per_key
+from evidara.session import large
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -133,12 +134,12 @@ def path_connectors(spark, sf):
     close = (F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2) <= NEAR * NEAR) & (F.col("p_partkey") != F.col("p2"))
     tied = P.grid_join(ends, vertices, 1.0, near=close)
     links = tied.select(F.col("p_partkey").alias("u"), F.col("p2").alias("v"))
-    groups = paths.select("p_partkey").join(connected_components(links).withColumnRenamed("node", "p_partkey"), "p_partkey", "left").select("p_partkey", F.coalesce("component", "p_partkey").alias("component"))
-    loose = ends.join(tied.select("p_partkey", "side").distinct(), ["p_partkey", "side"], "left_anti").join(groups, "p_partkey")
+    groups = paths.select("p_partkey").join(large(connected_components(links, grows=True).withColumnRenamed("node", "p_partkey")), "p_partkey", "left").select("p_partkey", F.coalesce("component", "p_partkey").alias("component"))
+    loose = ends.join(large(tied.select("p_partkey", "side").distinct()), ["p_partkey", "side"], "left_anti").join(large(groups), "p_partkey")
     size = 8.0
     grown = [F.least("ax", "bx") - REACH, F.least("ay", "by") - REACH, F.greatest("ax", "bx") + REACH, F.greatest("ay", "by") + REACH]
-    segments = paths.join(groups, "p_partkey").select(F.col("p_partkey").alias("p2"), "ax", "ay", "bx", "by", F.col("role").alias("role2"), F.col("layer").alias("layer2"), F.col("surface").alias("surface2"), F.col("component").alias("component2"), F.explode(P.cells_of_box(*grown, size)).alias("cell"))
-    pairs = loose.withColumn("cell", F.struct(F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy"))).join(segments, "cell").where("p_partkey <> p2 AND layer = layer2 AND role = role2")
+    segments = paths.join(large(groups), "p_partkey").select(F.col("p_partkey").alias("p2"), "ax", "ay", "bx", "by", F.col("role").alias("role2"), F.col("layer").alias("layer2"), F.col("surface").alias("surface2"), F.col("component").alias("component2"), F.explode(P.cells_of_box(*grown, size)).alias("cell"))
+    pairs = loose.withColumn("cell", F.struct(F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy"))).join(large(segments), "cell").where("p_partkey <> p2 AND layer = layer2 AND role = role2")
     t = G.nearest_share(*(F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")))
     pairs = pairs.withColumn("t", t).withColumns({"nx": F.col("ax") + F.col("t") * (F.col("bx") - F.col("ax")), "ny": F.col("ay") + F.col("t") * (F.col("by") - F.col("ay"))})
     pairs = pairs.withColumns({"dx": F.col("nx") - F.col("x"), "dy": F.col("ny") - F.col("y")}).withColumn("d", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))).where(f"d >= 0.2 AND d <= {REACH}")
@@ -157,13 +158,13 @@ def path_connectors(spark, sf):
     steps = F.greatest(F.lit(2), F.ceil(F.col("d") / STEP).cast("int"))
     samples = claimed.select("p_partkey", "side", F.explode(F.transform(F.sequence(F.lit(1), steps - 1), lambda i: F.struct(i.alias("i"), (F.col("x") + F.col("dx") * i / steps).alias("sx"), (F.col("y") + F.col("dy") * i / steps).alias("sy")))).alias("s")).select("p_partkey", "side", "s.*")
     samples = samples.withColumn("cell", F.struct(F.floor(F.col("sx") / 16.0).alias("cx"), F.floor(F.col("sy") / 16.0).alias("cy")))
-    blocked = samples.join(sites, "cell").where(G.inside_rings(F.col("rings"), F.col("sx"), F.col("sy"))).groupBy("p_partkey", "side").agg(F.min_by("s_suppkey", F.struct("i", "s_suppkey")).alias("blocker"))
+    blocked = samples.join(large(sites), "cell").where(G.inside_rings(F.col("rings"), F.col("sx"), F.col("sy"))).groupBy("p_partkey", "side").agg(F.min_by("s_suppkey", F.struct("i", "s_suppkey")).alias("blocker"))
     same = F.col("surface") == F.col("surface2")
     sure = F.least(F.lit(0.96), 0.62 + 0.2 * F.greatest(F.lit(0.0), 1 - F.col("d") / REACH) + 0.06 * F.greatest(F.lit(0.0), F.col("goes_on")) + 0.04 + F.when(same, 0.02).otherwise(0.0) + 0.06 * F.col("joins"))
     status = F.when(~in_park, "outside-park-boundary").when(F.col("blocker").isNotNull(), F.when(F.pmod("blocker", F.lit(2)) == 0, "crosses-water").otherwise("crosses-building")).when(half_up(sure, 3) >= 0.8, "accepted").otherwise("review")
-    out = claimed.join(blocked, ["p_partkey", "side"], "left").select("p_partkey", "side", "p2", status.alias("status"), F.when(status.isin("accepted", "review"), half_up(sure, 3)).otherwise(0.0).alias("confidence"))
-    rest = ends.select("p_partkey", "side").join(claimed.select("p_partkey", "side"), ["p_partkey", "side"], "left_anti")
-    rest = rest.join(tied.select("p_partkey", "side").distinct().withColumn("tie", F.lit(True)), ["p_partkey", "side"], "left").join(best.select("p_partkey", "side", F.lit(True).alias("found")), ["p_partkey", "side"], "left")
+    out = claimed.join(large(blocked), ["p_partkey", "side"], "left").select("p_partkey", "side", "p2", status.alias("status"), F.when(status.isin("accepted", "review"), half_up(sure, 3)).otherwise(0.0).alias("confidence"))
+    rest = ends.select("p_partkey", "side").join(large(claimed.select("p_partkey", "side")), ["p_partkey", "side"], "left_anti")
+    rest = rest.join(large(tied.select("p_partkey", "side").distinct().withColumn("tie", F.lit(True))), ["p_partkey", "side"], "left").join(large(best.select("p_partkey", "side", F.lit(True).alias("found"))), ["p_partkey", "side"], "left")
     return out.unionByName(rest.select("p_partkey", "side", F.lit(-1).cast("bigint").alias("p2"), F.coalesce(F.when(F.col("tie"), "already-connected-or-coincident"), F.when(F.col("found"), "duplicate-connector"), F.lit("no-compatible-route-within-tolerance")).alias("status"), F.lit(0.0).alias("confidence")))
 
 

@@ -5,8 +5,10 @@ import random
 
 from pyspark.sql import functions as F
 
-from evidara.operators import drawings, placement
-from evidara.session import shared_folder, spread
+from evidara.operators import drawings, graph, placement, ranking, spatial
+from evidara.operators.graph import connected_components
+from evidara.plans import drawing_plans, portal_plans
+from evidara.session import cut, shared_folder, spread
 
 
 def optimized(frame) -> str:
@@ -46,3 +48,61 @@ def test_small_groups_are_passed_in_a_row(spark):
     placement.spaced(frame, "g", ["score", "pos"], small=1000).count()
     # no tables of pairs
     assert os.listdir(shared_folder(spark).removeprefix("file:")) == before
+
+
+def broadcasts(frame) -> bool:
+    return "Broadcast" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def stored(spark, path, rows, schema):
+    """A table on disk, whose size Spark knows."""
+    spark.createDataFrame(rows, schema).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def test_spatial_joins_are_not_broadcast(spark, tmp_path):
+    shapes = stored(spark, tmp_path / "a", [(1, [{"x": 0.0, "y": 0.0}, {"x": 9.0, "y": 9.0}], False), (None, [{"x": 99.0, "y": 0.0}, {"x": 90.0, "y": 9.0}], True)], "shape_id int, points array<struct<x:double,y:double>>, closed boolean")
+    labels = stored(spark, tmp_path / "b", [(7, 1, 5.0, 4.0, 3), (8, 2, 99.0, 0.0, None), (9, 3, None, 1.0, 1)], "label_id int, pos int, x double, y double, priority int")
+    found = spatial.shape_labels(shapes, labels)
+    assert not broadcasts(found)
+    # a shape without an id keeps its label
+    assert {(r.shape_id, r.label_id) for r in found.collect()} == {(1, 7), (None, 8)}
+    left, right = labels.where("x IS NOT NULL").select("x", "y"), labels.selectExpr("x AS x2", "y AS y2")
+    assert not broadcasts(spatial.grid_join(left, right, 2.0)) and not broadcasts(spatial.grid_join(left, right, 2.0, "left_anti"))
+    box = stored(spark, tmp_path / "c", [(1, 0.0, 0.0, 5.0, 5.0)], "i int, x0 double, y0 double, x1 double, y1 double")
+    assert not broadcasts(spatial.box_pairs(box, box.toDF("j", "bx0", "by0", "bx1", "by1"), 4.0, "i", "j"))
+
+
+def test_connectors_are_not_broadcast(spark, tmp_path):
+    stored(spark, tmp_path / "part.parquet", [(i, "b", "n") for i in range(60)], "p_partkey long, p_brand string, p_name string")
+    stored(spark, tmp_path / "supplier.parquet", [(i, "s") for i in range(3)], "s_suppkey long, s_name string")
+    assert not broadcasts(drawing_plans.path_connectors(spark, str(tmp_path)))
+
+
+def test_files_are_chosen_before_documents_meet_them(spark, tmp_path):
+    # 500 files a key would meet each of its documents
+    stored(spark, tmp_path / "part.parquet", [(500 * i, f"name {i}") for i in range(500)], "p_partkey long, p_name string")
+    stored(spark, tmp_path / "supplier.parquet", [(700 * i,) for i in range(9)], "s_suppkey long")
+    found = portal_plans.cached_files(spark, str(tmp_path))
+    assert "max_by" not in optimized(found).split("Join")[0]
+    rows = found.collect()
+    best = max((500 * i * 37 % 9973, "000000-name_.pdf") for i in range(500))
+    assert len(rows) == 9 and {(r.bytes, r.file) for r in rows} == {best}
+
+
+def test_rounds_of_aliases_are_not_broadcast(spark, tmp_path, monkeypatch):
+    plans = []
+    monkeypatch.setattr(ranking, "cut", lambda frame: plans.append(broadcasts(frame)) or cut(frame))
+    rows = stored(spark, tmp_path / "r", [(i, [i // 2, 100 + i // 3], i % 5) for i in range(40)], "id int, aliases array<int>, score int")
+    found = ranking.greedy_by_alias(rows, "id", "aliases", [-F.col("score"), F.col("id")])
+    assert found.count() > 5 and len(plans) > 3 and not any(plans)
+
+
+def test_lines_are_linked_with_their_vertices_first(spark, monkeypatch):
+    links = []
+    monkeypatch.setattr(graph, "connected_components", lambda edges, **kw: links.append(edges.collect()) or connected_components(edges, **kw))
+    lines = spark.createDataFrame([(i, [{"x": 0.0, "y": 0.0}, {"x": float(i), "y": 5.0}, {"x": 0.0, "y": 0.0}]) for i in (9, -3, 4)] + [(5, None)], "id int, line array<struct<x:double,y:double>>")
+    got = {tuple(r) for r in graph.line_components(lines).collect()}
+    assert got == {(-3, 3, False, 4, 6, 0), (5, 1, True, 0, 0, 0)}
+    # one link for each vertex of a line, between lines
+    assert sorted((r.u, r.v) for r in links[0]) == [(-3, -3), (-3, -3), (4, -3), (4, 4), (9, -3), (9, 9)]
