@@ -14,7 +14,7 @@ from evidara.functions.scalars import half_up
 from evidara.operators import spatial as P
 from evidara.operators.graph import connected_components
 from evidara.operators.ranking import first_per_key
-from evidara.session import large
+from evidara.session import large, spread
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -57,7 +57,8 @@ def _overlaps(spark, sf):
     spacing = F.greatest(F.lit(0.5), F.least(F.lit(3.0), F.sqrt(wide * high / 4000)))
     pairs = pairs.select("s_suppkey", "p_partkey", F.col("site_area").alias("area"), F.col("map_area").alias("other"), "ea", "eb", wide.alias("wide"), high.alias("high"), spacing.alias("spacing"), F.greatest("x0", "bx0").alias("ox"), F.greatest("y0", "by0").alias("oy"))
     count = lambda v: F.greatest(F.lit(1), F.ceil(F.col(v) / F.col("spacing") - 0.5).cast("int"))
-    pairs = pairs.withColumns({"nx": count("wide"), "ny": count("high")})
+    # pairs are small, but each is much work
+    pairs = spread(pairs, "s_suppkey", "p_partkey").withColumns({"nx": count("wide"), "ny": count("high")})
 
     def starts(side: str, y: Column) -> Column:
         """The first lattice point of a row that isn't left of each crossing, in order; points between neighbours are inside."""
@@ -74,7 +75,8 @@ def _overlaps(spark, sf):
 
     rows = F.transform(F.sequence(F.lit(0), F.col("ny") - 1), lambda j: F.col("oy") + F.col("spacing") * (j + 0.5))
     found = F.transform(F.transform(rows, lambda y: F.struct(starts("ea", y).alias("a"), starts("eb", y).alias("b"))), both)
-    hits = pairs.select("s_suppkey", "p_partkey", "area", "other", "spacing", F.aggregate(found, F.lit(0).cast("bigint"), lambda s, v: s + v).alias("samples")).withColumn("shared", F.col("samples") * F.col("spacing") * F.col("spacing"))
+    # exploded from an array of one, as a filter on what follows would else work it out again for each of its uses
+    hits = pairs.select("s_suppkey", "p_partkey", "area", "other", "spacing", F.explode_outer(F.array(F.aggregate(found, F.lit(0).cast("bigint"), lambda s, v: s + v))).alias("samples")).withColumn("shared", F.col("samples") * F.col("spacing") * F.col("spacing"))
     a, b = F.least(F.lit(1.0), F.col("shared") / F.col("area")), F.least(F.lit(1.0), F.col("shared") / F.col("other"))
     hits = hits.withColumns({"share": a, "other_share": b, "iou": F.least(F.lit(1.0), F.col("shared") / (F.col("area") + F.col("other") - F.col("shared")))})
     return hits.withColumns({"matched": F.greatest("share", "other_share", "iou") >= LEAST, "equivalent": (a >= SAME) & (b >= SAME), "score": F.greatest("iou", F.least("share", "other_share"))})
@@ -242,7 +244,7 @@ def curve_lengths(spark, sf):
     """Curves of drawings flattened to lines: steps and lengths of cubic and quadratic ones."""
     k = F.col("c_custkey")
     at = lambda a, b: G.point(F.pmod(k * a, F.lit(97)).cast("double"), F.pmod(k * b, F.lit(89)).cast("double"))
-    c = _t(spark, sf, "customer").select("c_custkey", *(at(a, b).alias(f"p{i}") for i, (a, b) in enumerate(((3, 5), (7, 11), (13, 17), (19, 23)))))
+    c = spread(_t(spark, sf, "customer").select("c_custkey"), "c_custkey").select("c_custkey", *(at(a, b).alias(f"p{i}") for i, (a, b) in enumerate(((3, 5), (7, 11), (13, 17), (19, 23)))))
     cubic, quadratic = ([F.col(f"p{i}") for i in range(n)] for n in (4, 3))
     c = c.withColumns({"cubic_steps": G.curve_steps(cubic, 2.0), "quadratic_steps": G.curve_steps(quadratic, 2.0)})
     c = c.withColumns({"cubic": G.curve(cubic, F.col("cubic_steps")), "quadratic": G.curve(quadratic, F.col("quadratic_steps"))})
