@@ -10,6 +10,7 @@ from evidara.functions import scalars as S
 from evidara.operators import coverage as C
 from evidara.operators import ranking as R
 from evidara.operators import voxels as V
+from evidara.session import cut
 
 DOCUMENTS, BYTES = 2_000, 55_000_000
 
@@ -87,9 +88,10 @@ BOUNDS = (0, -3, 1 << 30, 3)
 def chunk_columns(spark, sf):
     """Each chunk of the map: its columns, their height in all, and a mark of their top blocks."""
     tops = V.column_tops(V.clipped(_operations(spark, sf), BOUNDS))
-    ids = V.registry(tops)
-    mark = (F.col("x") * 16 + F.col("z") + 1) * (F.col("id") + 1)
-    return tops.join(F.broadcast(ids), "block").groupBy("chunk_x", "chunk_z").agg(F.count("*").alias("columns"), F.sum("height").alias("height"), F.max("height").alias("top"), F.sum(mark).alias("mark"))
+    # one row for each block of a chunk, so that its columns are formed once
+    held = cut(tops.groupBy("chunk_x", "chunk_z", "block").agg(F.count("*").alias("n"), F.sum("height").alias("h"), F.max("height").alias("t"), F.sum(F.col("x") * 16 + F.col("z") + 1).alias("w")))
+    marked = held.join(F.broadcast(V.registry(held)), "block").groupBy("chunk_x", "chunk_z")
+    return marked.agg(F.sum("n").alias("columns"), F.sum("h").alias("height"), F.max("t").alias("top"), F.sum(F.col("w") * (F.col("id") + 1)).alias("mark"))
 
 
 def block_registry(spark, sf):

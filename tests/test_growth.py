@@ -2,10 +2,11 @@
 
 import os
 import random
+import re
 
 from pyspark.sql import functions as F
 
-from evidara.operators import drawings, graph, placement, ranking, spatial
+from evidara.operators import drawings, graph, placement, ranking, spatial, voxels
 from evidara.operators.graph import connected_components
 from evidara.plans import drawing_plans, portal_plans
 from evidara.session import cut, shared_folder, spread
@@ -106,3 +107,23 @@ def test_lines_are_linked_with_their_vertices_first(spark, monkeypatch):
     assert got == {(-3, 3, False, 4, 6, 0), (5, 1, True, 0, 0, 0)}
     # one link for each vertex of a line, between lines
     assert sorted((r.u, r.v) for r in links[0]) == [(-3, -3), (-3, -3), (4, -3), (4, 4), (9, -3), (9, 9)]
+
+
+def test_columns_are_formed_where_their_chunk_is(spark):
+    rows = [(0, 0, 1, i, -3, i, 2, 20, 9 - i, 5, b) for i, b in enumerate(["a", None, "b", "a"])]
+    frame = spark.createDataFrame(rows, "chunk_x int, chunk_z int, priority int, pos int, x1 int, y1 int, z1 int, x2 int, y2 int, z2 int, block string")
+    found = voxels.column_tops(frame)
+    sent = re.findall(r"hashpartitioning\(([^)]*)\)", found._jdf.queryExecution().executedPlan().toString())
+    assert any("chunk_x" in keys for keys in sent) and not any(re.search(r"\b[xz]#", keys) for keys in sent)
+    got = {(r.x, r.z): (r.height, r.block) for r in found.collect()}
+    assert len(got) == 16 * 4 and {v for (x, z), v in got.items() if z == 2} == {(9, "a")}
+
+
+def test_costly_rows_are_spread_and_worked_out_once(spark, tmp_path):
+    stored(spark, tmp_path / "customer.parquet", [(i,) for i in range(9)], "c_custkey long")
+    stored(spark, tmp_path / "part.parquet", [(i, "n", "b") for i in range(60)], "p_partkey long, p_name string, p_brand string")
+    stored(spark, tmp_path / "supplier.parquet", [(i, "s") for i in range(3)], "s_suppkey long, s_name string")
+    assert drawing_plans.curve_lengths(spark, str(tmp_path)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    plan = optimized(drawing_plans.inherited_evidence(spark, str(tmp_path)))
+    # once in each of the two uses of the pairs
+    assert plan.count("sequence(0, (ny") <= 2
