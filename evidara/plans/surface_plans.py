@@ -49,6 +49,10 @@ LAYER = ["pos", "priority", "code", "access", "discovered", "bridge", "plaza", "
 OFF = "(row * 7 + col * 3) % 19"
 
 
+#: A shape fills less than 100 cells or so.
+SHAPES_A_TASK = 5000
+
+
 def shape_spans(spark, sf):
     """The runs of cells that every shape fills."""
     return L.spans(_shapes(spark, sf), ["pos"])
@@ -56,7 +60,11 @@ def shape_spans(spark, sf):
 
 def scanline_paint(spark, sf):
     """Every painted cell: its surface, access, and how often paths and plazas wrote to it."""
-    layers = L.filled(L.spans(_shapes(spark, sf), LAYER), LAYER)
+    shapes = _shapes(spark, sf)
+    # tasks grow in number with the shapes, not in size
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shapes.count() // SHAPES_A_TASK))
+    # a shape's crossings stay in its task
+    layers = L.filled(L.spans(shapes.repartition(tasks, "pos"), LAYER), LAYER).repartition(tasks, "row", "col")
     return L.overpainted(layers, F.expr(OFF) != 0)
 
 

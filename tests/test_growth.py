@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from evidara.operators import drawings, graph, placement, ranking, spatial, voxels
 from evidara.operators.graph import connected_components
-from evidara.plans import drawing_plans, portal_plans
+from evidara.plans import drawing_plans, portal_plans, surface_plans
 from evidara.session import cut, shared_folder, spread
 
 
@@ -127,3 +127,12 @@ def test_costly_rows_are_spread_and_worked_out_once(spark, tmp_path):
     plan = optimized(drawing_plans.inherited_evidence(spark, str(tmp_path)))
     # once in each of the two uses of the pairs
     assert plan.count("sequence(0, (ny") <= 2
+
+
+def test_painting_tasks_grow_in_number(spark, tmp_path, monkeypatch):
+    stored(spark, tmp_path / "part.parquet", [(i, "b") for i in range(60)], "p_partkey long, p_brand string")
+    stored(spark, tmp_path / "supplier.parquet", [(i, "s") for i in range(3)], "s_suppkey long, s_name string")
+    monkeypatch.setattr(surface_plans, "SHAPES_A_TASK", 5)
+    plan = surface_plans.scanline_paint(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    sent = re.findall(r"hashpartitioning\(row#\w+, col#\w+, (\d+)\)", plan)
+    assert sent == ["13"]
