@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidara.session import cut, drop
+from evidara.session import cut, drop, large
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -90,12 +90,12 @@ def greedy_by_alias(rows: DataFrame, key: str, aliases: str, order: list[Column]
     left = cut(ranked.select(key, "__place", F.explode("__aliases").alias("__alias")))
     while not left.isEmpty():
         first = left.groupBy("__alias").agg(F.min_by(key, "__place").alias("__first"))
-        said = cut(left.join(first, "__alias").groupBy(key).agg(F.bool_and(F.col(key) == F.col("__first")).alias("__won")))
+        said = cut(left.join(large(first), "__alias").groupBy(key).agg(F.bool_and(F.col(key) == F.col("__first")).alias("__won")))
         won = said.where("__won").select(key)
         kept = kept.union(won)
-        taken = left.join(won, key, "left_semi").select("__alias").distinct()
-        gone = left.join(taken, "__alias", "left_semi").select(key).distinct()
-        rest = cut(left.join(gone, key, "left_anti"))
+        taken = left.join(large(won), key, "left_semi").select("__alias").distinct()
+        gone = left.join(large(taken), "__alias", "left_semi").select(key).distinct()
+        rest = cut(left.join(large(gone), key, "left_anti"))
         drop(left)
         left = rest
     return kept
