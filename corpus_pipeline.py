@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidara.llm import cotraining, language_id, near_duplicates, packing, queries, repeats
-from evidara.session import cut, delete, shared_folder, small_batches
+from evidara.session import cut, delete, marked, settled, shared_folder, small_batches
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -50,10 +50,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     have no near-duplicates; ties go by id; extra columns go; an empty table gives an empty result.
     """
     small_batches(spark)
-    linked = cut(near_duplicates.near_duplicates(docs))
+    linked = settled(lambda: near_duplicates.near_duplicates(docs))
     gone = linked.where("doc_id <> component_id").select("doc_id").distinct()
     again = cut(linked.groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    left = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    told = marked(docs.select(*COLUMNS), gone, "doc_id", "touched")  # the others are certain to stay and don't move
+    left = told.where("NOT touched").drop("touched").union(told.where("touched").drop("touched").join(gone, "doc_id", "left_anti"))
     if again.isEmpty():
         return left
     one = left.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r")).select("doc_id", "r.*")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
 from evidara.operators.graph import connected_components
-from evidara.session import bounded_batches, cut, drop
+from evidara.session import bounded_batches, cut, drop, freed_shuffles, likely
 
 #: Cells of the count by which shingles are ordered.
 SKETCH = 1 << 18
@@ -113,6 +113,8 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose full sets reach the similarity."""
     both = F.size(F.array_intersect("su", "sv"))
+    # sets are long: those of no pair stay where they are
+    sets = likely(sets, pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct(), "node")
     joined = pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("su")), "u").join(sets.select(F.col("node").alias("v"), F.col("set").alias("sv")), "v")
     return joined.where(100 * both >= percent * (F.size("su") + F.size("sv") - both)).select("u", "v")
 
@@ -123,7 +125,8 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     Rarity is the count of a shingle's cell among SKETCH cells, a broadcast of that fixed size; any order common to all sets is exact.
     """
     cell = F.pmod(F.col("x"), F.lit(SKETCH)).cast("int")
-    counts = sets.select(F.explode("set").alias("x")).groupBy(cell.alias("cell")).agg(F.least(F.count("*"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()
+    with freed_shuffles(sets.sparkSession):
+        counts = sets.select(F.explode("set").alias("x")).groupBy(cell.alias("cell")).agg(F.least(F.count("*"), F.lit(2**31 - 1)).cast("int").alias("n")).toArrow()
     sketch = np.zeros(SKETCH, np.int32)
     sketch[counts["cell"].to_numpy()] = counts["n"].to_numpy()
     cells = sets.sparkSession.sparkContext.broadcast(sketch)
@@ -159,10 +162,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     made = cut(sketches(texts.select(F.col("id").alias("node"), "text"), k, tables, rows, seed).withColumnRenamed("node", "id"))
-    full = made.where("n_shingles > 0")
     sign = ["s1", "s2", "n_shingles"]
-    classes = full.groupBy(*sign).agg(F.min("id").alias("id"), F.first("a").alias("a"), F.first("b").alias("b"))
+    classes = made.where("n_shingles > 0").groupBy(*sign).agg(F.min("id").alias("id"), F.first("a").alias("a"), F.first("b").alias("b"))
     classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()))
+    signed = cut(made.select("id", *sign))
+    drop(made)
     # a table key is shared only if both keys of which it is made are
     single = classes.select("rep", F.explode(F.concat("a", "b")).alias("key"))
     shared = cut(single.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"))
@@ -172,46 +176,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keys = cut(left.select("rep", "n", pairs.alias("key")))
     sizes = cut(keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"))
     live = cut(keys.join(sizes, "key"))
-    drop(shared, keys, sizes)
+    named = cut(classes.select("rep", "id", *sign))
+    drop(shared, keys, sizes, classes)
+    classes = named
     # the node of most company is a bucket's pivot: the original rather than one of its variants
     company = cut(live.groupBy("rep", "n").agg(F.sum("c").alias("company")))
     pivots = live.join(company, ["rep", "n"]).groupBy("key").agg(F.max(F.struct("company", -F.col("rep"), "n")).alias("p"))
     pivots = cut(pivots.select("key", (-F.col("p.col2")).alias("pivot"), F.col("p.n").alias("np")))
     star = live.join(pivots, "key").where(f"rep <> pivot AND 100 * least(n, np) >= {percent} * greatest(n, np)")
     star = cut(star.select(F.least("rep", "pivot").alias("u"), F.greatest("rep", "pivot").alias("v")).distinct())
-    named = company.select("rep").join(classes.select("rep", "id", "s1", "s2"), "rep")
-    found = texts.join(named, "id").dropDuplicates(["id", "rep", "s1", "s2", "text"])
+    named = cut(company.select("rep").join(classes.select("rep", "id", "s1", "s2"), "rep"))
+    found = likely(texts, named, "id").join(named, "id").dropDuplicates(["id", "rep", "s1", "s2", "text"])
     sets = cut(shingle_sets(found.withColumnRenamed("rep", "node"), k))
-    drop(company, pivots)
+    drop(company, pivots, named)
     edges = cut(confirmed(star, sets, percent))
     known = connected_components(edges).withColumnRenamed("node", "rep")
     now = cut(live.select("key", "rep").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
     split = cut(now.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key"))
-    open_nodes = now.join(split, "key").select("rep", "component").distinct()
-    first = cut(prefixes(sets.withColumnRenamed("node", "rep").join(open_nodes, "rep"), percent))
+    open_nodes = cut(now.join(split, "key").select("rep", "component").distinct())
     drop(live, now, split)
+    first = cut(prefixes(likely(sets.withColumnRenamed("node", "rep"), open_nodes, "rep").join(open_nodes, "rep"), percent))
+    drop(open_nodes)
     # of a token's nodes the most frequent component pairs with the others only, not within itself
     per = cut(first.groupBy("token", "component").agg(F.count("*").alias("c")))
     apart = cut(per.groupBy("token").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("c", "component")).alias("main")).where("parts > 1").select("token", "main"))
-    first = cut(first.join(apart, "token").withColumn("main", F.col("component") == F.col("main")))
+    every = first
+    first = cut(every.join(apart, "token").withColumn("main", F.col("component") == F.col("main")))
+    drop(every, per, apart)
     other = first.select("token", *(F.col(c).alias(f"{c}2") for c in ("place", "n", "rep", "component", "main")))
     # the smaller set of a pair has the shared shingle early: what is left after it must do for the similarity with a set as large as itself
     early = first.where(f"{100 + percent} * (n - place) >= {2 * percent} * n")
     reach = f"component <> component2 AND 100 * least(n, n2) >= {percent} * greatest(n, n2) AND {100 + percent} * least(n - place, n2 - place2) >= {percent} * (n + n2)"
     pairs = early.where("NOT main").join(other, "token").union(early.where("main").join(other.where("NOT main2"), "token"))
     pairs = pairs.where(reach).select(F.least("rep", "rep2").alias("u"), F.greatest("rep", "rep2").alias("v")).distinct()
-    edges = edges.union(cut(confirmed(pairs.join(star, ["u", "v"], "left_anti"), sets, percent)))
+    pairs = cut(pairs.join(star, ["u", "v"], "left_anti"))
+    edges = edges.union(cut(confirmed(pairs, sets, percent)))
+    drop(first, pairs, star, sets)
     # rows of one id are linked
-    again = cut(made.groupBy("id").agg(F.count("*").alias("c")).where("c > 1").select("id"))
+    again = cut(signed.groupBy("id").agg(F.count("*").alias("c")).where("c > 1").select("id"))
     repeated = not again.isEmpty()
     if repeated:
-        own = full.join(again, "id").join(classes.select(*sign, "rep"), sign).select("id", "rep").distinct()
+        own = signed.where("n_shingles > 0").join(again, "id").join(classes.select(*sign, "rep"), sign).select("id", "rep").distinct()
         edges = edges.union(own.join(own.groupBy("id").agg(F.min("rep").alias("u")), "id").where("u <> rep").select("u", F.col("rep").alias("v")))
     known = connected_components(edges).select(F.col("node").alias("rep"), "component")
     known = classes.select(*sign, "rep", "id").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     named = cut(known.groupBy("component").agg(F.min("id").alias("component_id")))
     found = known.join(named, "component").select(*sign, "component_id")
-    out = made.select("id", *sign).join(found, sign, "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    out = signed.join(found, sign, "left").select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
     if repeated:
         least = out.join(again, "id").groupBy("id").agg(F.min("component_id").alias("__least"))
         out = out.join(least, "id", "left").select("id", "n_shingles", F.coalesce("__least", "component_id").alias("component_id"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evidara.llm import textkit as T
-from evidara.session import bounded_batches, cut, drop
+from evidara.session import bounded_batches, cut, drop, likely, marked
 
 GRAM = 32
 #: Words of an anchor where passages are counted in words.
@@ -33,8 +33,6 @@ WINDOWS = 1 << 20
 CLASS = 4096
 #: Bytes of a text whose ranges are sorted together.
 BLOCK = 1 << 16
-#: Keys up to which a filter of texts by key is broadcast (16 bytes each); beyond, it is a shuffled join.
-BROADCAST_KEYS = 1_000_000
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -225,9 +223,7 @@ def covered(contexts: list[bytes], left: list[int], least: int) -> dict[int, lis
 
 def in_texts(texts: DataFrame, keys: DataFrame) -> DataFrame:
     """(key, text) of the texts whose key is in `keys` (distinct), each text once."""
-    if keys.count() <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    return texts.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    return likely(texts, keys, "key").join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
 
 
 def ranges_of_classes(contexts: DataFrame, least: int) -> DataFrame:
@@ -292,7 +288,9 @@ def repeated_ranges(docs: DataFrame, text_col: str = "text", least: int = 400) -
     flat = made.select("key", "copies", F.explode(F.arrays_zip("anchor", "context", "left", "lo", "n")).alias("r")).select("key", (F.col("copies") > 1).alias("copied"), "r.*")
     # every count is combined in the tasks before it is dealt, and what is joined is a table, so that Spark can split a hot anchor
     shared = cut(flat.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"))
-    flat = cut(flat.join(shared, "anchor"))
+    flat = cut(likely(flat, shared, "anchor").join(shared, "anchor"))
+    sizes = cut(made.select("key", "copies", "size"))
+    drop(made)
     contexts = flat.groupBy("anchor", "context", "left").agg(F.count("*").alias("c"), F.max("copied").alias("copied"), F.min(F.struct("key", "lo", "n")).alias("r"))
     contexts = cut(contexts.select("anchor", "context", "left", "c", ((F.col("c") == 1) & ~F.col("copied")).alias("single"), "r.*"))
     # texts with copies are removed in full, so just the other texts' runs need a range
@@ -319,7 +317,7 @@ def repeated_ranges(docs: DataFrame, text_col: str = "text", least: int = 400) -
     cuts = cut(in_texts(texts, open_contexts.select("key").distinct()).join(wanted, "key").select("key", "text", "rows").mapInArrow(T.tidied(extract), "anchor long, left int, key binary, lo int, single boolean, bytes binary, d long"))
     found = cut(ranges_of_classes(cuts.where(F.col("d") <= CLASS), least).union(ranges_of_windows(cuts.where(F.col("d") > CLASS), least)))
     drop(open_contexts, cuts)
-    return texts, made.select("key", "copies", "size"), whole.union(found)
+    return texts, sizes, whole.union(found)
 
 
 def word_run_rows(texts: DataFrame, words: int) -> DataFrame:
@@ -352,7 +350,7 @@ def repeated_words(texts: DataFrame, words: int, least: int) -> DataFrame:
     made = cut(word_run_rows(texts, words).groupBy("key").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("size", "anchor", "lo", "n"))))
     flat = made.select("key", "copies", ((F.col("copies") == 1) | (F.col("size") < least)).alias("open"), F.explode(F.arrays_zip("anchor", "lo", "n")).alias("r")).select("key", "copies", "open", "r.*")
     shared = cut(flat.groupBy("anchor").agg(F.sum("copies").alias("c")).where("c > 1").select("anchor"))
-    wanted = cut(flat.join(shared, "anchor", "left_semi").groupBy("key", "copies", "open").agg(F.collect_list(F.struct("lo", "n")).alias("rows")))
+    wanted = cut(likely(flat, shared, "anchor").join(shared, "anchor", "left_semi").groupBy("key", "copies", "open").agg(F.collect_list(F.struct("lo", "n")).alias("rows")))
     drop(made, shared)
 
     def run(batches):
@@ -378,7 +376,7 @@ def repeated_words(texts: DataFrame, words: int, least: int) -> DataFrame:
     windows = cut(found.mapInArrow(T.tidied(run), "key binary, open boolean, copies long, first int, last int, h long"))
     again = cut(windows.groupBy("h").agg(F.sum("copies").alias("c")).where("c > 1").select("h"))
     drop(wanted)
-    found = cut(windows.where("open").join(again, "h", "left_semi").select("key", "first", "last"))
+    found = cut(likely(windows.where("open"), again, "h").join(again, "h", "left_semi").select("key", "first", "last"))
     drop(windows, again)
     return found
 
@@ -423,35 +421,38 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         ranges = ranges.union(repeated_words(texts, words, least).withColumn("gone", F.lit(cut_words)))
     ranges = cut(joined_up(ranges))
 
+    whole = F.struct(F.lit(0).alias("first"), F.col("size").cast("int").alias("last"), F.lit(True).alias("gone"))
+    # copies of a text repeat in full and have no other range
+    copied = sizes.where((F.col("copies") > 1) & (F.col("size") >= least)).select("key", F.array(whole).alias("found"))
+    gathered = cut(ranges.groupBy("key").agg(F.collect_list(F.struct("first", "last", "gone")).alias("found")).union(copied))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = [F.col(id_col).alias("__id"), *(F.col(c).alias(f"__keep_{c}") for c in keep or [])]
+    first = len(own)
+    rows = docs.select(*own, F.unhex(F.md5(text)).alias("key"), text.alias("__text"))
+    # only texts with ranges, and a few others, move to them
+    rows = marked(rows, gathered, "key", "touched")
+    found = rows.where("touched").join(gathered, "key", "left").select(*rows.columns[:first], "__text", "found")
+    kinds = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string", "n_passage_bytes": "long", "kept_text": "string"}
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields[:first]), *(f"{name} {kind}" for name, kind in kinds.items())])
+
     def judge(batches):
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for key, text, found in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            for text, ranges in zip(*(batch.column(first + k).to_pylist() for k in range(2)), strict=True):
                 data = text.encode()
-                gone = merged([(r["first"], r["last"]) for r in found if r["gone"]])
+                gone = merged([(r["first"], r["last"]) for r in ranges or [] if r["gone"]])
                 left = b"".join(data[a:b] for a, b in zip([0, *(last for _, last in gone)], [*(first for first, _ in gone), len(data)], strict=True))
-                passages = sum(b - a for a, b in merged([(r["first"], r["last"]) for r in found]))
-                values = (key, sum(b - a for a, b in gone), len(gone), hashlib.sha256(left).hexdigest(), passages, left.decode("utf-8", "ignore") if with_text else None)
+                passages = sum(b - a for a, b in merged([(r["first"], r["last"]) for r in ranges or []]))
+                values = (len(data), sum(b - a for a, b in gone), len(gone), hashlib.sha256(left).hexdigest(), passages, left.decode("utf-8", "ignore") if with_text else None)
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["key", "gone", "spans", "sha", "passages", "left_text"])
+            made = [pa.array(c, pa.string() if kind == "string" else pa.int64()) for c, kind in zip(out, kinds.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(first)), *made], [*batch.schema.names[:first], *kinds])
 
-    gathered = ranges.groupBy("key").agg(F.collect_list(F.struct("first", "last", "gone")).alias("found"))
-    partly = in_texts(texts, ranges.select("key").distinct()).join(gathered, "key").select("key", "text", "found").mapInArrow(T.tidied(judge), "key binary, gone long, spans long, sha string, passages long, left_text string")
-    copied = sizes.where((F.col("copies") > 1) & (F.col("size") >= least)).select("key", F.col("size").alias("gone"), F.lit(1).cast("long").alias("spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("sha"), F.col("size").alias("passages"), F.lit("").alias("left_text"))
-    known = partly.union(copied)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    own = [F.col(id_col).alias("__id"), *(F.col(c).alias(f"__keep_{c}") for c in keep or []), F.unhex(F.md5(text)).alias("key")]
-    if with_text:
-        rows = docs.select(*own, F.octet_length(text).cast("long").alias("n_bytes"), text.alias("__text"))
-    else:
-        rows = docs.select(*own, F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
-        known = known.drop("left_text")
-    joined = rows.join(known, "key", "left")
-    if with_text:
-        columns = [F.when(F.col("gone").isNull(), F.sha2("__text", 256)).otherwise(F.col("sha")).alias("kept_sha256"), F.coalesce("left_text", "__text").alias("kept_text")]
-    else:
-        columns = [F.coalesce("sha", "whole").alias("kept_sha256")]
+    found = found.mapInArrow(T.tidied(judge), schema)
     zero = F.lit(0).cast("long")
-    return joined.select(F.col("__id").alias(id_col), *(F.col(f"__keep_{c}").alias(c) for c in keep or []), "n_bytes", F.coalesce("gone", zero).alias("n_removed"), F.coalesce("spans", zero).alias("n_spans"), F.coalesce("passages", zero).alias("n_passage_bytes"), *columns)
+    size = F.octet_length("__text").cast("long").alias("n_bytes")
+    same = rows.where("NOT touched").select(*rows.columns[:first], size, zero.alias("n_removed"), zero.alias("n_spans"), F.sha2("__text", 256).alias("kept_sha256"), zero.alias("n_passage_bytes"), F.col("__text").alias("kept_text"))
+    joined = found.unionByName(same)
+    columns = [c for c in kinds if with_text or c != "kept_text"]
+    return joined.select(F.col("__id").alias(id_col), *(F.col(f"__keep_{c}").alias(c) for c in keep or []), *columns)

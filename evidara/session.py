@@ -8,9 +8,11 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Tells Spark to delete an action's shuffle files when the action has ended.
 FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -20,6 +22,9 @@ BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.ex
 SMALL = {"spark.sql.execution.arrow.maxRecordsPerBatch": "250", "spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
 SMALLER = "spark.evidara.smallBatches"
 
+#: Bits of a broadcast filter of keys, a power of two: a million rows of 64.
+MOST_BITS = 1 << 26
+
 
 def local_session(cpus: str = "8", name: str = "evidara") -> SparkSession:
     """A local session with the settings that the tests and the bench use."""
@@ -54,10 +59,10 @@ def shared_folder(spark: SparkSession) -> str:
 @contextlib.contextmanager
 def freed_shuffles(spark: SparkSession) -> Iterator[None]:
     """Actions in this block leave no shuffle files behind."""
-    before = spark.conf.get(FREED, None)
-    if before is None:  # an older Spark
+    if not spark.conf.isModifiable(FREED):  # an older Spark
         yield
         return
+    before = spark.conf.get(FREED)
     spark.conf.set(FREED, "true")
     try:
         yield
@@ -83,6 +88,29 @@ def large(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def marked(df: DataFrame, keys: DataFrame, on: str, name: str) -> DataFrame:
+    """`df` with the boolean column `name`: true if `on` is in the column `on` of `keys`, and for about one in sixteen of the other rows; false is certain.
+
+    Told by a broadcast of 16 bits a key, at most MOST_BITS in all, beyond which more rows are true. So a join with `keys` that follows
+    moves few rows that it doesn't need, and none moves that is false.
+    """
+    bits = 1 << min(MOST_BITS.bit_length() - 1, max(10, (16 * keys.count()).bit_length()))
+
+    def places(key: Column) -> list[Column]:
+        place = F.pmod(F.xxhash64(key), F.lit(bits))
+        return [F.shiftright(place, 6).alias("__word"), place.bitwiseAND(F.lit(63)).cast("int").alias("__place")]
+
+    bit = F.expr("shiftleft(1L, __place)")
+    words = keys.select(*places(F.col(on))).groupBy("__word").agg(F.bit_or(bit).alias("__bits"))
+    told = df.select("*", *places(F.col(on))).join(F.broadcast(words), "__word", "left")
+    return told.withColumn(name, F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False))).select(*df.columns, name)
+
+
+def likely(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows of `df` whose `on` is in `keys`, and a few others (see `marked`): what is left of a large side before it is joined with few keys."""
+    return marked(df, keys, on, "__likely").where("__likely").drop("__likely")
+
+
 def small_batches(spark: SparkSession) -> None:
     """The same with still smaller batches, for runs of many operators in one session, where executors hold little free memory."""
     spark.conf.set(SMALLER, "true")
@@ -92,6 +120,8 @@ def small_batches(spark: SparkSession) -> None:
 
 #: Tables that `cut` has made and nothing has deleted yet.
 _made: dict[str, SparkSession] = {}
+#: Those made within `settled`.
+_own: ContextVar[list[str] | None] = ContextVar("own", default=None)
 
 
 def release() -> None:
@@ -114,9 +144,27 @@ def cut(df: DataFrame) -> DataFrame:
     made = spark.read.schema(df.schema).parquet(path)
     made.cut_path = path
     _made[path] = spark
+    if (own := _own.get()) is not None:
+        own.append(path)
     return made
 
 
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that `make` returns, as a table like `cut`'s; the tables that `make` has cut on the way are deleted."""
+    own: list[str] = []
+    token = _own.set(own)
+    try:
+        done = cut(make())
+    finally:
+        _own.reset(token)
+    if (outer := _own.get()) is not None:
+        outer.append(done.cut_path)
+    for path in own:
+        if path in _made and path != done.cut_path:
+            delete(done.sparkSession, path)
+    return done
+
+
 def drop(*frames: DataFrame) -> None:
     """Deletes the tables behind frames made by `cut`, which nothing may read any more."""
     for df in frames:
