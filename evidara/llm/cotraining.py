@@ -24,6 +24,8 @@ TEXT_BITS, META_BITS = 18, 12
 BROADCAST_LABELS = 1_000_000
 #: Places kept free at the end of the text view's features for measures of style, in tenths.
 STYLE = 64
+#: Rows that are worked on at once.
+PART = 2000
 PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
@@ -70,21 +72,45 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Rows:
-    """Sparse binary rows: the features of row i are feature[first[i] : first[i + 1]]."""
+    """Sparse binary rows: the features of row i are feature[first[i] : first[i + 1]]. They are worked on in parts of PART rows, so that
+    little memory is needed besides the features."""
 
-    def __init__(self, feature: np.ndarray, row: np.ndarray, count: int):
-        order = np.argsort(row, kind="stable")
-        self.feature, self.row, self.count = feature[order], row[order], count
-        self.first = np.searchsorted(self.row, np.arange(count + 1))
-        self.norm = 1 / np.sqrt(np.maximum(1, np.diff(self.first)))
+    def __init__(self, feature: np.ndarray, first: np.ndarray):
+        self.feature, self.first, self.count = feature, first, len(first) - 1
+        self.norm = 1 / np.sqrt(np.maximum(1, np.diff(first)))
+
+    @staticmethod
+    def of(feature: np.ndarray, row: np.ndarray, count: int) -> Rows:
+        """Rows of pairs (feature, row) in any order."""
+        return Rows(feature[np.argsort(row, kind="stable")], np.concatenate([[0], np.cumsum(np.bincount(row, minlength=count))]))
+
+    @property
+    def row(self) -> np.ndarray:
+        """Each feature's row."""
+        return np.repeat(np.arange(self.count), np.diff(self.first))
+
+    def parts(self) -> Iterator[tuple[slice, Rows]]:
+        for a in range(0, self.count, PART):
+            b = min(self.count, a + PART)
+            yield slice(a, b), Rows(self.feature[self.first[a] : self.first[b]], self.first[a : b + 1] - self.first[a])
 
     def scores(self, weights: np.ndarray, bias: float) -> np.ndarray:
-        return np.bincount(self.row, weights[self.feature], self.count) * self.norm + bias
+        out = np.empty(self.count)
+        for at, part in self.parts():
+            out[at] = np.bincount(part.row, weights[part.feature], part.count) * part.norm + bias
+        return out
+
+    def sums(self, x: np.ndarray, size: int) -> np.ndarray:
+        """For each feature the sum of x over its rows."""
+        out = np.zeros(size)
+        for at, part in self.parts():
+            out += np.bincount(part.feature, np.repeat(x[at], np.diff(part.first)), size)
+        return out
 
     def take(self, rows: np.ndarray) -> Rows:
-        size = np.diff(self.first)[rows]
-        at = np.repeat(self.first[rows] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        return Rows(self.feature[at], np.repeat(np.arange(len(rows)), size), len(rows))
+        begin, end = self.first[rows].tolist(), self.first[rows + 1].tolist()
+        own = [self.feature[a:b] for a, b in zip(begin, end, strict=True)]
+        return Rows(np.concatenate([self.feature[:0], *own]), np.concatenate([[0], np.cumsum(np.diff(self.first)[rows])]))
 
 
 @dataclass
@@ -106,7 +132,7 @@ def logistic(rows: Rows, y: np.ndarray, size: int, given: Given | None = None, w
     """
     w, g2 = np.zeros(size), np.full(size, 1e-8)
     n = [float(y.sum()), float((1 - y).sum())]
-    sums = [np.bincount(rows.feature, x[rows.row], size) for x in (y, 1 - y)]
+    sums = [rows.sums(x, size) for x in (y, 1 - y)]
     own = sums[0] + sums[1] > 0
     if given is not None:
         for k, (more, count) in enumerate(((given.good, given.n_good), (given.bad, given.n_bad))):
@@ -120,10 +146,11 @@ def logistic(rows: Rows, y: np.ndarray, size: int, given: Given | None = None, w
     for _ in range(passes):
         for some in np.array_split(draw.permutation(rows.count), max(1, rows.count // 256)):
             part = rows.take(some)
-            value = odds[part.feature] * part.norm[part.row]
-            d = (sigmoid(np.bincount(part.row, w[part.feature] * value, part.count) + bias) - y[some])
+            row = part.row
+            value = odds[part.feature] * part.norm[row]
+            d = (sigmoid(np.bincount(row, w[part.feature] * value, part.count) + bias) - y[some])
             used, where = np.unique(part.feature, return_inverse=True)
-            g = np.bincount(where, d[part.row] * value, len(used)) + decay * w[used] * len(some)
+            g = np.bincount(where, d[row] * value, len(used)) + decay * w[used] * len(some)
             g2[used] += g * g
             w[used] -= rate * g / np.sqrt(g2[used])
             b2 += d.sum() ** 2
@@ -168,7 +195,7 @@ def fit(text: Rows, meta: Rows, y: np.ndarray, exchange: Callable[[list[tuple[np
 def list_rows(column: pa.Array) -> Rows:
     """A list column of features as rows."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return Rows(column.flatten().to_numpy().astype(np.int64), np.repeat(np.arange(len(column)), column.value_lengths().to_numpy()), len(column)) if len(column) else Rows(np.zeros(0, np.int64), np.zeros(0, np.int64), 0)
+    return Rows(column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())])) if len(column) else Rows(np.zeros(0, np.int32), np.zeros(1, np.int64))
 
 
 def exchanged(rows: DataFrame, weights: list[tuple[np.ndarray, float]], confident: float) -> list[Given]:
@@ -181,10 +208,11 @@ def exchanged(rows: DataFrame, weights: list[tuple[np.ndarray, float]], confiden
         total = [np.zeros((2, size + 1), np.int64) for size in sizes]
         for batch in batches:
             views = [list_rows(batch.column(k)) for k in range(2)]
+            places = [v.row for v in views]
             for k in range(2):
                 p = sigmoid(views[1 - k].scores(*model.value[1 - k]))
                 for label, sure in enumerate((p >= confident, 1 - p >= confident)):
-                    total[k][label, :-1] += np.bincount(views[k].feature[sure[views[k].row]], minlength=sizes[k])
+                    total[k][label, :-1] += np.bincount(views[k].feature[sure[places[k]]], minlength=sizes[k])
                     total[k][label, -1] += sure.sum()
         for k, v in enumerate(total):
             at = np.flatnonzero(v.any(0))
@@ -201,10 +229,10 @@ def exchanged(rows: DataFrame, weights: list[tuple[np.ndarray, float]], confiden
     return out
 
 
-def scored_rows(model: Model, feature: np.ndarray, row: np.ndarray, m_feature: np.ndarray, m_row: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def scored_rows(model: Model, feature: np.ndarray, row: np.ndarray, meta: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Calibrated P(good) by the text, by the metadata, and by both."""
-    a = Rows(feature, row, count).scores(model.text, model.bias[0])
-    b = Rows(m_feature, m_row, count).scores(model.meta, model.bias[1])
+    a = Rows.of(feature, row, meta.count).scores(model.text, model.bias[0])
+    b = meta.scores(model.meta, model.bias[1])
     (p, q), (r, t), (u, v, c) = *model.views, model.fit
     return sigmoid(p * a + q), sigmoid(r * b + t), sigmoid(u * a + v * b + c)
 
@@ -245,7 +273,9 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
     fitted = made(source.where(at < share).join(ids, "__id", "left_semi")).groupBy("__id").agg(F.min(F.struct("features", "meta_features")).alias("r"))
     rows = fitted.join(said, "__id").select("__id", "r.features", "r.meta_features", "__y").toArrow()
     order = np.argsort(np.array([str(x) for x in rows["__id"].to_pylist()], dtype=object), kind="stable")
-    rows = rows.take(pa.array(order))
+    views = [list_rows(rows[c]).take(order) for c in ("features", "meta_features")]
+    y = rows["__y"].to_numpy()[order]
+    del rows  # the driver holds the features once
     free = None
 
     def exchange(weights: list[tuple[np.ndarray, float]]) -> list[Given]:
@@ -254,14 +284,15 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: list[Column], id_col:
             free = cut(made(source).join(ids, "__id", "left_anti").select("features", "meta_features"))
         return exchanged(free, weights, confident)
 
-    model = docs.sparkSession.sparkContext.broadcast(fit(list_rows(rows["features"]), list_rows(rows["meta_features"]), rows["__y"].to_numpy(), exchange, rounds))
+    model = docs.sparkSession.sparkContext.broadcast(fit(*views, y, exchange, rounds))
+    views.clear()
+    T.trim()
 
     def judge(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text, meta in columns:
             made = [np.zeros((3, 0))]
             for part, data, offsets in T.slices([pa.RecordBatch.from_arrays([text, meta], ["text", "meta"])]):
-                m = list_rows(part.column(1))
-                made.append(np.stack(scored_rows(model.value, *text_features(data, offsets), m.feature, m.row, part.num_rows)))
+                made.append(np.stack(scored_rows(model.value, *text_features(data, offsets), list_rows(part.column(1)))))
             yield pa.StructArray.from_arrays([pa.array(x) for x in np.concatenate(made, 1)], ["p_text", "p_meta", "score"])
 
     # only text and metadata go to Python and only the scores come back

@@ -82,13 +82,18 @@ def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator
 
     def wrapped(batches: Iterator) -> Iterator:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(AttributeError, OSError):  # not every C library can
-            ctypes.CDLL(None).malloc_trim(0)
+        trim()
 
     return wrapped
 
 
+def trim() -> None:
+    """Gives memory back that this process has freed."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Words:
     """The words of a slice: start and end bytes, the text each lies in, and per text the range [first, last) of its words."""
 
