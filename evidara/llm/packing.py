@@ -7,6 +7,7 @@ runs. Ranks come from counts per partition and length.
 
 from __future__ import annotations
 
+import codecs
 import zlib
 
 import numpy as np
@@ -22,11 +23,15 @@ PIECES = "piece int, start long, length long, ids_crc32 long"
 CACHED_WORDS = 600_000
 #: Ends of words that are tokenised apart from the letters before them.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+#: Bytes of a-z and of U+00C0 to U+00FF in UTF-8.
+LATIN = bytes([*range(97, 123), 0xC3, *range(0x80, 0xC0)])
+#: The sign that the byte-level vocabulary has for each byte; spaces stay.
+SIGNS = "".join(map(chr, [*range(256, 288), 32, *range(33, 127), *range(289, 323), *range(161, 173), 323, *range(174, 256)]))
 _workers: dict[str, WordIds] = {}
 
 
 class WordIds:
-    """A worker's tokenizer with the little-endian unsigned 32-bit ids of the words that it has met.
+    """A worker's tokenizer with the little-endian unsigned 32-bit ids of the words that it has met, and of the runs that they are made of.
 
     The tokenizer drops white space, never joins across it, and splits letters from other signs; words with the name of a special
     token go to it whole. The last id of a run of
@@ -35,67 +40,106 @@ class WordIds:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
+        # lower-case runs of LATIN are normal and whole as they are: they need the same model only
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.specials = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
-        self.runs: dict[bytes, bytes] = {}
 
     def one_by_one(self, words: list[bytes]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast([x.decode() for x in words], add_special_tokens=False)]
 
     def letters(self, runs: list[bytes]) -> list[bytes]:
         """The ids of each run of letters."""
-        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)[0].ids, "<u4")
+        return self.told_apart(runs, self.tokenizer, b" ".join(runs).decode())
+
+    def latin(self, runs: list[bytes]) -> list[bytes]:
+        """The ids of each lower-case run of letters of LATIN."""
+        return self.told_apart(runs, self.plain, codecs.charmap_decode(b" ".join(runs), "strict", SIGNS)[0])
+
+    def told_apart(self, runs: list[bytes], tokenizer, text: str) -> list[bytes]:
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         last = np.flatnonzero(self.ends[ids]) + 1
         if len(last) != len(runs) or last[-1] != len(ids):  # a letter that the tokenizer's normaliser takes apart
             return self.one_by_one(runs)
         whole, at = ids.tobytes(), [0, *(last * 4).tolist()]
         return [whole[a:b] for a, b in zip(at, at[1:])]  # noqa: B905
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.runs) + len(words) > CACHED_WORDS:
-            self.runs.clear()
-        # a word of letters and marks after them is two runs, any other word is one
-        heads = [x.rstrip(MARKS) for x in words]
-        special = [any(t in x for t in self.specials) if b"<|" in x else False for x in words]
-        tails = [x[len(run) :] if run.decode().isalpha() and not whole else None for x, run, whole in zip(words, heads, special, strict=True)]
-        heads = [x if marks is None else run.lower() for x, run, marks in zip(words, heads, tails, strict=True)]
-        known = self.runs
-        new = list({run for run, marks in zip(heads, tails, strict=True) if marks is not None}.difference(known))
-        other = list({run for run, marks in zip(heads, tails, strict=True) if marks is None}.union(x for x in tails if x).difference(known))
-        for todo, encode in ((new, self.letters), (other, self.one_by_one)):
+    def learn(self, words: set[bytes]) -> None:
+        """Adds the ids of `words`: a word of letters and marks after them is two runs, any other word is one."""
+        known, made = self.words, []
+        latin, runs, other = set(), set(), set()
+        for x in words:
+            run, marks = x, b""
+            if not x.isalpha():  # of other than ASCII letters
+                if b"<|" in x and any(t in x for t in self.specials):
+                    other.add(x)
+                    continue
+                run = x.rstrip(MARKS)
+                if not (run.isalpha() or run.decode().isalpha()):
+                    other.add(x)
+                    continue
+                marks = x[len(run) :]
+                if marks:
+                    other.add(marks)
+            run = run.lower()
+            if run.isascii():
+                latin.add(run)
+            elif not run.translate(None, LATIN):
+                run = run.decode().lower().encode()
+                latin.add(run)
+            else:
+                runs.add(run)
+            if run != x:
+                made.append((x, run, marks))
+        for some, encode in ((latin, self.latin), (runs, self.letters), (other, self.one_by_one)):
+            todo = [x for x in some if x not in known]
             for first in range(0, len(todo), 20_000):
-                some = todo[first : first + 20_000]
-                known.update(zip(some, encode(some), strict=True))
-        self.words.update(zip(words, [known[run] + known[marks] if marks else known[run] for run, marks in zip(heads, tails, strict=True)], strict=True))
-
-    def ids_of(self, texts: list[str]) -> list[bytes]:
-        split = [x.encode().split() for x in texts]
-        met = set().union(*split)
-        new = [x for x in met if x not in self.words]
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words.clear()
-            new = list(met)
+                part = todo[first : first + 20_000]
+                known.update(zip(part, encode(part), strict=True))
+        for x, run, marks in made:
+            known[x] = known[run] + known[marks] if marks else known[run]
+
+    def ids_of(self, texts: list[bytes]) -> list[bytes]:
+        split = [x.split() for x in texts]
+        known = self.words
+        found = [list(map(known.get, words)) for words in split]
+        gaps = list(map(gaps_of, found))
+        new = {words[k] for words, at in zip(split, gaps, strict=True) for k in at}
         if new:
+            if len(known) + len(new) > CACHED_WORDS:
+                known.clear()
             self.learn(new)
-        return [b"".join(map(self.words.__getitem__, x)) for x in split]
+            for words, ids, at in zip(split, found, gaps, strict=True):
+                for k in at:
+                    ids[k] = known[words[k]]
+        return list(map(b"".join, found))
+
+
+def gaps_of(values: list) -> list[int]:
+    """The places of None."""
+    at, k = [], -1
+    for _ in range(values.count(None)):
+        k = values.index(None, k + 1)
+        at.append(k)
+    return at
 
 
 def forget(path: str) -> None:
     """Frees a worker's words, as it may serve other operators after this one."""
     if path in _workers:
         _workers[path].words.clear()
-        _workers[path].runs.clear()
 
 
-def ids_of(texts: list[str], path: str) -> list[bytes]:
-    """Little-endian unsigned 32-bit ids of each text, by the worker's cache."""
+def ids_of(texts: list[bytes], path: str) -> list[bytes]:
+    """Little-endian unsigned 32-bit ids of each text in UTF-8, by the worker's cache."""
     if path not in _workers:
         _workers[path] = WordIds(path)
     return _workers[path].ids_of(texts)
@@ -117,7 +161,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         for rows, _, _ in T.slices(batches, most=1 << 20):
             out: list[list] = [[], [], [], [], []]
-            for doc, ids in zip(rows.column(0).to_pylist(), ids_of([x or "" for x in rows.column(1).to_pylist()], path), strict=True):
+            for doc, ids in zip(rows.column(0).to_pylist(), ids_of(rows.column(1).cast(pa.binary()).fill_null(b"").to_pylist(), path), strict=True):
                 ids += end
                 for k, first in enumerate(range(0, len(ids), 4 * limit)):
                     part = ids[first : first + 4 * limit]

@@ -1,11 +1,12 @@
 """What the driver and the workers hold or send to a tokenizer: it stays small whatever the rows."""
 
+import random
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 
-from evidara.llm import cotraining
+from evidara.llm import cotraining, packing, queries
 
 
 def peak_mb(run):
@@ -23,3 +24,25 @@ def test_a_fit_holds_little_besides_its_features():
     y = draw.integers(0, 2, 12_000)
     # 6 MB of features; it took 81 MB when each was held with its row in 64 bits and sorted
     assert peak_mb(lambda: cotraining.fit(cotraining.list_rows(text), cotraining.list_rows(meta), y, None, 0)) < 60
+
+
+class Recorded:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_runs_of_latin_letters_need_no_patterns():
+    words = packing.WordIds(queries.WORD_BPE)
+    whole, words.tokenizer = words.tokenizer, (asked := Recorded(words.tokenizer))
+    words.learn([x.encode() for x in ("Straße,", "ÑANDÚ", "plain", "Ünï!", "слово", "a1")])
+    assert sorted(x for text in asked.texts for x in text.split()) == ["!", ",", "a1", "слово"]
+    draw = random.Random(1)
+    signs = [chr(i) for i in [*range(32, 127), *range(0xA0, 0x180)]] + [*" \t\n  ", *"'.,İßſΣςи中é\u0085ªµ×÷ŉ", "é", "<|endoftext|>", "<|"]
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randrange(120))) for _ in range(500)]
+    got = words.ids_of([x.encode() for x in texts])
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
