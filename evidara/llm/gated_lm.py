@@ -33,6 +33,8 @@ from evidara.session import bounded_batches, cut
 END = int(T.signed(T.mix(np.array([0x454E44], T.U)))[0])
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 400_000
+#: States whose outputs are worked out at once: they stay in the processor's cache.
+BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -177,7 +179,11 @@ def fresh_weights(v: Vocabulary) -> dict[str, np.ndarray]:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """1 / (1 + exp(-x)); `x` is used up."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def step(p: dict, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -191,26 +197,38 @@ def step(p: dict, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
     return new + z * (h - new), z, r, new, u[:, 2 * n :]
 
 
-def log_share(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The logarithm of the softmax of each row of `x` at its place `at`; `x` is used up."""
-    x -= x.max(1, keepdims=True)
-    own = x[np.arange(len(at)), at]
-    return own - np.log(np.exp(x, out=x).sum(1))
+def outputs(w: np.ndarray, b: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """states @ w + b less each state's largest value, a column for each state, so that numpy adds whole rows."""
+    x = w.T @ states.T
+    x += b[:, None]
+    x -= x.max(0)
+    return x
+
+
+def log_share(w: np.ndarray, b: np.ndarray, states: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The logarithm of the softmax of each row of states @ w + b at its place `at`."""
+    out = np.empty(len(at), np.result_type(w, states))
+    for first in range(0, len(at), BLOCK):
+        own = slice(first, first + BLOCK)
+        x = outputs(w, b, states[own])
+        value = x[at[own], np.arange(x.shape[1])]
+        out[own] = value - np.log(np.exp(x, out=x).sum(0))
+    return out
 
 
-def softmax_less(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The softmax of each row of `x`, less 1 at its place `at`; `x` is used up."""
-    x -= x.max(1, keepdims=True)
+def softmax_less(w: np.ndarray, b: np.ndarray, states: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The softmax of each row of states @ w + b, less 1 at its place `at`; a column for each row."""
+    x = outputs(w, b, states)
     np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    x[np.arange(len(at)), at] -= 1
+    x *= 1 / x.sum(0)
+    x[at, np.arange(len(at))] -= 1
     return x
 
 
 def by_class(target: np.ndarray, s: Settings):
     """For each class with tokens among the targets: (class, their places, their place in the class)."""
     single = np.flatnonzero(target < s.n_single)
-    of = target[single] // s.per_class
+    of = (target[single] // s.per_class).astype(np.uint16)  # numpy sorts short integers in linear time
     order = np.argsort(of, kind="stable")
     edge = np.searchsorted(of[order], np.arange(s.n_classes + 1))
     for c in range(s.n_classes):
@@ -225,9 +243,9 @@ def class_of(target: np.ndarray, s: Settings) -> np.ndarray:
 
 def log_likelihood(p: dict, states: np.ndarray, target: np.ndarray, s: Settings) -> np.ndarray:
     """ln P of each target's class and, for tokens with an output, of the token in its class."""
-    out = log_share(states @ p["Wc"] + p["bc"], class_of(target, s))
+    out = log_share(p["Wc"], p["bc"], states, class_of(target, s))
     for c, at, place in by_class(target, s):
-        out[at] += log_share(states[at] @ p["Ww"][c] + p["bw"][c], place)
+        out[at] += log_share(p["Ww"][c], p["bw"][c], states[at], place)
     return out
 
 
@@ -236,25 +254,30 @@ def gradients(p: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray, fresh: np.nd
     steps, lanes = x.shape
     n = s.hidden
     states, kept = np.empty((steps, lanes, n), np.float32), []
+    begins, stay = fresh.any(1), (~fresh)[:, :, None].astype(np.float32)
     for t in range(steps):
-        h = h * ~fresh[t][:, None]
+        if begins[t]:
+            h = h * stay[t]
         old = h
         h, z, r, new, u = step(p, h, x[t])
         kept.append((old, z, r, new, u))
         states[t] = h
     flat, target, use = states.reshape(-1, n), y.ravel(), live.ravel().astype(np.float32)
     g = {}
-    dc = softmax_less(flat @ p["Wc"] + p["bc"], class_of(target, s))
-    dc *= use[:, None]
-    g["Wc"], g["bc"] = flat.T @ dc, dc.sum(0)
-    dh = dc @ p["Wc"].T
+    idle = not live.all()
+    dc = softmax_less(p["Wc"], p["bc"], flat, class_of(target, s))
+    if idle:
+        dc *= use
+    g["Wc"], g["bc"] = flat.T @ dc.T, dc.sum(1)
+    dh = dc.T @ p["Wc"].T
     g["Ww"], g["bw"] = np.zeros_like(p["Ww"]), np.zeros_like(p["bw"])
     for c, at, place in by_class(target, s):
         some = flat[at]
-        d = softmax_less(some @ p["Ww"][c] + p["bw"][c], place)
-        d *= use[at, None]
-        g["Ww"][c], g["bw"][c] = some.T @ d, d.sum(0)
-        dh[at] += d @ p["Ww"][c].T
+        d = softmax_less(p["Ww"][c], p["bw"][c], some, place)
+        if idle:
+            d *= use[at]
+        g["Ww"][c], g["bw"][c] = some.T @ d.T, d.sum(1)
+        dh[at] += d.T @ p["Ww"][c].T
     dh = dh.reshape(steps, lanes, n)
     da, du = np.empty((steps, lanes, 3 * n), np.float32), np.zeros_like(p["U"])
     carry = np.zeros((lanes, n), np.float32)
@@ -268,9 +291,11 @@ def gradients(p: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray, fresh: np.nd
         back = da[t].copy()
         back[:, 2 * n :] *= r
         du += old.T @ back
-        carry = (d * z + back @ p["U"].T) * ~fresh[t][:, None]
+        carry = d * z + back @ p["U"].T
+        if begins[t]:
+            carry *= stay[t]
     g["U"] = du
-    inputs = x.ravel()
+    inputs = x.ravel().astype(np.uint16)
     order = np.argsort(inputs, kind="stable")
     begin = np.flatnonzero(np.diff(inputs[order], prepend=-1))
     g["E"] = np.zeros_like(p["E"])

@@ -6,7 +6,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from evidara.llm import cotraining, packing, queries
+from evidara.llm import cotraining, gated_lm, packing, queries
 
 
 def peak_mb(run):
@@ -26,6 +26,20 @@ def test_a_fit_holds_little_besides_its_features():
     assert peak_mb(lambda: cotraining.fit(cotraining.list_rows(text), cotraining.list_rows(meta), y, None, 0)) < 60
 
 
+def test_outputs_of_many_states_are_worked_out_in_parts():
+    s = gated_lm.Settings(n_single=64, n_classes=8, n_suffix=92, hidden=4)
+    draw = np.random.Generator(np.random.PCG64(3))
+    p = {k: draw.standard_normal(shape).astype(np.float32) for k, shape in (("Wc", (4, 100)), ("bc", 100), ("Ww", (8, 4, 8)), ("bw", (8, 8)))}
+    states, target = draw.standard_normal((100_000, 4)).astype(np.float32), draw.integers(0, 156, 100_000)
+    assert peak_mb(lambda: gated_lm.log_likelihood(p, states, target, s)) < 20  # all at once took 80 MB
+    x = states.astype(float) @ p["Wc"] + p["bc"]
+    want = (x - np.log(np.exp(x).sum(1, keepdims=True)))[np.arange(len(x)), gated_lm.class_of(target, s)]
+    for i in np.flatnonzero(target < s.n_single):
+        z = states[i].astype(float) @ p["Ww"][target[i] // 8] + p["bw"][target[i] // 8]
+        want[i] += z[target[i] % 8] - np.log(np.exp(z).sum())
+    assert np.abs(gated_lm.log_likelihood(p, states, target, s) - want).max() < 1e-4
+
+
 class Recorded:
     def __init__(self, tokenizer):
         self.tokenizer, self.texts = tokenizer, []
