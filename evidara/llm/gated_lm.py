@@ -15,9 +15,12 @@ round's texts, from the same weights, and the results are averaged by number of
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -33,8 +36,12 @@ from evidara.session import bounded_batches, cut
 END = int(T.signed(T.mix(np.array([0x454E44], T.U)))[0])
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 400_000
-#: States whose outputs are worked out at once: they stay in the processor's cache.
-BLOCK = 4096
+#: States scored at once; states whose outputs are worked out at once, so that they stay in the processor's cache.
+BLOCK, PART = 4096, 256
+#: Sums of exponentials of numbers up to this don't overflow, nor vanish, in 32 bits.
+SAFE = 60.0
+#: Tokens scored at once: the longest texts of so many end alone.
+SCORED = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -127,9 +134,25 @@ class Vocabulary:
         """The end's output."""
         return int(self.single[np.searchsorted(self.keys, END)])
 
+    @cached_property
+    def leads(self) -> np.ndarray:
+        """The first place of a key with each of the highest 17 bits."""
+        return np.searchsorted(self.keys, np.arange(-(1 << 16), 1 << 16) << 47)
+
+    def places(self, h: np.ndarray) -> np.ndarray:
+        """The places of the first keys that aren't smaller, or the last: keys are hashes, so few share their highest bits."""
+        last = max(0, len(self.keys) - 1)
+        at = np.minimum(self.leads[(h >> 47) + (1 << 16)], last)
+        left = np.flatnonzero(self.keys[at] < h) if len(self.keys) else []
+        while len(left):
+            at[left] += 1
+            left = left[at[left] <= last]
+            left = left[self.keys[at[left]] < h[left]]
+        return np.minimum(at, last)
+
     def look_up(self, h: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(input, count) of words: inputs are outputs first, then suffix classes; count is -1 for words outside the head."""
-        at = np.minimum(np.searchsorted(self.keys, h), max(0, len(self.keys) - 1))
+        at = self.places(h)
         known = self.keys[at] == h if len(self.keys) else np.zeros(len(h), bool)
         single = np.where(known, self.single[at], -1) if len(self.keys) else np.full(len(h), -1)
         return np.where(single >= 0, single, self.settings.n_single + suffix), np.where(known, self.counts[at], -1) if len(self.keys) else np.full(len(h), -1)
@@ -186,55 +209,100 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+class Room:
+    """Arrays by name that are used again and again, as memory that is freed and taken anew for each window has to be mapped anew."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+        self.shown: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, ...] | None = None, kind: np.dtype | None = None) -> np.ndarray:
+        """An array of this shape with any contents; without a shape, the one that was last given out."""
+        if shape is not None:
+            size = int(np.prod(shape))
+            if name not in self.held or len(self.held[name]) < size or self.held[name].dtype != kind:
+                self.held[name] = np.empty(size, kind)
+            self.shown[name] = self.held[name][:size].reshape(shape)
+        return self.shown[name]
+
+
+def by_gate(p: dict, x: np.ndarray, out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The inputs' part of each gate, (3, inputs, hidden), and the state's weights, (3, hidden, hidden): numpy then works along whole arrays."""
+    n = len(p["U"])
+    rows = 3 * x.astype(np.intp) + np.arange(3)[:, None]
+    return np.take(p["E"].reshape(-1, n), rows, axis=0, out=out, mode="clip"), p["U"].reshape(n, 3, n).transpose(1, 0, 2).copy()
+
+
+def unit(a: np.ndarray, h: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One step of the gated unit: the next state, and the state's part of the new one; `a`, the inputs' part, becomes (z, r, new)."""
+    own = h @ u
+    gates, new = a[:2], a[2]
+    gates += own[:2]
+    sigmoid(gates)
+    new += a[1] * own[2]
+    np.tanh(new, out=new)
+    out = h - new
+    out *= a[0]
+    out += new
+    return out, own[2]
+
+
 def step(p: dict, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
     """One step of the gated unit: the next state, and what its gradient needs."""
-    n = h.shape[1]
-    a = p["E"][x]
-    u = h @ p["U"]
-    gates = sigmoid(a[:, : 2 * n] + u[:, : 2 * n])
-    z, r = gates[:, :n], gates[:, n:]
-    new = np.tanh(a[:, 2 * n :] + r * u[:, 2 * n :])
-    return new + z * (h - new), z, r, new, u[:, 2 * n :]
-
-
-def outputs(w: np.ndarray, b: np.ndarray, states: np.ndarray) -> np.ndarray:
-    """states @ w + b less each state's largest value, a column for each state, so that numpy adds whole rows."""
-    x = w.T @ states.T
-    x += b[:, None]
-    x -= x.max(0)
-    return x
-
-
-def log_share(w: np.ndarray, b: np.ndarray, states: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The logarithm of the softmax of each row of states @ w + b at its place `at`."""
-    out = np.empty(len(at), np.result_type(w, states))
-    for first in range(0, len(at), BLOCK):
-        own = slice(first, first + BLOCK)
-        x = outputs(w, b, states[own])
-        value = x[at[own], np.arange(x.shape[1])]
-        out[own] = value - np.log(np.exp(x, out=x).sum(0))
+    a, u = by_gate(p, x)
+    out, own = unit(a, h, u)
+    return out, *a, own
+
+
+def with_bias(w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Weights with the biases as their last row: the weights of a one after the state."""
+    return np.concatenate([w, b[..., None, :]], -2)
+
+
+def with_one(states: np.ndarray) -> np.ndarray:
+    """States with a one after each."""
+    out = np.ones((len(states), states.shape[1] + 1), states.dtype)
+    out[:, :-1] = states
     return out
 
 
-def softmax_less(w: np.ndarray, b: np.ndarray, states: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The softmax of each row of states @ w + b, less 1 at its place `at`; a column for each row."""
-    x = outputs(w, b, states)
-    np.exp(x, out=x)
-    x *= 1 / x.sum(0)
-    x[at, np.arange(len(at))] -= 1
-    return x
+def bounded(w: np.ndarray, states: np.ndarray) -> bool:
+    """Whether exponentials of states @ w and their sums certainly fit 32 bits; states within -1 and 1 are the rule, then only large weights don't."""
+    return bool(np.abs(w).sum(-2).max() * max(1.0, states.max(), -states.min()) <= SAFE)
+
 
+def class_outputs(p: dict, states: np.ndarray, target: np.ndarray, s: Settings, room: Room) -> Iterator[tuple]:
+    """Outputs over all classes, for PART states at a time: (their range, states @ w, a column for each, where their targets' are in it).
 
-def by_class(target: np.ndarray, s: Settings):
-    """For each class with tokens among the targets: (class, their places, their place in the class)."""
+    A column for each state lets numpy add whole rows; each is less its largest value where exponentials might overflow.
+    """
+    w = with_bias(p["Wc"], p["bc"])
+    turned, safe, width = w.T.copy(), bounded(w, states), min(PART, len(states))
+    x = room("outputs", (len(turned), width), w.dtype)
+    at = class_of(target, s) * width + np.arange(len(states)) % width
+    for i in range(0, len(states), width):
+        part = slice(i, min(i + width, len(states)))
+        own = np.matmul(turned, states[part].T, out=x[:, : part.stop - i])
+        if not safe:
+            own -= own.max(0)
+        yield part, own, at[part]
+
+
+def token_outputs(p: dict, states: np.ndarray, target: np.ndarray, s: Settings, room: Room) -> tuple:
+    """Outputs within the targets' classes, for targets with an output of their own: (these, by class; their states; (class, range) of each; a column for each; where its target's is)."""
     single = np.flatnonzero(target < s.n_single)
-    of = (target[single] // s.per_class).astype(np.uint16)  # numpy sorts short integers in linear time
-    order = np.argsort(of, kind="stable")
-    edge = np.searchsorted(of[order], np.arange(s.n_classes + 1))
-    for c in range(s.n_classes):
-        if edge[c + 1] > edge[c]:
-            at = single[order[edge[c] : edge[c + 1]]]
-            yield c, at, target[at] % s.per_class
+    of = target[single] // s.per_class
+    single = single[np.argsort(of.astype(np.uint16), kind="stable")]  # numpy sorts short integers in linear time
+    edge = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=s.n_classes))]).tolist()
+    ranges = [(c, slice(edge[c], edge[c + 1])) for c in range(s.n_classes) if edge[c + 1] > edge[c]]
+    w = with_bias(p["Ww"], p["bw"])
+    some = np.take(states, single, axis=0)
+    turned, x = w.transpose(0, 2, 1).copy(), room("within", (s.per_class, len(single)), w.dtype)
+    for c, own in ranges:
+        np.matmul(turned[c], some[own].T, out=x[:, own])
+    if len(single) and not bounded(w, some):
+        x -= x.max(0)
+    return single, some, ranges, x, target[single] % s.per_class * len(single) + np.arange(len(single))
 
 
 def class_of(target: np.ndarray, s: Settings) -> np.ndarray:
@@ -243,67 +311,110 @@ def class_of(target: np.ndarray, s: Settings) -> np.ndarray:
 
 def log_likelihood(p: dict, states: np.ndarray, target: np.ndarray, s: Settings) -> np.ndarray:
     """ln P of each target's class and, for tokens with an output, of the token in its class."""
-    out = log_share(p["Wc"], p["bc"], states, class_of(target, s))
-    for c, at, place in by_class(target, s):
-        out[at] += log_share(p["Ww"][c], p["bw"][c], states[at], place)
+    out, room = np.empty(len(target), np.result_type(p["Wc"], states)), Room()
+    for first in range(0, len(target), BLOCK):
+        own, some, y = out[first : first + BLOCK], with_one(states[first : first + BLOCK]), target[first : first + BLOCK].astype(np.intp)
+        for part, x, at in class_outputs(p, some, y, s, room):
+            own[part] = room("outputs").take(at)
+            own[part] -= np.log(np.exp(x, out=x).sum(0))
+        single, _, _, x, at = token_outputs(p, some, y, s, room)
+        value = x.take(at)
+        own[single] += value - np.log(np.exp(x, out=x).sum(0))
     return out
 
 
-def gradients(p: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, live: np.ndarray, s: Settings) -> tuple[dict, np.ndarray]:
+def less_softmax(x: np.ndarray, weight: np.ndarray, flat: np.ndarray, at: np.ndarray) -> None:
+    """Makes of each column its softmax less 1 at its place `at` of `flat`, which x lies in, times its weight."""
+    np.exp(x, out=x)
+    x *= weight / x.sum(0)
+    flat[at] -= weight
+
+
+def gradients(p: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, live: np.ndarray, s: Settings, room: Room | None = None) -> tuple[dict, np.ndarray]:
     """Truncated backpropagation over a window: x, y, fresh (a text begins), live are (steps, lanes); h is the state before."""
     steps, lanes = x.shape
-    n = s.hidden
-    states, kept = np.empty((steps, lanes, n), np.float32), []
-    begins, stay = fresh.any(1), (~fresh)[:, :, None].astype(np.float32)
+    n, kind, size = s.hidden, p["U"].dtype, x.size
+    room = Room() if room is None else room
+    a, u = by_gate(p, x.ravel(), room("gates", (3, size, n), kind))
+    a = a.reshape(3, steps, lanes, n)
+    states, kept = room("states", (steps, lanes, n + 1), kind), []
+    states[:, :, n] = 1
+    begins, stay = fresh.any(1).tolist(), (~fresh)[:, :, None].astype(kind)
     for t in range(steps):
         if begins[t]:
             h = h * stay[t]
         old = h
-        h, z, r, new, u = step(p, h, x[t])
-        kept.append((old, z, r, new, u))
-        states[t] = h
-    flat, target, use = states.reshape(-1, n), y.ravel(), live.ravel().astype(np.float32)
-    g = {}
-    idle = not live.all()
-    dc = softmax_less(p["Wc"], p["bc"], flat, class_of(target, s))
-    if idle:
-        dc *= use
-    g["Wc"], g["bc"] = flat.T @ dc.T, dc.sum(1)
-    dh = dc.T @ p["Wc"].T
+        h, own = unit(a[:, t], h, u)
+        kept.append((old, own))
+        states[t, :, :n] = h
+    flat, target, use = states.reshape(-1, n + 1), y.ravel().astype(np.intp), live.ravel().astype(kind)
+    g, dh, dc, back = {}, room("dh", (size, n), kind), 0, p["Wc"].T.copy()
+    for part, d, at in class_outputs(p, flat, target, s, room):
+        less_softmax(d, use[part], room("outputs").reshape(-1), at)
+        dc = dc + d @ flat[part]
+        np.matmul(d.T, back, out=dh[part])
+    g["Wc"], g["bc"] = dc[:, :-1].T, dc[:, -1]
     g["Ww"], g["bw"] = np.zeros_like(p["Ww"]), np.zeros_like(p["bw"])
-    for c, at, place in by_class(target, s):
-        some = flat[at]
-        d = softmax_less(p["Ww"][c], p["bw"][c], some, place)
-        if idle:
-            d *= use[at]
-        g["Ww"][c], g["bw"][c] = some.T @ d.T, d.sum(1)
-        dh[at] += d.T @ p["Ww"][c].T
+    single, some, ranges, d, at = token_outputs(p, flat, target, s, room)
+    less_softmax(d, use[single], d.reshape(-1), at)
+    more, back = np.empty((len(single), n), kind), p["Ww"].transpose(0, 2, 1).copy()
+    for c, own in ranges:
+        dc = d[:, own] @ some[own]
+        g["Ww"][c], g["bw"][c] = dc[:, :-1].T, dc[:, -1]
+        np.matmul(d[:, own].T, back[c], out=more[own])
+    dh[single] += more
     dh = dh.reshape(steps, lanes, n)
-    da, du = np.empty((steps, lanes, 3 * n), np.float32), np.zeros_like(p["U"])
-    carry = np.zeros((lanes, n), np.float32)
+    # by the gates' arguments: of (z, r, new), and of what the state adds to the new part; a row of zeros follows
+    rows, of_state, olds = room("rows", (size + 1, 3 * n), kind), room("of_state", (steps, lanes, n), kind), room("olds", (steps, lanes, n), kind)
+    rows[-1] = 0
+    da = rows[:-1].reshape(steps, lanes, 3 * n)
+    carry, turned = np.zeros((lanes, n), kind), p["U"].T.copy()
     for t in range(steps - 1, -1, -1):
-        old, z, r, new, u = kept[t]
-        d = dh[t] + carry
-        dn = d * (1 - z) * (1 - new * new)
-        da[t, :, :n] = d * (old - new) * z * (1 - z)
-        da[t, :, n : 2 * n] = dn * u * r * (1 - r)
-        da[t, :, 2 * n :] = dn
-        back = da[t].copy()
-        back[:, 2 * n :] *= r
-        du += old.T @ back
-        carry = d * z + back @ p["U"].T
+        (z, r, new), (old, own), d, back = a[:, t], kept[t], dh[t], of_state[t]
+        olds[t] = old
+        d += carry
+        stays = d * z
+        d -= stays
+        old = old - new
+        old *= z
+        np.multiply(old, d, out=da[t, :, :n])
+        new *= new
+        new *= d
+        d -= new
+        da[t, :, 2 * n :] = d
+        np.multiply(d, r, out=back)
+        np.subtract(1, r, out=r)
+        r *= own
+        np.multiply(r, back, out=da[t, :, n : 2 * n])
+        carry = da[t, :, : 2 * n] @ turned[: 2 * n]
+        carry += back @ turned[2 * n :]
+        carry += stays
         if begins[t]:
             carry *= stay[t]
-    g["U"] = du
-    inputs = x.ravel().astype(np.uint16)
-    order = np.argsort(inputs, kind="stable")
-    begin = np.flatnonzero(np.diff(inputs[order], prepend=-1))
-    g["E"] = np.zeros_like(p["E"])
-    g["E"][inputs[order][begin]] = np.add.reduceat(da.reshape(-1, 3 * n)[order], begin)
+    olds = olds.reshape(-1, n).T
+    g["U"] = np.concatenate([olds @ rows[:-1, : 2 * n], olds @ of_state.reshape(-1, n)], 1)
+    g["E"] = sums_by_input(rows, x.ravel(), len(p["E"]), room)
     scale = 1 / max(1.0, float(use.sum()))
     norm = np.sqrt(sum(float((x * x).sum()) for x in g.values())) * scale
     scale *= min(1.0, 1.0 / max(norm, 1e-9))
-    return {k: x * scale for k, x in g.items()}, h
+    return {k: x * float(scale) for k, x in g.items()}, h
+
+
+def sums_by_input(rows: np.ndarray, x: np.ndarray, n: int, room: Room) -> np.ndarray:
+    """The sums of the rows of each of n inputs; x: the rows' inputs; one row of zeros follows them.
+
+    Rows are summed by eight, then the sums: numpy is slow where runs of rows are short.
+    """
+    count = np.bincount(x, minlength=n)
+    used = -(-count // 8)
+    first = np.cumsum(used) - used
+    where = np.full(8 * int(used.sum()), len(x))
+    where[np.arange(len(x)) + np.repeat(8 * first - (np.cumsum(count) - count), count)] = np.argsort(x.astype(np.uint16), kind="stable")
+    some = np.take(rows, where, axis=0, out=room("eights", (len(where), rows.shape[1]), rows.dtype), mode="clip")
+    some = (np.ones((1, 8), rows.dtype) @ some.reshape(-1, 8, rows.shape[1]))[:, 0]
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    out[used > 0] = np.add.reduceat(some, first[used > 0])
+    return out
 
 
 class Trainer:
@@ -319,28 +430,38 @@ class Trainer:
         lanes = int(np.clip(n // (s.window * 60), 4, s.lanes))
         length = -(-n // lanes)
         size = -(-length // s.window) * s.window
-        y, first = np.full(lanes * size, end), np.zeros(lanes * size, bool)
-        at = np.arange(n) // length * size + np.arange(n) % length
-        y[at], first[at[begin]] = tokens, True
-        live = np.zeros(lanes * size, bool)
-        live[at] = True
         x = np.full(n, end)
         x[1:] = tokens[:-1]
         x[begin] = end
-        inputs = np.full(lanes * size, end)
-        inputs[at] = x
-        first[np.arange(lanes) * size] = True
-        y, inputs, first, live = (a.reshape(lanes, size).T.copy() for a in (y, inputs, first, live))
-        h = np.zeros((lanes, s.hidden), np.float32)
+        fresh = np.zeros(n, bool)
+        fresh[begin] = True
+
+        def dealt(values, rest, kind):
+            """A column for each lane, filled up with `rest`."""
+            out = np.full(lanes * length, rest, kind)
+            out[:n] = values
+            return np.concatenate([out.reshape(lanes, length).T, np.full((size - length, lanes), rest, kind)])
+
+        y, inputs, first, live = dealt(tokens, end, np.uint16), dealt(x, end, np.uint16), dealt(fresh, False, bool), dealt(np.ones(n, bool), False, bool)
+        first[0] = True
+        h, room = np.zeros((lanes, s.hidden), np.float32), Room()
         for t in range(0, size, s.window):
             span = slice(t, t + s.window)
-            g, h = gradients(self.p, h, inputs[span], y[span], first[span], live[span], s)
+            g, h = gradients(self.p, h, inputs[span], y[span], first[span], live[span], s, room)
             self.time += 1
             rate = self.rate * min(1.0, self.time / 10) * np.sqrt(1 - 0.99**self.time) / (1 - 0.9**self.time)
             for k, d in g.items():
-                self.m[k] += 0.1 * (d - self.m[k])
-                self.v[k] += 0.01 * (d * d - self.v[k])
-                self.p[k] -= (rate * self.m[k] / (np.sqrt(self.v[k]) + 1e-6)).astype(np.float32)
+                m, v = self.m[k], self.v[k]
+                m += 0.1 * (d - m)
+                np.multiply(d, d, out=d)
+                d -= v
+                d *= 0.01
+                v += d
+                np.sqrt(v, out=d)
+                d += 1e-6
+                np.divide(m, d, out=d)
+                d *= float(rate)
+                self.p[k] -= d
         self.tokens += n
 
 
@@ -363,8 +484,6 @@ def score_texts(p: dict, tokens: np.ndarray, begin: np.ndarray, end: int, s: Set
     order = np.argsort(-size, kind="stable")
     load = np.zeros(lanes, np.int64)
     lane, place = np.empty(len(size), np.int64), np.empty(len(size), np.int64)
-    import heapq
-
     heap = [(0, i) for i in range(lanes)]
     for i in order.tolist():
         used, k = heap[0]
@@ -375,28 +494,34 @@ def score_texts(p: dict, tokens: np.ndarray, begin: np.ndarray, end: int, s: Set
     rank = np.empty(lanes, np.int64)
     rank[by_load] = np.arange(lanes)
     load = load[by_load]
-    row = np.repeat(place, size) + np.arange(n) - np.repeat(begin, size)
-    column = np.repeat(rank[lane], size)
+    row = (np.repeat(place - begin, size) + np.arange(n)).astype(np.int32)
     # tokens by step, then lane: step t holds the lanes with load > t, a prefix
-    where = np.lexsort((column, row))
     edge = np.concatenate([[0], np.cumsum(np.searchsorted(-load, -np.arange(1, int(load[0]) + 1), "right"))])
+    to = edge[row] + np.repeat(rank[lane], size)
+    begins = np.zeros(len(edge), bool)
+    begins[place] = True
+    where = np.empty(n, np.int32)
+    where[to] = np.arange(n, dtype=np.int32)
+    del row, to
     fresh = np.zeros(n, bool)
     fresh[begin] = True
     x, y, fresh = x[where], tokens[where], fresh[where]
-    h = np.zeros((lanes, s.hidden), np.float32)
-    states = np.empty((n if n < 20_000 else 20_000 + lanes, s.hidden), np.float32)
-    first = held = 0
-    for t in range(len(edge) - 1):
-        a, b = edge[t], edge[t + 1]
-        h = h[: b - a]
-        if fresh[a:b].any():
-            h = h * ~fresh[a:b][:, None]
-        h = step(p, h, x[a:b])[0]
-        states[held : held + b - a] = h
-        held += b - a
-        if held >= 20_000 or t == len(edge) - 2:
-            out[where[first : first + held]] = log_likelihood(p, states[:held], y[first : first + held], s)
-            first, held = first + held, 0
+    h, edge, begins = np.zeros((lanes, s.hidden), np.float32), edge.tolist(), begins.tolist()
+    t = 0
+    while t < len(edge) - 1:
+        # some steps at once
+        last = min(max(t + 1, bisect.bisect_right(edge, edge[t] + 2 * BLOCK) - 1), len(edge) - 1)
+        first, until = edge[t], edge[last]
+        a, u = by_gate(p, x[first:until])
+        states = np.empty((until - first, s.hidden), np.float32)
+        while t < last:
+            own = slice(edge[t] - first, edge[t + 1] - first)
+            h = h[: own.stop - own.start]
+            if begins[t]:
+                h = h * ~fresh[edge[t] : edge[t + 1], None]
+            h = states[own] = unit(a[:, own], h, u)[0]
+            t += 1
+        out[where[first:until]] = log_likelihood(p, states, y[first:until], s)
     return out
 
 
@@ -533,7 +658,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     weights, end = context.broadcast(p), v.end
 
     def run(batches):
-        for held, tokens, begin in streams(batches):
+        for held, tokens, begin in streams(batches, SCORED):
             ln = score_texts(weights.value, tokens, begin, end, s) / np.log(10)
             text = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(tokens)))
             score = np.bincount(text, ln, len(begin))

@@ -40,6 +40,60 @@ def test_outputs_of_many_states_are_worked_out_in_parts():
     assert np.abs(gated_lm.log_likelihood(p, states, target, s) - want).max() < 1e-4
 
 
+def lm_vocabulary(n):
+    s = gated_lm.Settings()
+    draw = np.random.Generator(np.random.PCG64(5))
+    keys = np.sort(draw.integers(-(2**63), 2**63 - 1, n))
+    v = gated_lm.Vocabulary(keys, np.arange(n), np.full(n, -1), np.zeros(n, int), np.ones(s.n_suffix), 9, n, s)
+    v.start_class, v.start_word = np.zeros(s.n_classes + s.n_suffix, np.float32), np.zeros((s.n_classes, s.per_class), np.float32)
+    return v, draw
+
+
+def test_windows_use_the_same_memory_again_and_classes_are_not_exponentiated_one_by_one(monkeypatch):
+    v, draw = lm_vocabulary(4)
+    s = v.settings
+    trainer, room = gated_lm.Trainer(gated_lm.fresh_weights(v), s, s.rate), gated_lm.Room()
+    x, y = (draw.integers(0, s.n_single + s.n_suffix, (s.window, s.lanes)).astype(np.uint16) for _ in range(2))
+    fresh, live, h = np.zeros(x.shape, bool), np.ones(x.shape, bool), np.zeros((s.lanes, s.hidden), np.float32)
+
+    def window():
+        return gated_lm.gradients(trainer.p, h, x, y, fresh, live, s, room)
+
+    g, _ = window()
+    kept = {k: d.copy() for k, d in g.items()}
+    calls, exp = [], np.exp
+    with monkeypatch.context() as m:
+        m.setattr(np, "exp", lambda a, **more: (calls.append(a.size), exp(a, **more))[1])
+        g, _ = window()
+    assert len(calls) <= 2 * s.window + 1  # 41: the steps, the classes by parts, all words within their classes; 53 before, with one for each class
+    assert all(np.array_equal(g[k], kept[k]) for k in kept)
+    assert peak_mb(window) < 5  # 3.0 MB; 7.6 before
+
+
+def test_large_outputs_do_not_overflow():
+    s = gated_lm.Settings(n_single=64, n_classes=8, n_suffix=5, hidden=4)
+    draw = np.random.Generator(np.random.PCG64(7))
+    big = {k: (draw.standard_normal(shape) * 60).astype(np.float32) for k, shape in (("Wc", (4, 13)), ("bc", 13), ("Ww", (8, 4, 8)), ("bw", (8, 8)))}
+    big |= {k: draw.standard_normal(shape).astype(np.float32) for k, shape in (("E", (69, 12)), ("U", (4, 12)))}
+    x, y = draw.integers(0, 69, (6, 50)), draw.integers(0, 69, (6, 50))
+    fresh, live = draw.random((6, 50)) < 0.2, draw.random((6, 50)) < 0.9
+    got, h = gated_lm.gradients(big, np.zeros((50, 4), np.float32), x, y, fresh, live, s)
+    want, _ = gated_lm.gradients({k: d.astype(np.float64) for k, d in big.items()}, np.zeros((50, 4)), x, y, fresh, live, s)
+    for k in got:
+        assert np.isfinite(got[k]).all() and np.abs(got[k] - want[k]).max() < 1e-3 * max(1e-3, np.abs(want[k]).max()), k
+    assert np.isfinite(gated_lm.log_likelihood(big, h, y[0], s)).all()
+
+
+def test_words_are_found_by_their_highest_bits():
+    for n in (1, 2, 5000):
+        v, draw = lm_vocabulary(n)
+        h = np.concatenate([v.keys, v.keys + 1, v.keys - 1, draw.integers(-(2**63), 2**63 - 1, 1000), [-(2**63), 2**63 - 1]])
+        assert (v.places(h) == np.minimum(np.searchsorted(v.keys, h), n - 1)).all()
+    v.keys = np.arange(900)  # keys that share all of them
+    del v.leads
+    assert (v.places(np.arange(-5, 950)) == np.clip(np.arange(-5, 950), 0, 899)).all()
+
+
 class Recorded:
     def __init__(self, tokenizer):
         self.tokenizer, self.texts = tokenizer, []
