@@ -87,8 +87,8 @@ def word_counts(texts: DataFrame, n_suffix: int) -> DataFrame:
         for _, data, at in T.slices(batches):
             ends += len(at) - 1
             w = T.Words(data, at)
-            h, first, n = np.unique(T.signed(w.hashes(lower=True)), return_index=True, return_counts=True)
-            kept.append((h, suffix_class(w, n_suffix)[first], n))
+            h = T.signed(w.hashes(lower=True))
+            kept.append(summed(h, suffix_class(w, n_suffix), np.ones(len(h), np.int64)))
             if sum(len(x[0]) for x in kept) > COUNTED:
                 kept = [merged(kept)]
                 if len(kept[0][0]) > COUNTED // 2:
@@ -99,9 +99,14 @@ def word_counts(texts: DataFrame, n_suffix: int) -> DataFrame:
             yield out(np.array([END]), np.array([-1]), np.array([ends]))
 
     def merged(parts):
-        h, s, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        u, first, where = np.unique(h, return_index=True, return_inverse=True)
-        return u, s[first], np.bincount(where, n, len(u)).astype(np.int64)
+        return summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+    def summed(h, s, n):
+        # equal words have one suffix class, so any order of theirs will do
+        order = np.argsort(h)
+        h = h[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
+        return h[first], s[order[first]], np.add.reduceat(n[order], first) if len(h) else n
 
     return texts.select("text").mapInArrow(run, "h long, s int, n long").groupBy("h").agg(F.first("s").alias("s"), F.sum("n").alias("n"))
 
@@ -395,9 +400,11 @@ def gradients(p: dict, h: np.ndarray, x: np.ndarray, y: np.ndarray, fresh: np.nd
     g["U"] = np.concatenate([olds @ rows[:-1, : 2 * n], olds @ of_state.reshape(-1, n)], 1)
     g["E"] = sums_by_input(rows, x.ravel(), len(p["E"]), room)
     scale = 1 / max(1.0, float(use.sum()))
-    norm = np.sqrt(sum(float((x * x).sum()) for x in g.values())) * scale
+    norm = np.sqrt(sum(float(np.vdot(x, x)) for x in g.values())) * scale
     scale *= min(1.0, 1.0 / max(norm, 1e-9))
-    return {k: x * float(scale) for k, x in g.items()}, h
+    for d in g.values():
+        d *= float(scale)
+    return g, h
 
 
 def sums_by_input(rows: np.ndarray, x: np.ndarray, n: int, room: Room) -> np.ndarray:
@@ -633,8 +640,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
             texts = len(begin)
             inputs = tok[np.arange(len(h)) + w.text]
             other, tail = inputs >= s.n_single, counts < 0
-            share = np.where(other, np.log10(np.maximum(counts, 0) + 1.0) - rest[np.where(other, inputs - s.n_single, 0)], 0.0)
-            base = np.bincount(w.text, np.where(tail, 0.0, np.log10(np.maximum(counts, 0) + 1.0)), texts) + of_end
+            log_count = np.log10(np.maximum(counts, 0) + 1.0)
+            share = np.where(other, log_count - rest[np.where(other, inputs - s.n_single, 0)], 0.0)
+            base = np.bincount(w.text, np.where(tail, 0.0, log_count), texts) + of_end
             known = np.bincount(w.text[~tail], minlength=texts) + int(v.tokens > 0)
             key = np.stack([w.text[tail], h[tail]], 1)
             order = np.lexsort((key[:, 1], key[:, 0]))
